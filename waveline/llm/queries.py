@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waveline.llm import media, simhash, tokencount, urlfilter
+from waveline.llm import langid, media, simhash, tokencount, urlfilter, warc
 
 #: The rules that op5 judges by.
 URL_RULES = [
@@ -30,6 +30,10 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.sniff(stored, ["doc_id", "n_bytes"])
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -38,7 +42,11 @@ def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_media": op2_media, "op5_urls": op5_urls, "op7_tokens": op7_tokens}
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_media": op2_media, "op3_langid": op3_langid, "op5_urls": op5_urls, "op7_tokens": op7_tokens, "op9_warc": op9_warc}
 
 _OP5 = r"""
 WITH cut AS (
@@ -59,4 +67,16 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f ON p.page_id = f.page_id AND f.k = 1
 """
 
-SQL = {"op5_urls": _OP5}
+_OP9 = """
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), best AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS last FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last THEN last END AS refers_to
+FROM best
+"""
+
+SQL = {"op5_urls": _OP5, "op9_warc": _OP9}
