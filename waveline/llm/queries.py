@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waveline.llm import langid, media, simhash, tokencount, urlfilter, warc
+from waveline.llm import langid, media, simhash, substring, tokencount, urlfilter, warc
 
 #: The rules that op5 judges by.
 URL_RULES = [
@@ -34,6 +34,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(_table(spark, sf_dir, "documents")).drop("intervals")
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -46,7 +50,28 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_media": op2_media, "op3_langid": op3_langid, "op5_urls": op5_urls, "op7_tokens": op7_tokens, "op9_warc": op9_warc}
+QUERIES = {"op1_simhash": op1_simhash, "op2_media": op2_media, "op3_langid": op3_langid, "op4_substring": op4_substring, "op5_urls": op5_urls, "op7_tokens": op7_tokens, "op9_warc": op9_warc}
+
+_OP4 = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS s FROM w WHERE len(words) >= 50
+), windows AS (
+  SELECT doc_id, s, array_to_string(words[s:s + 49], ' ') AS x FROM starts
+), firsts AS (
+  SELECT x, min(doc_id) AS first FROM windows GROUP BY x HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM windows JOIN firsts USING (x) WHERE doc_id > first
+), lost AS (
+  SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, words, coalesce(len(gone), 0) AS n_removed,
+         CASE WHEN gone IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(gone, i)) END AS kept
+  FROM w LEFT JOIN lost ON w.doc_id = lost.doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept
+"""
 
 _OP5 = r"""
 WITH cut AS (
@@ -79,4 +104,4 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM best
 """
 
-SQL = {"op5_urls": _OP5, "op9_warc": _OP9}
+SQL = {"op4_substring": _OP4, "op5_urls": _OP5, "op9_warc": _OP9}
