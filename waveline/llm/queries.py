@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waveline.llm import langid, media, simhash, substring, tokencount, urlfilter, warc
+from waveline.llm import decontaminate, extract, langid, media, mixing, simhash, substring, tokencount, urlfilter, warc
 
 #: The rules that op5 judges by.
 URL_RULES = [
@@ -42,15 +43,28 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(_table(spark, sf_dir, "documents"))
+    return rows.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})
+
+
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_media": op2_media, "op3_langid": op3_langid, "op4_substring": op4_substring, "op5_urls": op5_urls, "op7_tokens": op7_tokens, "op9_warc": op9_warc}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_media": op2_media, "op3_langid": op3_langid, "op4_substring": op4_substring, "op5_urls": op5_urls, "op6_mixing": op6_mixing, "op7_tokens": op7_tokens, "op8_extract": op8_extract, "op9_warc": op9_warc, "op10_decontaminate": op10_decontaminate}
 
 _OP4 = r"""
 WITH w AS (
@@ -104,4 +118,31 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM best
 """
 
-SQL = {"op4_substring": _OP4, "op5_urls": _OP5, "op9_warc": _OP9}
+
+
+def _rake_sql() -> str:
+    """The sweeps as nested subqueries: each rake is one window sum over a margin."""
+    topic = "CASE " + " ".join(f"WHEN contains(text, '{mark}') THEN '{name}'" for name, mark in mixing.TOPICS) + f" ELSE '{mixing.GENERAL}' END"
+    targets = ", ".join(f"pow(sum(n) OVER (PARTITION BY {m}), {t}) AS {m}_raw" for m, t in mixing.TARGETS.items())
+    # A margin's raw target, once for each of its values: divided by how many cells hold it.
+    raws = ", ".join(f"{m}_raw / sum({m}_raw / {m}_cells) OVER () AS {m}_share" for m in mixing.TARGETS)
+    counts = ", ".join(f"count(*) OVER (PARTITION BY {m}) AS {m}_cells" for m in mixing.TARGETS)
+    now = f"SELECT *, sum(n) OVER () AS total, CAST(1 AS DOUBLE) AS f, {raws} FROM (SELECT *, {targets}, {counts} FROM cells)"
+    for _ in range(mixing.SWEEPS):
+        for m in mixing.TARGETS:
+            now = f"SELECT * REPLACE (f * total * {m}_share / sum(n * f) OVER (PARTITION BY {m}) AS f) FROM ({now})"
+    return f"""
+WITH rows AS (
+  SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, {topic} AS topic,
+         CAST(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens
+  FROM (SELECT * REPLACE (coalesce(text, '') AS text) FROM documents)
+), cells AS (
+  SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS n FROM rows GROUP BY ALL
+), raked AS ({now})
+SELECT doc_id, source, lang, topic, n_tokens, round(f, 6) AS weight, round(least(1, {mixing.BUDGET} * f), 6) AS probability,
+       CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / pow(2, 52) < least(1, {mixing.BUDGET} * f) AS sampled
+FROM rows JOIN raked USING (source, lang, topic)
+"""
+
+
+SQL = {"op4_substring": _OP4, "op5_urls": _OP5, "op6_mixing": _rake_sql(), "op9_warc": _OP9}
