@@ -1,3 +1,61 @@
-STAGES = []
+"""A training corpus from ``documents``: each stage is one corpus operator over all its predecessor kept.
+
+Every stage but the last returns the columns of its input. Stages read what the one before
+wrote: ``run`` keeps each result as Parquet in the shared checkpoint folder.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from waveline.llm import decontaminate, langid, mixing, simhash, substring
+from waveline.llm.common import checkpoint_dir
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter, or null, are no language (``und``) and go."""
+    return langid.keep_identified(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of close fingerprints the document with the smallest id stays."""
+    return simhash.keep_one(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of 50-word windows that a smaller id has too are cut out; emptied texts go."""
+    return substring.drop_repeats(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which a benchmark item leaks go."""
+    return decontaminate.drop_leaked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are sampled by probabilities raked to source, language and topic targets."""
+    return mixing.sample(docs)
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near duplicates", drop_near_duplicates),
+    ("repeated passages", cut_repeats),
+    ("benchmark leaks", drop_benchmark_leaks),
+    ("mixing", mix_sources),
+]
+
+#: Language identification has no SQL form; the tests hold the pipeline against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    base = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}")
+        docs = spark.read.parquet(f"{base}/{k}")
+    return docs
