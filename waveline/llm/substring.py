@@ -161,9 +161,12 @@ class Repeats:
         rows = self.scanned.where("doc_id is not null").select("doc_id", "k", F.explode("stretches").alias("x")).select("doc_id", "k", "x.*")
         minimizers = rows.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.min("h").alias("h1"), F.max("h").alias("h2"))
         minimizers = minimizers.where("a < z").select("m", (F.col("h1") != F.col("h2")).alias("many"))
+        # Sums are stored before they are joined back: a join of two plain shuffles is split where
+        # a key is hot, one whose side still aggregates isn't.
+        minimizers = stored(minimizers, "substring-minimizers")
         shared = stored(rows.join(minimizers, "m"), "substring-stretches")
         firsts = shared.groupBy("m", "h", "c").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.first("many").alias("many")).where("n > 1 or many")
-        judged = shared.drop("many").join(firsts.drop("n"), ["m", "h", "c"])
+        judged = shared.drop("many").join(stored(firsts.drop("n"), "substring-firsts"), ["m", "h", "c"])
         judged = judged.select("doc_id", "k", F.struct("m", "s", "c", (F.col("doc_id") > F.col("first")).alias("whole")).alias("x"), "many").where("x.whole or many")
         # One row of each document, of its own stretches: no longer than the document.
         per_doc = judged.groupBy("doc_id", "k").agg(F.collect_list("x").alias("xs"))
@@ -173,7 +176,8 @@ class Repeats:
         open_ = self.chosen.select("doc_id", "text", "k", todo.alias("todo")).where(F.size("todo") > 0)
         windows = stored(_windows(open_, size, self.id_type), "substring-windows")
         firsts = windows.groupBy("m", "w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("m", "w", "first")
-        late = windows.join(firsts, ["m", "w"]).where("doc_id > first").select("doc_id", "k", F.struct("s", F.lit(1).alias("c")).alias("y"))
+        late = windows.join(stored(firsts, "substring-window-firsts"), ["m", "w"]).where("doc_id > first").select("doc_id", "k", F.struct("s", F.lit(1).alias("c")).alias("y"))
+        late = stored(late, "substring-late")  # its join stands alone, so that hot windows are split
         whole = self.chosen.select("doc_id", "k", F.explode(F.filter("xs", lambda x: x["whole"])).alias("x")).select("doc_id", "k", F.struct("x.s", "x.c").alias("y"))
         self.flagged = whole.unionByName(late).groupBy("doc_id", "k").agg(F.collect_set("y").alias("spans"))
 
