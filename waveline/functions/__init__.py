@@ -1,0 +1 @@
+"""Column functions: geometry, names, sample arrays."""

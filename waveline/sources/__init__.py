@@ -1,0 +1 @@
+"""Readers and writers: packed archives, tables, products."""
