@@ -505,3 +505,67 @@ def decode_union(spark, d):
 @query(with_views("v_chunks") + "SELECT station, chunk FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY chunk) AS k FROM v_chunks) WHERE k <= 3")
 def limit_chunks(spark, d):
     return inventory.limit_chunks(V.chunks(spark, d), 3).select("station", "chunk")
+
+
+# --- without SQL: samples, filters, networks, archives, streams ---------------------------------
+
+
+def _synthetic(spark, d) -> DataFrame:
+    """Short traces of three channels for the first suppliers, samples by a fixed rule, some overlapping."""
+    rows = V.table(spark, d, "supplier").select(F.concat(F.lit("T"), F.col("s_suppkey")).alias("station"))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k")
+    rows = rows.select("station", F.lit("T_2024-01-01").alias("chunk"), F.explode(F.array(*map(F.lit, ["HHZ", "HHN", "HHE"]))).alias("channel"), parts)
+    start = F.col("k") * 10.0 + F.when(F.col("k") >= 3, 7.0).otherwise(0.0)
+    n = F.when(F.col("k") == 1, 1500).otherwise(1000)
+    sample = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.sin(i / 7.0 + F.col("k")) * 100 + (i * 7919 + F.hash("station") % 1000) % 13)
+    return rows.select("station", "chunk", "channel", start.alias("t0"), F.lit(100.0).alias("fs"), sample.alias("data"))
+
+
+@query()
+def join_traces(spark, d):
+    traces = _synthetic(spark, d)
+    segs = segments.join_traces(traces, 100.0, segments.pick_channels(traces))
+    return segs.select("station", "channel", "role", "seg_id", "t0", "n", F.round(arrays.total("data"), 6).alias("total"))
+
+
+@query()
+def baseline_conditioned(spark, d):
+    traces = _synthetic(spark, d)
+    segs = segments.join_traces(traces, 100.0, segments.pick_channels(traces))
+    return baseline.station_baseline(segs, 100.0, piece_seconds=12.0).drop("chunks", "bands")
+
+
+@query()
+def score_windows(spark, d):
+    """The numpy detector with fixed untrained weights, on every three-component window."""
+    from waveline.operators import detector, score
+
+    traces = _synthetic(spark, d)
+    segs = segments.join_traces(traces, 100.0, segments.pick_channels(traces))
+    return score.score(segs, names.Arm("6s", 6.0, "", "cnn", 6.0), detector.ensemble([detector.random_weights("cnn")], "cnn"), "perwindow")
+
+
+@query()
+def mseed_round_trip(spark, d):
+    """Samples written as compressed records and read back."""
+    import numpy as np
+
+    from waveline.sources.mseed import Trace, read_traces, write_traces
+
+    def work(batches):
+        for pdf in batches:
+            out = []
+            for station, channel, t0, data in zip(pdf["station"], pdf["channel"], pdf["t0"], pdf["data"], strict=True):
+                back = read_traces(write_traces([Trace(station[:5], channel, t0, 100.0, np.asarray(data))]))
+                out.append((station, channel, t0, len(back), int(sum(len(b.data) for b in back)), bool(np.array_equal(np.concatenate([b.data for b in back]), np.trunc(np.asarray(data))))))
+            yield type(pdf)(out, columns=["station", "channel", "t0", "traces", "samples", "equal"])
+
+    return _synthetic(spark, d).select("station", "channel", "t0", "data").mapInPandas(work, "station string, channel string, t0 double, traces int, samples bigint, equal boolean")
+
+
+@query(with_views("v_scores") + f", {_declared(0.99, 'dec')} SELECT station, round(t, 6) AS t, round(p, 6) AS p FROM dec")
+def session_declarations(spark, d):
+    """The streaming form of declarations, on a bounded input."""
+    from waveline.streaming.declarations import streaming_declarations
+
+    return r6(streaming_declarations(V.scores(spark, d), 0.99, STEP), "t", "p")
