@@ -55,7 +55,8 @@ def _shares(cells: DataFrame, margin: str, target: float | dict[str, float]) ->
     else:
         raw = F.when(F.col("n") > 0, F.pow(F.col("n").cast("double"), F.lit(float(target)))).otherwise(0.0)
     sums = sums.select(margin, raw.alias("raw"))
-    return sums.crossJoin(F.broadcast(sums.agg(F.sum("raw").alias("all")))).select(margin, F.try_divide("raw", "all").alias("share"))  # one row
+    whole = sums.agg(F.sum("raw")).head()[0]
+    return sums.select(margin, (F.col("raw") / F.lit(whole) if whole else F.lit(0.0)).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]] = TARGETS, sweeps: int = SWEEPS) -> DataFrame:
