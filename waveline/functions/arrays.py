@@ -25,9 +25,13 @@ def rms(x: Column | str) -> Column:
     return F.sqrt(F.try_divide(F.aggregate(_col(x), F.lit(0.0), lambda a, v: a + v * v), F.size(_col(x))))
 
 
+def once(value: Column, use) -> Column:
+    """``use`` of a value computed once: inside a lambda it would be computed for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def std_pop(x: Column | str) -> Column:
-    m = mean(x)
-    return F.sqrt(F.try_divide(F.aggregate(_col(x), F.lit(0.0), lambda a, v: a + (v - m) * (v - m)), F.size(_col(x))))
+    return once(mean(x), lambda m: F.sqrt(F.try_divide(F.aggregate(_col(x), F.lit(0.0), lambda a, v: a + (v - m) * (v - m)), F.size(_col(x)))))
 
 
 def asinh(x: Column) -> Column:
@@ -37,8 +41,8 @@ def asinh(x: Column) -> Column:
 
 def standardize_perwindow(x: Column | str) -> Column:
     """A window by its own mean and deviation (at least 1e-12)."""
-    m, s = mean(x), F.greatest(std_pop(x), F.lit(1e-12))
-    return F.transform(_col(x), lambda v: (v - m) / s)
+    units = F.struct(mean(x).alias("m"), F.greatest(std_pop(x), F.lit(1e-12)).alias("s"))
+    return once(units, lambda u: F.transform(_col(x), lambda v: (v - u["m"]) / u["s"]))
 
 
 def standardize_by(x: Column | str, mu: Column, sigma: Column) -> Column:
@@ -51,11 +55,10 @@ def detrend_linear(x: Column | str) -> Column:
     c = _col(x)
     n = F.size(c).cast("double")
     mid = (n - 1) / 2
-    m = mean(c)
     spread = n * (n * n - 1) / 12
     tilt = F.aggregate(F.zip_with(c, F.sequence(F.lit(0), F.size(c) - 1), lambda v, i: v * (i - mid)), F.lit(0.0), lambda a, v: a + v)
-    slope = F.coalesce(F.try_divide(tilt, spread), F.lit(0.0))
-    return F.transform(c, lambda v, i: v - m - slope * (i - mid))
+    line = F.struct(mean(c).alias("m"), F.coalesce(F.try_divide(tilt, spread), F.lit(0.0)).alias("slope"))
+    return once(line, lambda u: F.transform(c, lambda v, i: v - u["m"] - u["slope"] * (i - mid)))
 
 
 def taper_weights(n: int, share: float = 0.05) -> list[float]:
