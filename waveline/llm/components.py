@@ -11,13 +11,15 @@ from waveline.llm.common import checkpoint
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours move to its smallest neighbour (itself included)."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Sums are stored before they are joined back: a join of two plain shuffles is split where a
+    # hub is hot, one whose side still aggregates isn't.
+    least = checkpoint(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours move to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = checkpoint(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -35,7 +37,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     state = F.struct(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").bitwiseAND(0xFFFFFFFF)))
     before = now.agg(state.alias("s")).head()[0]
     while before[0]:
-        now = checkpoint(_small_star(_large_star(now)))
+        now = checkpoint(_small_star(checkpoint(_large_star(now))))
         after = now.agg(state.alias("s")).head()[0]
         if after == before:
             break

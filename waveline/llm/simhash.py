@@ -118,12 +118,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names one. An empty table gives none. Other columns are ignored.
     """
     rows = checkpoint(fingerprints(docs, id_col, text_col))
-    fps = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    fps = checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = connected_components(links(fps.select("fp"), max_bits, max_list))
     of = fps.join(found.withColumnRenamed("node", "fp"), "fp", "left")
     of = checkpoint(of.select("fp", "least", F.coalesce("component", "fp").alias("component")))
-    named = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = of.join(named, "component").select("fp", "component_id")
+    named = checkpoint(of.groupBy("component").agg(F.min("least").alias("component_id")))
+    of = checkpoint(of.join(named, "component").select("fp", "component_id"))
     return rows.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
