@@ -24,10 +24,17 @@ def declarations(scores: DataFrame, keys: list[str], threshold: Column | float,
 
 
 def median_step(scores: DataFrame, keys: list[str], t: str = "t", first: int = 100_000) -> DataFrame:
-    """``(keys, step)``: the median distance of the first windows. Only they are ranked across a key."""
+    """``(keys, step)``: the median distance of the first windows.
+
+    Days are counted first, so that only the days that hold a key's first windows are ordered.
+    """
+    day = F.floor(F.col(t) / DAY).alias("_day")
+    days = scores.groupBy(*keys, day).agg(F.count("*").alias("_n"))
+    so_far = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_day")) - F.col("_n")
+    early = days.withColumn("_before", so_far).where(F.col("_before") < first).select(*keys, "_day")
     w = Window.partitionBy(*keys).orderBy(t)
-    early = scores.select(*keys, t).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= first)
-    steps = early.withColumn("_d", F.col(t) - F.lag(t).over(w)).where("_d is not null")
+    rows = scores.select(*keys, t, day).join(early, [*keys, "_day"]).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= first)
+    steps = rows.withColumn("_d", F.col(t) - F.lag(t).over(w)).where("_d is not null")
     return steps.groupBy(*keys).agg(F.median("_d").alias("step"))
 
 

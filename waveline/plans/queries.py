@@ -502,6 +502,26 @@ def decode_union(spark, d):
     return inventory.work_matrix(V.chunks(spark, d), V.done(spark, d), V.PRODUCTS).select("station", "decode", "naive")
 
 
+@query(with_views("v_chunks", "v_done") + f", {_MISSING} SELECT station, chunk, product FROM missing")
+def outstanding(spark, d):
+    return inventory.outstanding(V.chunks(spark, d), V.done(spark, d), V.PRODUCTS)
+
+
+@query(with_views("v_catalog") + "SELECT trunc(least(mag, 6) * 2) / 2.0 AS band, count(*) AS kept FROM v_catalog WHERE event_id % 40 = 0 GROUP BY ALL")
+def kept_by_band(spark, d):
+    from waveline.operators import windows
+
+    events = V.catalog(spark, d)
+    return windows.kept_by_band(events.where("event_id % 40 = 0").select("event_id"), events, [])
+
+
+@query(with_views("v_scores", "v_catalog", "v_stations", "v_snr") + f", {_ARRIVALS} SELECT a.station, a.event_id, round(s.snr, 6) AS snr FROM arrivals a LEFT JOIN (SELECT event_id, max(snr) AS snr FROM v_snr GROUP BY event_id) s USING (event_id)")
+def catalog_with_snr(spark, d):
+    """The left join of the catalogue on its readings: one row of an event, unmeasured ones too."""
+    known = _arrivals(spark, d).select("station", "event_id")
+    return r6(known.join(snr.largest(V.snr(spark, d)), "event_id", "left").select("station", "event_id", "snr"), "snr")
+
+
 @query(with_views("v_chunks") + "SELECT station, chunk FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY chunk) AS k FROM v_chunks) WHERE k <= 3")
 def limit_chunks(spark, d):
     return inventory.limit_chunks(V.chunks(spark, d), 3).select("station", "chunk")
