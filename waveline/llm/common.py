@@ -15,6 +15,23 @@ BROADCAST_ROWS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of text that go to Python at once, at most; the session's own limit counts if it is lower.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session sending no more than ``BATCH_ROWS`` rows to Python at once.
+
+    A batch is held in the JVM, in Arrow and in Python at the same time, for every task of an
+    executor, so batches of whole texts must be small. The setting stays for lazy execution.
+    """
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    now = int(conf.get(key, "10000"))
+    if not 0 < now <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's, or a local one where none is configured."""
     context = spark.sparkContext

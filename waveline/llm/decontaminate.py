@@ -27,6 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waveline.llm.common import small_batches
+
 SIMILARITY, RECALL = 0.8, 0.99
 #: LSH: walks, positions sampled by a key, agreement of positions expected at the similarity wanted.
 WALKS, SAMPLED, AGREEMENT = 8, 3, 0.45
@@ -215,7 +217,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 cols = [pa.array([r[k + 1] for r in rows], t) for k, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), *cols], ["doc_id", "item_id", "edits", "item_words", "end_word"])
 
-        found = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+        found = small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
@@ -230,5 +232,5 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", i
             for batch in batches:
                 yield batch.filter(pa.array([not shared.value.search(t) for t in batch.column(at).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = small_batches(docs).mapInArrow(run, docs.schema)
     return docs

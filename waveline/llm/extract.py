@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waveline.llm.common import small_batches
+
 #: Kinds of HTML elements.
 BLOCK_TAGS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table caption tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -254,4 +256,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64(), size=len(texts))], ["page_id", "url", "text", "n_chars"])
 
     kinds = [f.dataType.simpleString() for f in pages.select(id_col, url_col).schema.fields]
-    return pages.select(F.col(id_col), F.col(url_col), F.col(html_col)).mapInArrow(run, f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars bigint")
+    return small_batches(pages).select(F.col(id_col), F.col(url_col), F.col(html_col)).mapInArrow(run, f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars bigint")

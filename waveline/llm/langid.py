@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waveline.llm.common import fresh
+from waveline.llm.common import fresh, small_batches
 
 #: Size of the model: buckets, n-gram lengths, and the most languages a broadcast is made for.
 BUCKETS, ORDERS, MAX_LANGUAGES = 1 << 15, 3, 1000
@@ -90,7 +90,7 @@ def bucket_counts(rows: DataFrame, text_col: str, lang_col: str, buckets: int =
                 held[lang][1:] += np.bincount(grams(text or "", buckets), minlength=buckets)
         yield from out()
 
-    labelled = rows.where(F.col(lang_col).isNotNull()).select(F.col(text_col), F.col(lang_col))
+    labelled = small_batches(rows).where(F.col(lang_col).isNotNull()).select(F.col(text_col), F.col(lang_col))
     return labelled.mapInArrow(run, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -130,7 +130,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    rows = docs.select(F.col(id_col), F.coalesce(held_out(id_col), F.lit(False)).alias("_held"), F.col(text_col))
+    rows = small_batches(docs).select(F.col(id_col), F.coalesce(held_out(id_col), F.lit(False)).alias("_held"), F.col(text_col))
     return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
@@ -149,4 +149,4 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     from pyspark.sql import types as T
 
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())])
-    return docs.mapInArrow(run, schema).where(F.col(name) != "und").select(*docs.columns)
+    return small_batches(docs).mapInArrow(run, schema).where(F.col(name) != "und").select(*docs.columns)

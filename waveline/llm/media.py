@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waveline.llm.common import small_batches
+
 RATE = 8000
 
 
@@ -202,7 +204,7 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, declared, media], ["doc_id", "n_bytes", "declared", "media"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, n_bytes bigint, declared string, media binary")
+    return small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, n_bytes bigint, declared string, media binary")
 
 
 def _wav_feature(data: bytes) -> tuple[bytes, str]:
@@ -252,4 +254,4 @@ def sniff(stored: DataFrame, keep: list[str], declared_col: str = "declared", me
     added += ", parts array<struct<kind: string, offset: bigint, data: binary>>" if with_parts else ""
     names = [f.name for f in fields] + [x.strip().split(" ")[0] for x in added.split(", parts")[0].split(",")] + ["parts"] * with_parts
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [added])
-    return stored.select(*keep, F.col(declared_col), F.col(media_col)).mapInArrow(run, schema)
+    return small_batches(stored).select(*keep, F.col(declared_col), F.col(media_col)).mapInArrow(run, schema)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waveline.llm.common import checkpoint
+from waveline.llm.common import checkpoint, small_batches
 from waveline.llm.components import connected_components
 
 SEED, SHINGLE, MAX_BITS, MAX_LIST = 42, 3, 2, 64
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, fp bigint")
 
 
 def _bytes_shared(a: Column, b: Column) -> Column:

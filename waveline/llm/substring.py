@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waveline.llm.common import fresh, stored
+from waveline.llm.common import fresh, small_batches, stored
 
 SIZE, RUN = 50, 8
 _BASE = 0x9E3779B97F4A7C55
@@ -112,7 +112,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, size: int, run: int) -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int32()), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), lists], ["doc_id", "k", "n_words", "sha", "stretches"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(work, f"doc_id {kind}, k int, n_words bigint, sha string, stretches {_STRETCHES}")
+    return small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(work, f"doc_id {kind}, k int, n_words bigint, sha string, stretches {_STRETCHES}")
 
 
 def _windows(chosen: DataFrame, size: int, id_type: str) -> DataFrame:

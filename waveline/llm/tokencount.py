@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waveline.llm.common import small_batches
+
 #: The byte-level pre-tokenizer's pattern.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Known counts that a worker keeps at most; beyond, it starts anew. A cache only.
@@ -104,4 +106,4 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array(over, pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waveline.llm.common import bounded_broadcast, checkpoint, checkpoint_dir
+from waveline.llm.common import bounded_broadcast, checkpoint, checkpoint_dir, small_batches
 
 #: Fixed values of the formats.
 ARC_FIELDS = {
@@ -161,7 +161,7 @@ def write_archives(pages: DataFrame, path: str, mark: str, id_col: str, url_col:
                     out.append(to_warc(record, key, to, (mark,))[0])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], ["value"])
 
-    rows.mapInArrow(run, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    small_batches(rows).mapInArrow(run, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
 def read_archives(pages: DataFrame, path: str, mark: str, id_type: str) -> DataFrame:
