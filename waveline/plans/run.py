@@ -103,7 +103,6 @@ def run(spark: SparkSession, chunks: DataFrame, layout: store.Layout, stations:
         store.write_snr_parts(parts, layout)
         finish("range", parts)
     if settings.lengths:
-        first = f"windows:{settings.lengths[0]:g}"
         ready = cuttable.select("station").distinct()
         strong = known.join(cuttable.where(F.col("snr") >= settings.snr_min), ["station", "event_id"]).withColumn("cut_epoch", F.col("p_epoch"))
         due = missing.where(F.col("product").startswith("windows:")).select("station", "chunk").distinct()
@@ -113,7 +112,6 @@ def run(spark: SparkSession, chunks: DataFrame, layout: store.Layout, stations:
         store.write_windows(cut, layout)
         for length in settings.lengths:
             finish(f"windows:{length:g}", cut.where(F.col("length_s") == length), ready)
-        del first
     out = made[0]
     for m in made[1:]:
         out = out.unionByName(m)
