@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from waveline.llm.common import fresh, small_batches
 
 #: Size of the model: buckets, n-gram lengths, and the most languages a broadcast is made for.
-BUCKETS, ORDERS, MAX_LANGUAGES = 1 << 15, 3, 1000
+BUCKETS, ORDERS, MAX_LANGUAGES = 1 << 15, 3, 200
 #: A task hands on its counts when it has this many languages, so that its memory is bounded.
 _HELD = 64
 _LETTER = regex.compile(r"\p{L}")
