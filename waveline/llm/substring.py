@@ -159,14 +159,14 @@ class Repeats:
         self.id_type = docs.select(id_col).schema[0].dataType.simpleString()
         self.scanned = stored(_scan(docs, id_col, text_col, size, run), "substring-scan")
         rows = self.scanned.where("doc_id is not null").select("doc_id", "k", F.explode("stretches").alias("x")).select("doc_id", "k", "x.*")
-        minimizers = rows.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.min("h").alias("h1"), F.max("h").alias("h2"))
-        minimizers = minimizers.where("a < z").select("m", (F.col("h1") != F.col("h2")).alias("many"))
+        minimizers = rows.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("m")
         # Sums are stored before they are joined back: a join of two plain shuffles is split where
         # a key is hot, one whose side still aggregates isn't.
-        minimizers = stored(minimizers, "substring-minimizers")
-        shared = stored(rows.join(minimizers, "m"), "substring-stretches")
-        firsts = shared.groupBy("m", "h", "c").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.first("many").alias("many")).where("n > 1 or many")
-        judged = shared.drop("many").join(stored(firsts.drop("n"), "substring-firsts"), ["m", "h", "c"])
+        shared = stored(rows.join(stored(minimizers, "substring-minimizers"), "m"), "substring-stretches")
+        firsts = stored(shared.groupBy("m", "h", "c").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "substring-firsts")
+        variants = stored(firsts.groupBy("m").agg((F.count("*") > 1).alias("many")), "substring-variants")
+        firsts = firsts.join(variants, "m").where("n > 1 or many").drop("n")
+        judged = shared.join(stored(firsts, "substring-judges"), ["m", "h", "c"])
         judged = judged.select("doc_id", "k", F.struct("m", "s", "c", (F.col("doc_id") > F.col("first")).alias("whole")).alias("x"), "many").where("x.whole or many")
         # One row of each document, of its own stretches: no longer than the document.
         per_doc = judged.groupBy("doc_id", "k").agg(F.collect_list("x").alias("xs"))
