@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,23 +82,41 @@ def join_traces(traces: DataFrame, fs: float, channels: DataFrame | None = None)
 
     def at_rate(batches):
         for pdf in batches:
-            data = [np.asarray(d, np.float64) for d in pdf["data"]]
-            pdf["data"] = [d if abs(r - fs) <= RATE_TOLERANCE else resample(d, r, fs) for d, r in zip(data, pdf["fs"], strict=True)]
-            pdf["n"] = [len(d) for d in pdf["data"]]
-            yield pdf[["station", "chunk", "channel", "t0", "n", "data"]]
-
-    even = rows.select("station", "chunk", "channel", "t0", "fs", "data").mapInPandas(at_rate, "station string, chunk string, channel string, t0 double, n bigint, data array<double>")
+            pdf["data"] = [resample(np.asarray(d, np.float64), r, fs) for d, r in zip(pdf["data"], pdf["fs"], strict=True)]
+            yield pdf[["station", "chunk", "channel", "t0", "data"]]
+
+    # Only traces at another rate go to Python for it.
+    rows = rows.select("station", "chunk", "channel", "t0", "fs", "data")
+    off = F.abs(F.col("fs") - fs) > RATE_TOLERANCE
+    other = rows.where(off).mapInPandas(at_rate, "station string, chunk string, channel string, t0 double, data array<double>")
+    even = rows.where(~off).drop("fs").unionByName(other).withColumn("n", F.size("data").cast("long"))
     runs = trace_runs(even, keys, fs).where("not contained")
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t0", kind="stable")
-        data = paint(pdf["t0"].to_numpy(), [np.asarray(d, np.float64) for d in pdf["data"]], fs)
-        first = pdf.iloc[0]
-        return pd.DataFrame({"station": [first.station], "chunk": [first.chunk], "channel": [first.channel], "role": [_role(first.channel)], "seg_id": [int(first.run)], "t0": [float(first.t0)], "n": [len(data)], "data": [data]})
+    def one(table: pa.Table) -> pa.Table:
+        starts, arrays = table["t0"].to_numpy(), list_arrays(table["data"])
+        order = np.argsort(starts, kind="stable")
+        data = paint(starts[order], [arrays[i] for i in order], fs)
+        first = table.slice(int(order[0]), 1).to_pylist()[0]
+        cols = [first["station"], first["chunk"], first["channel"], _role(first["channel"]), first["run"], first["t0"], len(data)]
+        types = [pa.string()] * 4 + [pa.int32(), pa.float64(), pa.int64()]
+        lists = pa.ListArray.from_arrays(pa.array([0, len(data)], pa.int32()), pa.array(data))
+        return pa.Table.from_arrays([*[pa.array([c], t) for c, t in zip(cols, types, strict=True)], lists], _SEGMENT)
 
     from waveline.schemas import SEGMENT
 
-    return runs.groupBy(*keys, "run").applyInPandas(one, SEGMENT)
+    return runs.groupBy(*keys, "run").applyInArrow(one, SEGMENT)
+
+
+_SEGMENT = ["station", "chunk", "channel", "role", "seg_id", "t0", "n", "data"]
+
+
+def list_arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """Each row's list as a numpy array, without copying the values."""
+    out = []
+    for chunk in column.chunks:
+        values, offsets = chunk.values.to_numpy(zero_copy_only=False), chunk.offsets.to_numpy()
+        out += [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    return out
 
 
 def _role(channel: str) -> str | None:
