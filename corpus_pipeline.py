@@ -20,8 +20,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of close fingerprints the document with the smallest id stays."""
-    return simhash.keep_one(docs)
+    """Of each component of documents at a Jaccard similarity of 0.8 or more, by shingles of five
+    words, the one with the smallest id stays."""
+    return simhash.keep_one(docs, shingle=5, similarity=0.8)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,3 +103,59 @@ def test_components(spark):
             part[y] = x
     assert got == {x: find(x) for x in part}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def word_sets(rows, n=5):
+    out = []
+    for _, text, *_ in rows:
+        w = (text or "").lower().split()
+        out.append({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set())
+    return out
+
+
+def test_similar_against_brute_force_jaccard(make_docs):
+    """Groups of one base each, at every similarity around 0.8; a fingerprint's two bits miss most."""
+    rng, rows = random.Random(11), odd_rows(90_000)
+    for g in range(40):
+        base = [f"{rng.randrange(3000)}w" for _ in range(rng.randrange(60, 160))]
+        for k in range(6):
+            words = list(base)
+            for at in rng.sample(range(len(words)), rng.randrange(0, 1 + len(words) // 18)):
+                words[at] = f"x{g}-{k}-{at}"
+            rows.append((10 * g + k, " ".join(words), "en", "a"))
+    sets, part, close = word_sets(rows), list(range(len(rows))), []
+
+    def find(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                part[find(i)] = find(j)
+                close.append((i, j))
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[find(i)] = min(least.get(find(i), r[0]), r[0])
+    want = sorted(((r[0], least.get(find(i))) for i, r in enumerate(rows)), key=str)
+    docs = make_docs(rows)
+    assert sorted(((r.doc_id, r.component_id) for r in simhash.similar(docs, 5, 0.8).collect()), key=str) == want
+    assert sorted(str(r.doc_id) for r in simhash.keep_one(docs, shingle=5, similarity=0.8).collect()) == sorted(str(i) for i, c in want if i is None or i == c)
+    fps = [simhash.fingerprint((r[1] or "").encode()) for r in rows]
+    assert len(close) > 50 and sum((fps[i] ^ fps[j]).bit_count() <= 2 for i, j in close) < len(close) / 2
+    assert simhash.similar(make_docs([]), 5, 0.8).collect() == []
+
+
+def test_pipeline_stage_drops_copies_at_five_words_and_eight_tenths(spark, make_docs):
+    import corpus_pipeline
+
+    words = prose(5, 200, [f"w{i}" for i in range(900)]).split()
+    near, far = list(words), list(words)
+    for k in range(3):
+        near[20 + 50 * k] = f"n{k}"
+    for k in range(10):
+        far[5 + 18 * k] = f"f{k}"
+    docs = make_docs([(1, " ".join(words), "en", "a"), (2, " ".join(near), "en", "a"), (3, " ".join(far), "en", "a")])
+    assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == {1, 3}

@@ -14,6 +14,13 @@ members go through an exact linear path instead. Each emits itself and its 64 on
 neighbours; two fingerprints are at two or fewer bits if and only if they emit a common word,
 and at most 65 can emit the same one, so linking the emitters of a word to its smallest makes
 the same components without pairs.
+
+Two bits find copies that are all but exact. ``similar_nodes`` is for a set similarity instead
+(Jaccard of word shingles, 0.8 in the pipeline), where fingerprints differ in ten bits of 64 on
+average and up to twenty, so that no byte need be shared. There, lists are keyed by bands of
+minimum hashes: a pair at 0.8 misses all 40 bands of five with a chance of 1e-7. Pairs that
+meet are verified by their whole shingle sets; where a list's members aren't yet linked, pairs
+whose signatures of 2048 minimum hashes differ in more than any at 0.8 would (chance 1e-7) are not.
 """
 
 from __future__ import annotations
@@ -26,28 +33,40 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waveline.llm.common import checkpoint, small_batches
+from waveline.llm.common import bounded_broadcast, checkpoint, small_batches
 from waveline.llm.components import connected_components
 
 SEED, SHINGLE, MAX_BITS, MAX_LIST = 42, 3, 2, 64
+#: Bands of minimum hashes, and the hashes of a band.
+BANDS, BAND = 40, 5
+#: One bit of each of so many minimum hashes makes a signature; its bits differ at half the dissimilarity.
+BITS = 2048
+_WORDS = [f"w{k}" for k in range(BITS // 64)]
+_MULT, _ADD = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BITS, 1)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 #: Positional bytes by twos, and the two of these four that key a list.
 _BLOCKS = list(combinations(range(4), 2))
 
 
-def fingerprint(data: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The unsigned SimHash of a UTF-8 text: a bit is set if over half of the shingle hashes have it."""
+def shingle_hashes(data: bytes, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """Hashes of a UTF-8 text's shingles in order; of all its words if they are fewer; none without words."""
     words = data.lower().split()  # of bytes: only A-Z change, only ASCII white space divides
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     n = len(words) - shingle + 1
     if n < 2:
-        hashes = np.array([xxhash.xxh64_intdigest(joined, seed)], np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        spans = zip(starts[:n].tolist(), ends[shingle - 1 :].tolist(), strict=True)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(joined[s:e], seed) for s, e in spans), np.uint64, n)
+        return np.array([xxhash.xxh64_intdigest(joined, seed)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    spans = zip(starts[:n].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+    return np.fromiter((xxhash.xxh64_intdigest(joined[s:e], seed) for s, e in spans), np.uint64, n)
+
+
+def fingerprint(data: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The unsigned SimHash of a UTF-8 text: a bit is set if over half of the shingle hashes have it."""
+    hashes = shingle_hashes(data, shingle, seed)
+    if not len(hashes):
+        return 0
     bits = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 65536):
         part = np.unpackbits(hashes[k : k + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -110,6 +129,101 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_list: int = MAX_LIST) ->
     return edges.unionByName(stars.distinct())
 
 
+def minima(own: np.ndarray, n: int) -> np.ndarray:
+    """The least value of a set under each of the first ``n`` hash functions."""
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(own), 256):
+        mixed = (own[k : k + 256] ^ (own[k : k + 256] >> np.uint64(29))) * _MULT[:n] + _ADD[:n]
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=1))
+    return least
+
+
+def sketch(data: bytes, shingle: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """A node, the same for texts of one shingle set; the lists it is in; the sorted set itself."""
+    own = np.unique(shingle_hashes(data, shingle))
+    node = xxhash.xxh64_intdigest(own.tobytes(), SEED)
+    if not len(own):
+        return node, np.empty(0, np.uint64), own
+    keys = np.array([xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(minima(own, BANDS * BAND).reshape(BANDS, BAND))], np.uint64)
+    return node, keys, own
+
+
+def _longs(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
+    flat = np.concatenate([*arrays, np.empty(0, np.uint64)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, node, lists, shingles)`` of every row; a null text has no words."""
+
+    def run(batches):
+        for batch in batches:
+            found = [sketch(t or b"", shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            nodes = np.array([f[0] for f in found], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), _longs([f[1] for f in found]), _longs([f[2] for f in found])], ["doc_id", "node", "lists", "shingles"])
+
+    kind = docs.select(id_col).schema[0].dataType.simpleString()
+    rows = small_batches(docs).select(F.col(id_col), F.col(text_col))
+    return rows.mapInArrow(run, f"doc_id {kind}, node bigint, lists array<bigint>, shingles array<bigint>")
+
+
+def _sets(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(node, shingles)`` of these nodes, once each."""
+    few = bounded_broadcast(checkpoint(nodes.distinct()))
+    return rows.select("node", "shingles").join(few, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def _signed(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(node, w0, w1, ...)``: signatures of these nodes; plain columns, so that comparing them is compiled."""
+
+    def run(batches):
+        for batch in batches:
+            own = [np.asarray(x, np.int64).view(np.uint64) for x in batch.column(1).to_pylist()]
+            bits = [np.packbits((minima(x, BITS) >> np.uint64(13) & np.uint64(1)).astype(np.uint8)).view(np.int64) for x in own]
+            columns = np.array(bits, np.int64).reshape(-1, BITS // 64).T
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(c)) for c in columns]], ["node", *_WORDS])
+
+    return checkpoint(small_batches(_sets(nodes, rows)).mapInArrow(run, ", ".join(f"{c} bigint not null" for c in ("node", *_WORDS))))
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose whole shingle sets have at least this Jaccard similarity."""
+    sets = checkpoint(_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), rows))
+    wide = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    wide = wide.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return checkpoint(wide.where(common >= F.lit(similarity) * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b"))
+
+
+def similar_nodes(rows: DataFrame, similarity: float) -> DataFrame:
+    """``(node, component)`` of the sketched nodes that have a neighbour at this similarity.
+
+    First the members of each list are verified against its smallest only; of lists that this
+    leaves in several components, all pairs that could still join two of them come next, so
+    groups of near copies cost no pairs beyond their stars and no pair is left out.
+    """
+    postings = rows.select(F.explode("lists").alias("list"), "node")
+    hubs = checkpoint(postings.groupBy("list").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("list", "hub"))
+    met = checkpoint(postings.join(hubs, "list").distinct())
+    edges = _verified(checkpoint(met.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()), rows, similarity)
+    part = connected_components(edges)
+    of = checkpoint(met.join(part, "node", "left").select("list", "node", "hub", F.coalesce("component", "node").alias("component")))
+    sizes = checkpoint(of.groupBy("list", "component").agg(F.count("*").alias("n")))
+    main = checkpoint(sizes.groupBy("list").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts"))
+    apart = checkpoint(of.join(main, "list").where("node <> hub").select("list", "node", "component", "main"))
+    apart = checkpoint(apart.join(_signed(apart.select("node"), rows), "node"))
+    stray = apart.where("component <> main").select("list", F.col("node").alias("x"), F.col("component").alias("cx"), *[F.col(w).alias(f"x{w}") for w in _WORDS])
+    differing = sum(F.bit_count(F.col(f"x{w}").bitwiseXOR(F.col(w))) for w in _WORDS)
+    rate = (1 - similarity) / 2
+    most = BITS * rate + 5.5 * (BITS * rate * (1 - rate)) ** 0.5
+    once = (F.col("cx") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("node")))
+    pairs = stray.join(apart, [stray["list"] == apart["list"], once, differing <= most])
+    pairs = checkpoint(pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
+    more = _verified(pairs, rows, similarity)
+    return connected_components(edges.unionByName(more))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, max_list: int = MAX_LIST) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` of every row, component_id the smallest doc_id reachable.
 
@@ -119,15 +233,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = checkpoint(fingerprints(docs, id_col, text_col))
     fps = checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    found = connected_components(links(fps.select("fp"), max_bits, max_list))
+    of = _named(fps, connected_components(links(fps.select("fp"), max_bits, max_list)))
+    return rows.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _named(fps: DataFrame, found: DataFrame) -> DataFrame:
+    """``(fp, component_id)`` of fingerprints with their least id, by the components found among them."""
     of = fps.join(found.withColumnRenamed("node", "fp"), "fp", "left")
     of = checkpoint(of.select("fp", "least", F.coalesce("component", "fp").alias("component")))
     named = checkpoint(of.groupBy("component").agg(F.min("least").alias("component_id")))
-    of = checkpoint(of.join(named, "component").select("fp", "component_id"))
-    return rows.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return checkpoint(of.join(named, "component").select("fp", "component_id"))
+
 
+def similar(docs: DataFrame, shingle: int, similarity: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, component_id)`` of every row, components by the Jaccard similarity of shingle sets.
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; all columns stay."""
-    gone = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    Ids, null texts and repeated rows are as in ``near_duplicates``; texts of fewer words than
+    a shingle have the whole as one, texts without words are copies of each other.
+    """
+    rows = checkpoint(sketches(docs, shingle, id_col, text_col))
+    least = checkpoint(rows.groupBy(F.col("node").alias("fp")).agg(F.min("doc_id").alias("least")))
+    of = _named(least, similar_nodes(rows, similarity))
+    return rows.select("doc_id", F.col("node").alias("fp")).join(of, "fp").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
+    """``docs`` without the rows whose component has a smaller id; all columns stay.
+
+    Components are of close fingerprints, or of shingle sets if a ``similarity`` is given.
+    """
+    found = near_duplicates(docs, id_col, text_col) if similarity is None else similar(docs, shingle, similarity, id_col, text_col)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(gone, id_col, "left_anti").select(*docs.columns)
