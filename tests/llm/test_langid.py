@@ -64,3 +64,9 @@ def test_stage_keeps_columns_and_clean_rows(make_docs):
     out = langid.keep_identified(docs)
     assert out.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in out.collect()) == sorted([r[0] for r in rows(10)] + [0, 4, 5, 6, 6, 8])
+
+
+def test_stage_keeps_texts_with_letters_without_anything_to_learn_from(make_docs):
+    docs = make_docs([(1, "one two", None, "a"), (2, "12 !!", None, "a"), (3, None, None, "a"), (None, "été", None, "a")])
+    out = langid.keep_identified(docs)
+    assert out.columns == docs.columns and sorted(str(r.doc_id) for r in out.collect()) == ["1", "None"]

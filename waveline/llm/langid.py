@@ -135,7 +135,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows predicted ``und``, in one pass and without a join; all columns stay."""
+    """``docs`` without the rows that are in no language; all columns stay. One pass, no join.
+
+    A text is in none if it is null or has no letter. That is the whole rule: no language is
+    turned away, nor a low score, since short and mixed texts have one too. Where there is
+    nothing to learn from, texts with letters stay all the same.
+    """
     model = train(docs.where(~held_out(id_col)), text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     name = fresh(docs, "lang_pred")
@@ -143,7 +148,12 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches):
         for batch in batches:
-            found = pa.array([shared.value.predict(t)[0] for t in batch.column(at).to_pylist()], pa.string())
+            texts = batch.column(at).to_pylist()
+            if shared.value.languages:
+                found = [shared.value.predict(t)[0] for t in texts]
+            else:
+                found = ["" if t and _LETTER.search(t) else "und" for t in texts]
+            found = pa.array(found, pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
 
     from pyspark.sql import types as T
