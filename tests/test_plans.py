@@ -72,6 +72,23 @@ def test_travel_times(spark):
     assert sorted(got) == [1, 2] and got[1].tt_p == pytest.approx(np.hypot(10, 10) / 6) and got[2].tt_p == pytest.approx(10 / 6)
 
 
+def test_deep_events_have_arrivals(spark):
+    """Through the table that the commands make; straight rays at the least and greatest speeds bound the times."""
+    events = spark.createDataFrame([(k, 100.0, 37.0, 30.0, z, 3.0) for k, z in enumerate([150.0, 405.0, 600.0, 690.0, None, 10.0, 9000.0])], "event_id long, t double, lat double, lon double, depth double, mag double")
+    places = spark.createDataFrame([("A", 38.0, 30.0), ("B", 37.0, 30.0)], "station string, lat double, lon double")
+    got = {(r.event_id, r.station): r for r in arrivals.predicted_arrivals(events, places, arrivals.catalogue_table(events)).collect()}
+    assert sorted(got) == [(k, s) for k in range(6) for s in "AB"]
+    for k, z in enumerate([150.0, 405.0, 600.0, 690.0]):
+        for s, x in (("A", 110.0), ("B", 0.0)):
+            r, path = got[k, s], np.hypot(x, z)
+            assert path / 10.8 < r.tt_p < path / 5.8 and path / 5.96 < r.tt_s < path / 3.36, (k, s)
+        assert got[k, "A"].tt_p > got[k, "B"].tt_p
+    assert got[0, "B"].tt_p == pytest.approx(20 / 5.8 + 15 / 6.5 + 115 / 8.06, abs=0.2)  # straight up through the layers
+    assert got[4, "A"].tt_p == got[5, "A"].tt_p
+    fixed = {(r.phase, r.di, r.zi): r.tt for r in arrivals.iasp91_table(spark, max_depth=10.0).collect()}
+    assert fixed["P", 22, 2] == pytest.approx(got[5, "A"].tt_p, abs=0.05)
+
+
 def segments_of(spark, n=60_000, gap_at=None):
     rng, rows = np.random.default_rng(1), []
     for role in "ZNE":

@@ -11,29 +11,39 @@ from waveline.functions.geo import haversine_km
 KM_PER_DEGREE, EARTH_KM = 111.195, 6371.0
 GRID_KM, DEFAULT_DEPTH = 5.0, 10.0
 #: Depth of layer tops (km), P and S velocities (km/s) at them, of the public
-#: iasp91 model down to 410 km; velocity is linear between rows.
+#: iasp91 model; velocity is linear between rows.
 IASP91 = [
     (0.0, 5.80, 3.36), (20.0, 5.80, 3.36), (20.0, 6.50, 3.75), (35.0, 6.50, 3.75), (35.0, 8.04, 4.47),
     (77.5, 8.045, 4.485), (120.0, 8.05, 4.50), (165.0, 8.175, 4.509), (210.0, 8.30, 4.518), (310.0, 8.665, 4.694), (410.0, 9.03, 4.870),
+    (410.0, 9.36, 5.07), (660.0, 10.20, 5.60), (660.0, 10.79, 5.95), (760.0, 11.0558, 6.2095),
 ]
+#: Below, down to the top of D": the model's cubics in the radius, as a share of the earth's.
+_LOWER = ((25.1486, -41.1538, 51.9932, -26.6083), (12.9303, -21.2590, 27.8988, -14.1080))
+IASP91 += [(z, *(sum(c * (1 - z / EARTH_KM) ** k for k, c in enumerate(cs)) for cs in _LOWER)) for z in range(800, 2741, 20)]
+#: Rays are followed so far down at least, and so far below the source.
+LEAST_BOTTOM, BELOW_SOURCE = 410.0, 50.0
 PHASE_SETS = {"P": ("p", "P", "Pn", "Pg"), "S": ("s", "S", "Sn", "Sg")}
 
 
-def _profile(speed: int, step: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """Thin flat layers: top depths and velocities, flattened for the sphere."""
+def _profile(speed: int, step: float = 1.0, bottom: float = LEAST_BOTTOM) -> tuple[np.ndarray, np.ndarray]:
+    """Thin flat layers: top depths and velocities, flattened for the sphere; to the first row at or below ``bottom``."""
     depth, v = [], []
-    for (z0, *a), (z1, *b) in zip(IASP91, IASP91[1:], strict=False):
+    rows = IASP91[: next((k for k, r in enumerate(IASP91) if r[0] >= bottom), len(IASP91) - 1) + 1]
+    for (z0, *a), (z1, *b) in zip(rows, rows[1:], strict=False):
         if z1 > z0:
             edges = np.arange(z0, z1, step)
             mid = edges + np.minimum(step, z1 - edges) / 2
             depth += edges.tolist()
             v += (a[speed] + (b[speed] - a[speed]) * (mid - z0) / (z1 - z0)).tolist()
-    return np.array([*depth, IASP91[-1][0]]), np.array(v)
+    return np.array([*depth, rows[-1][0]]), np.array(v)
 
 
 def first_arrivals(distances: np.ndarray, depths: np.ndarray, phase: str = "P") -> np.ndarray:
     """Seconds by depth and distance: the earliest of the direct ray, turning rays and head waves."""
-    edges, v = _profile(0 if phase == "P" else 1)
+    deepest = float(np.max(depths, initial=0.0))
+    if deepest > IASP91[-1][0]:
+        raise ValueError(f"no velocities below {IASP91[-1][0]:g} km")
+    edges, v = _profile(0 if phase == "P" else 1, bottom=max(LEAST_BOTTOM, deepest + BELOW_SOURCE if deepest > LEAST_BOTTOM - BELOW_SOURCE else 0.0))
     radius = EARTH_KM - edges
     flat, speed = EARTH_KM * np.log(EARTH_KM / radius), v * EARTH_KM / ((radius[:-1] + radius[1:]) / 2)
     thick = np.diff(flat)
@@ -69,14 +79,24 @@ def first_arrivals(distances: np.ndarray, depths: np.ndarray, phase: str = "P")
     return out
 
 
-def iasp91_table(spark: SparkSession, max_km: float = 500.0, max_depth: float = 100.0, grid_km: float = GRID_KM) -> DataFrame:
-    """``(phase, di, zi, tt)``: the lookup table, its size fixed by its arguments."""
+def iasp91_table(spark: SparkSession, max_km: float = 500.0, max_depth: float = 100.0, grid_km: float = GRID_KM, cells: list[int] | None = None) -> DataFrame:
+    """``(phase, di, zi, tt)``: the lookup table, its size fixed by its arguments. ``cells`` are
+    the depths' rows of the grid to make, if not all down to ``max_depth``."""
     distances = np.arange(0, max_km + grid_km, grid_km)
-    depths = np.arange(0, max_depth + grid_km, grid_km)
-    rows = [(ph, d, z, float(tt[z, d])) for ph in PHASE_SETS for tt in [first_arrivals(distances, depths, ph)] for z in range(len(depths)) for d in range(len(distances)) if np.isfinite(tt[z, d])]
+    zis = list(range(len(np.arange(0, max_depth + grid_km, grid_km)))) if cells is None else sorted(set(cells))
+    depths = np.array(zis, float) * grid_km
+    rows = [(ph, d, z, float(t)) for ph in PHASE_SETS for z, tt in zip(zis, first_arrivals(distances, depths, ph), strict=True) for d, t in enumerate(tt.tolist()) if np.isfinite(t)]
     return spark.createDataFrame(rows, "phase string, di int, zi int, tt double")
 
 
+def catalogue_table(events: DataFrame, max_km: float = 500.0, grid_km: float = GRID_KM) -> DataFrame:
+    """The lookup table for all depths of a catalogue. Only its distinct depth cells reach the
+    driver, at most one for each grid step down to the core; a depth below the model has none."""
+    zi = grid_columns(F.lit(0.0), F.coalesce("depth", F.lit(DEFAULT_DEPTH)), grid_km)[1]
+    found = events.select(zi.alias("zi")).where(F.col("zi") * grid_km <= IASP91[-1][0]).distinct().collect()
+    return iasp91_table(events.sparkSession, max_km, grid_km=grid_km, cells=[r.zi for r in found])
+
+
 def straight_table(spark: SparkSession, max_km: float = 500.0, max_depth: float = 100.0, grid_km: float = GRID_KM, vp: float = 6.0, vs: float = 3.5) -> DataFrame:
     """The same by straight rays at constant speeds: for checks that another engine must repeat."""
     d = spark.range(int(max_km / grid_km) + 2).select(F.col("id").cast("int").alias("di"), F.explode(F.sequence(F.lit(0), F.lit(int(max_depth / grid_km) + 1))).alias("zi"))
