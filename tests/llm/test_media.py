@@ -1,5 +1,6 @@
 import hashlib
 import struct
+import time
 import zlib
 
 from llm_helpers import odd_rows, pandas_of
@@ -68,3 +69,21 @@ def test_declared_types_are_corrected(spark):
 
 def test_empty_table(make_docs):
     assert media.sniff(media.store_texts(make_docs([])), ["doc_id"]).collect() == []
+
+
+def test_large_jpeg_takes_linear_time():
+    """Many markers in the scan, each of which once copied the whole buffer."""
+    scan = (b"\x11\x22\xff\x00" * 8 + b"\xff\xd0") * 120_000
+    data = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xda\x00\x04cd" + scan + b"\xff\xd9"
+    began = time.perf_counter()
+    (found,), inner = media.carve(data)
+    assert (found.kind, found.offset, found.length, inner) == ("image/jpeg", 0, len(data), 0)
+    assert time.perf_counter() - began < 5
+
+
+def test_media_inside_others_are_carved_too(spark):
+    thumb = GIF
+    outer = media.pack_wav(b"--" + thumb + b"--")
+    (r,) = media.sniff(spark.createDataFrame([(1, "x/y", outer + thumb)], "doc_id long, declared string, media binary"), ["doc_id"], with_parts=True).collect()
+    assert (r.carved, r.inner) == (2, 1)
+    assert [(p.kind, p.offset, p.inner, bytes(p.data)) for p in r.parts] == [("audio/wav", 0, False, outer), ("image/gif", len(outer), False, thumb), ("image/gif", outer.index(thumb), True, thumb)]

@@ -31,7 +31,7 @@ class Found:
     length: int
 
 
-def _wav(b: memoryview, at: int) -> int:
+def _wav(b: bytes, at: int) -> int:
     """RIFF/WAVE: the declared size fits and the chunks fill it, fmt before data."""
     if len(b) - at < 44 or b[at + 8 : at + 12] != b"WAVE":
         return 0
@@ -48,7 +48,7 @@ def _wav(b: memoryview, at: int) -> int:
     return end - at0 if at in (end, end + 1) and b"data" in seen and b"fmt " in seen[: seen.index(b"data")] else 0
 
 
-def _png(b: memoryview, at: int) -> int:
+def _png(b: bytes, at: int) -> int:
     """PNG: chunks from IHDR to IEND, each with its check sum."""
     at0, at, first = at, at + 8, True
     while at + 12 <= len(b):
@@ -63,7 +63,7 @@ def _png(b: memoryview, at: int) -> int:
     return 0
 
 
-def _gif(b: memoryview, at: int) -> int:
+def _gif(b: bytes, at: int) -> int:
     """GIF: colour tables, then blocks of sub-blocks up to the trailer."""
     at0, n = at, len(b)
 
@@ -90,7 +90,7 @@ def _gif(b: memoryview, at: int) -> int:
     return 0
 
 
-def _jpeg(b: memoryview, at: int) -> int:
+def _jpeg(b: bytes, at: int) -> int:
     """JPEG: marker segments by their lengths, then entropy-coded data up to EOI."""
     at0, n, scan = at, len(b), False
     at += 2
@@ -98,7 +98,7 @@ def _jpeg(b: memoryview, at: int) -> int:
         if b[at] != 0xFF:
             if not scan:
                 return 0
-            at = bytes(b).find(b"\xff", at)
+            at = b.find(b"\xff", at)
             if at < 0:
                 return 0
             continue
@@ -119,7 +119,7 @@ def _jpeg(b: memoryview, at: int) -> int:
     return 0
 
 
-def _bmp(b: memoryview, at: int) -> int:
+def _bmp(b: bytes, at: int) -> int:
     """BMP: the declared file size holds the header and the pixels it declares."""
     if len(b) - at < 54:
         return 0
@@ -130,7 +130,7 @@ def _bmp(b: memoryview, at: int) -> int:
 
 
 #: Fixed values of the formats: kind, magic bytes, validator.
-FORMATS: list[tuple[str, bytes, Callable[[memoryview, int], int]]] = [
+FORMATS: list[tuple[str, bytes, Callable[[bytes, int], int]]] = [
     ("audio/wav", b"RIFF", _wav),
     ("image/png", b"\x89PNG\r\n\x1a\n", _png),
     ("image/gif", b"GIF87a", _gif),
@@ -154,16 +154,22 @@ def _signatures():
 
 def carve(data: bytes) -> tuple[list[Found], int]:
     """The outermost valid media in order, and how many more lie inside them."""
-    view, out, inner, end = memoryview(data), [], 0, 0
+    found, inside = carve_all(data)
+    return found, len(inside)
+
+
+def carve_all(data: bytes) -> tuple[list[Found], list[Found]]:
+    """The outermost valid media in order, and those that lie inside them, such as a thumbnail."""
+    out, inside, end = [], [], 0
     hits = sorted((last - length + 1, k) for last, (k, length) in _signatures().iter(data.decode("latin-1")))
     for at, k in hits:
-        if length := FORMATS[k][2](view, at):
+        if length := FORMATS[k][2](data, at):
             if at < end:
-                inner += 1
+                inside.append(Found(FORMATS[k][0], at, length))
             else:
                 out.append(Found(FORMATS[k][0], at, length))
                 end = at + length
-    return out, inner
+    return out, inside
 
 
 def pack_wav(payload: bytes, rate: int = RATE) -> bytes:
@@ -193,7 +199,11 @@ def pad_text(text: bytes, unit: int = 192) -> bytes:
 
 
 def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_bytes, declared, media)``: whole texts as 8-bit WAV with an undeclared type."""
+    """``(doc_id, n_bytes, declared, media)``: whole texts as 8-bit WAV with an undeclared type.
+
+    A null text is empty: its payload is blanks. Repeated rows and null ids come back as they
+    went in; an empty table gives none; other columns are ignored.
+    """
 
     def run(batches):
         for batch in batches:
@@ -222,12 +232,13 @@ def sniff(stored: DataFrame, keep: list[str], declared_col: str = "declared", me
     Adds ``kind`` (the type of what begins at the first byte, else null), ``corrected`` (it
     isn't the declared one), ``carved`` and ``inner`` (counts), ``payload_bytes``,
     ``payload_sha256``, ``tail_crc32`` (of the last 16), ``media_bytes``, ``media_sha256``
-    and ``feature``; with ``with_parts`` also ``parts``, the carved bytes with kind and offset.
+    and ``feature``; with ``with_parts`` also ``parts``, the carved bytes with kind, offset and
+    whether they lie inside another medium.
     The payload is a WAV's samples, another type's whole bytes. Null or empty media have no
     type and an empty payload. Rows come back as often as they went in; none from an empty table.
     """
     fields = [f for f in stored.select(*keep).schema.fields]
-    parts_type = pa.list_(pa.struct([("kind", pa.string()), ("offset", pa.int64()), ("data", pa.binary())]))
+    parts_type = pa.list_(pa.struct([("kind", pa.string()), ("offset", pa.int64()), ("inner", pa.bool_()), ("data", pa.binary())]))
 
     def run(batches):
         for batch in batches:
@@ -235,23 +246,23 @@ def sniff(stored: DataFrame, keep: list[str], declared_col: str = "declared", me
             declared = batch.column(len(keep)).to_pylist()
             for said, data in zip(declared, batch.column(len(keep) + 1).to_pylist(), strict=True):
                 data = data or b""
-                found, inner = carve(data)
+                found, inside = carve_all(data)
                 kind = found[0].kind if found and found[0].offset == 0 else None
                 if kind == "audio/wav":
                     payload, feature = _wav_feature(data[: found[0].length])
                 else:
                     payload, feature = data, f"{len(data)} bytes"
                 feature = f"{kind or 'unknown'}: {feature}"
-                rows.append((kind, kind is not None and kind != said, len(found), inner, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature))
+                rows.append((kind, kind is not None and kind != said, len(found), len(inside), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature))
                 if with_parts:
-                    parts.append([{"kind": f.kind, "offset": f.offset, "data": data[f.offset : f.offset + f.length]} for f in found])
+                    parts.append([{"kind": f.kind, "offset": f.offset, "inner": nested, "data": data[f.offset : f.offset + f.length]} for nested, of in ((False, found), (True, inside)) for f in of])
             types = [pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
             cols += [pa.array(parts, parts_type)] if with_parts else []
             yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(keep))] + cols, names)
 
     added = "kind string, corrected boolean, carved bigint, inner bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
-    added += ", parts array<struct<kind: string, offset: bigint, data: binary>>" if with_parts else ""
+    added += ", parts array<struct<kind: string, offset: bigint, inner: boolean, data: binary>>" if with_parts else ""
     names = [f.name for f in fields] + [x.strip().split(" ")[0] for x in added.split(", parts")[0].split(",")] + ["parts"] * with_parts
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [added])
     return small_batches(stored).select(*keep, F.col(declared_col), F.col(media_col)).mapInArrow(run, schema)
