@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from llm_helpers import pandas_of
@@ -45,6 +46,25 @@ def test_verdicts(make_pages):
     assert urlfilter.filter_urls(make_pages([]), URL_RULES).collect() == []
 
 
+def test_blocks_of_rules_decide_as_one(make_pages, monkeypatch):
+    rng = random.Random(6)
+    rules = [Rule(rng.choice(["allow", "block"]), rng.choice(["com", "a.com", "b.a.com"]), "/" + rng.choice(["", "en/", "en/7", "e"])) for _ in range(30)]
+    rows = [(i, f"http://{rng.choice(['', 'x.'])}{rng.choice(['com', 'a.com', 'b.a.com', 'org'])}/{rng.choice(['en/77', 'en', 'e', ''])}", "h") for i in range(60)] + [(None, None, None)]
+    monkeypatch.setattr(urlfilter, "BLOCK_RULES", 7)
+    got = sorted((str(r.page_id), r.rule, r.verdict) for r in urlfilter.filter_urls(make_pages(rows), iter(rules)).collect())
+    want = [(str(i), *((r.text, r.action) if (r := brute(rules, *split_url(u))) else (None, "allow"))) for i, u, _ in rows]
+    assert got == sorted(want, key=lambda t: t[0])
+    assert [r.verdict for r in urlfilter.filter_urls(make_pages(rows[:2]), [], default="block").collect()] == ["block"] * 2
+
+
+def test_long_segments_take_linear_time():
+    trie = RuleTrie([Rule("block", "com", "/" + "a" * k) for k in range(1, 12)])
+    began = time.perf_counter()
+    for _ in range(20):
+        assert trie.match("com", "/" + "a" * 1_000_000).path == "/" + "a" * 11
+    assert time.perf_counter() - began < 2
+
+
 def test_bad_rules():
     with pytest.raises(ValueError):
         RuleTrie([Rule("maybe", "a", "/")])

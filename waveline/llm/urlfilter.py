@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The tasks get the trie by broadcast; more rules than this are refused rather than sent.
-MAX_RULES = 1_000_000
+from waveline.llm.common import checkpoint
+
+#: Rules of one broadcast trie at most, some 1.5 KB each; more rules are several tries, a pass for each.
+BLOCK_RULES = 50_000
 
 
 @dataclass(frozen=True)
@@ -42,19 +45,17 @@ class _Node:
 class _Path:
     segments: dict[str, _Path] = field(default_factory=dict)
     tails: dict[str, Rule] = field(default_factory=dict)  # unfinished last segments
+    lengths: tuple[int, ...] = ()  # that the tails have
 
 
 class RuleTrie:
     """Hosts by labels from the right, then paths by whole segments, then unfinished segments."""
 
     def __init__(self, rules: Iterable[Rule]):
-        self.root, n = _Node(), 0
+        self.root = _Node()
         for rule in rules:
-            n += 1
             if rule.action not in ("allow", "block"):
                 raise ValueError(f"neither allow nor block: {rule.action}")
-            if n > MAX_RULES:
-                raise ValueError(f"more than {MAX_RULES} rules")
             node = self.root
             for label in reversed(rule.host.lower().split(".")) if rule.host else ():
                 node = node.labels.setdefault(label, _Node())
@@ -63,6 +64,8 @@ class RuleTrie:
             for segment in whole:
                 at = at.segments.setdefault(segment, _Path())
             at.tails[tail] = min(rule, at.tails.get(tail, rule), key=Rule.rank)
+            if len(tail) not in at.lengths:
+                at.lengths = (*at.lengths, len(tail))
 
     def match(self, host: str, path: str) -> Rule | None:
         """The rule that decides, if any fits."""
@@ -81,9 +84,7 @@ class RuleTrie:
         while at is not None:
             cut = path.find("/", start)
             segment = path[start:] if cut < 0 else path[start:cut]
-            found += [rule for tail, rule in at.tails.items() if segment.startswith(tail)] if len(at.tails) < 8 else [
-                at.tails[segment[:k]] for k in range(len(segment) + 1) if segment[:k] in at.tails
-            ]
+            found += [at.tails[segment[:k]] for k in at.lengths if k <= len(segment) and segment[:k] in at.tails]
             at = at.segments.get(segment) if cut >= 0 else None
             start = cut + 1
 
@@ -109,23 +110,30 @@ def filter_urls(pages: DataFrame, rules: Iterable[Rule], id_col: str = "page_id"
     Null URLs and those without ``://`` have an empty host and path. Repeated rows and null
     ids come back as they went in; an empty table gives none; other columns are ignored.
     """
-    trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules))
-
-    def run(batches):
-        match = trie.value.match
-        for batch in batches:
-            parts = [split_url(u) for u in batch.column(1).to_pylist()]
-            rules = [match(*p) for p in parts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([p[0] for p in parts], pa.string()),
-                    pa.array([p[1] for p in parts], pa.string()),
-                    pa.array([r and r.text for r in rules], pa.string()),
-                    pa.array([r.action if r else default for r in rules], pa.string()),
-                ],
-                ["page_id", "host", "path", "rule", "verdict"],
-            )
-
     kind = pages.select(id_col).schema[0].dataType.simpleString()
-    return pages.select(F.col(id_col), F.col(url_col)).mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string")
+    found = pages.select(F.col(id_col), F.col(url_col)).mapInArrow(_split, f"page_id {kind}, host string, path string, rule string, action string")
+    rules = iter(rules)
+    blocks = 0
+    while block := list(islice(rules, BLOCK_RULES)):
+        trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(block))
+        if blocks:  # one trie at a time in a worker's memory
+            found = checkpoint(found)
+        blocks += 1
+
+        def run(batches, trie=trie):
+            match = trie.value.match
+            for batch in batches:
+                old = [Rule(a, r, "") if r is not None else None for r, a in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
+                best = [min((r for r in (match(h, p), o) if r), key=Rule.rank, default=None) for h, p, o in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), old, strict=True)]
+                cols = [pa.array([r and r.text for r in best], pa.string()), pa.array([r and r.action for r in best], pa.string())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *cols], batch.schema.names)
+
+        found = found.mapInArrow(run, found.schema)
+    return found.select("page_id", "host", "path", "rule", F.coalesce("action", F.lit(default)).alias("verdict"))
+
+
+def _split(batches):
+    for batch in batches:
+        parts = [split_url(u) for u in batch.column(1).to_pylist()]
+        none = pa.nulls(len(parts), pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p[0] for p in parts], pa.string()), pa.array([p[1] for p in parts], pa.string()), none, none], ["page_id", "host", "path", "rule", "action"])
