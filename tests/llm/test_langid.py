@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import pytest
@@ -53,10 +55,77 @@ def test_counts_are_those_of_a_loop(make_docs):
     assert got == want
 
 
-def test_too_many_languages(make_docs, monkeypatch):
-    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
-    with pytest.raises(ValueError):
-        langid.identify(make_docs(rows(5)))
+def brute_model(data, buckets, smoothing=0.5):
+    """Counts and log-probabilities by plain loops."""
+    docs, counts = {}, {}
+    for i, text, lang, _ in data:
+        if lang is not None and i is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            docs[lang] = docs.get(lang, 0) + 1
+            own = counts.setdefault(lang, {})
+            for g in langid.grams(text or "", buckets).tolist():
+                own[g] = own.get(g, 0) + 1
+    total = {lang: sum(c.values()) + smoothing * buckets for lang, c in counts.items()}
+    return {lang: (math.log(docs[lang] / sum(docs.values())), lambda g, c=counts[lang], n=total[lang]: math.log((c.get(g, 0) + smoothing) / n)) for lang in sorted(docs)}
+
+
+def brute_predict(model, text, buckets):
+    if not text or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    scores = {lang: prior + sum(weight(g) for g in langid.grams(text, buckets).tolist()) for lang, (prior, weight) in model.items()}
+    best = max(scores, key=lambda lang: scores[lang])
+    return best, 1 / sum(math.exp(s - scores[best]) for s in scores.values())
+
+
+def plain_grams(text):
+    """1- to 3-grams of a text as strings: lower case, each run of other characters one blank."""
+    run = re.sub(" +", " ", "".join(c.lower()[0] if c.isalpha() else " " for c in f" {text} "))
+    return [run[i : i + k] for k in (1, 2, 3) for i in range(len(run) - k + 1)]
+
+
+def test_grams_are_those_of_plain_strings():
+    """Equal strings have equal buckets, and different ones almost never share one of a million."""
+    texts = ["the House, of  1 water", "ÉTÉ été", "a", "", "x y", "\U00010400b"]
+    of = {}
+    for t in texts:
+        plain, got = plain_grams(t), langid.grams(t, 1 << 20).tolist()
+        assert len(plain) == len(got)
+        for p, g in zip(plain, got):
+            assert of.setdefault(p, g) == g
+    assert len(set(of.values())) == len(of)
+
+
+@pytest.mark.parametrize("chars", [1, 1 << 18])
+def test_predictions_against_brute_force(make_docs, monkeypatch, chars):
+    monkeypatch.setattr(langid, "CHARS", chars)
+    mixed = [(5000 + i, prose(i, 1 + i % 4, LEXICON["en"] + LEXICON["fr"] + LEXICON["de"]), None, "b") for i in range(40)]
+    data = rows(12) + mixed + odd_rows(9000)
+    got = {(r.doc_id, r.lang_pred, round(r.score, 5)) for r in langid.identify(make_docs(data)).collect()}
+    model = brute_model(data, langid.BUCKETS)
+    want = set()
+    for i, t, *_ in data:
+        lang, score = brute_predict(model, t, langid.BUCKETS)
+        want.add((i, lang, round(score, 5)))
+    assert len(got) == len(want)
+    for (gi, gl, gs), (wi, wl, ws) in zip(sorted(got, key=str), sorted(want, key=str)):
+        assert (gi, gl) == (wi, wl) and gs == pytest.approx(ws, abs=2e-4)
+    assert any(0.05 < s < 0.999 for _, _, s in got)
+
+
+def test_sparse_counts_are_each_text_alone():
+    texts = ["", "a", "the house", "été " * 30, "12", "the house"]
+    ends, buckets, counts = langid.sparse_counts(texts, 1 << 10)
+    for k, t in enumerate(texts):
+        lo, hi = (ends[k - 1] if k else 0), ends[k]
+        alone = langid.grams(t, 1 << 10)
+        assert dict(zip(buckets[lo:hi].tolist(), counts[lo:hi].tolist())) == {g: int((alone == g).sum()) for g in set(alone.tolist())}
+
+
+def test_many_languages_have_fewer_buckets(make_docs, monkeypatch):
+    monkeypatch.setattr(langid, "MODEL_BYTES", 3 * (1 << 11) * 4)
+    out = pandas_of(langid.identify(make_docs(rows(30))))
+    truth = {r[0]: r[2] for r in rows(30)}
+    assert (out.lang_pred == out.doc_id.map(truth)).mean() > 0.9
+    assert len(langid.train(make_docs(rows(5))).weights) == 1 << 11
 
 
 def test_stage_keeps_columns_and_clean_rows(make_docs):

@@ -2,8 +2,9 @@
 
 Training counts every 1-, 2- and 3-gram of every labelled text into a fixed number of buckets,
 summed a task at a time and then in Spark. The model is one row of log-probabilities for each
-bucket and one column for each language; it is broadcast and texts are scored by their sparse
-bucket counts in numpy.
+bucket and one column for each language; it is broadcast. A batch of texts becomes one sparse
+matrix of bucket counts (rows' ends, buckets, counts), and its product with the model gives the
+scores of all its texts.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from pyspark.sql import functions as F
 
 from waveline.llm.common import fresh, small_batches
 
-#: Size of the model: buckets, n-gram lengths, and the most languages a broadcast is made for.
-BUCKETS, ORDERS, MAX_LANGUAGES = 1 << 15, 3, 200
+#: Size of the model: buckets, n-gram lengths, and bytes of the broadcast at most. With more
+#: languages than they hold at BUCKETS, buckets are halved until the model fits.
+BUCKETS, ORDERS, MODEL_BYTES = 1 << 15, 3, 32 << 20
+#: Characters whose n-grams are held at once, but for a longer text.
+CHARS = 1 << 18
 #: A task hands on its counts when it has this many languages, so that its memory is bounded.
 _HELD = 64
 _LETTER = regex.compile(r"\p{L}")
@@ -38,17 +42,50 @@ def _codes() -> np.ndarray:
     return _lower
 
 
-def grams(text: str, buckets: int = BUCKETS) -> np.ndarray:
-    """Buckets of all 1- to 3-grams of a text, in lower case, with runs of non-letters as one blank."""
+def _letters(text: str) -> np.ndarray:
+    """Code points in lower case, a blank at both ends and for every run of non-letters."""
     code = _codes()[np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)]
     blank = code == 32
-    code = code[~(blank & np.concatenate(([False], blank[:-1])))]
+    return code[~(blank & np.concatenate(([False], blank[:-1])))]
+
+
+def _hashed(code: np.ndarray, buckets: int) -> list[np.ndarray]:
+    """Buckets of the 1-grams, 2-grams and so on that begin at each place of the code points."""
     out, key = [], np.zeros(len(code), np.uint32)
     for k in range(min(ORDERS, len(code))):
         key = (key[: len(code) - k] ^ code[k:]) * _MULTIPLIERS[k]
         key ^= key >> np.uint32(15)
         out.append((key * np.uint32(0x27D4EB2F) >> np.uint32(8)) % np.uint32(buckets))
-    return np.concatenate(out)
+    return out
+
+
+def grams(text: str, buckets: int = BUCKETS) -> np.ndarray:
+    """Buckets of all 1- to 3-grams of a text, in lower case, with runs of non-letters as one blank."""
+    return np.concatenate(_hashed(_letters(text), buckets))
+
+
+def sparse_counts(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bucket counts of a batch as a sparse matrix: where each text's entries end, their buckets, their counts."""
+    codes = [_letters(t) for t in texts]
+    ends = np.cumsum([len(c) for c in codes])
+    row = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends, prepend=0)) * buckets
+    keys = []
+    for k, found in enumerate(_hashed(np.concatenate(codes), buckets)):
+        keys.append((row[: len(found)] + found)[row[: len(found)] == row[k:]])  # none across two texts
+    keys, counts = np.unique(np.concatenate(keys), return_counts=True)
+    return np.searchsorted(keys, np.arange(1, len(texts) + 1) * buckets), keys % buckets, counts
+
+
+def _parts(texts: list[str]):
+    """Consecutive texts of CHARS characters together, or one longer text."""
+    at, size = 0, 0
+    for k, text in enumerate(texts):
+        if k > at and size + len(text) > CHARS:
+            yield texts[at:k]
+            at, size = k, 0
+        size += len(text)
+    if texts:
+        yield texts[at:]
 
 
 @dataclass
@@ -57,15 +94,29 @@ class Model:
     prior: np.ndarray  # by language
     weights: np.ndarray  # buckets by languages
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its posterior probability; ``und`` and 0 without letters or languages."""
-        if not text or not self.languages or not _LETTER.search(text):
-            return "und", 0.0
-        counts = np.bincount(grams(text, len(self.weights)), minlength=len(self.weights))
-        used = np.flatnonzero(counts)
-        scores = self.prior + counts[used] @ self.weights[used]
-        best = int(np.argmax(scores))
-        return self.languages[best], float(1 / np.exp(scores - scores[best]).sum())
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Log-probabilities of texts by languages: the sparse counts times the model."""
+        ends, buckets, counts = sparse_counts(texts, len(self.weights))
+        out = np.empty((len(texts), len(self.languages)))
+        for k in range(len(self.languages)):
+            so_far = np.concatenate(([0.0], np.cumsum(counts * self.weights[buckets, k], dtype=np.float64)))
+            out[:, k] = np.diff(so_far[ends], prepend=0.0)
+        return out + self.prior
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The likeliest language of each text and its posterior probability, the alphabetically
+        first of equal ones; ``und`` and 0 without letters or languages."""
+        out = [("und", 0.0)] * len(texts)
+        known = [i for i, t in enumerate(texts) if t and self.languages and _LETTER.search(t)]
+        at = 0
+        for part in _parts([texts[i] for i in known]):
+            scores = self.scores(part)
+            best = scores.argmax(axis=1)
+            sure = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
+            for i, b, p in zip(known[at : at + len(part)], best.tolist(), sure.tolist(), strict=True):
+                out[i] = self.languages[b], p
+            at += len(part)
+        return out
 
 
 def bucket_counts(rows: DataFrame, text_col: str, lang_col: str, buckets: int = BUCKETS) -> DataFrame:
@@ -95,11 +146,11 @@ def bucket_counts(rows: DataFrame, text_col: str, lang_col: str, buckets: int =
 
 
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS, smoothing: float = 0.5) -> Model:
-    """A model of all labelled rows. At most languages x buckets numbers reach the driver."""
-    languages = [r[0] for r in rows.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: raise MAX_LANGUAGES or lower the buckets")
-    languages.sort()
+    """A model of all labelled rows. At most MODEL_BYTES / 4 numbers reach the driver, if that many
+    languages have two buckets."""
+    languages = sorted(r[0] for r in rows.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().toLocalIterator())
+    while buckets > 2 and len(languages) * buckets * 4 > MODEL_BYTES:
+        buckets //= 2
     counts = np.zeros((buckets + 1, len(languages)))
     if languages:
         found = bucket_counts(rows, text_col, lang_col, buckets).toArrow()
@@ -126,7 +177,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     def run(batches):
         for batch in batches:
-            found = [shared.value.predict(t) for t in batch.column(2).to_pylist()]
+            found = shared.value.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
@@ -139,7 +190,8 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A text is in none if it is null or has no letter. That is the whole rule: no language is
     turned away, nor a low score, since short and mixed texts have one too. Where there is
-    nothing to learn from, texts with letters stay all the same.
+    nothing to learn from, texts with letters stay all the same. Repeated rows and rows with a
+    null id stay by their texts; an empty table gives none.
     """
     model = train(docs.where(~held_out(id_col)), text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -150,7 +202,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             texts = batch.column(at).to_pylist()
             if shared.value.languages:
-                found = [shared.value.predict(t)[0] for t in texts]
+                found = [lang for lang, _ in shared.value.predict(texts)]
             else:
                 found = ["" if t and _LETTER.search(t) else "und" for t in texts]
             found = pa.array(found, pa.string())
