@@ -27,11 +27,36 @@ def test_sentence_pieces():
     assert tokencount.TokenCounter(path).count(TEXTS) == [len(x) for x in library.encode(TEXTS)]
 
 
-def test_known_counts_are_only_a_cache(monkeypatch):
-    monkeypatch.setattr(tokencount, "KNOWN", 3)
+@pytest.mark.parametrize("rows,chars", [(1, 1 << 20), (3, 40), (2000, 1 << 22)])
+def test_blocks_of_any_size_count_alike(make_docs, monkeypatch, rows, chars):
+    monkeypatch.setattr(tokencount, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(tokencount, "BLOCK_CHARS", chars)
     path = public_tokenizers.path("byte_bpe_50k.json")
-    a, b = tokencount.TokenCounter(path), tokencount.TokenCounter(path)
-    assert [a.count([t])[0] for t in TEXTS] == b.count(TEXTS)
+    assert [x for part in tokencount._blocks(TEXTS) for x in TEXTS[part]] == TEXTS
+    got = {r.doc_id: r.n_tokens for r in tokencount.token_counts(make_docs(list(enumerate(TEXTS))), path).collect()}
+    assert [got[i] for i in range(len(TEXTS))] == tokencount.TokenCounter(path).count(TEXTS)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_query_counts_as_the_library(make_docs, name):
+    path = public_tokenizers.path(name)
+    texts = [t or "" for _, t, *_ in odd_rows()] + TEXTS + [prose(i, 30) for i in range(40)]
+    if name.endswith(".model"):
+        import sentencepiece
+
+        want = [len(x) for x in sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)]
+    else:
+        from tokenizers import Tokenizer
+
+        want = [len(e) for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    got = {r.doc_id: (r.n_tokens, r.n_bytes) for r in tokencount.token_counts(make_docs(list(enumerate(texts))), path).collect()}
+    assert [got[i] for i in range(len(texts))] == [(n, len(t.encode())) for n, t in zip(want, texts)]
+
+
+def test_plan_joins_counts_to_frequencies(make_docs):
+    df = tokencount.token_counts(make_docs([(1, "a b"), (2, "b c")]), public_tokenizers.path("byte_bpe_50k.json"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") >= 2 and "CartesianProduct" not in plan
 
 
 def test_table(make_docs):

@@ -1,30 +1,37 @@
-"""Token counts: pieces once per distinct pre-token, summed by per-document frequencies.
+"""Token counts: pieces once per distinct pre-token, joined to per-document frequencies, summed.
 
 For byte-level BPE a text's tokens are its pre-tokens' pieces one after the other, so a count
-needs no ids of the text. Each Arrow batch is one join: its documents' pre-token frequencies on
-one side, the piece counts of its distinct pre-tokens on the other. Counts already known to the
-worker are kept, up to a bound. Both sides stay in the task, since a join across tasks would
-shuffle a row for each distinct pre-token of each document, more than the texts themselves.
+needs no ids of the text:
+
+1. one pass over the texts writes a row for each block of documents (bounded rows and bytes):
+   the block's distinct pre-tokens, and each document's frequencies by their places in it;
+2. the blocks' pre-tokens are made distinct over all documents, and each is encoded once for
+   its number of pieces;
+3. those numbers are joined back to the blocks' pre-tokens, in order of place;
+4. a block's numbers meet its frequencies, a row on either side, and are summed by document.
+
+A frequency is two small numbers in its block's row; a row for each distinct pre-token of each
+document, to be shuffled by pre-token, would be more than the texts.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waveline.llm.common import small_batches
+from waveline.llm.common import checkpoint, small_batches, stored
 
 #: The byte-level pre-tokenizer's pattern.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Known counts that a worker keeps at most; beyond, it starts anew. A cache only.
-KNOWN = 500_000
+#: Documents and characters of a block at most; a longer text is a block of its own.
+BLOCK_ROWS, BLOCK_CHARS = 2000, 4 << 20
 _counters: dict[str, TokenCounter] = {}
 
 
@@ -32,7 +39,6 @@ class TokenCounter:
     """Counts as the library gives them, without special tokens added; special strings inside texts are its default."""
 
     def __init__(self, path: str):
-        self.known: dict[str, int] = {}
         if path.endswith(".json"):
             os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
             from tokenizers import Tokenizer
@@ -55,30 +61,47 @@ class TokenCounter:
             raise ValueError(f"neither .json nor .model: {path}")
         self.split = regex.compile(BYTE_LEVEL)
 
-    def _lengths(self, texts: list[str]) -> list[int]:
+    def lengths(self, texts: list[str]) -> list[int]:
+        """Pieces of each string, encoded as it is."""
         if hasattr(self.library, "encode_batch"):
             return [len(e) for e in self.library.encode_batch(texts, add_special_tokens=False)]
         return [len(x) for x in self.library.encode(texts, num_threads=1)]
 
-    def pretokens(self, text: str) -> tuple[Counter, int]:
-        """Pre-token frequencies, and how many special tokens the text holds."""
+    def pretokens(self, text: str) -> tuple[list[str], int]:
+        """The pre-tokens in order, and how many special tokens the text holds. A text is its own
+        one pre-token where the file divides it in no independent parts."""
+        if not self.by_pieces:
+            return [text], 0
         if self.special is None or not self.special.search(text):
-            return Counter(self.split.findall(text)), 0
+            return self.split.findall(text), 0
         parts = self.special.split(text)
-        return Counter(p for part in parts for p in self.split.findall(part)), len(parts) - 1
+        return [p for part in parts for p in self.split.findall(part)], len(parts) - 1
+
+    def frequencies(self, texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of a block of texts: its distinct pre-tokens; where each text's frequencies end; their
+        pre-tokens' places and the frequencies; special tokens of each text."""
+        found, ends, special = [], [], []
+        for text in texts:
+            parts, n = self.pretokens(text)
+            found += parts
+            ends.append(len(found))
+            special.append(n)
+        coded = pa.array(found, pa.large_string()).dictionary_encode()
+        size = max(1, len(coded.dictionary))
+        rows = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends, prepend=0))
+        keys, n = np.unique(rows * size + coded.indices.to_numpy(), return_counts=True)
+        return coded.dictionary, np.searchsorted(keys, np.arange(1, len(texts) + 1) * size), keys % size, n, np.array(special, np.int64)
 
     def count(self, texts: list[str]) -> list[int]:
-        if not self.by_pieces:  # no division into independent pre-tokens: each distinct text once
-            distinct = list(dict.fromkeys(texts))
-            of = dict(zip(distinct, self._lengths(distinct), strict=True))
-            return [of[t] for t in texts]
-        frequencies = [self.pretokens(t) for t in texts]
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        new = list(set().union(*(f for f, _ in frequencies)) - self.known.keys())
-        self.known.update(zip(new, self._lengths(new), strict=True))
-        known = self.known
-        return [special + sum(n * known[p] for p, n in f.items()) for f, special in frequencies]
+        """Token counts of a few texts, by the same steps in one process."""
+        pieces, ends, places, n, special = self.frequencies(texts)
+        return (_sums(np.array(self.lengths(pieces.to_pylist()), np.int64), ends, places, n) + special).tolist()
+
+
+def _sums(lengths: np.ndarray, ends: np.ndarray, places: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Each text's sum of its pre-tokens' lengths by their frequencies."""
+    so_far = np.concatenate(([0], np.cumsum(lengths[places] * n))) if len(places) else np.zeros(1, np.int64)
+    return np.diff(so_far[ends], prepend=0)
 
 
 def counter(path: str) -> TokenCounter:
@@ -88,22 +111,67 @@ def counter(path: str) -> TokenCounter:
     return _counters[path]
 
 
+def _blocks(texts: list[str]) -> list[slice]:
+    """Consecutive texts by BLOCK_ROWS and BLOCK_CHARS."""
+    out, at, size = [], 0, 0
+    for k, text in enumerate(texts):
+        if k > at and (k - at >= BLOCK_ROWS or size + len(text) > BLOCK_CHARS):
+            out.append(slice(at, k))
+            at, size = k, 0
+        size += len(text)
+    return [*out, slice(at, len(texts))] if texts else out
+
+
+def _lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """One row that holds all the values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+
+
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)`` of every whole text; a null text is empty.
 
     ``vocabulary`` is a file's path that holds on all executors. Repeated rows and null ids
     come back as they went in; an empty table gives none; other columns are ignored.
     """
+    kind = docs.select(id_col).schema[0].dataType.simpleString()
+
+    def divide(batches):
+        """A row for each block; its number is the task's and its own, told apart by their bits."""
+        from pyspark import TaskContext
 
-    def run(batches):
+        of, k = counter(vocabulary), TaskContext.get().partitionId() << 32
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                counts = counter(vocabulary).count(texts)
-                sizes = [len(t.encode()) for t in texts]
-                over = [n > limit for n in counts]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array(over, pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+            for cut in _blocks(texts):
+                part = texts[cut]
+                pieces, ends, places, n, special = of.frequencies(part)
+                whole = ids.slice(cut.start, len(part))
+                sizes = np.array([len(t.encode("utf-8", "surrogatepass")) for t in part], np.int64)
+                row = [pa.array([k], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces.cast(pa.string()))]
+                row += [pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole)]
+                row += [_lists(x, t) for x, t in ((sizes, pa.int64()), (special, pa.int64()), (ends, pa.int32()), (places, pa.int32()), (n, pa.int32()))]
+                yield pa.RecordBatch.from_arrays(row, ["block", "pieces", "ids", "sizes", "special", "ends", "places", "n"])
+                k += 1
+
+    def lengths(batches):
+        of = counter(vocabulary)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(of.lengths(batch.column(0).to_pylist()), pa.int32())], ["piece", "length"])
 
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    def add(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                sizes, special, ends, places, n, length = (row.column(k).flatten().to_numpy() for k in range(1, 7))
+                counts = _sums(length.astype(np.int64), ends, places, n.astype(np.int64)) + special
+                yield pa.RecordBatch.from_arrays([row.column(0).flatten(), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array(counts > limit, pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+
+    fields = f"block bigint, pieces array<string>, ids array<{kind}>, sizes array<bigint>, special array<bigint>, ends array<int>, places array<int>, n array<int>"
+    blocks = stored(small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(divide, fields), "token-blocks")
+    of_block = blocks.select("block", F.posexplode("pieces").alias("place", "piece"))
+    known = checkpoint(of_block.select("piece").distinct().mapInArrow(lengths, "piece string, length int"))
+    # A block's numbers in order of place; a block is bounded, and so is its row.
+    told = of_block.join(known, "piece").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "length"))).alias("x"))
+    numbered = blocks.drop("pieces").join(told.select("block", F.col("x.length").alias("length")), "block", "left")
+    whole = numbered.select("ids", "sizes", "special", "ends", "places", "n", F.coalesce("length", F.array().cast("array<int>")).alias("length"))
+    return whole.mapInArrow(add, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
