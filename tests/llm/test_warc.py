@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 
 import pytest
@@ -67,3 +68,43 @@ def test_joined_where_payloads_repeat_too_often_to_broadcast(make_pages, monkeyp
     rows = [(i, "u", "q" * (1000 + i % 3)) for i in range(30)]
     assert rows_of(warc.archive(make_pages(rows)), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == brute(rows)
     assert pandas_of(warc.archive(make_pages(rows))).record_type.value_counts()["response"] == 3
+
+
+def test_bytes_of_any_kind(spark):
+    """Images and Latin-1 pages aren't UTF-8; each record is a gzip member of its own."""
+    image = bytes(range(256)) * 8
+    rows = [(1, "http://a/i.png", image), (2, "http://a/i2.png", image), (3, None, "été".encode("latin-1")), (4, "u", warc.EMPTY_MEMBER * 3), (5, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html binary")
+    want = sorted((i, len(b or b""), hashlib.sha1(b or b"").hexdigest(), "revisit" if i == 1 else "response", 2 if i == 1 else None) for i, _, b in rows)
+    assert sorted(tuple(r) for r in warc.archive(pages).collect()) == want
+
+
+def test_archives_are_readable_by_any_gzip_reader(spark, make_pages, tmp_path):
+    rows = [(i, f"http://a/{i}", f"<p>{i}</p>" * (i + 1)) for i in range(7)]
+    warc.write_archives(make_pages(rows), str(tmp_path / "w"), "page_id", "url", "html")
+    data = b"".join(gzip.decompress(f.read_bytes()) for f in sorted((tmp_path / "w").glob("part-*")))
+    assert data.count(b"WARC/1.1\r\n") == 7
+    got = warc.read_warc(spark, str(tmp_path / "w")).collect()
+    assert sorted((r.uri, bytes(r.payload).decode()) for r in got) == sorted((u, h) for _, u, h in rows)
+    assert {r.type for r in got} == {"response"} and all(r.fields["content-length"] == str(len(r.block)) for r in got)
+
+
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_files_of_other_writers(spark, tmp_path, pack):
+    one = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    two = b"WARC/1.0\r\nwarc-type:response\r\nWARC-Target-URI: http://x\r\nContent-Length: 23\r\n\r\nHTTP/1.0 200\r\n\r\n\xff\xfe\0\r\n\r\n\r\n\r\n"
+    (tmp_path / "x.warc").write_bytes(pack(one) + pack(two))
+    got = [(r.type, r.uri, bytes(r.payload)) for r in warc.read_warc(spark, str(tmp_path / "x.warc")).collect()]
+    assert got == [("warcinfo", None, b"abc"), ("response", "http://x", b"\xff\xfe\0\r\n\r\n")]
+    (tmp_path / "y.warc").write_bytes(pack(two[:-9]))
+    with pytest.raises(Exception, match="torn"):
+        warc.read_warc(spark, str(tmp_path / "y.warc")).collect()
+
+
+@pytest.mark.parametrize("version,pack", [(1, bytes), (2, gzip.compress)])
+def test_arc_files_convert(spark, tmp_path, version, pack):
+    records = [*RECORDS, warc.ArcRecord("http://d.example/i", "192.0.2.9", "20010203040506", "image/png", bytes(range(256)))]
+    (tmp_path / "a.arc").write_bytes(pack(warc.pack_arc(records, version)))
+    warc.convert_arc(spark, str(tmp_path / "a.arc"), str(tmp_path / "out"))
+    got = sorted((r.uri, r.type, r.date, bytes(r.payload), r.fields["warc-payload-digest"]) for r in warc.read_warc(spark, str(tmp_path / "out")).collect())
+    assert got == sorted((r.url.replace(" ", "%20"), "response" if r.block.startswith(b"HTTP/") else "resource", warc.iso_date(r.date), r.payload, f"sha1:{hashlib.sha1(r.payload).hexdigest()}") for r in records)
