@@ -45,7 +45,7 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(_table(spark, sf_dir, "documents"))
-    return rows.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})
+    return rows.withColumns({c: F.round(c, 4) for c in ("weight", "probability")})
 
 
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,10 +127,12 @@ def _rake_sql() -> str:
     # A margin's raw target, once for each of its values: divided by how many cells hold it.
     raws = ", ".join(f"{m}_raw / sum({m}_raw / {m}_cells) OVER () AS {m}_share" for m in mixing.TARGETS)
     counts = ", ".join(f"count(*) OVER (PARTITION BY {m}) AS {m}_cells" for m in mixing.TARGETS)
-    now = f"SELECT *, sum(n) OVER () AS total, CAST(1 AS DOUBLE) AS f, {raws} FROM (SELECT *, {targets}, {counts} FROM cells)"
-    for _ in range(mixing.SWEEPS):
+    now = f"SELECT *, sum(n) OVER () AS total, CAST(1 AS DOUBLE) AS f, CAST(1 AS DOUBLE) AS off, true AS go, {raws} FROM (SELECT *, {targets}, {counts} FROM cells)"
+    for _ in range(mixing.SWEEPS):  # a sweep goes on if a ratio of the one before was off by more than the tolerance
+        now = f"SELECT * REPLACE (max(off) OVER () > {mixing.TOLERANCE} AS go, CAST(0 AS DOUBLE) AS off) FROM ({now})"
         for m in mixing.TARGETS:
-            now = f"SELECT * REPLACE (f * total * {m}_share / sum(n * f) OVER (PARTITION BY {m}) AS f) FROM ({now})"
+            ratio = f"CASE WHEN NOT go OR w <= 0 THEN 1 ELSE total * {m}_share / w END"
+            now = f"SELECT * EXCLUDE (w) REPLACE (f * {ratio} AS f, greatest(off, abs({ratio} - 1)) AS off) FROM (SELECT *, sum(n * least(1, {mixing.BUDGET} * f)) OVER (PARTITION BY {m}) / {mixing.BUDGET} AS w FROM ({now}))"
     return f"""
 WITH rows AS (
   SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, {topic} AS topic,
@@ -139,7 +141,7 @@ WITH rows AS (
 ), cells AS (
   SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS n FROM rows GROUP BY ALL
 ), raked AS ({now})
-SELECT doc_id, source, lang, topic, n_tokens, round(f, 6) AS weight, round(least(1, {mixing.BUDGET} * f), 6) AS probability,
+SELECT doc_id, source, lang, topic, n_tokens, round(least(1, {mixing.BUDGET} * f) / {mixing.BUDGET}, 4) AS weight, round(least(1, {mixing.BUDGET} * f), 4) AS probability,
        CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / pow(2, 52) < least(1, {mixing.BUDGET} * f) AS sampled
 FROM rows JOIN raked USING (source, lang, topic)
 """
