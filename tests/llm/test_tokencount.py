@@ -32,7 +32,8 @@ def test_blocks_of_any_size_count_alike(make_docs, monkeypatch, rows, chars):
     monkeypatch.setattr(tokencount, "BLOCK_ROWS", rows)
     monkeypatch.setattr(tokencount, "BLOCK_CHARS", chars)
     path = public_tokenizers.path("byte_bpe_50k.json")
-    assert [x for part in tokencount._blocks(TEXTS) for x in TEXTS[part]] == TEXTS
+    monkeypatch.setattr(tokencount, "PART_CHARS", chars // 2)
+    assert [x for part in tokencount._parts(TEXTS) for x in TEXTS[part]] == TEXTS
     got = {r.doc_id: r.n_tokens for r in tokencount.token_counts(make_docs(list(enumerate(TEXTS))), path).collect()}
     assert [got[i] for i in range(len(TEXTS))] == tokencount.TokenCounter(path).count(TEXTS)
 

@@ -26,12 +26,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waveline.llm.common import checkpoint, small_batches, stored
+from waveline.llm.common import small_batches, stored
 
 #: The byte-level pre-tokenizer's pattern.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Documents and characters of a block at most; a longer text is a block of its own.
-BLOCK_ROWS, BLOCK_CHARS = 2000, 4 << 20
+#: Documents and characters of a block at most, and characters divided at once; a longer text is a block of its own.
+BLOCK_ROWS, BLOCK_CHARS, PART_CHARS = 50_000, 32 << 20, 2 << 20
 _counters: dict[str, TokenCounter] = {}
 
 
@@ -77,30 +77,52 @@ class TokenCounter:
         parts = self.special.split(text)
         return [p for part in parts for p in self.split.findall(part)], len(parts) - 1
 
-    def frequencies(self, texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of a block of texts: its distinct pre-tokens; where each text's frequencies end; their
-        pre-tokens' places and the frequencies; special tokens of each text."""
-        found, ends, special = [], [], []
-        for text in texts:
-            parts, n = self.pretokens(text)
-            found += parts
-            ends.append(len(found))
-            special.append(n)
-        coded = pa.array(found, pa.large_string()).dictionary_encode()
-        size = max(1, len(coded.dictionary))
-        rows = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends, prepend=0))
-        keys, n = np.unique(rows * size + coded.indices.to_numpy(), return_counts=True)
-        return coded.dictionary, np.searchsorted(keys, np.arange(1, len(texts) + 1) * size), keys % size, n, np.array(special, np.int64)
-
     def count(self, texts: list[str]) -> list[int]:
         """Token counts of a few texts, by the same steps in one process."""
-        pieces, ends, places, n, special = self.frequencies(texts)
-        return (_sums(np.array(self.lengths(pieces.to_pylist()), np.int64), ends, places, n) + special).tolist()
+        block = Block(self)
+        block.add(texts)
+        return block.sums(np.array(self.lengths(list(block.places)), np.int64)).tolist()
+
+
+class Block:
+    """Texts as frequencies of the block's distinct pre-tokens, which are told by their places."""
 
+    def __init__(self, of: TokenCounter):
+        self.of, self.places, self.chars, self.rows = of, {}, 0, 0
+        self.ends: list[np.ndarray] = []  # where each text's frequencies end
+        self.at: list[np.ndarray] = []  # the places they are of
+        self.n: list[np.ndarray] = []
+        self.special: list[int] = []  # special tokens of each text
+        self.sizes: list[int] = []
 
-def _sums(lengths: np.ndarray, ends: np.ndarray, places: np.ndarray, n: np.ndarray) -> np.ndarray:
+    def add(self, texts: list[str]) -> None:
+        found, ends = [], []
+        for text in texts:
+            parts, n = self.of.pretokens(text)
+            found += parts
+            ends.append(len(found))
+            self.special.append(n)
+            self.sizes.append(len(text.encode("utf-8", "surrogatepass")))
+            self.chars += len(text)
+        coded = pa.array(found, pa.large_string()).dictionary_encode()
+        pieces, places = coded.dictionary.to_pylist(), self.places
+        own = np.fromiter((places.setdefault(p, len(places)) for p in pieces), np.int64, len(pieces))
+        size = max(1, len(pieces))
+        row = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends, prepend=0))
+        keys, n = np.unique(row * size + coded.indices.to_numpy(), return_counts=True)
+        before = int(self.ends[-1][-1]) if self.rows else 0
+        self.ends.append(before + np.searchsorted(keys, np.arange(1, len(texts) + 1) * size))
+        self.at.append(own[keys % size].astype(np.int32) if len(keys) else np.empty(0, np.int32))
+        self.n.append(n.astype(np.int32))
+        self.rows += len(texts)
+
+    def sums(self, lengths: np.ndarray) -> np.ndarray:
+        return sums(lengths, *(np.concatenate(x) for x in (self.ends, self.at, self.n))) + np.array(self.special, np.int64)
+
+
+def sums(lengths: np.ndarray, ends: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Each text's sum of its pre-tokens' lengths by their frequencies."""
-    so_far = np.concatenate(([0], np.cumsum(lengths[places] * n))) if len(places) else np.zeros(1, np.int64)
+    so_far = np.concatenate(([0], np.cumsum(lengths[at] * n.astype(np.int64)))) if len(at) else np.zeros(1, np.int64)
     return np.diff(so_far[ends], prepend=0)
 
 
@@ -111,11 +133,11 @@ def counter(path: str) -> TokenCounter:
     return _counters[path]
 
 
-def _blocks(texts: list[str]) -> list[slice]:
-    """Consecutive texts by BLOCK_ROWS and BLOCK_CHARS."""
+def _parts(texts: list[str]) -> list[slice]:
+    """Consecutive texts of PART_CHARS together."""
     out, at, size = [], 0, 0
     for k, text in enumerate(texts):
-        if k > at and (k - at >= BLOCK_ROWS or size + len(text) > BLOCK_CHARS):
+        if k > at and size + len(text) > PART_CHARS:
             out.append(slice(at, k))
             at, size = k, 0
         size += len(text)
@@ -140,18 +162,27 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
         from pyspark import TaskContext
 
         of, k = counter(vocabulary), TaskContext.get().partitionId() << 32
+        block, ids = Block(of), []
+
+        def row() -> pa.RecordBatch:
+            pieces = pa.array(list(block.places), pa.string())
+            whole = pa.concat_arrays(ids)
+            cols = [pa.array([k], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)]
+            cols += [pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole), _lists(np.array(block.sizes), pa.int64()), _lists(np.array(block.special), pa.int64())]
+            cols += [_lists(np.concatenate(x), pa.int32()) for x in (block.ends, block.at, block.n)]
+            return pa.RecordBatch.from_arrays(cols, ["block", "pieces", "ids", "sizes", "special", "ends", "places", "n"])
+
         for batch in batches:
-            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for cut in _blocks(texts):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for cut in _parts(texts):
                 part = texts[cut]
-                pieces, ends, places, n, special = of.frequencies(part)
-                whole = ids.slice(cut.start, len(part))
-                sizes = np.array([len(t.encode("utf-8", "surrogatepass")) for t in part], np.int64)
-                row = [pa.array([k], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces.cast(pa.string()))]
-                row += [pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole)]
-                row += [_lists(x, t) for x, t in ((sizes, pa.int64()), (special, pa.int64()), (ends, pa.int32()), (places, pa.int32()), (n, pa.int32()))]
-                yield pa.RecordBatch.from_arrays(row, ["block", "pieces", "ids", "sizes", "special", "ends", "places", "n"])
-                k += 1
+                if block.rows and (block.rows + len(part) > BLOCK_ROWS or block.chars + sum(map(len, part)) > BLOCK_CHARS):
+                    yield row()
+                    block, ids, k = Block(of), [], k + 1
+                block.add(part)
+                ids.append(batch.column(0).slice(cut.start, len(part)))
+        if block.rows:
+            yield row()
 
     def lengths(batches):
         of = counter(vocabulary)
@@ -162,16 +193,18 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                sizes, special, ends, places, n, length = (row.column(k).flatten().to_numpy() for k in range(1, 7))
-                counts = _sums(length.astype(np.int64), ends, places, n.astype(np.int64)) + special
+                sizes, special, ends, at, n, place, length = (row.column(k).flatten().to_numpy() for k in range(1, 8))
+                of = np.zeros(len(place), np.int64)
+                of[place] = length
+                counts = sums(of, ends, at, n) + special
                 yield pa.RecordBatch.from_arrays([row.column(0).flatten(), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array(counts > limit, pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     fields = f"block bigint, pieces array<string>, ids array<{kind}>, sizes array<bigint>, special array<bigint>, ends array<int>, places array<int>, n array<int>"
     blocks = stored(small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(divide, fields), "token-blocks")
     of_block = blocks.select("block", F.posexplode("pieces").alias("place", "piece"))
-    known = checkpoint(of_block.select("piece").distinct().mapInArrow(lengths, "piece string, length int"))
-    # A block's numbers in order of place; a block is bounded, and so is its row.
-    told = of_block.join(known, "piece").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "length"))).alias("x"))
-    numbered = blocks.drop("pieces").join(told.select("block", F.col("x.length").alias("length")), "block", "left")
-    whole = numbered.select("ids", "sizes", "special", "ends", "places", "n", F.coalesce("length", F.array().cast("array<int>")).alias("length"))
+    known = stored(of_block.select("piece").distinct().mapInArrow(lengths, "piece string, length int"), "token-pieces")
+    told = of_block.join(known, "piece").groupBy("block").agg(F.collect_list(F.struct("place", "length")).alias("x"))  # a block is bounded
+    none = F.array().cast("array<int>")
+    whole = blocks.drop("pieces").join(told, "block", "left")
+    whole = whole.select("ids", "sizes", "special", "ends", "places", "n", F.coalesce("x.place", none).alias("place"), F.coalesce("x.length", none).alias("length"))
     return whole.mapInArrow(add, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
