@@ -5,19 +5,19 @@ needs no ids of the text:
 
 1. one pass over the texts writes a row for each block of documents (bounded rows and bytes):
    the block's distinct pre-tokens, and each document's frequencies by their places in it;
-2. the blocks' pre-tokens are made distinct over all documents, and each is encoded once for
-   its number of pieces;
-3. those numbers are joined back to the blocks' pre-tokens, in order of place;
-4. a block's numbers meet its frequencies, a row on either side, and are summed by document.
+2. the blocks' pre-tokens are dealt out by themselves, so that equal ones of all documents meet
+   in one task, where each is encoded once and its number of pieces joined to its places;
+3. a block's numbers meet its frequencies, a row on either side, and are summed by document.
 
-A frequency is two small numbers in its block's row; a row for each distinct pre-token of each
-document, to be shuffled by pre-token, would be more than the texts.
+A frequency is two small numbers, packed, in its block's row; a row for each distinct pre-token
+of each document, to be shuffled by pre-token, would be more than the texts.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import zlib
 from pathlib import Path
 
 import numpy as np
@@ -107,12 +107,12 @@ class Block:
         coded = pa.array(found, pa.large_string()).dictionary_encode()
         pieces, places = coded.dictionary.to_pylist(), self.places
         own = np.fromiter((places.setdefault(p, len(places)) for p in pieces), np.int64, len(pieces))
-        size = max(1, len(pieces))
         row = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends, prepend=0))
-        keys, n = np.unique(row * size + coded.indices.to_numpy(), return_counts=True)
+        wide = max(1, len(places))
+        keys, n = np.unique(row * wide + own[coded.indices.to_numpy()], return_counts=True)
         before = int(self.ends[-1][-1]) if self.rows else 0
-        self.ends.append(before + np.searchsorted(keys, np.arange(1, len(texts) + 1) * size))
-        self.at.append(own[keys % size].astype(np.int32) if len(keys) else np.empty(0, np.int32))
+        self.ends.append(before + np.searchsorted(keys, np.arange(1, len(texts) + 1) * wide))
+        self.at.append((keys % wide).astype(np.int32))
         self.n.append(n.astype(np.int32))
         self.rows += len(texts)
 
@@ -144,6 +144,15 @@ def _parts(texts: list[str]) -> list[slice]:
     return [*out, slice(at, len(texts))] if texts else out
 
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Small whole numbers, compressed."""
+    return zlib.compress(np.concatenate([a.astype(np.int32) for a in arrays]).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), np.int32)
+
+
 def _lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     """One row that holds all the values."""
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
@@ -169,8 +178,10 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
             whole = pa.concat_arrays(ids)
             cols = [pa.array([k], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)]
             cols += [pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole), _lists(np.array(block.sizes), pa.int64()), _lists(np.array(block.special), pa.int64())]
-            cols += [_lists(np.concatenate(x), pa.int32()) for x in (block.ends, block.at, block.n)]
-            return pa.RecordBatch.from_arrays(cols, ["block", "pieces", "ids", "sizes", "special", "ends", "places", "n"])
+            ends, at, n = (np.concatenate(x) for x in (block.ends, block.at, block.n))
+            steps = np.diff(at, prepend=0)  # places rise inside a text: steps are small
+            cols += [pa.array([_packed(np.diff(ends, prepend=0), steps, n)], pa.binary())]
+            return pa.RecordBatch.from_arrays(cols, ["block", "pieces", "ids", "sizes", "special", "frequencies"])
 
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -185,26 +196,32 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
             yield row()
 
     def lengths(batches):
-        of = counter(vocabulary)
+        """Equal pre-tokens come to one task: each is encoded once there."""
+        of, known = counter(vocabulary), {}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(of.lengths(batch.column(0).to_pylist()), pa.int32())], ["piece", "length"])
+            pieces = batch.column(2).to_pylist()
+            new = list(set(pieces) - known.keys())
+            known.update(zip(new, of.lengths(new), strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([known[p] for p in pieces], pa.int32())], ["block", "place", "length"])
 
     def add(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                sizes, special, ends, at, n, place, length = (row.column(k).flatten().to_numpy() for k in range(1, 8))
+                sizes, special, place, length = (row.column(k).flatten().to_numpy() for k in (1, 2, 4, 5))
+                packed = _unpacked(row.column(3)[0].as_py())
+                each, rest = packed[: len(sizes)], packed[len(sizes) :].reshape(2, -1)
                 of = np.zeros(len(place), np.int64)
                 of[place] = length
-                counts = sums(of, ends, at, n) + special
+                counts = sums(of, np.cumsum(each), np.cumsum(rest[0]), rest[1]) + special
                 yield pa.RecordBatch.from_arrays([row.column(0).flatten(), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array(counts > limit, pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    fields = f"block bigint, pieces array<string>, ids array<{kind}>, sizes array<bigint>, special array<bigint>, ends array<int>, places array<int>, n array<int>"
+    fields = f"block bigint, pieces array<string>, ids array<{kind}>, sizes array<bigint>, special array<bigint>, frequencies binary"
     blocks = stored(small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(divide, fields), "token-blocks")
-    of_block = blocks.select("block", F.posexplode("pieces").alias("place", "piece"))
-    known = stored(of_block.select("piece").distinct().mapInArrow(lengths, "piece string, length int"), "token-pieces")
-    told = of_block.join(known, "piece").groupBy("block").agg(F.collect_list(F.struct("place", "length")).alias("x"))  # a block is bounded
+    dealt = blocks.select("block", F.posexplode("pieces").alias("place", "piece")).repartition(F.col("piece"))
+    told = dealt.mapInArrow(lengths, "block bigint, place int, length int")
+    told = told.groupBy("block").agg(F.collect_list(F.struct("place", "length")).alias("x"))  # a block is bounded
     none = F.array().cast("array<int>")
     whole = blocks.drop("pieces").join(told, "block", "left")
-    whole = whole.select("ids", "sizes", "special", "ends", "places", "n", F.coalesce("x.place", none).alias("place"), F.coalesce("x.length", none).alias("length"))
+    whole = whole.select("ids", "sizes", "special", "frequencies", F.coalesce("x.place", none).alias("place"), F.coalesce("x.length", none).alias("length"))
     return whole.mapInArrow(add, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
