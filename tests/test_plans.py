@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -205,18 +207,122 @@ def test_run_resumes(spark, tmp_path):
     assert run.measure_pairs(spark, layout, chunks, pairs, places, events, travel, arm, allow_partial=True).count() == 0  # under a day
 
 
-def test_adopt(tmp_path):
+class Stop(Exception):
+    pass
+
+
+def tables_of(spark, layout):
+    out = {}
+    for name in ("scores", "snr_parts", "windows"):
+        df = store.read_table(spark, getattr(layout, name), {"scores": "station string, arm string, chunk string, t double, p float", "snr_parts": run.SNR_PARTS, "windows": "station string, chunk string, length_s double, tag string, t0 double, samples array<array<int>>"}[name])
+        out[name] = sorted(str(r) for r in df.collect())
+    out["completed"] = sorted(str(r) for r in store.completed(spark, layout).collect())
+    return out
+
+
+def test_run_resumes_wherever_it_stops(spark, tmp_path, monkeypatch):
+    """Stopped right after each single write, then run again: the tables are those of a run in one go."""
+    chunks = archive.find_chunks(archive.list_files(spark, str(big_archive(tmp_path / "a"))))
+    places = spark.createDataFrame([("AAA", 37.0, 30.0), ("BBB", 37.2, 30.0)], "station string, lat double, lon double")
+    events = spark.createDataFrame([(i, T0 + t, 37.0, 30.1, 10.0, 3.0, "x") for i, t in enumerate((400.0, 500.0, 880.0))], "event_id long, t double, lat double, lon double, depth double, mag double, location string").withColumn("time", F.timestamp_seconds("t"))
+    arm, travel = Arm("6s", 6.0, "", "", 6.0), arrivals.straight_table(spark)
+    settings = run.Settings(snr_min=0.0, lengths=(6.0,), scorers={"6s": stub}, standardize="perwindow", group_chunks=2)
+    go = lambda layout: run.run(spark, chunks, layout, places, events, travel, [arm], settings)
+    whole = store.Layout(str(tmp_path / "whole"))
+    while go(whole).count():
+        pass
+    want = tables_of(spark, whole)
+    assert len(want["scores"]) == 450 and len(want["windows"]) == 8 and len(want["snr_parts"]) == 6
+    for stop_at in ("write_scores", "write_snr_parts", "write_windows", "mark_completed"):
+        layout = store.Layout(str(tmp_path / f"{stop_at}"))
+        left, real = [2], getattr(store, stop_at)
+
+        def write(df, to, real=real, left=left):
+            real(df, to)
+            left[0] -= 1
+            if left[0] >= 0:
+                raise Stop
+
+        monkeypatch.setattr(store, stop_at, write)
+        for _ in range(12):
+            try:
+                if not go(layout).count():
+                    break
+            except Stop:
+                pass
+        monkeypatch.setattr(store, stop_at, real)
+        assert left[0] < 0 and tables_of(spark, layout) == want, stop_at
+
+
+def generates_below(df, column):
+    """Whether any Generate of the plan has the column among what it carries."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+
+    def walk(node):
+        if node.nodeName() == "Generate" and f"{column}#" in "".join(str(node.child().output().apply(i)) for i in range(node.child().output().size())):
+            return True
+        return any(walk(node.children().apply(i)) for i in range(node.children().size()))
+
+    return walk(plan)
+
+
+def test_samples_are_never_copied_by_hours(spark):
+    segs = segments_of(spark, gap_at=45_000)
+    events = spark.createDataFrame([("S", "c", 1, 301.0, 301.0, 3.0)], "station string, chunk string, event_id long, p_epoch double, cut_epoch double, mag double")
+    for df in (windows.cut(events, segs, ["station", "chunk"], FS), snr.measure(segs.where("role = 'Z'"), events, ["station", "chunk"], FS, band=None)):
+        assert not generates_below(df, "data")
+        assert "BroadcastNestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_separations_have_no_nested_loop(spark):
+    rng = np.random.default_rng(4)
+    places = [(f"S{i:02d}", float(36 + 3 * rng.random()), float(28 + 4 * rng.random())) for i in range(30)]
+    df = spark.createDataFrame(places, "station string, lat double, lon double")
+    every, near = inventory.separations(df), inventory.separations(df, 80.0)
+    for plan in (every, near):
+        assert "NestedLoop" not in plan._jdf.queryExecution().executedPlan().toString()
+    whole = {(r.station_a, r.station_b): r.separation_km for r in every.collect()}
+    assert len(whole) == 30 * 29 // 2
+    assert {(r.station_a, r.station_b): r.separation_km for r in near.collect()} == {k: v for k, v in whole.items() if v <= 80.0}
+
+
+def test_exported_windows_are_files_that_read_back(spark, tmp_path):
+    segs = segments_of(spark)
+    events = spark.createDataFrame([("S", "c", 7, 301.0, 301.0, 2.9)], "station string, chunk string, event_id long, p_epoch double, cut_epoch double, mag double")
+    cut = windows.cut(events, segs, ["station", "chunk"], FS, lengths=(6.0,))
+    paths = sorted(r.path for r in store.export_windows(cut, str(tmp_path), FS).collect())
+    assert [p.removeprefix(f"{tmp_path}/") for p in paths] == ["6s/S/eq/event_7_raw.mseed", "6s/S/noise/noise_event_7_raw.mseed"]
+    back = mseed.read_traces(open(paths[0], "rb").read())
+    assert [(t.channel, t.t0, len(t.data)) for t in back] == [(c, 299.0, 600) for c in ("HHZ", "HHN", "HHE")]
+    assert [t.data.astype(int).tolist() for t in back] == next(r.samples for r in cut.collect() if r.kind == "eq")
+
+
+def test_adopted_files_become_rows(spark, tmp_path):
     src, out = tmp_path / "old", tmp_path / "out"
-    for f in ("aaa_baseline.json", "aaa_range_full.csv", "aaa_range.csv", "scores_aaa/6s/c1.npz", "scores_dense/6s/c1.npz", "raw/continuous_windows/6s/AAA/eq/e", "runs_coinc/bbb_aaa_6s_coincidence.csv", "runs_coinc/notes.csv"):
-        (src / f).parent.mkdir(parents=True, exist_ok=True)
-        (src / f).write_text(f)
-    moves = adopt.plan(str(src), str(out), special={"dense": ("AAA", "dense.")})
-    assert {m.target.removeprefix(str(out) + "/") for m in moves} == {"stations/AAA/baseline.json", "stations/AAA/range.csv", "stations/AAA/range.partial.csv", "stations/AAA/scores/6s", "stations/AAA/scores/dense.6s", "stations/AAA/windows/6s", "pairs/AAA-BBB/6s.csv"}
-    assert len(adopt.run(moves, dry=True)[0]) == 7 and not out.exists()
-    (out / "stations/AAA").mkdir(parents=True)
-    (out / "stations/AAA/range.csv").write_text("kept")
-    done, skipped = adopt.run(moves)
-    assert (len(done), len(skipped)) == (6, 1) and (out / "stations/AAA/range.csv").read_text() == "kept"
+    layout = store.Layout(str(out))
+    for folder in ("scores_aaa/6s", "scores_dense/6s", "raw/continuous_windows/6s/AAA/eq", "runs_coinc"):
+        (src / folder).mkdir(parents=True)
+    (src / "aaa_baseline.json").write_text(json.dumps({"Z": {"mu": 1.0, "sigma": 2.0, "sigma_trimmed": 1.5, "sigma_median": 1.4, "n_samples": 10, "n_pieces": 2}, "_conditioning": {"freqmin": 1.0, "freqmax": 45.0}}))
+    head = "event_id,time,mag,dist_km,depth,snr,location\n"
+    (src / "aaa_range_full.csv").write_text(head + "1,2024-05-01 00:00:05,3.5,10.0,,8.25,x\n2,2024-05-02 00:00:05,3.0,11.0,5.0,nan,y\n")
+    (src / "aaa_range.csv").write_text(head + "1,2024-05-01 00:00:05,3.5,10.0,,7.0,x\n")
+    for folder, n in (("scores_aaa", 5), ("scores_dense", 9)):
+        np.savez_compressed(src / folder / "6s" / "c1.npz", t=np.arange(n, dtype=float), p=np.linspace(0, 1, n).astype(np.float32))
+    (src / "raw/continuous_windows/6s/AAA/eq/event_12_raw.mseed").write_bytes(mseed.write_traces([mseed.Trace("AAA", f"HH{c}", 50.0, FS, np.arange(600)) for c in "ZNE"]))
+    (src / "runs_coinc/bbb_aaa_6s_coincidence.csv").write_text("budget_per_day,separation_km,joint_days,coincidence_seconds,station_a,station_b,thr_a,thr_b,a_per_day,b_per_day,both_per_day,independent_per_day,excess_over_independent,recall_both\n10.0,88.0,70.0,14.0,BBB,AAA,0.9,0.8,10.0,9.0,1.0,0.1,10.0,\n")
+    (src / "runs_coinc/notes.csv").write_text("x")
+    found = adopt.find(str(src), special={"dense": ("AAA", "dense.")})
+    assert [(f.kind, f.key.get("station"), f.key.get("arm")) for f in found] == [("baseline", "AAA", None), ("snr", "AAA", None), ("snr_partial", "AAA", None), ("scores", "AAA", "6s"), ("scores", "AAA", "dense.6s"), ("windows", "AAA", None), ("pairs", None, "6s")]
+    assert {f.key["station"] for f in adopt.find(str(src)) if f.key.get("arm") == "dense.6s"} == {"MANT"}
+    assert adopt.convert(spark, found, layout) == {"baseline": 1, "snr": 2, "snr_partial": 1, "scores": 14, "windows": 1, "pairs": 1}
+    assert [(r.sigma_trimmed, r.freqmin, r.trim) for r in spark.read.parquet(layout.baseline).collect()] == [(1.5, 1.0, None)]
+    assert {r.event_id: r.snr for r in run.snr_table(spark, layout).collect()} == {1: 8.25, 2: None}
+    assert [r.t for r in tables.read_scores(spark, layout.scores, "AAA", "6s").collect()] == [0.0, 1.0, 2.0, 3.0, 4.0]
+    assert {(r.product, r.outputs) for r in store.completed(spark, layout).collect()} == {("scores:6s", 5), ("scores:dense.6s", 9)}
+    (w,) = spark.read.parquet(layout.windows).collect()
+    assert (w.event_id, w.kind, w.length_s, w.t0, w.samples[2][:3]) == (12, "eq", 6.0, 50.0, [0, 1, 2])
+    assert [(r.pair, r.station_a, r.recall_both) for r in spark.read.parquet(layout.pairs).collect()] == [("AAA-BBB", "BBB", None)]
+    assert set(adopt.convert(spark, found, layout).values()) == {0} and len(tables_of(spark, layout)["scores"]) == 14
 
 
 def test_command_line(capsys, tmp_path):
@@ -225,8 +331,20 @@ def test_command_line(capsys, tmp_path):
     assert "coincidence" in capsys.readouterr().err
     with pytest.raises(NotImplementedError):
         cli.main(["encode"])
-    a = cli.parser("run").parse_args(["--station", "A", "--station", "B", "--constant-sigma", "7", "--near", "1:2"])
-    assert a.station == ["A", "B"] and a.constant_sigma == 7.0 and a.near == ["1:2"]
+    a = cli.parser().parse_args(["run", "--station", "A", "--station", "B", "--constant-sigma", "7", "--near", "1:2"])
+    assert a.station == ["A", "B"] and a.constant_sigma == 7.0 and a.near == ["1:2"] and a.command == "run"
+    with pytest.raises(ValueError, match="archive"):
+        cli.main(["plan", "--all"])
+
+
+def test_baseline_command_passes_its_flags_on(spark, capsys, tmp_path):
+    root = big_archive(tmp_path / "a")
+    assert cli.main(["baseline", "--archive", str(root), "--out", str(tmp_path / "out"), "--station", "AAA", "--piece-seconds", "300", "--sample-chunks", "1"]) == 0
+    rows = spark.read.parquet(str(tmp_path / "out" / "baseline")).collect()
+    assert {(r.role, r.n_pieces, r.piece_seconds) for r in rows} == {(c, 3, 300.0) for c in "ZNE"}
+    assert cli.main(["plan", "--archive", str(root), "--out", str(tmp_path / "out"), "--all"]) == 0
+    assert "missing_scores:6s" in capsys.readouterr().out
+    assert cli.main(["plan", "--archive", str(root), "--out", str(tmp_path / "out")]) == 1
 
 
 def test_inventory_command(spark, capsys, tmp_path):

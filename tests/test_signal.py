@@ -1,3 +1,6 @@
+import io
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -148,3 +151,107 @@ def test_blocks_fill_across_spans():
     near = run(segs, "perwindow", near=[(73.0, 90.0)])[0]
     assert near == pytest.approx([76.0, 82.0]) and set(near) <= set(t)
     assert list(score.score_chunk([segs[0], segs[1], []], stub, 600, 600)) == []
+
+
+def torch_archive(path, weights):
+    """A ``.pth`` as the usual tool writes it: a zip of a pickle with the raw tensors beside it."""
+    import collections
+    import pickle
+    import sys
+    import types
+    import zipfile
+
+    utils = types.ModuleType("torch._utils")
+    torch = types.ModuleType("torch")
+
+    def _rebuild_tensor_v2(*args):
+        raise AssertionError
+
+    _rebuild_tensor_v2.__module__, _rebuild_tensor_v2.__qualname__ = "torch._utils", "_rebuild_tensor_v2"
+    utils._rebuild_tensor_v2 = _rebuild_tensor_v2
+    for name in ("FloatStorage", "LongStorage"):
+        setattr(torch, name, type(name, (), {"__module__": "torch"}))
+
+    class Tensor:
+        def __init__(self, key, value):
+            self.key, self.value = key, value
+
+        def __reduce_ex__(self, _):
+            v = self.value
+            strides = tuple(s // v.itemsize for s in np.ascontiguousarray(v).strides)[: v.ndim]
+            return _rebuild_tensor_v2, (Storage(self.key, v), 0, v.shape, strides, False, collections.OrderedDict())
+
+    class Storage:
+        def __init__(self, key, value):
+            self.key, self.value = key, value
+
+    class Pickler(pickle.Pickler):
+        def persistent_id(self, x):
+            if isinstance(x, Storage):
+                kind = torch.LongStorage if x.value.dtype.kind == "i" else torch.FloatStorage
+                return ("storage", kind, x.key, "cpu", x.value.size)
+
+    saved = {k: sys.modules.get(k) for k in ("torch", "torch._utils")}
+    sys.modules |= {"torch": torch, "torch._utils": utils}
+    try:
+        out = io.BytesIO()
+        Pickler(out, 2).dump({"epoch": 3, "model_state_dict": collections.OrderedDict((k, Tensor(str(i), v)) for i, (k, v) in enumerate(weights.items()))})
+    finally:
+        for k, v in saved.items():
+            sys.modules.pop(k) if v is None else sys.modules.__setitem__(k, v)
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("archive/data.pkl", out.getvalue())
+        for i, v in enumerate(weights.values()):
+            z.writestr(f"archive/data/{i}", np.ascontiguousarray(v).tobytes())
+
+
+def test_weights_of_either_format(tmp_path):
+    weights = {k: (np.array(5) if k.endswith("tracked") else v.astype(np.float32)) for k, v in detector.random_weights("cnn").items()}
+    torch_archive(tmp_path / "x_1d_linear_cnn_pid1_seed1.pth", weights)
+    np.savez(tmp_path / "x_1d_linear_cnn_pid1_seed2.npz", **weights)
+    models = detector.load_ensemble(str(tmp_path), "cnn")
+    assert len(models) == 2 and all(np.array_equal(models[0][k], models[1][k]) for k in weights)
+    x = np.random.default_rng(0).normal(size=(4, 600, 3))
+    assert np.array_equal(detector.logits(models[0], x, "cnn"), detector.logits(weights, x, "cnn"))
+    (tmp_path / "x_1d_linear_cnn_pid1_seed3.pth").write_bytes(b"no archive")
+    with pytest.raises(ValueError, match="no weights"):
+        detector.load_ensemble(str(tmp_path), "cnn")
+    with pytest.raises(ValueError, match="at least one"):
+        detector.ensemble([])
+
+
+def test_weights_files_cannot_name_anything_else(tmp_path):
+    import os
+    import pickle
+    import zipfile
+
+    class Bad:
+        def __reduce__(self):
+            return os.system, ("true",)
+
+    with zipfile.ZipFile(tmp_path / "bad.pth", "w") as z:
+        z.writestr("a/data.pkl", pickle.dumps({"x": Bad()}, 2))
+    with pytest.raises(pickle.UnpicklingError):
+        detector.read_checkpoint(str(tmp_path / "bad.pth"))
+
+
+def test_error_function():
+    x = np.concatenate([np.linspace(-7, 7, 20_001), [0.46875, -0.46875, 4.0, 30.0, -30.0, 1e-300]])
+    assert np.abs(detector._erf(x) - [math.erf(v) for v in x]).max() < 1e-15
+
+
+def test_spans_of_fragments_against_all_triples():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        sides = []
+        for _ in range(3):
+            cuts = np.sort(rng.choice(400, rng.integers(2, 14), replace=False))
+            sides.append([(float(a), np.zeros(b - a)) for a, b in zip(cuts[::2], cuts[1::2])])
+        want = []
+        for i, (a, x) in enumerate(sides[0]):
+            for j, (b, y) in enumerate(sides[1]):
+                for k, (c, z) in enumerate(sides[2]):
+                    lo, hi = max(a, b, c), min(a + len(x), b + len(y), c + len(z))
+                    if hi - lo >= 5:
+                        want.append((lo, [(i, int(lo - a)), (j, int(lo - b)), (k, int(lo - c))], int(hi - lo)))
+        assert score.spans_in(sides, 1.0, 5) == sorted(want, key=lambda s: s[0])

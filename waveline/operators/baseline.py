@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waveline.functions.names import even_places
+from waveline.operators.segments import list_arrays
 from waveline.operators.signal import clean_block
 
 SAMPLE_CHUNKS, PIECE_SECONDS, TRIM, LEAST_SECONDS = 6, 3600.0, 0.1, 10.0
@@ -27,18 +27,19 @@ def piece_moments(segments: DataFrame, fs: float, low: float = 1.0, high: float
     piece, least = int(round(piece_seconds * fs)), LEAST_SECONDS * fs
 
     def work(batches):
-        for pdf in batches:
+        for batch in batches:
+            stations, roles = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
-            for station, role, data in zip(pdf["station"], pdf["role"], pdf["data"], strict=True):
-                data = np.asarray(data, np.float64)
+            for station, role, data in zip(stations, roles, list_arrays(pa.chunked_array([batch.column(2)])), strict=True):
                 for lo in range(0, len(data), piece):
                     part = data[lo : lo + piece]
                     if len(part) >= least:
                         c = clean_block(part[None], fs, low, high)[0]
                         rows.append((station, role, float(c.sum()), float((c * c).sum()), len(c)))
-            yield pd.DataFrame(rows, columns=["station", "role", "s", "ss", "n"])
+            types = [pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["station", "role", "s", "ss", "n"])
 
-    return segments.select("station", "role", "data").mapInPandas(work, "station string, role string, s double, ss double, n bigint")
+    return segments.select("station", "role", "data").mapInArrow(work, "station string, role string, s double, ss double, n bigint")
 
 
 def _sigma(ss, s, n):

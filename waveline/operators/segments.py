@@ -7,8 +7,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waveline.durable import checkpoint, measured_broadcast
 from waveline.functions.names import BANDS, ROLES, band_of, role_letter
 from waveline.operators.signal import resample
+from waveline.schemas import SEGMENT
 
 RATE_TOLERANCE = 1e-6
 
@@ -70,41 +72,37 @@ def paint(starts: np.ndarray, arrays: list[np.ndarray], fs: float) -> np.ndarray
 def join_traces(traces: DataFrame, fs: float, channels: DataFrame | None = None) -> DataFrame:
     """Gap-free segments of every chunk and channel, in time order.
 
-    Traces are ``(station, chunk, channel, t0, fs, data)``; with ``channels`` (of
-    ``pick_channels``) only the chosen ones count. Runs are found on headers alone; samples of
-    one run meet in one task, for a segment is one array.
+    Traces are ``(station, chunk, channel, t0, fs, data)`` and may have ``n``, their samples;
+    with ``channels`` (of ``pick_channels``) only the chosen ones count. Runs are found on
+    headers alone, which are small; then each trace joins its run, and samples move once, to the
+    task that paints the run, for a segment is one array. ``traces`` is read twice, once for its
+    headers: it should be stored, so that the first reading leaves the samples where they are.
     """
-    rows = traces.withColumn("channel", F.upper("channel"))
-    if channels is not None:
-        wanted = channels.select("station", "chunk", F.explode(F.array("z", "n", "e")).alias("channel"))
-        rows = rows.join(wanted, ["station", "chunk", "channel"])
     keys = ["station", "chunk", "channel"]
-
-    def at_rate(batches):
-        for pdf in batches:
-            pdf["data"] = [resample(np.asarray(d, np.float64), r, fs) for d, r in zip(pdf["data"], pdf["fs"], strict=True)]
-            yield pdf[["station", "chunk", "channel", "t0", "data"]]
-
-    # Only traces at another rate go to Python for it.
-    rows = rows.select("station", "chunk", "channel", "t0", "fs", "data")
+    size = F.col("n") if "n" in traces.columns else F.size("data")
+    rows = traces.select("station", "chunk", F.upper("channel").alias("channel"), "t0", "fs", size.cast("long").alias("raw"), "data")
     off = F.abs(F.col("fs") - fs) > RATE_TOLERANCE
-    other = rows.where(off).mapInPandas(at_rate, "station string, chunk string, channel string, t0 double, data array<double>")
-    even = rows.where(~off).drop("fs").unionByName(other).withColumn("n", F.size("data").cast("long"))
-    runs = trace_runs(even, keys, fs).where("not contained")
+    heads = rows.select(*keys, "t0", "fs", "raw").distinct()
+    if channels is not None:
+        wanted = channels.select("station", "chunk", F.explode(F.array("z", "n", "e")).alias("channel"))
+        heads = heads.join(wanted, keys)
+    heads = heads.withColumn("n", F.when(off, F.rint(F.col("raw") * (fs / F.col("fs"))).cast("long")).otherwise(F.col("raw")))
+    runs = trace_runs(heads, keys, fs).where("not contained").select(*keys, "t0", "fs", "raw", "run")
+    placed = rows.join(measured_broadcast(checkpoint(runs)), [*keys, "t0", "fs", "raw"])
 
     def one(table: pa.Table) -> pa.Table:
-        starts, arrays = table["t0"].to_numpy(), list_arrays(table["data"])
+        starts, rates = table["t0"].to_numpy(), table["fs"].to_numpy()
         order = np.argsort(starts, kind="stable")
-        data = paint(starts[order], [arrays[i] for i in order], fs)
-        first = table.slice(int(order[0]), 1).to_pylist()[0]
+        arrays = list_arrays(table["data"])
+        arrays = [arrays[i] if abs(rates[i] - fs) <= RATE_TOLERANCE else resample(arrays[i], rates[i], fs) for i in order]
+        data = paint(starts[order], arrays, fs)
+        first = table.select([*keys, "run", "t0"]).slice(int(order[0]), 1).to_pylist()[0]
         cols = [first["station"], first["chunk"], first["channel"], _role(first["channel"]), first["run"], first["t0"], len(data)]
         types = [pa.string()] * 4 + [pa.int32(), pa.float64(), pa.int64()]
         lists = pa.ListArray.from_arrays(pa.array([0, len(data)], pa.int32()), pa.array(data))
         return pa.Table.from_arrays([*[pa.array([c], t) for c, t in zip(cols, types, strict=True)], lists], _SEGMENT)
 
-    from waveline.schemas import SEGMENT
-
-    return runs.groupBy(*keys, "run").applyInArrow(one, SEGMENT)
+    return placed.select(*keys, "run", "t0", "fs", "data").groupBy(*keys, "run").applyInArrow(one, SEGMENT)
 
 
 _SEGMENT = ["station", "chunk", "channel", "role", "seg_id", "t0", "n", "data"]
@@ -131,14 +129,25 @@ def span_of(segments: DataFrame, keys: list[str], fs: float) -> DataFrame:
 def containing(requests: DataFrame, segments: DataFrame, keys: list[str], fs: float, start: str, want: str, bucket: float = 3600.0) -> DataFrame:
     """``requests`` with ``samples``: the first segment that wholly holds ``want`` samples from ``start``.
 
-    A request that no segment holds whole has no row.
+    A request that no segment holds whole has no row. Requests meet the segments' headers by
+    hours; samples are fetched afterwards, of the one segment chosen.
     """
     ids = [*requests.columns]
     left = requests.withColumn("_b", F.floor(F.col(start) / bucket))
-    right = segments.select(*keys, "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"), "data")
+    right = segments.select(*keys, "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"))
     right = right.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_t0") / bucket) - 1, F.floor((F.col("_t0") + F.col("_len") / fs) / bucket))))
     place = F.rint((F.col(start) - F.col("_t0")) * fs).cast("long")
     met = left.join(right, [*keys, "_b"]).withColumn("_at", place).where((F.col("_at") >= 0) & (F.col("_at") + F.col(want) <= F.col("_len")))
-    met = met.select(*ids, "seg_id", F.slice("data", (F.col("_at") + 1).cast("int"), F.col(want).cast("int")).alias("samples"))
-    first = F.row_number().over(Window.partitionBy(*ids).orderBy("seg_id"))
-    return met.withColumn("_k", first).where("_k = 1").drop("_k", "seg_id")
+    first = met.groupBy(*ids).agg(F.min(F.struct("seg_id", "_at")).alias("_x")).select(*ids, "_x.*")
+    return fetch(first, segments, keys, "_at", want).drop("_at", "seg_id")
+
+
+def fetch(requests: DataFrame, segments: DataFrame, keys: list[str], at: str, want: str) -> DataFrame:
+    """``requests`` (with ``keys`` and ``seg_id``) with ``samples``: ``want`` of their segment's from ``at`` on.
+
+    Few requests are broadcast, and the samples stay where they are; else each segment moves
+    once, to its requests.
+    """
+    few = measured_broadcast(checkpoint(requests))
+    data = segments.select(*keys, "seg_id", "data")
+    return data.join(few, [*keys, "seg_id"]).select(*requests.columns, F.slice("data", (F.col(at) + 1).cast("int"), F.col(want).cast("int")).alias("samples"))

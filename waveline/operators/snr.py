@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waveline.durable import stored
 from waveline.functions.arrays import rms
-from waveline.operators.segments import containing
+from waveline.operators.segments import containing, list_arrays
 from waveline.operators.signal import condition_segment
 
 NOISE, SIGNAL, BAND = (-60.0, -10.0), (-1.0, 12.0), (2.0, 20.0)
@@ -17,18 +19,24 @@ NOISE, SIGNAL, BAND = (-60.0, -10.0), (-1.0, 12.0), (2.0, 20.0)
 def condition(segments: DataFrame, fs: float, band: tuple[float, float] = BAND) -> DataFrame:
     """Segments with mean off and band-passed; those too short for the filter are left out."""
 
+    at = segments.columns.index("data")
+
     def work(batches):
-        for pdf in batches:
-            pdf["data"] = [condition_segment(np.asarray(d, np.float64), fs, *band) for d in pdf["data"]]
-            yield pdf[pdf["data"].notna()]
+        for batch in batches:
+            done = [condition_segment(d, fs, *band) for d in list_arrays(pa.chunked_array([batch.column(at)]))]
+            long = batch.filter(pa.array([d is not None for d in done], pa.bool_()))
+            kept = [d for d in done if d is not None]
+            ends = np.cumsum([0] + [len(d) for d in kept]).astype(np.int32)
+            cols = list(long.columns)
+            cols[at] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*kept, np.empty(0)])))
+            yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
 
-    return segments.mapInPandas(work, segments.schema)
+    return segments.mapInArrow(work, segments.schema)
 
 
-def slice_ratio(samples_signal, samples_noise):
-    """RMS of one array over RMS of another; null where the noise is silent or missing."""
-    noise = rms(samples_noise)
-    return F.when(noise > 0, rms(samples_signal) / noise)
+def ratio_of(signal: Column, noise: Column) -> Column:
+    """A root mean square over another; null where the noise is silent or either is missing."""
+    return F.when(noise > 0, signal / noise)
 
 
 def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float, band: tuple[float, float] | None = BAND) -> DataFrame:
@@ -37,15 +45,14 @@ def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float,
     Segments are the vertical component's; events carry ``keys``, ``event_id`` and ``p_epoch``
     (those without a travel time aren't asked for and aren't counted as dropped).
     """
-    segs = condition(segments, fs, band) if band else segments
+    segs = stored(condition(segments, fs, band), "conditioned") if band else segments  # read for its headers and its samples
     asked = events.select(*keys, "event_id", "p_epoch")
     parts = {}
     for name, (lo, hi) in (("noise", NOISE), ("signal", SIGNAL)):
         want = asked.withColumns({"_start": F.col("p_epoch") + lo, "_want": F.lit(int(round((hi - lo) * fs)))})
         parts[name] = containing(want, segs, keys, fs, "_start", "_want").select(*keys, "event_id", rms("samples").alias(name))
     both = events.join(parts["noise"], [*keys, "event_id"], "left").join(parts["signal"], [*keys, "event_id"], "left")
-    ratio = F.when(F.col("noise") > 0, F.col("signal") / F.col("noise"))
-    return both.withColumn("snr", ratio).withColumn("dropped", F.col("snr").isNull()).drop("noise", "signal")
+    return both.withColumn("snr", ratio_of(F.col("signal"), F.col("noise"))).withColumn("dropped", F.col("snr").isNull()).drop("noise", "signal")
 
 
 def largest(snr: DataFrame, keys: list[str] = ()) -> DataFrame:

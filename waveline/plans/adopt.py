@@ -1,61 +1,180 @@
-"""Bring the products of earlier, file-based runs into the output layout, never over what is there."""
+"""Earlier, file-based products as rows of the engine's tables, never over what is there.
+
+Each kind of file is a pattern of its path, a reader, and the table it belongs to. What is found
+is listed first (``find``), then converted kind by kind (``convert``): files are left where they
+are, and rows of a key that the table already has are not written again.
+"""
 
 from __future__ import annotations
 
-import glob
 import os
 import re
-import shutil
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from waveline.schemas import BASELINE, COINCIDENCE, CONDITIONING
+from waveline.sources import mseed, store, tables
+from waveline.sources.store import Layout
 
-#: Score folders that aren't named for a station: folder tag to station and arm prefix.
-SPECIAL: dict[str, tuple[str, str]] = {}
-_PAIR = re.compile(r"([a-z0-9]+)_([a-z0-9]+)_([a-z0-9]+)_coincidence\.csv")
+#: Score folders that aren't named for a station, with the station and arm prefix meant.
+SPECIAL: dict[str, tuple[str, str]] = {"dense": ("MANT", "dense.")}
+#: The chunk that a station's one table of readings counts as.
+WHOLE = "adopted"
 
 
 @dataclass(frozen=True)
-class Move:
-    source: str
-    target: str
-    what: str
+class Found:
+    kind: str
+    path: str
+    key: dict[str, str] = field(hash=False)
 
 
-def _station(path: str) -> str:
-    return os.path.basename(path).split("_")[0].upper()
+@dataclass(frozen=True)
+class Kind:
+    """Files of one kind: a pattern over paths below a root, and how they become rows of a table."""
+
+    pattern: re.Pattern
+    key: Callable[[re.Match], dict[str, str]]
+    write: Callable[[SparkSession, list[Found], Layout], int]
+    anywhere: bool = False  # also loose in further folders
 
 
-def plan(source: str, out: str, also: tuple[str, ...] = (), special: dict[str, tuple[str, str]] | None = None) -> list[Move]:
-    """What would move where: loose station files, score folders, cut windows, pair tables."""
+def _files(root: str) -> Iterator[str]:
+    for folder, below, names in os.walk(root):
+        below.sort()
+        yield from (os.path.relpath(os.path.join(folder, n), root).replace(os.sep, "/") for n in sorted(names))
+
+
+def find(source: str, also: tuple[str, ...] = (), special: dict[str, tuple[str, str]] | None = None) -> list[Found]:
+    """What there is to adopt, in order of kind and path; ``special`` explains odd score folders."""
     special = SPECIAL if special is None else special
-    moves = []
-    loose = (("_baseline.json", "baseline.json", "baseline"), ("_range_full.csv", "range.csv", "per-event SNR"), ("_range.csv", "range.partial.csv", "per-event SNR (superseded)"))
-    for root in (source, *also):
-        for tail, name, what in loose:
-            moves += [Move(f, f"{out}/stations/{_station(f)}/{name}", what) for f in sorted(glob.glob(f"{root}/*{tail}"))]
-    for folder in sorted(filter(os.path.isdir, glob.glob(f"{source}/scores_*"))):
-        tag = os.path.basename(folder).removeprefix("scores_")
-        station, prefix = special.get(tag, (tag.upper(), ""))
-        for arm in sorted(filter(os.path.isdir, glob.glob(f"{folder}/*"))):
-            moves.append(Move(arm, f"{out}/stations/{station}/scores/{prefix}{os.path.basename(arm)}", f"{len(glob.glob(f'{arm}/*.npz'))} scored chunks"))
-    for folder in sorted(filter(os.path.isdir, glob.glob(f"{source}/raw/continuous_windows/*/*"))):
-        length, station = folder.split("/")[-2:]
-        moves.append(Move(folder, f"{out}/stations/{station}/windows/{length}", "cut windows"))
-    for f in sorted(glob.glob(f"{source}/runs_coinc/*_coincidence.csv")):
-        if m := _PAIR.fullmatch(os.path.basename(f)):
-            a, b = sorted((m[1].upper(), m[2].upper()))
-            moves.append(Move(f, f"{out}/pairs/{a}-{b}/{m[3]}.csv", "coincidence table"))
-    return moves
-
-
-def run(moves: list[Move], dry: bool = False) -> tuple[list[Move], list[Move]]:
-    """Moves done (or that would be) and those left out because the target is there."""
-    done, skipped = [], []
-    for m in moves:
-        if os.path.exists(m.target):
-            skipped.append(m)
-            continue
-        done.append(m)
-        if not dry:
-            os.makedirs(os.path.dirname(m.target), exist_ok=True)
-            shutil.move(m.source, m.target)
-    return done, skipped
+    out = []
+    for name, kind in KINDS.items():
+        for root in (source, *also) if kind.anywhere else (source,):
+            for path in _files(root):
+                if m := kind.pattern.fullmatch(path):
+                    key = kind.key(m)
+                    if name == "scores":
+                        station, prefix = special.get(key["station"].lower(), (key["station"], ""))
+                        key |= {"station": station, "arm": prefix + key["arm"]}
+                    out.append(Found(name, os.path.join(root, path), key))
+    return out
+
+
+def convert(spark: SparkSession, found: list[Found], layout: Layout) -> dict[str, int]:
+    """Rows written of each kind; what the tables hold already is left as it is."""
+    return {name: kind.write(spark, own, layout) for name, kind in KINDS.items() if (own := [f for f in found if f.kind == name])}
+
+
+def _new(rows: DataFrame, had: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.join(had.select(*keys).distinct(), keys, "left_anti")
+
+
+def _put(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    rows = store.kept(rows)
+    if n := rows.count():
+        write(rows)
+    return n
+
+
+def _baselines(spark: SparkSession, found: list[Found], layout: Layout) -> int:
+    whole = spark.createDataFrame([], f"{BASELINE}, {CONDITIONING}")
+    out = whole
+    for f in found:
+        rows, made_by = tables.read_baseline(spark, f.path)
+        made_by = made_by or {}
+        names = {"fs": "fs", "freqmin": "freqmin", "freqmax": "freqmax", "piece_seconds": "piece_seconds", "trim": "trim"}
+        rows = rows.withColumns({c: F.lit(None if made_by.get(n) is None else float(made_by[n])).cast("double") for c, n in names.items()})
+        rows = rows.withColumns({"station": F.lit(f.key["station"]), "bands": F.lit(None).cast("array<string>"), "chunks": F.lit(None).cast("map<string,string>")})
+        out = out.unionByName(rows.select(*whole.columns))
+    had = store.read_table(spark, layout.baseline, "station string")
+    return _put(_new(out, had, ["station"]), lambda df: store.write_baseline(df, layout))
+
+
+def _readings(spark: SparkSession, found: list[Found], partial: bool) -> DataFrame:
+    number = lambda c: F.expr(f"nullif(try_cast({c} as double), double('NaN'))").alias(c)
+    out = None
+    for f in found:
+        raw = tables.read_csv(spark, f.path)
+        rows = raw.select(F.expr("try_cast(event_id as bigint)").alias("event_id"), number("snr"), F.expr("try_cast(time as timestamp)").alias("time"), *[number(c) for c in ("mag", "dist_km", "depth")], "location", F.lit(f.key["station"]).alias("station"), F.lit(WHOLE).alias("chunk"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _snr(spark: SparkSession, found: list[Found], layout: Layout) -> int:
+    had = store.read_table(spark, layout.snr_parts, "station string")
+    return _put(_new(_readings(spark, found, False), had, ["station"]), lambda df: store.write_snr_parts(df, layout))
+
+
+def _snr_partial(spark: SparkSession, found: list[Found], layout: Layout) -> int:
+    """Superseded readings are kept apart, for comparison."""
+    path = layout.dataset("snr_partial")
+    had = store.read_table(spark, path, "station string")
+    return _put(_new(_readings(spark, found, True), had, ["station"]), lambda df: df.write.mode("append").parquet(path))
+
+
+def _scores(spark: SparkSession, found: list[Found], layout: Layout) -> int:
+    keys = spark.createDataFrame([(os.path.abspath(f.path), f.key["station"], f.key["arm"], f.key["chunk"]) for f in found], "path string, station string, arm string, chunk string")
+    rows = tables.read_score_files(spark, [f.path for f in found]).withColumn("path", F.regexp_replace("path", "^file:/*", "/"))
+    had = store.read_table(spark, layout.scores, "station string, arm string, chunk string")
+    fresh = store.kept(_new(keys, had, ["station", "arm", "chunk"]))
+    written = _put(rows.join(F.broadcast(fresh), "path").drop("path"), lambda df: store.write_scores(df, layout))
+    count = store.read_table(spark, layout.scores, "station string, arm string, chunk string").groupBy("station", "arm", "chunk").agg(F.count("*").alias("outputs"))
+    done = fresh.join(count, ["station", "arm", "chunk"], "left").fillna(0, ["outputs"])
+    store.mark_completed(done.withColumn("product", F.concat(F.lit("scores:"), F.col("arm"))), layout)
+    return written
+
+
+def _windows(spark: SparkSession, found: list[Found], layout: Layout) -> int:
+    keys = spark.createDataFrame([(os.path.abspath(f.path), f.key["station"], float(f.key["length"]), f.key["tag"]) for f in found], "path string, station string, length_s double, tag string")
+    had = store.read_table(spark, layout.windows, "station string, length_s double, tag string")
+    fresh = store.kept(_new(keys, had, ["station", "length_s", "tag"]))
+    schema = "path string, t0 double, samples array<array<int>>"
+
+    def work(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                traces = mseed.read_traces(content)
+                rows.append((path, traces[0].t0, [t.data.astype("int32").tolist() for t in traces]))
+            types = (pa.string(), pa.float64(), pa.list_(pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["path", "t0", "samples"])
+
+    content = spark.read.format("binaryFile").load([f.path for f in found]).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
+    rows = content.join(F.broadcast(fresh.select("path")), "path").mapInArrow(work, schema).join(F.broadcast(fresh), "path")
+    rows = rows.select("station", F.lit(WHOLE).alias("chunk"), F.regexp_extract("tag", r"event_(\d+)_raw", 1).cast("bigint").alias("event_id"), "length_s", F.when(F.col("tag").startswith("noise_"), "noise").otherwise("eq").alias("kind"), "tag", "t0", "samples")
+    return _put(rows, lambda df: store.write_windows(df, layout))
+
+
+def _pairs(spark: SparkSession, found: list[Found], layout: Layout) -> int:
+    fields = [tuple(c.strip().split(" ")) for c in COINCIDENCE.split(",")]
+    total = 0
+    for f in found:
+        raw = tables.read_csv(spark, f.path)
+        have = {c.lower(): c for c in raw.columns}
+        rows = raw.select(*[F.expr(f"try_cast(`{have[c]}` as {kind})").alias(c) if c in have else F.lit(f.key.get(c)).cast(kind).alias(c) for c, kind in fields])
+        a, b = sorted((f.key["station_a"], f.key["station_b"]))
+        had = store.read_table(spark, layout.pairs, "pair string, arm string").where((F.col("pair") == f"{a}-{b}") & (F.col("arm") == f.key["arm"]))
+        if not had.head(1):
+            total += _put(rows, lambda df, arm=f.key["arm"]: store.write_pairs(df, layout, arm))
+    return total
+
+
+def _of_station(m: re.Match) -> dict[str, str]:
+    return {k: v.upper() if k == "station" else v for k, v in m.groupdict().items()}
+
+
+#: How the earlier tools named their files.
+KINDS = {
+    "baseline": Kind(re.compile(r"(?P<station>[^/_]+)_(?:[^/]*_)?baseline\.json"), _of_station, _baselines, anywhere=True),
+    "snr": Kind(re.compile(r"(?P<station>[^/_]+)_(?:[^/]*_)?range_full\.csv"), _of_station, _snr, anywhere=True),
+    "snr_partial": Kind(re.compile(r"(?P<station>[^/_]+)_(?:[^/]*_)?range\.csv"), _of_station, _snr_partial, anywhere=True),
+    "scores": Kind(re.compile(r"scores_(?P<station>[^/]+)/(?P<arm>[^/]+)/(?P<chunk>[^/]+)\.npz"), _of_station, _scores),
+    "windows": Kind(re.compile(r"raw/continuous_windows/(?P<length>[\d.]+)s/(?P<station>[^/]+)/(?:.*/)?(?P<tag>(?:noise_)?event_\d+_raw)\.mseed"), _of_station, _windows),
+    "pairs": Kind(re.compile(r"runs_coinc/(?P<station_a>[a-z0-9]+)_(?P<station_b>[a-z0-9]+)_(?P<arm>[a-z0-9]+)_coincidence\.csv"), lambda m: {k: v if k == "arm" else v.upper() for k, v in m.groupdict().items()}, _pairs),
+}

@@ -10,6 +10,8 @@ from waveline.operators.intervals import intersect, whole_days
 from waveline.sources.tables import FETCHED, PENDING, spans_in_state
 
 MIN_JOINT_DAYS, MIN_CHUNKS = 60, 2
+#: All pairs of stations are formed by so many blocks of either side.
+PAIR_BLOCKS = 8
 
 
 def span_days(spans: DataFrame, keys: list[str]) -> DataFrame:
@@ -56,11 +58,25 @@ def joint_days(spans: DataFrame) -> DataFrame:
     return both.where("station_a < station_b").groupBy("station_a", "station_b").agg(F.sum(whole_days("lo", "hi")).alias("joint_days"))
 
 
-def separations(stations: DataFrame) -> DataFrame:
-    """``(station_a, station_b, separation_km)`` of every two stations, a < b."""
-    a, b = (stations.select(F.col("station").alias(f"station_{s}"), F.col("lat").alias(f"_lat_{s}"), F.col("lon").alias(f"_lon_{s}")) for s in "ab")
-    pairs = a.join(F.broadcast(b), F.col("station_a") < F.col("station_b"))  # a station table: hundreds of rows
-    return pairs.select("station_a", "station_b", haversine_km("_lat_a", "_lon_a", "_lat_b", "_lon_b").alias("separation_km"))
+def separations(stations: DataFrame, max_separation: float | None = None) -> DataFrame:
+    """``(station_a, station_b, separation_km)`` of every two stations, a < b, at most ``max_separation`` apart.
+
+    With a limit, stations meet by latitude bands of its height. Without one the result is all
+    pairs by definition; they are formed in ``PAIR_BLOCKS`` squared parts, by an equi-join.
+    """
+    place = stations.select("station", "lat", "lon")
+    if max_separation is None:
+        blocks, own = F.explode(F.sequence(F.lit(0), F.lit(PAIR_BLOCKS - 1))), F.pmod(F.xxhash64("station"), F.lit(PAIR_BLOCKS)).cast("int")
+        a = place.select(F.col("station").alias("station_a"), F.col("lat").alias("_lat_a"), F.col("lon").alias("_lon_a"), own.alias("_i"), blocks.alias("_j"))
+        b = place.select(F.col("station").alias("station_b"), F.col("lat").alias("_lat_b"), F.col("lon").alias("_lon_b"), blocks.alias("_i"), own.alias("_j"))
+        met = a.join(b, ["_i", "_j"])
+    else:
+        height = max_separation / 111.0 + 0.01
+        a = place.select(F.col("station").alias("station_a"), F.col("lat").alias("_lat_a"), F.col("lon").alias("_lon_a"), F.floor(F.col("lat") / height).alias("_band"))
+        b = place.select(F.col("station").alias("station_b"), F.col("lat").alias("_lat_b"), F.col("lon").alias("_lon_b"), F.explode(F.sequence(F.floor(F.col("lat") / height) - 1, F.floor(F.col("lat") / height) + 1)).alias("_band"))
+        met = a.join(b, "_band")
+    pairs = met.where("station_a < station_b").select("station_a", "station_b", haversine_km("_lat_a", "_lon_a", "_lat_b", "_lon_b").alias("separation_km"))
+    return pairs if max_separation is None else pairs.where(F.col("separation_km") <= max_separation)
 
 
 def station_pairs(spans: DataFrame, stations: DataFrame, order: DataFrame | None = None, min_joint_days: int = MIN_JOINT_DAYS, max_separation: float | None = None) -> DataFrame:

@@ -1,4 +1,9 @@
-"""The batch: one decode of each outstanding chunk feeds every product; interrupted runs resume."""
+"""The batch: one decode of each outstanding chunk feeds every product; interrupted runs resume.
+
+Chunks are worked on in groups of a bounded number. Each product of a group is recorded as
+complete right after its table is written, so a run that stops at any point loses one product of
+one group at most, and the next run makes what is missing, over what was written unrecorded.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waveline.durable import checkpoint
+from waveline.durable import checkpoint, stored
 from waveline.functions.names import Arm
 from waveline.operators import arrivals, baseline, coincidence, score, segments, snr, windows
 from waveline.operators.alarms import median_step
@@ -31,6 +36,7 @@ class Settings:
     limit_chunks: int | None = None
     near: list[tuple[float, float]] | None = None
     scorers: dict[str, score.Scorer] = field(default_factory=dict)
+    group_chunks: int = 64  # decoded at once: some 600 MB packed each, and ten times that as samples on disk
 
 
 def products(arms: list[Arm], settings: Settings) -> list[str]:
@@ -38,91 +44,116 @@ def products(arms: list[Arm], settings: Settings) -> list[str]:
     return [f"scores:{a.name}" for a in arms] + ["range"] * settings.want_range + [f"windows:{x:g}" for x in settings.lengths]
 
 
-def decoded(chunks: DataFrame, fs: float) -> tuple[DataFrame, DataFrame]:
-    """The chunks' traces and gap-free segments of their chosen channels, segments stored once."""
+def decoded(chunks: DataFrame, fs: float) -> DataFrame:
+    """Gap-free segments of the chunks' chosen channels. Traces are stored once, decoded, so that
+    channels and runs are found on their headers."""
     traces = archive.read_chunks(chunks)
-    channels = segments.pick_channels(traces)
-    return channels, checkpoint(segments.join_traces(traces, fs, channels))
+    traces = stored(traces.withColumn("n", F.size("data").cast("long")), "traces")
+    return stored(segments.join_traces(traces, fs, segments.pick_channels(traces)), "segments")
+
+
+def in_groups(chunks: DataFrame, size: int) -> list[DataFrame]:
+    """``chunks`` divided into groups of about ``size``, the same ones whenever the chunks are the same."""
+    chunks = checkpoint(chunks)
+    n = -(-chunks.count() // size)
+    group = F.pmod(F.xxhash64("station", "chunk"), F.lit(max(n, 1)))
+    return [chunks.where(group == k) for k in range(n)]
 
 
-def build_baseline(spark: SparkSession, chunks: DataFrame, layout: store.Layout, settings: Settings, sample_chunks: int = baseline.SAMPLE_CHUNKS, force: bool = False) -> DataFrame:
+def build_baseline(spark: SparkSession, chunks: DataFrame, layout: store.Layout, settings: Settings, sample_chunks: int = baseline.SAMPLE_CHUNKS, force: bool = False, piece_seconds: float = baseline.PIECE_SECONDS) -> DataFrame:
     """Baselines of the stations that lack one (all with ``force``), each sampled chunk decoded once."""
     if not force:
         have = store.read_table(spark, layout.baseline, f"{BASELINE}, {CONDITIONING}").select("station").distinct()
         chunks = chunks.join(have, "station", "left_anti")
     picked = baseline.even_sample(chunks, ["station"], "name", sample_chunks)
-    _, segs = decoded(picked, settings.fs)
-    out = checkpoint(baseline.station_baseline(segs, settings.fs, settings.low, settings.high, sample_chunks))
+    segs = decoded(picked, settings.fs)
+    out = checkpoint(baseline.station_baseline(segs, settings.fs, settings.low, settings.high, sample_chunks, piece_seconds))
     if out.head(1):
         store.write_baseline(out, layout)
     return out
 
 
+SNR_PARTS = "event_id bigint, snr double, time timestamp, mag double, dist_km double, depth double, location string, station string, chunk string"
+
+
 def run(spark: SparkSession, chunks: DataFrame, layout: store.Layout, stations: DataFrame, events: DataFrame, travel: DataFrame, arms: list[Arm], settings: Settings) -> DataFrame:
     """Make what is missing; returns ``(station, chunk, product, outputs)`` of what this run completed.
 
-    ``chunks`` is ``(station, chunk, path, ...)``. Windows are cut by measured signal to noise:
-    a station without that table yet gets it in this run and its windows in the next. A chunk
-    without a usable set of channels, or without output, is recorded as complete with none.
+    ``chunks`` is ``(station, chunk, path, ...)``. Windows are cut by measured signal to noise: a
+    station whose chunks aren't all measured when the run starts gets that table in this run and
+    its windows in the next, so that an interruption changes no window. A chunk without a usable
+    set of channels, or without output, is recorded as complete with none.
     """
     wanted = products(arms, settings)
-    done = store.completed(spark, layout)
     if settings.limit_chunks:
         chunks = inventory.limit_chunks(chunks, settings.limit_chunks)
-    missing = checkpoint(inventory.outstanding(chunks, done, wanted))
-    todo = chunks.join(missing.select("station", "chunk").distinct(), ["station", "chunk"])
-    if not todo.head(1):
+    missing = checkpoint(inventory.outstanding(chunks, store.completed(spark, layout), wanted))
+    # What the run starts from is stored: the tables are written over meanwhile.
+    base = store.read_table(spark, layout.baseline, f"{BASELINE}, {CONDITIONING}")
+    fits = checkpoint(base.join(baseline.passband_fits(base, settings.low, settings.high).where("fits").select("station"), "station"))
+    readings = checkpoint(snr.largest(store.read_table(spark, layout.snr_parts, SNR_PARTS), ["station"]))
+    ready = chunks.select("station").distinct()
+    ready = ready.join(missing.where("product = 'range'").select("station").distinct(), "station", "left_anti") if settings.want_range else ready.join(readings, "station", "left_semi")
+    ready = checkpoint(ready)
+    scorable = (fits if settings.standardize in ("trimmed", "pooled") else chunks).select("station").distinct()
+    can = {**{f"scores:{a.name}": scorable for a in arms}, "range": None, **{f"windows:{x:g}": ready for x in settings.lengths}}
+    due = None
+    for product in wanted:
+        rows = missing.where(F.col("product") == product)
+        rows = rows if can[product] is None else rows.join(can[product], "station", "left_semi")
+        due = rows if due is None else due.unionByName(rows)
+    if due is None or not (due := checkpoint(due)).head(1):
         return missing.withColumn("outputs", F.lit(0).cast("long")).limit(0)
-    _, segs = decoded(todo, settings.fs)
-    of = lambda product: segs.join(missing.where(F.col("product") == product).select("station", "chunk"), ["station", "chunk"])
-    made: list[DataFrame] = []
-
-    def finish(product: str, rows: DataFrame, only: DataFrame | None = None) -> None:
-        due = missing.where(F.col("product") == product)
-        due = due if only is None else due.join(only, "station")
-        n = rows.groupBy("station", "chunk").agg(F.count("*").alias("outputs"))
-        made.append(due.join(n, ["station", "chunk"], "left").fillna(0, ["outputs"]))
+    known = checkpoint(arrivals.predicted_arrivals(events, stations, travel))
+    made = None
+    for group in in_groups(chunks.join(due.select("station", "chunk").distinct(), ["station", "chunk"]), settings.group_chunks):
+        for done in _run_group(group, due, layout, known, fits, readings, arms, settings):
+            made = done if made is None else made.unionByName(done)
+    return checkpoint(made)
+
+
+def _run_group(group: DataFrame, due: DataFrame, layout: store.Layout, known: DataFrame, fits: DataFrame, readings: DataFrame, arms: list[Arm], settings: Settings) -> list[DataFrame]:
+    """One group's products, each written and then recorded."""
+    due = checkpoint(due.join(group.select("station", "chunk"), ["station", "chunk"], "left_semi"))
+    segs, keys, out = decoded(group, settings.fs), ["station", "chunk"], []
+    asked = {r.product for r in due.select("product").distinct().collect()}
+    of = lambda product: segs.join(due.where(F.col("product") == product).select(*keys), keys, "left_semi")
+
+    def finish(product: str, rows: DataFrame) -> None:
+        n = rows.groupBy(*keys).agg(F.count("*").alias("outputs"))
+        done = checkpoint(due.where(F.col("product") == product).join(n, keys, "left").fillna(0, ["outputs"]))
+        store.mark_completed(done, layout)
+        out.append(done)
 
-    base = store.read_table(spark, layout.baseline, f"{BASELINE}, {CONDITIONING}")
-    fits = base.join(baseline.passband_fits(base, settings.low, settings.high).where("fits").select("station"), "station")
     for arm in arms:
-        needs = settings.standardize in ("trimmed", "pooled")
-        rows = score.score(of(f"scores:{arm.name}"), arm, settings.scorers[arm.name], settings.standardize, fits if needs else None, settings.low, settings.high, settings.constant_sigma, settings.near)
-        rows = checkpoint(rows)
-        store.write_scores(rows, layout)
-        finish(f"scores:{arm.name}", rows, fits.select("station").distinct() if needs else None)
-    known = arrivals.predicted_arrivals(events, stations, travel)
-    had = store.read_table(spark, layout.snr_parts, "event_id bigint, snr double, time timestamp, mag double, dist_km double, depth double, location string, station string, chunk string")
-    cuttable = snr.largest(had, ["station"])
-    if settings.want_range:
+        if (product := f"scores:{arm.name}") in asked:
+            needs = settings.standardize in ("trimmed", "pooled")
+            rows = stored(score.score(of(product), arm, settings.scorers[arm.name], settings.standardize, fits if needs else None, settings.low, settings.high, settings.constant_sigma, settings.near), "scores")
+            store.write_scores(rows, layout)
+            finish(product, rows)
+    if "range" in asked:
         vertical = of("range").where("role = 'Z'")
-        extent = segments.span_of(vertical, ["station", "chunk"], settings.fs)
+        extent = segments.span_of(vertical, keys, settings.fs)
         inside = known.join(extent, "station").where((F.col("t") >= F.col("first")) & (F.col("t") <= F.col("last")))
-        measured = snr.measure(vertical, inside, ["station", "chunk"], settings.fs).where("not dropped")
-        parts = checkpoint(measured.select("station", "chunk", "event_id", "time", "mag", F.col("dist").alias("dist_km"), "depth", "snr", "location"))
+        measured = snr.measure(vertical, inside, keys, settings.fs).where("not dropped")
+        parts = stored(measured.select(*keys, "event_id", "time", "mag", F.col("dist").alias("dist_km"), "depth", "snr", "location"), "snr")
         store.write_snr_parts(parts, layout)
         finish("range", parts)
-    if settings.lengths:
-        ready = cuttable.select("station").distinct()
-        strong = known.join(cuttable.where(F.col("snr") >= settings.snr_min), ["station", "event_id"]).withColumn("cut_epoch", F.col("p_epoch"))
-        due = missing.where(F.col("product").startswith("windows:")).select("station", "chunk").distinct()
-        segs_due = segs.join(due, ["station", "chunk"])
-        per_chunk = strong.join(due, "station")
-        cut = checkpoint(windows.cut(per_chunk, segs_due, ["station", "chunk"], settings.fs, settings.lengths, settings.pre, settings.noise_offset))
-        store.write_windows(cut, layout)
-        for length in settings.lengths:
-            finish(f"windows:{length:g}", cut.where(F.col("length_s") == length), ready)
-    out = made[0]
-    for m in made[1:]:
-        out = out.unionByName(m)
-    out = checkpoint(out)
-    store.mark_completed(out, layout)
+    if lengths := [x for x in settings.lengths if f"windows:{x:g}" in asked]:
+        strong = known.join(readings.where(F.col("snr") >= settings.snr_min), ["station", "event_id"]).withColumn("cut_epoch", F.col("p_epoch"))
+        wanting = due.where(F.col("product").startswith("windows:")).select(*keys).distinct()
+        cut = windows.cut(strong.join(wanting, "station"), segs.join(wanting, keys, "left_semi"), keys, settings.fs, settings.lengths, settings.pre, settings.noise_offset)
+        cut = stored(cut, "windows")
+        for length in lengths:
+            rows = cut.where(F.col("length_s") == length)
+            store.write_windows(rows, layout)
+            finish(f"windows:{length:g}", rows)
     return out
 
 
 def snr_table(spark: SparkSession, layout: store.Layout) -> DataFrame:
     """Every station's one signal-to-noise table: of an event in two chunks the first, by time."""
-    had = store.read_table(spark, layout.snr_parts, "event_id bigint, snr double, time timestamp, mag double, dist_km double, depth double, location string, station string, chunk string")
+    had = store.read_table(spark, layout.snr_parts, SNR_PARTS)
     return snr.roll_up(had, ["station"], ["chunk", "time"])
 
 

@@ -7,7 +7,8 @@ import os
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -54,29 +55,45 @@ def unpack(data: bytes) -> list[Trace]:
         return read_traces(z.read(name))
 
 
-def _frame(station: str, chunk: str, traces: list[Trace]) -> pd.DataFrame:
-    cols = ["station", "chunk", "channel", "t0", "fs", "data"]
-    return pd.DataFrame([(station, chunk, t.channel, t.t0, t.fs, t.data) for t in traces], columns=cols)
+#: Samples of one batch on their way to the JVM, unless one trace has more.
+BATCH_SAMPLES = 4_000_000
+
+
+def _batches(station: str, chunk: str, traces: list[Trace]) -> Iterator[pa.RecordBatch]:
+    """A chunk's traces as Arrow batches of bounded size."""
+    at = 0
+    while at < len(traces):
+        end, n = at, 0
+        while end < len(traces) and (end == at or n + len(traces[end].data) <= BATCH_SAMPLES):
+            n += len(traces[end].data)
+            end += 1
+        part = traces[at:end]
+        ends = np.cumsum([0] + [len(t.data) for t in part]).astype(np.int32)
+        data = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.asarray(t.data, np.float64) for t in part])))
+        cols = [pa.array([station] * len(part), pa.string()), pa.array([chunk] * len(part), pa.string()), pa.array([t.channel for t in part], pa.string()), pa.array([t.t0 for t in part], pa.float64()), pa.array([t.fs for t in part], pa.float64()), data]
+        yield pa.RecordBatch.from_arrays(cols, ["station", "chunk", "channel", "t0", "fs", "data"])
+        at = end
 
 
 def read_chunks(chunks: DataFrame) -> DataFrame:
     """The traces of ``(station, chunk, path)`` rows; one file is one task's row.
 
     Files are read by Spark, so any store it reaches will do; a file must fit a task's memory.
+    The paths of ``chunks`` pass the driver, without contents: a batch run gives a group at a time.
     """
     spark = chunks.sparkSession
-    paths = [r.path for r in chunks.select("path").collect()]  # the driver's listing, without contents
+    paths = [r.path for r in chunks.select("path").collect()]
     if not paths:
         return spark.createDataFrame([], TRACE)
     content = spark.read.format("binaryFile").load(paths).select("path", "content")
-    rows = content.join(chunks.select("station", "chunk", "path"), "path").select("station", "chunk", "content")
+    rows = content.join(F.broadcast(chunks.select("station", "chunk", "path")), "path").select("station", "chunk", "content")
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples():
-                yield _frame(r.station, r.chunk, unpack(r.content))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for station, chunk, content in zip(*(batch.column(k) for k in range(3)), strict=True):
+                yield from _batches(station.as_py(), chunk.as_py(), unpack(content.as_py()))
 
-    return rows.mapInPandas(work, TRACE)
+    return rows.mapInArrow(work, TRACE)
 
 
 class _ChunkPartition(InputPartition):
@@ -106,8 +123,7 @@ class ChunkReader(DataSourceReader):
 
     def read(self, partition: _ChunkPartition):
         with open(partition.path, "rb") as f:
-            for t in unpack(f.read()):
-                yield (partition.station, partition.chunk, t.channel, t.t0, t.fs, t.data.tolist())
+            yield from _batches(partition.station, partition.chunk, unpack(f.read()))
 
 
 class ChunkSource(DataSource):

@@ -7,12 +7,18 @@ its own, since a chunk may rightly have no output at all.
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waveline.durable import checkpoint
 from waveline.schemas import COMPLETED
+from waveline.sources.mseed import Trace, write_traces
 
 
 @dataclass(frozen=True)
@@ -73,6 +79,30 @@ def write_windows(df: DataFrame, layout: Layout) -> None:
     _overwrite(df, layout.windows, ["station", "length_s", "chunk"])
 
 
+def export_windows(df: DataFrame, root: str, fs: float, comps: tuple[str, str, str] = ("HHZ", "HHN", "HHE")) -> DataFrame:
+    """Cut windows as files of three traces, ``ROOT/<length>s/<station>/<eq|noise>/<tag>.mseed``; returns their paths.
+
+    ``root`` is a folder that all executors share. A file appears whole or not at all, and a
+    task that runs again writes the same one.
+    """
+
+    def work(batches):
+        for batch in batches:
+            paths = []
+            for r in batch.to_pylist():
+                path = f"{root}/{r['length_s']:g}s/{r['station']}/{r['kind']}/{r['tag']}.mseed"
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                traces = [Trace(r["station"], c, r["t0"], fs, np.asarray(x, np.int32)) for c, x in zip(comps, r["samples"], strict=True)]
+                part = f"{path}.{uuid.uuid4().hex}.part"
+                with open(part, "wb") as f:
+                    f.write(write_traces(traces))
+                os.replace(part, path)
+                paths.append(path)
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], ["path"])
+
+    return df.select("station", "length_s", "kind", "tag", "t0", "samples").mapInArrow(work, "path string")
+
+
 def write_baseline(df: DataFrame, layout: Layout) -> None:
     _overwrite(df, layout.baseline, ["station"])
 
@@ -95,6 +125,11 @@ def completed(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.schema(COMPLETED).parquet(layout.completed).groupBy("station", "chunk", "product").agg(F.max("outputs").alias("outputs"))
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once, before a table that it reads is written over."""
+    return checkpoint(df)
+
+
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A product table, or a typed empty one before the first run."""
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)

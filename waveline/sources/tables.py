@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from waveline.schemas import CATALOG, LEDGER
 FETCHED, PENDING, UNKNOWN = ("fetched",), ("pending", "claimed", "submitted"), "?"
 
 
-def _csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, names without blanks and byte-order mark."""
     df = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
     return df.toDF(*[c.replace("\ufeff", "").strip() for c in df.columns])
@@ -22,14 +25,14 @@ def _csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
     """``(station, lat, lon)``; blank codes go, of a code listed twice the last row counts."""
-    rows = _csv(spark, path).select(F.trim("Code").alias("station"), F.col("Latitude").cast("double").alias("lat"), F.col("Longitude").cast("double").alias("lon"))
+    rows = read_csv(spark, path).select(F.trim("Code").alias("station"), F.col("Latitude").cast("double").alias("lat"), F.col("Longitude").cast("double").alias("lon"))
     rows = rows.where("station is not null and station <> ''").withColumn("_i", F.monotonically_increasing_id())
     return rows.groupBy("station").agg(F.max_by("lat", "_i").alias("lat"), F.max_by("lon", "_i").alias("lon"))
 
 
 def station_coords(spark: SparkSession, path: str, station: str) -> tuple[float, float]:
     """One station's coordinates, by its first row; an error names a station that isn't there."""
-    row = _csv(spark, path).where(F.col("Code") == station).select(F.col("Latitude").cast("double"), F.col("Longitude").cast("double")).head()
+    row = read_csv(spark, path).where(F.col("Code") == station).select(F.col("Latitude").cast("double"), F.col("Longitude").cast("double")).head()
     if row is None:
         raise KeyError(f"{station} is not in {path}")
     return row[0], row[1]
@@ -40,7 +43,7 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
     Numbers that aren't numbers are null, not NaN.
     """
-    raw = _csv(spark, path)
+    raw = read_csv(spark, path)
     number = lambda c: F.expr(f"nullif(try_cast({c} as double), double('NaN'))")
     time = F.try_to_timestamp(F.trim("Date"), F.lit("d/M/yyyy H:m:s"))
     rows = raw.select(F.expr("try_cast(EventID as bigint)").alias("event_id"), time.alias("time"), number("Latitude").alias("lat"), number("Longitude").alias("lon"), number("Depth").alias("depth"), number("Magnitude").alias("mag"), "Location")
@@ -93,7 +96,7 @@ def read_snr(spark: SparkSession, path: str) -> DataFrame:
     """``(event_id, snr)`` of a table in CSV, the larger reading of an event; no number is null."""
     from waveline.operators.snr import largest
 
-    rows = _csv(spark, path).select(F.expr("try_cast(event_id as bigint)").alias("event_id"), F.expr("nullif(try_cast(snr as double), double('NaN'))").alias("snr"))
+    rows = read_csv(spark, path).select(F.expr("try_cast(event_id as bigint)").alias("event_id"), F.expr("nullif(try_cast(snr as double), double('NaN'))").alias("snr"))
     return largest(rows)
 
 
@@ -111,4 +114,19 @@ def read_baseline(spark: SparkSession, path: str) -> tuple[DataFrame, dict | Non
     return spark.createDataFrame(rows, schema), conditioning
 
 
+def read_score_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(path, t, p)`` of score series in ``.npz`` files (arrays ``t`` and ``p``), read by Spark."""
+
+    def work(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.load(io.BytesIO(content))
+                n = len(found["t"])
+                yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array(found["t"].astype(np.float64)), pa.array(found["p"].astype(np.float32))], ["path", "t", "p"])
+
+    if not paths:
+        return spark.createDataFrame([], "path string, t double, p float")
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(work, "path string, t double, p float")
+
+
 __all__ = ["CATALOG", "load_catalog", "read_baseline", "read_events", "read_ledgers", "read_scores", "read_snr", "read_stations", "spans_in_state", "station_coords"]
