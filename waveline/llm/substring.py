@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waveline.llm.common import fresh, small_batches, stored
+from waveline.llm.common import bounded_broadcast, fresh, small_batches, stored
 
 SIZE, RUN = 50, 8
 _BASE = 0x9E3779B97F4A7C55
@@ -120,24 +120,16 @@ def _windows(chosen: DataFrame, size: int, id_type: str) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            ids = []
             for i, (text, key, todo) in enumerate(zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 hashed = Hashed(text or b"")
                 if hashed.key() != key:
                     continue
-                all_of = hashed.runs(size)
-                for t in todo:
-                    first, count = t["s"], t["c"]
-                    for col, x in zip(out, (np.full(count, t["m"]), all_of[first : first + count].view(np.int64), np.full(count, key), np.arange(first, first + count)), strict=True):
-                        col.append(x)
-                    ids.append(np.full(count, i))
-            if ids:
-                m, w, k, s = (np.concatenate(c) for c in out)
-                of = batch.column(0).take(pa.array(np.concatenate(ids)))
-                for at in range(0, len(m), 100_000):
-                    cut = slice(at, at + 100_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(m[cut], pa.int64()), pa.array(w[cut], pa.int64()), of[cut], pa.array(k[cut], pa.int32()), pa.array(s[cut], pa.int32())], ["m", "w", "doc_id", "k", "s"])
+                all_of = hashed.runs(size).view(np.int64)
+                for t in todo:  # a stretch at a time, long ones in parts
+                    for first in range(t["s"], t["s"] + t["c"], 100_000):
+                        count = min(100_000, t["s"] + t["c"] - first)
+                        of = batch.column(0).take(pa.array(np.full(count, i)))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(count, t["m"]), pa.int64()), pa.array(all_of[first : first + count]), of, pa.array(np.full(count, key), pa.int32()), pa.array(np.arange(first, first + count), pa.int32())], ["m", "w", "doc_id", "k", "s"])
 
     return chosen.mapInArrow(work, f"m bigint, w bigint, doc_id {id_type}, k int, s int")
 
@@ -228,14 +220,22 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with repeated windows cut out of the texts; rows left without a word go.
 
     A text that loses words becomes its kept words with one blank between, and ``length_col``,
-    if there is one, its code points. Others stay as they are, empty ones too. All columns stay.
+    if there is one, its code points. Others stay as they are, null and empty ones too. All
+    columns stay. Rows with one id don't clean each other, and each repeated row is cut alike; a
+    null id is neither compared nor cut. An empty table gives no rows. Where the ids of texts
+    that lose words are few in bytes, only those rows are shuffled, else all are.
     """
     found = Repeats(docs, id_col, text_col, size, run)
     names = [fresh(docs, s) for s in ("wl_key", "wl_spans", "wl_id")]
     flagged = found.flagged.select(F.col("doc_id").alias(names[2]), F.col("k").alias(names[0]), F.col("spans").alias(names[1]))
     # An id with several texts has several keys: one row of each id, its keys side by side.
-    flagged = flagged.groupBy(names[2]).agg(F.collect_list(F.struct(names[0], names[1])).alias(names[1]))
-    rows = docs.join(flagged, docs[id_col] == flagged[names[2]], "left").drop(names[2])
+    flagged = stored(flagged.groupBy(names[2]).agg(F.collect_list(F.struct(names[0], names[1])).alias(names[1])), "substring-flagged")
+    ids = flagged.select(F.col(names[2]).alias(id_col))
+    few = bounded_broadcast(ids)
+    rows, rest = docs, None
+    if few is not ids:
+        rows, rest = docs.join(few, id_col, "left_semi").select(*docs.columns), docs.join(few, id_col, "left_anti").select(*docs.columns)
+    rows = rows.join(flagged, rows[id_col] == flagged[names[2]], "left").drop(names[2])
     at, spans_at = docs.columns.index(text_col), len(docs.columns)
     length_at = docs.columns.index(length_col) if length_col in docs.columns else None
 
@@ -259,4 +259,5 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 cols[length_at] = pa.array(lengths, batch.schema.field(length_at).type)
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names[:spans_at]).filter(pa.array(keep))
 
-    return rows.mapInArrow(work, T.StructType(docs.schema.fields))
+    cut = rows.mapInArrow(work, T.StructType(docs.schema.fields))
+    return cut if rest is None else cut.unionByName(rest)
