@@ -72,6 +72,22 @@ def test_recall_against_brute_force(spark, make_docs):
     assert len(got & want) >= 0.98 * len(want)
 
 
+def test_lsh_alone_reaches_its_recall():
+    """Without the pieces: every item-sized window is embedded, and buckets alone find."""
+    rng, bench = random.Random(13), [b for b in items(30, 4) if len(b[1].split()) >= 8]
+    index = D.Index([(i, D.words_of(t)) for i, t in bench])
+    docs, hits, want = [], set(), set()
+    for k in range(60):
+        i, b = rng.choice(bench)
+        docs.append((k, f"{prose(k, 6, VOCABULARY)} {edited(b, rng.randrange(D.most_edits(len(b.split())) + 1), rng)} {prose(k + 1, 6, VOCABULARY)}"))
+    for k, t in docs:
+        hits |= {(k, index.ids[at]) for at, _, _ in index.search(t, every_window=True)}
+        want |= {(k, index.ids[at]) for at, _, _ in index.search(t)}
+    truth = {(d, i) for d, i, _ in brute(docs, bench)}
+    assert hits <= truth and want <= truth
+    assert len(hits) >= 0.97 * len(truth)
+
+
 def test_exact_and_odd_cases(spark, make_docs):
     bench = [(1, "The quick, brown fox: jumps!"), (2, "the quick brown fox jumps"), (3, None), (4, "..."), (None, "alone here"), (5, "word")]
     benchmark = spark.createDataFrame(bench, "item_id long, text string")

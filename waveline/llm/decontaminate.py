@@ -11,8 +11,10 @@ that fall into an item's bucket in any repetition are candidates, and the exact
 the item to the text around the window decides. The number of repetitions follows from the
 target recall and the agreement expected at the similarity wanted.
 
-Which item-sized windows a text has is settled without loss: of e + 1 disjoint pieces of an item
-at least one survives e edits, so only windows in line with a whole piece are embedded.
+Which item-sized windows can be near an item is settled without loss: of e + 1 disjoint pieces of
+an item at least one survives e edits, so only windows in line with a whole piece are embedded.
+With ``every_window`` the LSH finds alone, over the item-sized windows of every start; that is
+how its recall is measured (README), and costs some hundred times as much.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from waveline.llm.common import small_batches
 SIMILARITY, RECALL = 0.8, 0.99
 #: LSH: walks, positions sampled by a key, agreement of positions expected at the similarity wanted.
 WALKS, SAMPLED, AGREEMENT = 8, 3, 0.45
-#: Words of one broadcast index at most; a larger benchmark is several indexes, a pass for each.
-BLOCK_WORDS = 2_000_000
+#: Words of one broadcast index at most, some 600 bytes each; a larger benchmark is several indexes, a pass for each.
+BLOCK_WORDS = 200_000
 _PAD, _OTHER = -1, -2
 _PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
@@ -138,9 +140,11 @@ class Index:
             row = embedded[r % WALKS]
             yield (n, r, *(row[xxhash.xxh32_intdigest(b"%d" % k, seed=(r << 16) + n) % (3 * n)] for k in range(SAMPLED)))
 
-    def windows(self, codes: np.ndarray) -> set[tuple[int, int]]:
-        """(start, length) of the item-sized windows in line with a whole piece."""
+    def windows(self, codes: np.ndarray, every: bool = False) -> set[tuple[int, int]]:
+        """(start, length) of the item-sized windows in line with a whole piece; or of all there are."""
         out: set[tuple[int, int]] = set()
+        if every:
+            return {(s, n) for n in {len(x) for x in self.items} for s in range(max(1, len(codes) - n + 1))}
         for q, found in self.pieces.items():
             if len(codes) < q:
                 continue
@@ -153,7 +157,7 @@ class Index:
                     out.add((p - at, n))
         return out
 
-    def search(self, text: str | None) -> list[tuple[int, int, int]]:
+    def search(self, text: str | None, every_window: bool = False) -> list[tuple[int, int, int]]:
         """(item's place, edits, end) of every item that leaks into a text, at its fewest edits."""
         words = words_of(text)
         if not words:
@@ -162,7 +166,7 @@ class Index:
         codes = np.fromiter((get(w, _OTHER) for w in words), np.int64, len(words))
         best: dict[int, tuple[int, int]] = {}
         seen: set[tuple[int, int]] = set()
-        for start, n in sorted(self.windows(codes)):
+        for start, n in sorted(self.windows(codes, every_window)):
             window = codes[max(0, start) : max(0, start + n)].tolist()
             window = [_OTHER] * -start + window if start < 0 else window
             window += [_OTHER] * (n - len(window))
@@ -223,7 +227,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows into which any item leaks, in one pass for each block and without a join."""
+    """``docs`` without the rows into which any item leaks, in one pass for each block and without a join.
+
+    Null and wordless texts stay, as do all rows if there are no items; rows with a null or a
+    repeated id stay or go by their own texts. An empty table gives no rows; all columns stay.
+    """
     at = docs.columns.index(text_col)
     for index in _blocks(benchmark, item_col, item_text_col, SIMILARITY, RECALL):
         shared = docs.sparkSession.sparkContext.broadcast(index)
