@@ -5,7 +5,7 @@ import corpus_pipeline
 from llm_helpers import odd_rows, prose
 from test_decontaminate import brute as brute_leaks
 from test_mixing import brute as brute_mix
-from test_simhash import brute as brute_near
+from test_simhash import brute_similar
 
 from waveline.llm import langid, mixing
 
@@ -28,8 +28,8 @@ def test_stages_against_brute_force(spark, make_docs, tmp_path):
     got = sorted((str(r.doc_id), r.text) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
 
     left = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
-    near = brute_near(left)
-    left = [r for r, (i, _, c) in zip(left, near) if i is None or i == c]
+    near = brute_similar(left)
+    left = [r for r, (i, c) in zip(left, near) if i is None or i == c]
     cut, first = [], {}
     for i, t, *_ in left:
         w = t.split()

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import xxhash
 from llm_helpers import odd_rows, prose, rows_of
 
@@ -113,17 +114,9 @@ def word_sets(rows, n=5):
     return out
 
 
-def test_similar_against_brute_force_jaccard(make_docs):
-    """Groups of one base each, at every similarity around 0.8; a fingerprint's two bits miss most."""
-    rng, rows = random.Random(11), odd_rows(90_000)
-    for g in range(40):
-        base = [f"{rng.randrange(3000)}w" for _ in range(rng.randrange(60, 160))]
-        for k in range(6):
-            words = list(base)
-            for at in rng.sample(range(len(words)), rng.randrange(0, 1 + len(words) // 18)):
-                words[at] = f"x{g}-{k}-{at}"
-            rows.append((10 * g + k, " ".join(words), "en", "a"))
-    sets, part, close = word_sets(rows), list(range(len(rows))), []
+def brute_similar(rows, close=None):
+    """(doc_id, component_id) by comparing all pairs' sets of five words."""
+    sets, part = word_sets(rows), list(range(len(rows)))
 
     def find(i):
         while part[i] != i:
@@ -134,12 +127,27 @@ def test_similar_against_brute_force_jaccard(make_docs):
         for j in range(i):
             if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
                 part[find(i)] = find(j)
-                close.append((i, j))
+                if close is not None:
+                    close.append((i, j))
     least = {}
     for i, r in enumerate(rows):
         if r[0] is not None:
             least[find(i)] = min(least.get(find(i), r[0]), r[0])
-    want = sorted(((r[0], least.get(find(i))) for i, r in enumerate(rows)), key=str)
+    return [(r[0], least.get(find(i))) for i, r in enumerate(rows)]
+
+
+def test_similar_against_brute_force_jaccard(make_docs):
+    """Groups of one base each, at every similarity around 0.8; a fingerprint's two bits miss most."""
+    rng, rows = random.Random(11), odd_rows(90_000)
+    for g in range(40):
+        base = [f"{rng.randrange(3000)}w" for _ in range(rng.randrange(60, 160))]
+        for k in range(6):
+            words = list(base)
+            for at in rng.sample(range(len(words)), rng.randrange(0, 1 + len(words) // 18)):
+                words[at] = f"x{g}-{k}-{at}"
+            rows.append((10 * g + k, " ".join(words), "en", "a"))
+    close = []
+    want = sorted(brute_similar(rows, close), key=str)
     docs = make_docs(rows)
     assert sorted(((r.doc_id, r.component_id) for r in simhash.similar(docs, 5, 0.8).collect()), key=str) == want
     assert sorted(str(r.doc_id) for r in simhash.keep_one(docs, shingle=5, similarity=0.8).collect()) == sorted(str(i) for i, c in want if i is None or i == c)
@@ -148,6 +156,36 @@ def test_similar_against_brute_force_jaccard(make_docs):
     assert simhash.similar(make_docs([]), 5, 0.8).collect() == []
 
 
+def test_large_groups_just_below_the_similarity(make_docs, monkeypatch):
+    """Lists of many members that their smallest isn't similar to: compared in small blocks, all links found."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    rng, base = random.Random(21), [f"b{i}" for i in range(120)]
+    rows = []
+    for k in range(110):
+        words = list(base)
+        for at in rng.sample(range(len(words)), rng.randrange(1, 5)):
+            words[at] = f"x{k}-{at}"
+        rows.append((k, " ".join(words), "en", "a"))
+    close = []
+    want = sorted(brute_similar(rows, close), key=str)
+    assert 5 < len({c for _, c in want}) < 100 and 100 < len(close) < 4000
+    assert sorted(((r.doc_id, r.component_id) for r in simhash.similar(make_docs(rows), 5, 0.8).collect()), key=str) == want
+
+
+def test_packed_sets_come_back():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 700):
+        own = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        assert np.array_equal(simhash.unpack_set(simhash.pack_set(own)), own >> np.uint64(24))
+
+
+def test_common_counts():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64)) for _ in range(12)]
+    got = simhash.common_counts(sets[:5], sets[5:])
+    assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[5:]] for a in sets[:5]]
+
+
 def test_pipeline_stage_drops_copies_at_five_words_and_eight_tenths(spark, make_docs):
     import corpus_pipeline
 

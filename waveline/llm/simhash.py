@@ -16,15 +16,18 @@ and at most 65 can emit the same one, so linking the emitters of a word to its s
 the same components without pairs.
 
 Two bits find copies that are all but exact. ``similar_nodes`` is for a set similarity instead
-(Jaccard of word shingles, 0.8 in the pipeline), where fingerprints differ in ten bits of 64 on
-average and up to twenty, so that no byte need be shared. There, lists are keyed by bands of
-minimum hashes: a pair at 0.8 misses all 40 bands of five with a chance of 1e-7. Pairs that
-meet are verified by their whole shingle sets; where a list's members aren't yet linked, pairs
-whose signatures of 2048 minimum hashes differ in more than any at 0.8 would (chance 1e-7) are not.
+(Jaccard of word shingles, 0.8 in the pipeline), where 64-bit fingerprints differ in ten bits on
+average and up to twenty, so that no byte need be shared. There, the fingerprint is 200
+positional bytes, each of another minimum hash, and a pair shares each of them with the chance
+of its similarity: lists are keyed by five positional bytes at once (40 lists; a pair at 0.8
+misses all with a chance of 1e-7), the shared bytes of pairs that meet are tallied, those under
+the minimum that a pair at 0.8 reaches (chance of less 2e-8) are dropped, and the rest are
+verified by their whole shingle sets.
 """
 
 from __future__ import annotations
 
+import zlib
 from itertools import combinations
 
 import numpy as np
@@ -37,12 +40,12 @@ from waveline.llm.common import bounded_broadcast, checkpoint, small_batches
 from waveline.llm.components import connected_components
 
 SEED, SHINGLE, MAX_BITS, MAX_LIST = 42, 3, 2, 64
-#: Bands of minimum hashes, and the hashes of a band.
+#: Lists that a set is in, and positional bytes that key a list.
 BANDS, BAND = 40, 5
-#: One bit of each of so many minimum hashes makes a signature; its bits differ at half the dissimilarity.
-BITS = 2048
-_WORDS = [f"w{k}" for k in range(BITS // 64)]
-_MULT, _ADD = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BITS, 1)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+BYTES = BANDS * BAND
+#: Members of a block of a list, where a list's members are compared with each other.
+BLOCK = 256
+_MULT, _ADD = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BYTES, 1)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 #: Positional bytes by twos, and the two of these four that key a list.
 _BLOCKS = list(combinations(range(4), 2))
 
@@ -129,99 +132,158 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_list: int = MAX_LIST) ->
     return edges.unionByName(stars.distinct())
 
 
-def minima(own: np.ndarray, n: int) -> np.ndarray:
-    """The least value of a set under each of the first ``n`` hash functions."""
-    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+def minima(own: np.ndarray) -> np.ndarray:
+    """The least value of a set under each of the hash functions."""
+    least = np.full(BYTES, np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(own), 256):
-        mixed = (own[k : k + 256] ^ (own[k : k + 256] >> np.uint64(29))) * _MULT[:n] + _ADD[:n]
+        mixed = (own[k : k + 256] ^ (own[k : k + 256] >> np.uint64(29))) * _MULT + _ADD
         least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=1))
     return least
 
 
-def sketch(data: bytes, shingle: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """A node, the same for texts of one shingle set; the lists it is in; the sorted set itself."""
-    own = np.unique(shingle_hashes(data, shingle))
-    node = xxhash.xxh64_intdigest(own.tobytes(), SEED)
-    if not len(own):
-        return node, np.empty(0, np.uint64), own
-    keys = np.array([xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(minima(own, BANDS * BAND).reshape(BANDS, BAND))], np.uint64)
-    return node, keys, own
+def pack_set(own: np.ndarray) -> bytes:
+    """A sorted set of hashes by their upper 40 bits: steps as byte planes, compressed."""
+    steps = np.diff(own >> np.uint64(24), prepend=np.uint64(0))
+    return zlib.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes(), 1)
+
 
+def unpack_set(data: bytes) -> np.ndarray:
+    """The 40-bit hashes of a packed set, sorted."""
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(5, -1)
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, :5] = planes.T
+    return np.cumsum(wide.view(np.uint64).ravel())
 
-def _longs(arrays: list[np.ndarray]) -> pa.Array:
-    ends = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
-    flat = np.concatenate([*arrays, np.empty(0, np.uint64)]).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+def sketch(data: bytes, shingle: int) -> tuple[int, bytes | None, bytes]:
+    """A node, the same for texts of one shingle set; its positional bytes; the packed set itself."""
+    own = np.unique(shingle_hashes(data, shingle))
+    node = xxhash.xxh64_intdigest(own.tobytes(), SEED)
+    return node, (minima(own) >> np.uint64(13)).astype(np.uint8).tobytes() if len(own) else None, pack_set(own)
 
 
 def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, node, lists, shingles)`` of every row; a null text has no words."""
+    """``(doc_id, node, bytes, shingles)`` of every row; a null text has no words and no bytes."""
 
     def run(batches):
         for batch in batches:
             found = [sketch(t or b"", shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             nodes = np.array([f[0] for f in found], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), _longs([f[1] for f in found]), _longs([f[2] for f in found])], ["doc_id", "node", "lists", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), pa.array([f[1] for f in found], pa.binary()), pa.array([f[2] for f in found], pa.binary())], ["doc_id", "node", "bytes", "shingles"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     rows = small_batches(docs).select(F.col(id_col), F.col(text_col))
-    return rows.mapInArrow(run, f"doc_id {kind}, node bigint, lists array<bigint>, shingles array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {kind}, node bigint, bytes binary, shingles binary")
 
 
-def _sets(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of these nodes, once each."""
-    few = bounded_broadcast(checkpoint(nodes.distinct()))
-    return rows.select("node", "shingles").join(few, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+def least_tally(similarity: float) -> int:
+    """The positional bytes that a pair at this similarity shares at least, but for a chance of 2e-8."""
+    rate = similarity + (1 - similarity) / 256
+    return int(BYTES * rate - 5.5 * (BYTES * rate * (1 - rate)) ** 0.5)
 
 
-def _signed(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(node, w0, w1, ...)``: signatures of these nodes; plain columns, so that comparing them is compiled."""
+def _nodes(wanted: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(node, bytes, shingles)`` of the ``wanted`` nodes, once each."""
+    few = bounded_broadcast(checkpoint(wanted.distinct()))
+    return rows.select("node", "bytes", "shingles").join(few, "node", "left_semi").groupBy("node").agg(F.first("bytes").alias("bytes"), F.first("shingles").alias("shingles"))
 
-    def run(batches):
-        for batch in batches:
-            own = [np.asarray(x, np.int64).view(np.uint64) for x in batch.column(1).to_pylist()]
-            bits = [np.packbits((minima(x, BITS) >> np.uint64(13) & np.uint64(1)).astype(np.uint8)).view(np.int64) for x in own]
-            columns = np.array(bits, np.int64).reshape(-1, BITS // 64).T
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(c)) for c in columns]], ["node", *_WORDS])
 
-    return checkpoint(small_batches(_sets(nodes, rows)).mapInArrow(run, ", ".join(f"{c} bigint not null" for c in ("node", *_WORDS))))
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets have at least this Jaccard similarity."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= similarity * (len(a) + len(b) - common) - 1e-9
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose whole shingle sets have at least this Jaccard similarity."""
-    sets = checkpoint(_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), rows))
-    wide = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-    wide = wide.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return checkpoint(wide.where(common >= F.lit(similarity) * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b"))
+    """The pairs ``(a, b)`` that share enough positional bytes, and by whole shingle sets are similar enough."""
+    known = checkpoint(_nodes(pairs.select(F.explode(F.array("a", "b")).alias("node")), rows))
+    wide = pairs.join(known.select(F.col("node").alias("a"), F.col("bytes").alias("ta"), F.col("shingles").alias("sa")), "a")
+    wide = wide.join(known.select(F.col("node").alias("b"), F.col("bytes").alias("tb"), F.col("shingles").alias("sb")), "b")
+    least = least_tally(similarity)
+
+    def run(batches):
+        for batch in batches:
+            ta, tb = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BYTES) for k in (2, 3))
+            met = np.flatnonzero((ta == tb).sum(axis=1) >= least).tolist()
+            keep = [i for i in met if alike(unpack_set(batch.column(4)[i].as_py()), unpack_set(batch.column(5)[i].as_py()), similarity)]
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], ["a", "b"])
+
+    return checkpoint(small_batches(wide).select("a", "b", "ta", "tb", "sa", "sb").mapInArrow(run, "a bigint, b bigint"))
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of the left shares with each of the right: a product over those that several sets have."""
+    of = np.concatenate([*left, *right])
+    row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    found, place, n = np.unique(of, return_inverse=True, return_counts=True)
+    column = np.cumsum(n > 1) - 1
+    use = (n > 1)[place]
+    row, place = row[use], column[place[use]]
+    width, out = int((n > 1).sum()), np.zeros((len(left), len(right)))
+    for lo in range(0, width, 1 << 14):
+        part = (place >= lo) & (place < lo + (1 << 14))
+        matrix = np.zeros((len(left) + len(right), min(1 << 14, width - lo)), np.float32)
+        matrix[row[part], place[part] - lo] = 1
+        out += matrix[: len(left)] @ matrix[len(left) :].T
+    return out
+
+
+def _joining(table: pa.Table, similarity: float) -> pa.Table:
+    """Of two blocks of a list, links that join components: no more than there are members."""
+    side, nodes, parts = (table[c].to_numpy() for c in ("side", "node", "component"))
+    sets = [unpack_set(x) for x in table["shingles"].to_pylist()]
+    left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+    common = common_counts([sets[i] for i in left], [sets[i] for i in right])
+    sizes = np.array([len(x) for x in sets])
+    met = common >= similarity * (sizes[left][:, None] + sizes[right] - common) - 1e-9
+    met &= parts[left][:, None] != parts[right]
+    of = {p: p for p in set(parts.tolist())}
+
+    def root(p):
+        while of[p] != p:
+            of[p] = of[of[p]]
+            p = of[p]
+        return p
+
+    out = []
+    for i, j in np.argwhere(met).tolist():
+        p, q = root(parts[left[i]].item()), root(parts[right[j]].item())
+        if p != q:
+            of[p] = q
+            out.append((nodes[left[i]].item(), nodes[right[j]].item()))
+    return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
 
 def similar_nodes(rows: DataFrame, similarity: float) -> DataFrame:
     """``(node, component)`` of the sketched nodes that have a neighbour at this similarity.
 
-    First the members of each list are verified against its smallest only; of lists that this
-    leaves in several components, all pairs that could still join two of them come next, so
-    groups of near copies cost no pairs beyond their stars and no pair is left out.
+    First the members of each list are compared with its smallest only, which settles groups of
+    near copies by stars. Where that leaves a list's members in several components, those outside
+    the largest one are compared with all others, exactly and in blocks of BLOCK members; a pair
+    of blocks gives only links that join components. No pair that could be a link is left out.
     """
-    postings = rows.select(F.explode("lists").alias("list"), "node")
+    keys = F.array(*[F.xxhash64(F.lit(k), F.substring(F.col("bytes"), k * BAND + 1, BAND)) for k in range(BANDS)])
+    postings = rows.where("bytes is not null").select("node", F.explode(keys).alias("list"))
     hubs = checkpoint(postings.groupBy("list").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("list", "hub"))
     met = checkpoint(postings.join(hubs, "list").distinct())
     edges = _verified(checkpoint(met.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()), rows, similarity)
     part = connected_components(edges)
-    of = checkpoint(met.join(part, "node", "left").select("list", "node", "hub", F.coalesce("component", "node").alias("component")))
+    of = checkpoint(met.join(part, "node", "left").select("list", "node", F.coalesce("component", "node").alias("component")))
     sizes = checkpoint(of.groupBy("list", "component").agg(F.count("*").alias("n")))
-    main = checkpoint(sizes.groupBy("list").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts"))
-    apart = checkpoint(of.join(main, "list").where("node <> hub").select("list", "node", "component", "main"))
-    apart = checkpoint(apart.join(_signed(apart.select("node"), rows), "node"))
-    stray = apart.where("component <> main").select("list", F.col("node").alias("x"), F.col("component").alias("cx"), *[F.col(w).alias(f"x{w}") for w in _WORDS])
-    differing = sum(F.bit_count(F.col(f"x{w}").bitwiseXOR(F.col(w))) for w in _WORDS)
-    rate = (1 - similarity) / 2
-    most = BITS * rate + 5.5 * (BITS * rate * (1 - rate)) ** 0.5
-    once = (F.col("cx") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("node")))
-    pairs = stray.join(apart, [stray["list"] == apart["list"], once, differing <= most])
-    pairs = checkpoint(pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
-    more = _verified(pairs, rows, similarity)
-    return connected_components(edges.unionByName(more))
+    lists = sizes.groupBy("list").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1 and n > 2")  # of two, one is the hub
+    lists = checkpoint(lists.select("list", "main", F.ceil(F.col("most") / BLOCK).cast("int").alias("mains"), F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("strays")))
+    placed = of.join(lists, "list")
+    stray = F.col("component") != F.col("main")
+    own = F.pmod(F.xxhash64("node"), F.when(stray, F.col("strays")).otherwise(F.col("mains"))).cast("int") + F.when(stray, 0).otherwise(F.col("strays"))
+    # Blocks of strays come first; a pair of blocks i <= j has strays as i, and any block as j.
+    placed = placed.select("list", "node", "component", own.alias("own"), F.when(stray, F.col("strays") + F.col("mains")).otherwise(F.col("strays")).alias("n"))
+    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 3).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    other = other.select("list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component", side.cast("int").alias("side"))
+    known = checkpoint(_nodes(placed.select("node"), rows).select("node", "shingles"))
+    more = other.join(known, "node").groupBy("list", "i", "j").applyInArrow(lambda t: _joining(t, similarity), "a bigint, b bigint")
+    return connected_components(edges.unionByName(checkpoint(more)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, max_list: int = MAX_LIST) -> DataFrame:
@@ -260,8 +322,11 @@ def similar(docs: DataFrame, shingle: int, similarity: float, id_col: str = "doc
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """``docs`` without the rows whose component has a smaller id; all columns stay.
 
-    Components are of close fingerprints, or of shingle sets if a ``similarity`` is given.
+    Components are of close fingerprints, or of shingle sets if a ``similarity`` is given. Null
+    and wordless texts are copies of each other. Rows that repeat an id that stays all stay, and
+    so does a null id, which is compared but never dropped. An empty table gives no rows. Ids to
+    drop are broadcast if they are few in bytes; else whole rows are shuffled.
     """
     found = near_duplicates(docs, id_col, text_col) if similarity is None else similar(docs, shingle, similarity, id_col, text_col)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    gone = checkpoint(found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct())
+    return docs.join(bounded_broadcast(gone), id_col, "left_anti").select(*docs.columns)
