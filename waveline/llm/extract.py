@@ -1,17 +1,24 @@
 """HTML main text: a page's blocks labelled content or boilerplate by a minimum cut.
 
-A page is cut into blocks of text at its block-level tags. A classifier over a block's
-surroundings and words gives what it costs to call it boilerplate (its capacity from the source)
-and to call it content (its capacity to the sink). Neighbouring blocks, and blocks that follow
-each other in one container, are joined by edges that cost when their labels differ, the more
-the closer they are in the document tree. The maximum flow's cut is the cheapest labelling.
+A page is cut into blocks of text at its block-level tags. A classifier over a block's own
+features (length, links, its tag, marks of its surroundings) gives log-odds, which are what it
+costs to call it boilerplate (its capacity from the source) or content (to the sink). Blocks
+that follow each other are joined by edges that cost when their labels differ, the more the
+closer they are in the document tree, and so are the steps of one container; across the border
+of an article, or of an element marked as something else, edges are weak. The maximum flow's cut
+is the cheapest labelling: a short or linked paragraph amid an article stays with it, and a long
+one in a row of links goes with them, though alone each would be taken for the other.
+
+Costs and edges are of one scale, chosen so: only a mark, or a long text, outweighs both
+neighbours (two edges of ADJACENT / 2); a long text outweighs a linked one; a mark any length.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import deque
+from bisect import bisect_left
+from collections import Counter, deque
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -30,44 +37,53 @@ AWAY_WORDS = frozenset("ad ads advert adverts advertisement advertisements adsen
 NEAR_WORDS = frozenset("article articles content contents main post entry story text body page hentry maincontent".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+_SPECIAL = re.compile("[>\"']")
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 _NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _NO_END = ("p", "li", "dt", "dd", "tr", "td", "th", "option")
 
-#: The classifier's weights, in nats: positive for content.
-AWAY, SURE, INSIDE, NAMED, LENGTH, LINKS, HEADING, BIAS = -12.0, -30.0, 6.0, 2.0, 0.05, -4.0, 0.5, -0.5
-#: The cost of a label change between neighbours, and between steps in one container.
-ADJACENT, SIBLING = 1.5, 0.5
+#: The classifier's weights, log-odds for content: of any block, a character (up to so many), all
+#: its text being links, a heading, a paragraph, another element, a place inside an article, inside
+#: an element named like one, and of each mark that it is something else (two count at most).
+BIAS, CHARACTER, MOST, LINKS, HEADING, PARAGRAPH, OTHER, INSIDE, NAMED, AWAY = -1.0, 0.01, 500, -3.0, 1.5, 0.5, -0.3, 0.45, 0.45, -8.0
+#: The cost of a label change between neighbours, by their distance in the tree; between steps of
+#: one container that aren't neighbours; and what is left of the first across a border.
+ADJACENT, SIBLING, BORDER = 5.0, 1.0, 0.1
+_PARAGRAPHS, _PLAIN = frozenset("p blockquote pre figcaption".split()), frozenset("li dd dt td th".split())
 
 
 @dataclass
 class Block:
     text: str
-    path: tuple[int, ...]  # numbers of the containers, outermost first
     score: float
+    holder: int  # the container's number
+    distance: int  # steps in the tree from the block before
+    side: tuple[bool, int]  # inside an article; marks of something else
+    links: float  # share of the text
 
 
 class _Open:
-    __slots__ = ("tag", "number", "away", "inside", "named", "silent")
+    __slots__ = ("tag", "number", "away", "inside", "named", "lead", "depth")
 
-    def __init__(self, tag, number, away, inside, named, silent):
-        self.tag, self.number, self.away, self.inside, self.named, self.silent = tag, number, away, inside, named, silent
+    def __init__(self, tag, number, away, inside, named, lead, depth):
+        self.tag, self.number, self.away, self.inside, self.named, self.lead, self.depth = tag, number, away, inside, named, lead, depth
 
 
-def _opened(tag: str, attributes: str, number: int, above: _Open | None) -> _Open:
-    """An element with what it inherits: away from the article, inside it, named like it, silent."""
-    away = above.away if above else 0
-    inside, named, silent = (above.inside, above.named, above.silent) if above else (False, False, False)
-    inside = inside or tag in ("article", "main")
-    if tag in AWAY_TAGS or tag == "header" and not inside:
+def _opened(tag: str, attributes: str, number: int, above: _Open | None) -> _Open | None:
+    """An element with what it inherits: marks, inside an article, named like one, an article's own header; None if it isn't shown."""
+    away, inside, named, lead, depth = (above.away, above.inside, above.named, above.lead, above.depth) if above else (0, False, False, False, 0)
+    if tag == "header" and inside:
+        lead = True
+    elif tag in AWAY_TAGS or tag == "header":
         away += 1
+    inside = inside or tag in ("article", "main")
     if attributes:
         for m in _NAMES.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                silent = True
-            elif name in ("class", "id", "role"):
+                return None
+            if name in ("class", "id", "role"):
                 words = {w.lower() for w in _WORDS.findall(value)}
                 if tag in ("html", "body"):
                     continue
@@ -75,7 +91,36 @@ def _opened(tag: str, attributes: str, number: int, above: _Open | None) -> _Ope
                     named = True
                 elif words & AWAY_WORDS and not (tag in HEADINGS or tag in ("article", "main") or words & NEAR_WORDS and words & {"header", "page"}):
                     away += 1
-    return _Open(tag, number, away, inside, named, silent)
+    return _Open(tag, number, away, inside, named, lead, depth + (tag in BLOCK_TAGS))
+
+
+class _Ends:
+    """Where tags end: the next ``>`` outside quotes. Linear over a page, whatever it is torn like."""
+
+    def __init__(self, page: str):
+        self.page, self.known = page, {}
+        self.places = [m.start() for m in _SPECIAL.finditer(page)]
+        self.close, last = [0] * len(self.places), {}
+        for k in range(len(self.places) - 1, -1, -1):  # of each quote the next like it, by its place in the list
+            c = page[self.places[k]]
+            self.close[k] = last.get(c, -1)
+            last[c] = k
+
+    def of(self, at: int) -> int:
+        """The place of the end of a tag whose attributes begin at ``at``; -1 if there is none. A
+        quote that never closes is no quote."""
+        k, path = bisect_left(self.places, at), []
+        while k not in self.known:
+            path.append(k)
+            if k >= len(self.places) or self.page[self.places[k]] == ">":
+                self.known[k] = self.places[k] if k < len(self.places) else -1
+            elif self.close[k] < 0:
+                k += 1
+            else:
+                k = self.close[k] + 1
+        for x in path:
+            self.known[x] = self.known[k]
+        return self.known[k]
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -83,59 +128,104 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[_Open] = []
     parts: list[str] = []
-    linked, number, at, n = 0, 0, 0, len(page)
-    in_link = 0
+    open_tags: Counter = Counter()
+    ends, unclosed = None, set()
+    linked = number = at = in_link = low = hidden = 0
+    n = len(page)
 
     def end_block() -> None:
-        nonlocal linked
+        nonlocal linked, low
         if parts:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
                 top = stack[-1] if stack else None
-                score = BIAS + LENGTH * min(len(text), 400) + LINKS * min(1.0, linked / len(text))
-                if top:
-                    score += (INSIDE if top.inside else 0) + (NAMED if top.named else 0) + (HEADING if any(e.tag in HEADINGS for e in stack[-2:]) else 0)
-                    score = min(score, SURE) if top.away > 1 else score + AWAY - LENGTH * min(len(text), 400) - (INSIDE if top.inside else 0) if top.away else score
-                out.append(Block(text, tuple(e.number for e in stack if e.tag in BLOCK_TAGS), score))
+                tags = {e.tag for e in stack[-3:]}
+                score = BIAS + CHARACTER * min(len(text), MOST) + LINKS * min(1.0, linked / len(text))
+                score += HEADING if tags & HEADINGS else PARAGRAPH if tags & _PARAGRAPHS else 0.0 if tags & _PLAIN else OTHER
+                away, inside, depth = (top.away + (top.lead and not tags & HEADINGS), top.inside, top.depth) if top else (0, False, 0)
+                score += INSIDE * inside + NAMED * (top is not None and top.named) + AWAY * min(away, 2)
+                box = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag in BLOCK_TAGS), 0)
+                holder = stack[box - 1].number if box else 0
+                steps = max(1, depth_of[0] + depth - 2 * min(low, depth)) if out else 0
+                out.append(Block(text, score, holder, steps, (inside, away), min(1.0, linked / len(text))))
+                depth_of[0] = low = depth
         linked = 0
 
+    depth_of = [0]
+
+    def pop_to(k: int) -> None:
+        nonlocal in_link, hidden, low
+        for e in stack[k:]:
+            open_tags[e.tag] -= 1
+            in_link -= e.tag == "a"
+        del stack[k:]
+        low = min(low, stack[-1].depth if stack else 0)
+
     def say(text: str) -> None:
         nonlocal linked
-        if text and not (stack and stack[-1].silent):
+        if text:
             text = entities.unescape(text) if "&" in text else text
             parts.append(text)
             if in_link:
                 linked += len(text.strip())
 
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
+    def skip(tag: str, at: int) -> int:
+        """The end of an element that isn't shown; ``at`` if it never ends."""
+        if tag in unclosed:
+            return at
+        close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+        if close is None:
+            unclosed.add(tag)
+            return at
+        return close.end()
+
+    while at < n:
+        start = page.find("<", at)
+        if start < 0:
+            break
+        if page.startswith("<!--", start):
+            say(page[at:start])
+            end = page.find("-->", start + 4)
+            at = n if end < 0 else end + 3
+            continue
+        if page.startswith("<![CDATA[", start):
+            end = page.find("]]>", start)
+            say(page[at:start])
+            say(page[start + 9 : n if end < 0 else end])
+            at = n if end < 0 else end + 3
+            continue
+        m = _TAG.match(page, start + 1)
+        marked = m is not None or page[start + 1 : start + 2] in ("!", "?", "/")
+        if marked and ends is None:
+            ends = _Ends(page)
+        end = ends.of(m.end() if m else start + 1) if marked else -1
+        if end < 0:  # a bare sign, or a tag that is torn off
+            say(page[at : start + 1])
+            at = start + 1
             continue
-        say(page[at : m.start()])
-        at = m.end()
-        tag = m[2]
-        if not tag:
-            if m[0].startswith("<![CDATA["):
-                say(m[0][9:-3])
+        say(page[at:start])
+        at = end + 1
+        if m is None:
             continue
-        tag = tag.lower()
+        tag, attributes = m[2].lower(), page[m.end() : end]
         if m[1]:
             if tag in BLOCK_TAGS:
                 end_block()
             elif tag == "br":
                 parts.append(" ")
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == tag:
-                    in_link -= sum(e.tag == "a" for e in stack[k:])
-                    del stack[k:]
-                    break
-                if tag not in BLOCK_TAGS and stack[k].tag in BLOCK_TAGS:
-                    break  # an inline end tag doesn't close blocks
+            if open_tags[tag]:
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k].tag == tag:
+                        pop_to(k)
+                        break
+                    if tag not in BLOCK_TAGS and stack[k].tag in BLOCK_TAGS:
+                        break  # an inline end tag doesn't close blocks
             continue
         if tag in SILENT_TAGS:
-            if not m[3].endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = close.end() if close else n if tag in ("script", "style") else at
+            if not attributes.endswith("/"):
+                after = skip(tag, at)
+                at = after if after > at else n if tag in ("script", "style") else at
             continue
         if tag in BLOCK_TAGS:
             end_block()
@@ -143,35 +233,49 @@ def blocks_of(page: str) -> list[Block]:
             for k in range(len(stack) - 1, -1, -1):
                 open_tag = stack[k].tag
                 if open_tag == "p" or open_tag == tag and tag in _NO_END:
-                    in_link -= sum(e.tag == "a" for e in stack[k:])
-                    del stack[k:]
+                    pop_to(k)
                     break
                 if open_tag in BLOCK_TAGS:
                     break
-        elif tag in ("br", "img", "wbr"):
-            parts.append(" " if tag == "br" else "")
-        if tag not in VOID_TAGS and not m[3].endswith("/"):
+        elif tag == "br":
+            parts.append(" ")
+        if tag not in VOID_TAGS and not attributes.endswith("/"):
             number += 1
-            stack.append(_opened(tag, m[3], number, stack[-1] if stack else None))
+            element = _opened(tag, attributes, number, stack[-1] if stack else None)
+            if element is None:  # not shown: up to its own end tag
+                at = _past(page, tag, at, ends)
+                continue
+            stack.append(element)
+            open_tags[tag] += 1
             in_link += tag == "a"
     say(page[at:])
     end_block()
     return out
 
 
+def _past(page: str, tag: str, at: int, ends: _Ends) -> int:
+    """Where a hidden element ends: at the end tag that matches, or at the page's end."""
+    deep = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])", re.I).finditer(page, at):
+        deep += -1 if m[1] else 1
+        if not deep:
+            end = ends.of(m.end())
+            return end + 1 if end >= 0 else len(page)
+    return len(page)
+
+
 def _edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    """Neighbours, and steps in one container; nearer in the tree costs more."""
+    """Neighbours, nearer in the tree costing more and little across a border; and steps of one
+    container with something else between them."""
     out, last = [], {}
     for i, b in enumerate(blocks):
         if i:
-            a = blocks[i - 1].path
-            common = sum(1 for x, y in zip(a, b.path, strict=False) if x == y)
-            away = len(a) + len(b.path) - 2 * common
-            out.append((i - 1, i, ADJACENT / (1 + away)))
-        holder = b.path[-2] if len(b.path) > 1 else 0
-        if holder in last and last[holder] < i - 1:
-            out.append((last[holder], i, SIBLING))
-        last[holder] = i
+            weight = ADJACENT / max(2, b.distance)
+            out.append((i - 1, i, weight if blocks[i - 1].side == b.side else weight * BORDER))
+        k = last.get((b.holder, b.side), i)
+        if k < i - 1:
+            out.append((k, i, SIBLING))
+        last[b.holder, b.side] = i
     return out
 
 
@@ -236,11 +340,17 @@ def min_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bo
                     room[e ^ 1] += flow
 
 
+def labels(blocks: list[Block]) -> list[bool]:
+    """Which blocks are content, by the minimum cut. Where it leaves none (a page of a few words),
+    the blocks without a mark, and not mostly links, are."""
+    out = min_cut([b.score for b in blocks], _edges(blocks))
+    return out if any(out) else [not b.side[1] and b.links < 0.5 for b in blocks]
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by newlines; empty if there are none."""
     blocks = blocks_of(page or "")
-    labels = min_cut([b.score for b in blocks], _edges(blocks))
-    return "\n".join(b.text for b, content in zip(blocks, labels, strict=True) if content)
+    return "\n".join(b.text for b, content in zip(blocks, labels(blocks), strict=True) if content)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
