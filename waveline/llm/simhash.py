@@ -43,8 +43,9 @@ SEED, SHINGLE, MAX_BITS, MAX_LIST = 42, 3, 2, 64
 #: Lists that a set is in, and positional bytes that key a list.
 BANDS, BAND = 40, 5
 BYTES = BANDS * BAND
-#: Members of a block of a list, where a list's members are compared with each other.
-BLOCK = 256
+#: Members of a block of a list, and bytes of their packed sets, on average at most, where a list's
+#: members are compared with each other; a larger set is a block of its own.
+BLOCK, BLOCK_BYTES = 256, 1 << 20
 _MULT, _ADD = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BYTES, 1)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 #: Positional bytes by twos, and the two of these four that key a list.
 _BLOCKS = list(combinations(range(4), 2))
@@ -264,15 +265,18 @@ def similar_nodes(rows: DataFrame, similarity: float) -> DataFrame:
     of blocks gives only links that join components. No pair that could be a link is left out.
     """
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring(F.col("bytes"), k * BAND + 1, BAND)) for k in range(BANDS)])
-    postings = rows.where("bytes is not null").select("node", F.explode(keys).alias("list"))
+    postings = rows.where("bytes is not null").select("node", F.octet_length("shingles").alias("size"), F.explode(keys).alias("list"))
     hubs = checkpoint(postings.groupBy("list").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("list", "hub"))
     met = checkpoint(postings.join(hubs, "list").distinct())
     edges = _verified(checkpoint(met.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()), rows, similarity)
     part = connected_components(edges)
-    of = checkpoint(met.join(part, "node", "left").select("list", "node", F.coalesce("component", "node").alias("component")))
-    sizes = checkpoint(of.groupBy("list", "component").agg(F.count("*").alias("n")))
-    lists = sizes.groupBy("list").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1 and n > 2")  # of two, one is the hub
-    lists = checkpoint(lists.select("list", "main", F.ceil(F.col("most") / BLOCK).cast("int").alias("mains"), F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("strays")))
+    of = checkpoint(met.join(part, "node", "left").select("list", "node", "size", F.coalesce("component", "node").alias("component")))
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES)).cast("int")
+    sizes = checkpoint(of.groupBy("list", "component").agg(F.count("*").alias("n"), F.sum("size").alias("size")))
+    lists = sizes.groupBy("list").agg(F.max(F.struct("n", "component", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("parts"))
+    lists = lists.where("parts > 1 and n > 2")  # of two, one is the hub
+    strays = blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size"))
+    lists = checkpoint(lists.select("list", F.col("most.component").alias("main"), blocks(F.col("most.n"), F.col("most.size")).alias("mains"), strays.alias("strays")))
     placed = of.join(lists, "list")
     stray = F.col("component") != F.col("main")
     own = F.pmod(F.xxhash64("node"), F.when(stray, F.col("strays")).otherwise(F.col("mains"))).cast("int") + F.when(stray, 0).otherwise(F.col("strays"))
