@@ -217,7 +217,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
                 yield pa.RecordBatch.from_arrays([row.column(0).flatten(), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array(counts > limit, pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     fields = f"block bigint, pieces array<string>, ids array<{kind}>, sizes array<bigint>, special array<bigint>, frequencies binary"
-    blocks = stored(small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(divide, fields), "token-blocks")
+    blocks = stored(small_batches(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(divide, fields), "token-blocks", "zstd")
     dealt = blocks.select("block", F.posexplode("pieces").alias("place", "piece")).repartition(F.col("piece"))
     told = dealt.mapInArrow(lengths, "block bigint, place int, length int")
     told = told.groupBy("block").agg(F.collect_list(F.struct("place", "length")).alias("x"))  # a block is bounded
