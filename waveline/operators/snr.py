@@ -39,7 +39,7 @@ def ratio_of(signal: Column, noise: Column) -> Column:
     return F.when(noise > 0, signal / noise)
 
 
-def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float, band: tuple[float, float] | None = BAND) -> DataFrame:
+def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float, band: tuple[float, float] | None = BAND, noise: tuple[float, float] = NOISE, signal: tuple[float, float] = SIGNAL) -> DataFrame:
     """``events`` with ``snr`` and ``dropped``: what straddles a gap, or is silent, has no ratio.
 
     Segments are the vertical component's; events carry ``keys``, ``event_id`` and ``p_epoch``
@@ -48,7 +48,7 @@ def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float,
     segs = stored(condition(segments, fs, band), "conditioned") if band else segments  # read for its headers and its samples
     asked = events.select(*keys, "event_id", "p_epoch")
     parts = {}
-    for name, (lo, hi) in (("noise", NOISE), ("signal", SIGNAL)):
+    for name, (lo, hi) in (("noise", noise), ("signal", signal)):
         want = asked.withColumns({"_start": F.col("p_epoch") + lo, "_want": F.lit(int(round((hi - lo) * fs)))})
         parts[name] = containing(want, segs, keys, fs, "_start", "_want").select(*keys, "event_id", rms("samples").alias(name))
     both = events.join(parts["noise"], [*keys, "event_id"], "left").join(parts["signal"], [*keys, "event_id"], "left")
@@ -60,6 +60,14 @@ def largest(snr: DataFrame, keys: list[str] = ()) -> DataFrame:
     return snr.groupBy(*keys, "event_id").agg(F.max("snr").alias("snr"))
 
 
+def with_readings(events: DataFrame, readings: DataFrame, keys: list[str] = (), least: float | None = None) -> DataFrame:
+    """``events`` with their ``snr``: those unmeasured too, with null, or with ``least`` only those that reach it."""
+    on = [*keys, "event_id"]
+    if least is None:
+        return events.join(readings.select(*on, "snr"), on, "left")
+    return events.join(readings.where(F.col("snr") >= least).select(*on, "snr"), on)
+
+
 def roll_up(parts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """All parts as one table: of an event measured twice the first in ``order``, sorted by time."""
     w = Window.partitionBy(*keys, "event_id").orderBy(*order)

@@ -107,17 +107,17 @@ def station_pairs(spark, d):
 
 
 @query(with_views("v_ledger", "v_chunks") + f""", {_FETCHED}, {_OWED},
-disk AS (SELECT station, count(*) AS chunks, sum(bytes) AS bytes FROM v_chunks WHERE station < 'S11' GROUP BY station)
+disk AS (SELECT station, count(*) AS chunks, sum(bytes) AS bytes FROM v_chunks GROUP BY station)
 SELECT station, CAST(coalesce(d.chunks, 0) AS BIGINT) AS chunks, CAST(coalesce(d.bytes, 0) AS BIGINT) AS bytes, CAST(coalesce(f.days, 0) AS BIGINT) AS fetched_days, CAST(coalesce(o.days, 0) AS BIGINT) AS pending_days, f.spans, src.sources
 FROM (SELECT station, sum(floor((hi - lo) / 86400)) AS days, count(*) AS spans FROM fetched GROUP BY station) f FULL JOIN disk d USING (station)
 LEFT JOIN (SELECT station, sum(floor((hi - lo) / 86400)) AS days FROM owed GROUP BY station) o USING (station)
 LEFT JOIN (SELECT station, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM v_ledger GROUP BY station) src USING (station)""")
 def inventory_survey(spark, d):
-    rows = inventory.survey(V.ledger(spark, d), V.chunks(spark, d).where("station < 'S11'"))
+    rows = inventory.survey(V.ledger(spark, d), V.chunks(spark, d))
     return rows.select("station", "chunks", "bytes", "fetched_days", "pending_days", F.size("spans").cast("long").alias("spans"), F.array_join("sources", ",").alias("sources"))
 
 
-@query(with_views("v_ledger", "v_chunks") + f", {_FETCHED}, disk AS (SELECT station, count(*) AS chunks, sum(bytes) AS bytes FROM v_chunks GROUP BY station) SELECT count(*) AS stations, CAST(sum(chunks) AS BIGINT) AS chunks, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(days) AS BIGINT) AS fetched_days FROM disk JOIN (SELECT station, sum(floor((hi - lo) / 86400)) AS days FROM fetched GROUP BY station) USING (station) WHERE chunks >= 2")
+@query(with_views("v_ledger", "v_chunks") + f", {_FETCHED}, disk AS (SELECT station, count(*) AS chunks, sum(bytes) AS bytes FROM v_chunks GROUP BY station) SELECT count(*) AS stations, CAST(sum(chunks) AS BIGINT) AS chunks, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(days) AS BIGINT) AS fetched_days FROM disk LEFT JOIN (SELECT station, sum(floor((hi - lo) / 86400)) AS days FROM fetched GROUP BY station) USING (station) WHERE chunks >= 2")
 def usable_total(spark, d):
     return inventory.total(inventory.usable(inventory.survey(V.ledger(spark, d), V.chunks(spark, d)))).drop("pending_days")
 
@@ -241,14 +241,14 @@ def common_spans3(spark, d):
     return intervals.common_spans(_segments(spark, d), ["station"], 1.0, 3600).select("station", "t0", "off_z", "off_n", "off_e", "n")
 
 
-@query(with_views("v_traces") + f""", {_SEGS}, {_SPANS}, near AS (SELECT station, t0 + 1000.5 AS lo, t0 + 30000.25 AS hi FROM spans WHERE station % 2 = 0),
+@query(with_views("v_traces") + f""", {_SEGS}, {_SPANS}, near AS (SELECT station, t0 + 1000.5 AS lo, t0 + 30000.25 AS hi FROM spans),
 met AS (SELECT s.station, s.t0, CAST(s.fin - s.t0 AS BIGINT) AS n, greatest(s.t0, near.lo) AS lo, least(s.fin, near.hi) AS hi FROM spans s JOIN near ON s.station = near.station AND s.t0 < near.hi AND near.lo < s.fin),
 k AS (SELECT *, CAST(ceil((lo - t0) / 900) AS BIGINT) AS k0 FROM met WHERE hi - lo >= 1800),
 w AS (SELECT *, CAST(floor(CAST(trunc((hi - t0) - k0 * 900 - 1800) AS BIGINT) / 900.0) AS BIGINT) + 1 AS nw FROM k)
 SELECT station, t0 + k0 * 900.0 AS t0, CAST(nw * 900 + 1800 - 900 AS BIGINT) AS n, CAST(k0 * 900 AS BIGINT) AS shift FROM w WHERE nw >= 1""")
 def clip_spans(spark, d):
     spans = intervals.common_spans(_segments(spark, d), ["station"], 1.0, 3600).select("station", "t0", "n")
-    near = spans.where("station % 2 = 0").select("station", (F.col("t0") + 1000.5).alias("lo"), (F.col("t0") + 30000.25).alias("hi"))
+    near = spans.select("station", (F.col("t0") + 1000.5).alias("lo"), (F.col("t0") + 30000.25).alias("hi"))
     return intervals.clip_spans(spans, near, ["station"], 1.0, 1800, 900).select("station", "t0", "n", "shift")
 
 
@@ -385,8 +385,7 @@ indep AS (SELECT *, na / (days * 86400) * (1 - exp(-(nb / (days * 86400)) * 2 *
 
 def _coincidence(spark, d) -> DataFrame:
     scores, places = V.scores(spark, d), V.stations(spark, d)
-    readings = snr.largest(V.snr(spark, d)).withColumn("station", F.explode(F.array(*map(F.lit, ["click", "error", "purchase", "signup", "view"]))))
-    return coincidence.measure(scores, inventory.separations(places), alarms.median_step(scores, ["station"]), _arrivals(spark, d), readings, 300.0, coincidence_seconds=1800.0, cluster_seconds=STEP, signal_post=600.0)
+    return coincidence.measure(scores, inventory.separations(places), alarms.median_step(scores, ["station"]), _arrivals(spark, d), _readings(spark, d), 300.0, coincidence_seconds=1800.0, cluster_seconds=STEP, signal_post=600.0)
 
 
 @query(_COINCIDENCE + "SELECT CAST(budget AS DOUBLE) AS budget_per_day, round(separation_km, 6) AS separation_km, round(days, 6) AS joint_days, CAST(w AS DOUBLE) AS coincidence_seconds, station_a, station_b, round(thr_a, 6) AS thr_a, round(thr_b, 6) AS thr_b, round(na / days, 6) AS a_per_day, round(nb / days, 6) AS b_per_day, round(n2 / days, 6) AS both_per_day, round(indep, 6) AS independent_per_day, round(CASE WHEN indep > 0 THEN n2 / days / indep END, 6) AS excess_over_independent FROM indep")
@@ -400,13 +399,17 @@ def recall_both(spark, d):
     return r6(_coincidence(spark, d).select("station_a", "station_b", "budget_per_day", "recall_both"), "recall_both")
 
 
+def _readings(spark, d) -> DataFrame:
+    """The larger reading of each event, at every station."""
+    return snr.largest(V.snr(spark, d)).withColumn("station", F.explode(F.array(*map(F.lit, ["click", "error", "purchase", "signup", "view"]))))
+
+
 @query(with_views("v_catalog", "v_stations", "v_snr") + f", {_ARRIVALS}, g AS (SELECT a.* FROM arrivals a JOIN (SELECT event_id FROM v_snr GROUP BY event_id HAVING max(snr) >= 3) USING (event_id)), two AS (SELECT a.station AS station_a, b.station AS station_b, abs(a.p_epoch - b.p_epoch) AS d FROM g a JOIN g b ON a.event_id = b.event_id AND a.station < b.station) SELECT station_a, station_b, count(*) AS events, round(min(d), 4) AS least, round(max(d), 4) AS greatest, round(median(d), 4) AS median FROM two GROUP BY ALL")
 def arrival_differences(spark, d):
-    strong = snr.largest(V.snr(spark, d)).where("snr >= 3").select("event_id")
-    pairs = inventory.separations(V.stations(spark, d)).select("station_a", "station_b", F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("station_a").alias("station")), F.struct(F.lit("b").alias("side"), F.col("station_b").alias("station")))).alias("x")).select("station_a", "station_b", "x.*")
-    good = _arrivals(spark, d).select("station", "event_id", "p_epoch").join(strong, "event_id").join(pairs, "station")
-    both = good.groupBy("station_a", "station_b", "event_id").agg(F.count_distinct("side").alias("n")).where("n = 2").drop("n")
-    out = coincidence.arrival_differences(good.join(both, ["station_a", "station_b", "event_id"]))
+    pairs = inventory.separations(V.stations(spark, d))
+    sides = [pairs.select("station_a", "station_b", F.lit(s).alias("side"), F.col(f"station_{s}").alias("station")) for s in "ab"]
+    seen = _arrivals(spark, d).select("station", "event_id", "p_epoch").join(sides[0].unionByName(sides[1]), "station")
+    out = coincidence.arrival_differences(coincidence.good_events(seen, _readings(spark, d)))
     return out.withColumns({c: F.round(c, 4) for c in ("least", "greatest", "median")})
 
 
@@ -430,7 +433,7 @@ def snr_summary(spark, d):
 
 @query(with_views("v_windows") + "SELECT window_id, round(sqrt(list_avg(list_transform(x[41:64], lambda v: v * v))) / sqrt(list_avg(list_transform(x[1:40], lambda v: v * v))), 6) AS snr FROM v_windows")
 def snr_rms_ratio(spark, d):
-    ratio = snr.slice_ratio(F.slice("x", 41, 24), F.slice("x", 1, 40))
+    ratio = snr.ratio_of(arrays.rms(F.slice("x", 41, 24)), arrays.rms(F.slice("x", 1, 40)))
     return V.windows(spark, d).select("window_id", F.round(ratio, 6).alias("snr"))
 
 
@@ -471,20 +474,35 @@ def passband_gate(spark, d):
     return baseline.passband_fits(rows, 1.0, 45.0).drop("reason")
 
 
-@query(with_views("v_traces") + f""", {_SEGS}, ev AS (SELECT DISTINCT l_suppkey AS station, l_orderkey AS event_id, epoch_us(l_shipdate) / 1e6 + 3000 AS p_epoch FROM lineitem WHERE l_orderkey % 10 = 0 AND l_linenumber = 1),
-asked AS (SELECT *, unnest([21600, 43200]) AS len FROM ev), kinds AS (SELECT station, event_id, p_epoch, len, 'eq' AS kind, p_epoch - 2 AS start FROM asked UNION ALL SELECT station, event_id, p_epoch, len, 'noise', p_epoch - 300 FROM asked),
-ext AS (SELECT station, min(t0) AS lo, max(fin) AS hi FROM segs GROUP BY station),
-ok AS (SELECT k.station, k.event_id, k.len, k.kind FROM kinds k JOIN ext USING (station) JOIN segs g ON g.station = k.station AND round_even(k.start - g.t0, 0) >= 0 AND round_even(k.start - g.t0, 0) + k.len <= g.fin - g.t0 WHERE k.p_epoch >= ext.lo + 300 AND k.p_epoch <= ext.hi - 60 GROUP BY ALL HAVING count(DISTINCT g.role) = 3)
-SELECT station, event_id, count(*) AS windows FROM ok GROUP BY ALL HAVING count(*) = 4""")
+#: A segment's first sample of a window, the same in all cutting: the first segment that holds it whole.
+_HELD = """held AS (SELECT q.*, g.seg_id, g.base, CAST(round_even((q.start - g.t0) / 600, 0) AS BIGINT) AS pos FROM asked q JOIN v_segments g ON g.station = q.station AND g.role = q.role
+  WHERE round_even((q.start - g.t0) / 600, 0) >= 0 AND round_even((q.start - g.t0) / 600, 0) + q.want <= g.n),
+got AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station, event_id, kind, want, role ORDER BY seg_id) AS k FROM held) WHERE k = 1)"""
+
+
+@query(with_views("v_segments", "v_arrivals_at") + f""", ext AS (SELECT station, min(t0) AS lo, max(t0 + n * 600) AS hi FROM v_segments GROUP BY station),
+near AS (SELECT e.* FROM v_arrivals_at e JOIN ext USING (station) WHERE p_epoch >= lo + 9000 AND p_epoch <= hi - 60),
+asked AS (SELECT station, event_id, kind, role, want, CASE kind WHEN 'eq' THEN cut_epoch - 1200 ELSE p_epoch - 9000 END AS start FROM near, (VALUES ('eq'), ('noise')) AS x(kind), (VALUES ('Z'), ('N'), ('E')) AS y(role), (VALUES (6), (12)) AS w(want)),
+{_HELD}, whole AS (SELECT station, event_id, kind, want, start, max(CASE role WHEN 'Z' THEN (base + pos * 7) % 1000 END) AS first_z, sum(list_sum(list_transform(range(want), lambda j: (base + (pos + j) * 7) % 1000))) AS total FROM got GROUP BY ALL HAVING count(*) = 3),
+kept AS (SELECT *, count(*) OVER (PARTITION BY station, event_id) AS windows FROM whole)
+SELECT station, event_id, want * 600.0::DOUBLE AS length_s, CASE kind WHEN 'noise' THEN 'noise_' ELSE '' END || 'event_' || event_id || '_raw' AS tag, start AS t0, CAST(first_z AS INT) AS first_z, CAST(total AS BIGINT) AS total FROM kept WHERE windows = 4""")
 def cut_all_or_nothing(spark, d):
-    """The rule alone: events whose windows all lie whole in all components, without samples."""
+    """Every order's windows, with their samples, where all components hold them whole at both lengths."""
     from waveline.operators import windows
 
-    segs = _segments(spark, d).withColumn("data", F.array().cast("array<double>"))
-    li = V.table(spark, d, "lineitem").where("l_orderkey % 10 = 0 and l_linenumber = 1")
-    events = li.select(F.col("l_suppkey").alias("station"), F.col("l_orderkey").alias("event_id"), (V.epoch("l_shipdate") + 3000).alias("p_epoch")).distinct().withColumn("cut_epoch", F.col("p_epoch"))
-    out = windows.cut(events, segs, ["station"], 1.0, lengths=(21600.0, 43200.0))
-    return out.groupBy("station", "event_id").agg(F.count("*").alias("windows"))
+    out = windows.cut(V.arrivals_at(spark, d), V.segments(spark, d), ["station"], 1 / 600, lengths=(3600.0, 7200.0), pre=1200.0, noise_offset=9000.0)
+    total = F.aggregate(F.flatten("samples"), F.lit(0).cast("long"), lambda a, v: a + v)
+    return out.select("station", "event_id", "length_s", "tag", "t0", F.get(F.get("samples", F.lit(0)), F.lit(0)).alias("first_z"), total.alias("total"))
+
+
+@query(with_views("v_segments", "v_arrivals_at") + f""", asked AS (SELECT station, event_id, 'Z' AS role, kind, want, p_epoch + lo AS start FROM v_arrivals_at, (VALUES ('noise', 50, -36000), ('signal', 13, -600)) AS x(kind, want, lo)),
+{_HELD}, parts AS (SELECT station, event_id, kind, sqrt(list_avg(list_transform(range(want), lambda j: pow((base + (pos + j) * 7) % 1000, 2)))) AS v FROM got)
+SELECT e.station, e.event_id, round(s.v / nullif(n.v, 0), 6) AS snr, s.v / nullif(n.v, 0) IS NULL AS dropped FROM v_arrivals_at e LEFT JOIN parts s ON s.station = e.station AND s.event_id = e.event_id AND s.kind = 'signal' LEFT JOIN parts n ON n.station = e.station AND n.event_id = e.event_id AND n.kind = 'noise'""")
+def snr_measure(spark, d):
+    """Every order's signal over noise from samples; null where either straddles a gap."""
+    vertical = V.segments(spark, d).where("role = 'Z'")
+    out = snr.measure(vertical, V.arrivals_at(spark, d), ["station"], 1 / 600, None, (-36000.0, -6000.0), (-600.0, 7200.0))
+    return r6(out.select("station", "event_id", "snr", "dropped"), "snr")
 
 
 # --- work to do --------------------------------------------------------------------------------
@@ -507,19 +525,19 @@ def outstanding(spark, d):
     return inventory.outstanding(V.chunks(spark, d), V.done(spark, d), V.PRODUCTS)
 
 
-@query(with_views("v_catalog") + "SELECT trunc(least(mag, 6) * 2) / 2.0 AS band, count(*) AS kept FROM v_catalog WHERE event_id % 40 = 0 GROUP BY ALL")
+@query(with_views("v_catalog", "v_snr") + "SELECT trunc(least(mag, 6) * 2) / 2.0 AS band, count(*) AS kept FROM v_catalog WHERE event_id IN (SELECT event_id FROM v_snr) GROUP BY ALL")
 def kept_by_band(spark, d):
+    """The catalogue's events that any reading is of, as if each reading were a window cut."""
     from waveline.operators import windows
 
-    events = V.catalog(spark, d)
-    return windows.kept_by_band(events.where("event_id % 40 = 0").select("event_id"), events, [])
+    return windows.kept_by_band(V.snr(spark, d).select("event_id"), V.catalog(spark, d), [])
 
 
 @query(with_views("v_scores", "v_catalog", "v_stations", "v_snr") + f", {_ARRIVALS} SELECT a.station, a.event_id, round(s.snr, 6) AS snr FROM arrivals a LEFT JOIN (SELECT event_id, max(snr) AS snr FROM v_snr GROUP BY event_id) s USING (event_id)")
 def catalog_with_snr(spark, d):
     """The left join of the catalogue on its readings: one row of an event, unmeasured ones too."""
     known = _arrivals(spark, d).select("station", "event_id")
-    return r6(known.join(snr.largest(V.snr(spark, d)), "event_id", "left").select("station", "event_id", "snr"), "snr")
+    return r6(snr.with_readings(known, snr.largest(V.snr(spark, d))).select("station", "event_id", "snr"), "snr")
 
 
 @query(with_views("v_chunks") + "SELECT station, chunk FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY chunk) AS k FROM v_chunks) WHERE k <= 3")
@@ -530,57 +548,148 @@ def limit_chunks(spark, d):
 # --- without SQL: samples, filters, networks, archives, streams ---------------------------------
 
 
-def _synthetic(spark, d) -> DataFrame:
-    """Short traces of three channels for the first suppliers, samples by a fixed rule, some overlapping."""
-    rows = V.table(spark, d, "supplier").select(F.concat(F.lit("T"), F.col("s_suppkey")).alias("station"))
-    parts = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k")
-    rows = rows.select("station", F.lit("T_2024-01-01").alias("chunk"), F.explode(F.array(*map(F.lit, ["HHZ", "HHN", "HHE"]))).alias("channel"), parts)
-    start = F.col("k") * 10.0 + F.when(F.col("k") >= 3, 7.0).otherwise(0.0)
-    n = F.when(F.col("k") == 1, 1500).otherwise(1000)
-    sample = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.sin(i / 7.0 + F.col("k")) * 100 + (i * 7919 + F.hash("station") % 1000) % 13)
-    return rows.select("station", "chunk", "channel", start.alias("t0"), F.lit(100.0).alias("fs"), sample.alias("data"))
+@query(with_views("v_recorded") + """, t AS (SELECT *, t0 + 1 AS fin, row_number() OVER (ORDER BY vec_id) AS id FROM v_recorded),
+-- Traces of one length: an equal start is the only containment; of such the first by samples' order counts once.
+heads AS (SELECT DISTINCT station, channel, t0, fin FROM t),
+cut AS (SELECT *, CASE WHEN t0 - max(fin) OVER (PARTITION BY station, channel ORDER BY t0 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 0.5 / 64 THEN 0 ELSE 1 END AS c FROM heads),
+runs AS (SELECT *, sum(c) OVER (PARTITION BY station, channel ORDER BY t0) AS run FROM cut),
+segs AS (SELECT station, channel, run, min(t0) AS start, max(fin) AS fin FROM runs GROUP BY ALL)
+SELECT station, channel, right(channel, 1) AS role, start AS t0, CAST(round_even((fin - start) * 64, 0) AS BIGINT) AS n FROM segs""")
+def join_traces(spark, d):
+    """The segments' extents; their samples are ``painted_samples``."""
+    traces = V.recorded(spark, d)
+    segs = segments.join_traces(traces, 64.0)
+    return segs.select("station", "channel", "role", "t0", "n")
+
+
+@query(with_views("v_recorded") + """, one AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY station, channel, t0) AS same FROM v_recorded) WHERE same = 1),
+heads AS (SELECT *, CASE WHEN t0 - max(t0 + 1) OVER (PARTITION BY station, channel ORDER BY t0 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 0.5 / 64 THEN 0 ELSE 1 END AS c FROM one),
+runs AS (SELECT *, sum(c) OVER (PARTITION BY station, channel ORDER BY t0) AS run FROM heads),
+placed AS (SELECT *, min(t0) OVER (PARTITION BY station, channel, run) AS start FROM runs),
+every AS (SELECT station, channel, start, t0, CAST(round_even((t0 - start) * 64, 0) AS BIGINT) + unnest(range(64)) AS i, unnest(x) AS v FROM placed),
+painted AS (SELECT station, channel, start, i, max_by(v, t0) AS v FROM every GROUP BY ALL)
+SELECT station, channel, start AS t0, count(*) AS n, round(sum(v), 6) AS total, round(sum(v * (i % 17)), 5) AS weighted FROM painted GROUP BY station, channel, start""")
+def painted_samples(spark, d):
+    """Where traces overlap the later one's samples count. Traces that start together, whose order is open, are left out in both engines."""
+    traces = V.recorded(spark, d)
+    alone = traces.groupBy("station", "channel", "t0").agg(F.count("*").alias("same")).where("same = 1").drop("same")
+    segs = segments.join_traces(traces.join(alone, ["station", "channel", "t0"]), 64.0)
+    weighted = arrays.total(F.transform("data", lambda v, i: v * (i % 17)))
+    return segs.select("station", "channel", "t0", "n", F.round(arrays.total("data"), 6).alias("total"), F.round(weighted, 5).alias("weighted"))
+
+
+#: The band-pass of 0.2 to 1.5 Hz at 4 Hz (order 4), numerator and denominator, and
+#: the filter's state after endless ones; worked out once from the filter's definition.
+BAND_B = (0.21617864129329248, 0.0, -0.8647145651731699, 0.0, 1.297071847759755, 0.0, -0.8647145651731699, 0.0, 0.21617864129329248)
+BAND_A = (1.0, -1.2621160475974185, -0.4963692347419646, 0.5682004127103971, 0.7945635395680457, -0.40531126513094773, -0.25445633966006, 0.05351212738169589, 0.04766255662918978)
+BAND_Z = (-0.2161786412932912, -0.21617864129329273, 0.6485359238798766, 0.6485359238798774, -0.6485359238798767, -0.6485359238798772, 0.21617864129329237, 0.21617864129329242)
+
+
+def _filter_sql(source: str, out: str) -> str:
+    """One pass of the filter along ``(window_id, i, v)``, i from 1 on, as a recursive query."""
+    y = f"{BAND_B[0]!r} * s.v + z1"
+    z = [f"{BAND_B[k]!r} * s.v + {f'z{k + 1}' if k < 8 else '0'} - ({BAND_A[k]!r}) * ({y})" for k in range(1, 9)]
+    start = [f"{BAND_Z[k]!r} * v AS z{k + 1}" for k in range(8)]
+    return f"""{out}_r AS (SELECT window_id, CAST(0 AS BIGINT) AS i, CAST(0 AS DOUBLE) AS y, {', '.join(start)} FROM {source} WHERE i = 1
+  UNION ALL SELECT r.window_id, r.i + 1, {y}, {', '.join(z)} FROM {out}_r r JOIN {source} s ON s.window_id = r.window_id AND s.i = r.i + 1),
+{out} AS (SELECT window_id, i, y FROM {out}_r WHERE i > 0)"""
+
+
+#: Windows of 64 samples at 4 Hz: line off, mean off, taper on, band-passed forward and backward.
+_CONDITIONED = """WITH RECURSIVE """ + ", ".join(f"{n} AS ({V.SQL[n]})" for n in ("v_windows",)) + f""",
+e AS (SELECT window_id, unnest(x) AS v, unnest(range(64)) AS i FROM v_windows),
+fit AS (SELECT window_id, regr_slope(v, i) AS m, regr_intercept(v, i) AS c FROM e GROUP BY window_id),
+flat AS (SELECT window_id, i, (v - m * i - c) * CASE WHEN i < 3 THEN 0.5 - 0.5 * cos(2 * pi() * i / 5) WHEN i > 60 THEN 0.5 - 0.5 * cos(2 * pi() * (63 - i) / 5) ELSE 1 END AS v FROM e JOIN fit USING (window_id)),
+x AS (SELECT window_id, list(v ORDER BY i) AS x FROM flat GROUP BY window_id),
+wide AS (SELECT window_id, unnest(range(1, 119)) AS i, unnest(list_transform(range(27), lambda k: 2 * x[1] - x[28 - k]) || x || list_transform(range(27), lambda k: 2 * x[64] - x[63 - k])) AS v FROM x),
+{_filter_sql('wide', 'ahead')},
+turned AS (SELECT window_id, 119 - i AS i, y AS v FROM ahead),
+{_filter_sql('turned', 'back')},
+clean AS (SELECT window_id, 118 - i - 27 AS i, y FROM back WHERE 118 - i - 27 BETWEEN 0 AND 63)"""
+
+
+def _windows_as_segments(spark, d) -> DataFrame:
+    return V.windows(spark, d).select(F.col("station"), F.col("window_id"), F.lit("Z").alias("role"), F.col("x").alias("data"))
+
+
+@query(_CONDITIONED + " SELECT window_id, CAST(i AS INT) AS i, round(y, 6) + 0.0 AS y FROM clean")
+def conditioned_windows(spark, d):
+    """Every vector as a window: detrended, tapered and band-passed, as scoring and baselines do."""
+    import numpy as np
+    import pyarrow as pa
 
+    from waveline.operators.signal import clean_block
 
-@query()
-def join_traces(spark, d):
-    traces = _synthetic(spark, d)
-    segs = segments.join_traces(traces, 100.0, segments.pick_channels(traces))
-    return segs.select("station", "channel", "role", "seg_id", "t0", "n", F.round(arrays.total("data"), 6).alias("total"))
+    def work(batches):
+        for batch in batches:
+            block = np.array(batch.column(1).to_pylist(), np.float64).reshape(-1, 64)
+            clean = clean_block(block, 4.0, 0.2, 1.5)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(clean), pa.list_(pa.float64()))], ["window_id", "y"])
 
+    rows = V.windows(spark, d).select("window_id", "x").mapInArrow(work, "window_id bigint, y array<double>")
+    return rows.select("window_id", F.posexplode("y").alias("i", "y")).withColumn("y", F.round("y", 6) + 0.0)
 
-@query()
+
+@query(_CONDITIONED + """, pieces AS (SELECT station, sum(y) AS s, sum(y * y) AS ss, count(*) AS n FROM clean JOIN v_windows USING (window_id) GROUP BY station, window_id),
+sd AS (SELECT *, sqrt(greatest(ss / n - pow(s / n, 2), 0)) AS sd FROM pieces), lim AS (SELECT station, quantile_cont(sd, 0.9) AS lim FROM sd GROUP BY station),
+quiet AS (SELECT station, sqrt(greatest(sum(ss) / sum(n) - pow(sum(s) / sum(n), 2), 0)) AS sigma_trimmed FROM sd JOIN lim USING (station) WHERE sd <= lim GROUP BY station)
+SELECT station, round(sum(s) / sum(n), 6) + 0.0 AS mu, round(sqrt(greatest(sum(ss) / sum(n) - pow(sum(s) / sum(n), 2), 0)), 6) AS sigma, round(any_value(sigma_trimmed), 6) AS sigma_trimmed, round(median(sd), 6) AS sigma_median, CAST(sum(n) AS BIGINT) AS n_samples, count(*) AS n_pieces FROM sd JOIN quiet USING (station) GROUP BY station""")
 def baseline_conditioned(spark, d):
-    traces = _synthetic(spark, d)
-    segs = segments.join_traces(traces, 100.0, segments.pick_channels(traces))
-    return baseline.station_baseline(segs, 100.0, piece_seconds=12.0).drop("chunks", "bands")
+    pieces = baseline.piece_moments(_windows_as_segments(spark, d), 4.0, 0.2, 1.5, 16.0)
+    out = baseline.noise_statistics(pieces).select("station", "mu", "sigma", "sigma_trimmed", "sigma_median", "n_samples", "n_pieces")
+    return r6(out, "mu", "sigma", "sigma_trimmed", "sigma_median").withColumn("mu", F.col("mu") + 0.0)
 
 
-@query()
+def _mean_absolute(block):
+    """A scorer that another engine can repeat: the mean of absolute samples, at most one."""
+    import numpy as np
+
+    return np.minimum(np.abs(block.astype(np.float64)).mean(axis=(1, 2)), 1.0)
+
+
+@query(_CONDITIONED + """, scaled AS (SELECT window_id, avg(abs(y / 0.5)) AS p FROM clean GROUP BY window_id)
+SELECT 'L' || label AS station, 'v' || vec_id AS chunk, '16s' AS arm, CAST(0 AS DOUBLE) AS t, round(least(p, 1), 3) AS p FROM scaled JOIN embeddings ON vec_id = window_id""")
 def score_windows(spark, d):
-    """The numpy detector with fixed untrained weights, on every three-component window."""
-    from waveline.operators import detector, score
+    """Every vector as a record of three equal components, scored window by window by a stub."""
+    from waveline.operators import score
 
-    traces = _synthetic(spark, d)
-    segs = segments.join_traces(traces, 100.0, segments.pick_channels(traces))
-    return score.score(segs, names.Arm("6s", 6.0, "", "cnn", 6.0), detector.ensemble([detector.random_weights("cnn")], "cnn"), "perwindow")
+    rows = V.windows(spark, d).select("station", F.concat(F.lit("v"), F.col("window_id")).alias("chunk"), F.explode(F.array(*map(F.lit, "ZNE"))).alias("role"), F.lit(0).alias("seg_id"), F.lit(0.0).alias("t0"), F.lit(64).cast("long").alias("n"), F.col("x").alias("data"))
+    arm = names.Arm("16s", 16.0, "", "", 16.0, 4.0)
+    out = score.score(rows, arm, _mean_absolute, "constant", low=0.2, high=1.5, constant=0.5)
+    return out.withColumn("p", F.round(F.col("p").cast("double"), 3))
 
 
 @query()
+def score_by_detector(spark, d):
+    """The numpy detector with fixed untrained weights on windows of joined traces; tests hold it against loops."""
+    from waveline.operators import detector, score
+
+    segs = segments.join_traces(V.recorded(spark, d), 64.0)
+    weights = detector.random_weights("cnn")
+    return score.score(segs, names.Arm("1s", 1.0, "", "cnn", 0.5, 64.0), detector.ensemble([weights], "cnn"), "perwindow", low=1.0, high=20.0)
+
+
+@query(with_views("v_recorded") + "SELECT station, channel, t0, CAST(64 AS BIGINT) AS samples, CAST(list_sum(list_transform(x, lambda v: trunc(v * 1000))) AS BIGINT) AS total, true AS equal FROM v_recorded")
 def mseed_round_trip(spark, d):
     """Samples written as compressed records and read back."""
     import numpy as np
 
     from waveline.sources.mseed import Trace, read_traces, write_traces
 
+    import pyarrow as pa
+
     def work(batches):
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for station, channel, t0, data in zip(pdf["station"], pdf["channel"], pdf["t0"], pdf["data"], strict=True):
-                back = read_traces(write_traces([Trace(station[:5], channel, t0, 100.0, np.asarray(data))]))
-                out.append((station, channel, t0, len(back), int(sum(len(b.data) for b in back)), bool(np.array_equal(np.concatenate([b.data for b in back]), np.trunc(np.asarray(data))))))
-            yield type(pdf)(out, columns=["station", "channel", "t0", "traces", "samples", "equal"])
-
-    return _synthetic(spark, d).select("station", "channel", "t0", "data").mapInPandas(work, "station string, channel string, t0 double, traces int, samples bigint, equal boolean")
+            for station, channel, t0, data in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                whole = np.trunc(np.asarray(data) * 1000)
+                back = read_traces(write_traces([Trace(station[:5], channel, t0, 64.0, whole)]))
+                got = np.concatenate([b.data for b in back])
+                out.append((back[0].station, back[0].channel, back[0].t0, len(got), int(got.sum()), bool(np.array_equal(got, whole))))
+            types = [pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], ["station", "channel", "t0", "samples", "total", "equal"])
+
+    return V.recorded(spark, d).select("station", "channel", "t0", "data").mapInArrow(work, "station string, channel string, t0 double, samples bigint, total bigint, equal boolean")
 
 
 @query(with_views("v_scores") + f", {_declared(0.99, 'dec')} SELECT station, round(t, 6) AS t, round(p, 6) AS p FROM dec")

@@ -140,7 +140,7 @@ def _run_group(group: DataFrame, due: DataFrame, layout: store.Layout, known: Da
         store.write_snr_parts(parts, layout)
         finish("range", parts)
     if lengths := [x for x in settings.lengths if f"windows:{x:g}" in asked]:
-        strong = known.join(readings.where(F.col("snr") >= settings.snr_min), ["station", "event_id"]).withColumn("cut_epoch", F.col("p_epoch"))
+        strong = snr.with_readings(known, readings, ["station"], settings.snr_min).withColumn("cut_epoch", F.col("p_epoch"))
         wanting = due.where(F.col("product").startswith("windows:")).select(*keys).distinct()
         cut = windows.cut(strong.join(wanting, "station"), segs.join(wanting, keys, "left_semi"), keys, settings.fs, settings.lengths, settings.pre, settings.noise_offset)
         cut = stored(cut, "windows")
