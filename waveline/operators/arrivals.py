@@ -143,6 +143,11 @@ def predicted_arrivals(events: DataFrame, stations: DataFrame, table: DataFrame,
     return timed.withColumns({"p_epoch": F.col("t") + F.col("tt_p"), "s_epoch": F.col("t") + F.col("tt_s"), "sp_seconds": F.col("tt_s") - F.col("tt_p")})
 
 
+def inside(events: DataFrame, extent: DataFrame, keys: list[str]) -> DataFrame:
+    """``events`` whose origin lies in a record, ``(keys, first, last)``, with the record's other columns."""
+    return events.join(extent, keys).where((F.col("t") >= F.col("first")) & (F.col("t") <= F.col("last"))).drop("first", "last")
+
+
 def grid_statistics(rows: DataFrame, dist: str = "dist", depth: str = "depth", grid_km: float = GRID_KM) -> DataFrame:
     """How much the grid saves: lookups, distinct cells and the share that would hit a cache."""
     di, zi = grid_columns(dist, F.coalesce(depth, F.lit(DEFAULT_DEPTH)), grid_km)

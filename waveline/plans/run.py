@@ -134,8 +134,7 @@ def _run_group(group: DataFrame, due: DataFrame, layout: store.Layout, known: Da
     if "range" in asked:
         vertical = of("range").where("role = 'Z'")
         extent = segments.span_of(vertical, keys, settings.fs)
-        inside = known.join(extent, "station").where((F.col("t") >= F.col("first")) & (F.col("t") <= F.col("last")))
-        measured = snr.measure(vertical, inside, keys, settings.fs).where("not dropped")
+        measured = snr.measure(vertical, arrivals.inside(known, extent, ["station"]), keys, settings.fs).where("not dropped")
         parts = stored(measured.select(*keys, "event_id", "time", "mag", F.col("dist").alias("dist_km"), "depth", "snr", "location"), "snr")
         store.write_snr_parts(parts, layout)
         finish("range", parts)

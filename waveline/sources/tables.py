@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import os
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from waveline.functions.geo import haversine_km
 from waveline.operators.intervals import coalesce_intervals
 from waveline.schemas import CATALOG, LEDGER
+from waveline.sources.store import exists
 
 FETCHED, PENDING, UNKNOWN = ("fetched",), ("pending", "claimed", "submitted"), "?"
 
@@ -60,7 +60,7 @@ def read_ledgers(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     A row without a state is in state ``?``; the source is the file's stem less ``_ledger``.
     """
-    there = [p for p in paths if "://" in p or os.path.exists(p)]
+    there = [p for p in paths if exists(spark, p)]
     schema = "station string, state string, lo double, hi double, source string"
     if not there:
         return spark.createDataFrame([], schema)
@@ -104,7 +104,7 @@ def read_baseline(spark: SparkSession, path: str) -> tuple[DataFrame, dict | Non
     """A station's baseline JSON: its rows by role, and what it was made by (None in older files); None without a file."""
     import json
 
-    text = spark.read.text(path, wholetext=True).head() if "://" in path or os.path.exists(path) else None
+    text = spark.read.text(path, wholetext=True).head() if exists(spark, path) else None
     if text is None:
         return None
     stats = json.loads(text[0])
