@@ -51,6 +51,20 @@ def thresholds(background: DataFrame, keys: list[str], budgets: list[float], day
     return quantiles_at(values, keys, "_p", asked, out="thr").select(*keys, "budget", "n", "days", "thr")
 
 
+def tail_thresholds(tail: DataFrame, keys: list[str], asked: DataFrame) -> DataFrame:
+    """``(keys, budget, n, days, thr)`` from the highest values of each background alone.
+
+    ``asked`` is ``(keys, n, days, budget, pos)``: how many values the whole background has, and
+    at which of them, in order from 0 on, the threshold lies. ``tail`` must hold that one and all
+    above it.
+    """
+    values = tail.withColumn("_p", F.col("p").cast("double"))
+    have = tail.groupBy(*keys).agg(F.count("*").alias("_have"))
+    place = (F.col("pos") - (F.col("n") - F.col("_have"))) / F.greatest(F.col("_have") - 1, F.lit(1))
+    wanted = asked.select(*keys, "n", "days", "budget", "pos").join(have, keys).withColumn("q", place).select(*keys, "budget", "n", "days", "q")
+    return quantiles_at(values, keys, "_p", wanted, out="thr").select(*keys, "budget", "n", "days", "thr")
+
+
 def independent_per_day(n_a: Column, n_b: Column, seconds: Column, window: Column) -> Column:
     """Chance agreements a day of two independent Poisson streams."""
     return n_a / seconds * (1 - F.exp(-(n_b / seconds) * 2 * window)) * DAY

@@ -2,20 +2,30 @@
 
 Only the spans both stations recorded count; catalogued events are taken out of both streams;
 recall is asked of events that both stations recorded well enough.
+
+A station's scores serve all its pairs, and are not copied for each. What a pair leaves of them is
+worked out as intervals, which are few; then the scores meet the intervals by station and day, and
+are counted where they meet. Thresholds, declarations and recall need a pair's highest scores only:
+each station's tail is taken so deep that every pair's thresholds lie in it, which is checked
+against the counts, and deeper where it isn't.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waveline.durable import checkpoint
-from waveline.operators.alarms import DAY, declarations, independent_per_day, thresholds
-from waveline.operators.intervals import coverage_spans, intersect, points_in, unexplained, within
+from waveline.durable import checkpoint, measured_broadcast
+from waveline.operators.alarms import DAY, declarations, independent_per_day, tail_thresholds
+from waveline.operators.intervals import coalesce_intervals, coverage_spans, intersect, points_in, within
 
 BUDGETS = (100.0, 30.0, 10.0, 3.0, 1.0, 0.1)
 VP, SNR_MIN, SIGNAL_POST, GUARD_PRE, GUARD_POST, CLUSTER, LEAST_DAYS = 6.0, 3.0, 20.0, 10.0, 60.0, 60.0, 1.0
 _PAIR = ["station_a", "station_b"]
+_BY = [*_PAIR, "side"]
+#: Steps of the score by which a station's tail is taken, and how much deeper it is taken at first,
+#: and each further time, than the budgets ask for.
+LEVELS, SPARE, DEEPER = 10_000, 2.0, 4.0
 
 
 def joint_spans(scores: DataFrame, pairs: DataFrame, steps: DataFrame, slack: float = 2.5) -> DataFrame:
@@ -28,6 +38,47 @@ def joint_spans(scores: DataFrame, pairs: DataFrame, steps: DataFrame, slack: fl
     return intersect(a, b, _PAIR)
 
 
+def quiet_spans(spans: DataFrame, seen: DataFrame, window_seconds: float, guard_pre: float = GUARD_PRE, guard_post: float = GUARD_POST) -> DataFrame:
+    """``(pair, side, station, lo, lo_open, hi, hi_open)``: what no event's guard touches of the spans.
+
+    ``spans`` is ``(pair, side, station, lo, hi)``, ``seen`` ``(pair, side, p_epoch)``. Spans and
+    guards are closed, so a piece is open where a guard ends or begins.
+    """
+    guards = seen.select(*_BY, (F.col("p_epoch") - guard_pre - window_seconds).alias("lo"), (F.col("p_epoch") + guard_post).alias("hi"))
+    guards = coalesce_intervals(guards, _BY)
+    whole = spans.withColumns({"slo": F.col("lo"), "shi": F.col("hi")})
+    cut = checkpoint(intersect(whole, guards, _BY, closed=True, carry=(["station", "slo", "shi"], [])))
+    w = Window.partitionBy(*_BY, "slo").orderBy("lo")
+    before, after = F.lag("hi").over(w), F.lead("lo").over(w)
+    cut = cut.withColumns({"_before": before, "_after": after})
+    head = cut.select(*_BY, "station", F.coalesce("_before", "slo").alias("lo"), F.col("_before").isNotNull().alias("lo_open"), F.col("lo").alias("hi"), F.lit(True).alias("hi_open"))
+    tail = cut.where("_after is null").select(*_BY, "station", F.col("hi").alias("lo"), F.lit(True).alias("lo_open"), F.col("shi").alias("hi"), F.lit(False).alias("hi_open"))
+    free = whole.join(cut.select(*_BY, "slo").distinct(), [*_BY, "slo"], "left_anti").select(*_BY, "station", "lo", F.lit(False).alias("lo_open"), "hi", F.lit(False).alias("hi_open"))
+    return head.unionByName(tail).unionByName(free).where("lo < hi or (lo = hi and not lo_open and not hi_open)")
+
+
+def in_pieces(scores: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Scores ``(station, t, p)`` with the ``(pair, side)`` whose pieces they lie in, by station and day."""
+    days = F.explode(F.sequence(F.floor(F.col("lo") / DAY), F.floor(F.col("hi") / DAY))).alias("_d")
+    few = measured_broadcast(checkpoint(pieces.select(*_BY, "station", "lo", "lo_open", "hi", "hi_open", days)))
+    t = F.col("t")
+    inside = ((t > F.col("lo")) | ((t == F.col("lo")) & ~F.col("lo_open"))) & ((t < F.col("hi")) | ((t == F.col("hi")) & ~F.col("hi_open")))
+    return scores.withColumn("_d", F.floor(t / DAY)).join(few, ["station", "_d"]).where(inside).select(*_BY, "station", "t", "p")
+
+
+def tails(scores: DataFrame, levels: DataFrame, wanted: DataFrame, deep: float) -> DataFrame:
+    """The scores of each station from a level on above which there are ``deep * wanted`` of them, or all.
+
+    ``levels`` is ``(station, level, n)``, ``wanted`` ``(station, k)``.
+    """
+    above = F.sum("n").over(Window.partitionBy("station").orderBy(F.desc("level")))
+    least = levels.withColumn("_above", above).join(wanted, "station")
+    least = least.groupBy("station").agg(F.max(F.when(F.col("_above") >= F.col("k") * deep, F.col("level"))).alias("level"))
+    floor = F.when(F.col("level") > 0, F.col("level") / F.lit(float(LEVELS))).otherwise(F.lit(float("-inf")))
+    floor = least.select("station", F.coalesce(floor, F.lit(float("-inf"))).alias("_floor"))
+    return scores.join(measured_broadcast(checkpoint(floor)), "station").where(F.col("p").cast("double") >= F.col("_floor")).drop("_floor")
+
+
 def measure(scores: DataFrame, pairs: DataFrame, steps: DataFrame, arrivals: DataFrame, snr: DataFrame | None, window_seconds: float, budgets: tuple[float, ...] = BUDGETS, vp: float = VP, coincidence_seconds: float | None = None, snr_min: float = SNR_MIN, cluster_seconds: float = CLUSTER, guard_pre: float = GUARD_PRE, guard_post: float = GUARD_POST, signal_post: float = SIGNAL_POST) -> DataFrame:
     """The coincidence table of every pair and budget, in the fixed column order.
 
@@ -41,20 +92,37 @@ def measure(scores: DataFrame, pairs: DataFrame, steps: DataFrame, arrivals: Dat
     facts = checkpoint(days.join(pairs, _PAIR).withColumn("w", w))
     spans = spans.join(facts.select(*_PAIR), _PAIR)
     sided = facts.select(*_PAIR, F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("station_a").alias("station")), F.struct(F.lit("b").alias("side"), F.col("station_b").alias("station")))).alias("x")).select(*_PAIR, "x.*")
-    by = [*_PAIR, "side"]
-    in_span = points_in(scores.join(sided, "station"), spans, _PAIR)
-    seen = checkpoint(points_in(arrivals.select("station", "event_id", "p_epoch").dropDuplicates(["station", "event_id"]).join(sided, "station"), spans, _PAIR, t="p_epoch"))
-    quiet = checkpoint(unexplained(in_span, seen, by, window_seconds, guard_pre, guard_post))
-    limits = checkpoint(thresholds(quiet, by, list(budgets), sided.select(*by).join(facts.select(*_PAIR, "days"), _PAIR)))
+    by = _BY
+    joint = checkpoint(spans.join(sided, _PAIR).select(*by, "station", "lo", "hi"))
+    near = arrivals.select("station", "event_id", "p_epoch").dropDuplicates(["station", "event_id"]).join(sided, "station")
+    seen = checkpoint(points_in(near, spans, _PAIR, t="p_epoch"))
+    pieces = checkpoint(quiet_spans(joint, seen, window_seconds, guard_pre, guard_post))
+    n = checkpoint(in_pieces(scores, pieces).groupBy(*by).agg(F.count("*").alias("n")))
+    asked = n.join(sided, by).join(facts.select(*_PAIR, "days"), _PAIR).withColumn("budget", F.explode(F.array(*[F.lit(float(x)) for x in budgets])))
+    asked = asked.where(F.col("budget") * F.col("days") < F.col("n")).withColumn("pos", (1 - F.col("budget") * F.col("days") / F.col("n")) * (F.col("n") - 1))
+    asked = checkpoint(asked.withColumn("need", F.col("n") - F.floor("pos")))
+    level = F.floor(F.least(F.greatest(F.col("p").cast("double"), F.lit(0.0)), F.lit(1.0)) * LEVELS)
+    levels = checkpoint(scores.groupBy("station", level.alias("level")).agg(F.count("*").alias("n")))
+    wanted = checkpoint(asked.groupBy("station").agg(F.max("need").alias("k")))
+    deep, most = SPARE, float(levels.agg(F.sum("n")).head()[0] or 0)
+    while True:
+        tail = checkpoint(tails(scores, levels, wanted, deep))
+        quiet = checkpoint(in_pieces(tail, pieces))
+        have = quiet.groupBy(*by).agg(F.count("*").alias("have"))
+        short = asked.groupBy(*by).agg(F.max("need").alias("need")).join(have, by, "left").where(F.coalesce("have", F.lit(0)) < F.col("need"))
+        if deep > most or not short.head(1):
+            break
+        deep *= DEEPER
+    limits = checkpoint(tail_thresholds(quiet, by, asked))
     thr = limits.groupBy(*_PAIR, "budget").agg(F.max(F.when(F.col("side") == "a", F.col("thr"))).alias("thr_a"), F.max(F.when(F.col("side") == "b", F.col("thr"))).alias("thr_b")).where("thr_a is not null and thr_b is not null")
     of_side = thr.select(*_PAIR, "budget", F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("thr_a").alias("thr")), F.struct(F.lit("b").alias("side"), F.col("thr_b").alias("thr")))).alias("x")).select(*_PAIR, "budget", "x.*")
     declared = checkpoint(declarations(quiet.join(of_side, by), [*by, "budget"], F.col("thr"), cluster_seconds))
     a, b = (declared.where(F.col("side") == s).drop("side") for s in "ab")
     both = within(a, b.join(facts.select(*_PAIR, "w"), _PAIR), [*_PAIR, "budget"], "w")
-    n = lambda df, name: df.groupBy(*_PAIR, "budget").agg(F.count("*").alias(name))
+    count = lambda df, name: df.groupBy(*_PAIR, "budget").agg(F.count("*").alias(name))
     out = thr.join(facts, _PAIR)
     for df, name in ((a, "na"), (b, "nb"), (both, "n2")):
-        out = out.join(n(df, name), [*_PAIR, "budget"], "left")
+        out = out.join(count(df, name), [*_PAIR, "budget"], "left")
     out = out.fillna(0, ["na", "nb", "n2"])
     seconds = F.col("days") * DAY
     indep = independent_per_day(F.col("na"), F.col("nb"), seconds, F.col("w"))
@@ -62,7 +130,8 @@ def measure(scores: DataFrame, pairs: DataFrame, steps: DataFrame, arrivals: Dat
     if snr is None:
         out = out.withColumn("recall_both", F.lit(None).cast("double"))
     else:
-        out = out.join(recall(in_span, seen, snr, of_side, window_seconds, snr_min, signal_post), [*_PAIR, "budget"], "left")
+        whole = joint.withColumns({"lo_open": F.lit(False), "hi_open": F.lit(False)})
+        out = out.join(recall(in_pieces(tail, whole), seen, snr, of_side, window_seconds, snr_min, signal_post), [*_PAIR, "budget"], "left")
     return out.select(
         F.col("budget").alias("budget_per_day"), "separation_km", F.col("days").alias("joint_days"), F.col("w").alias("coincidence_seconds"), *_PAIR, "thr_a", "thr_b",
         (F.col("na") / F.col("days")).alias("a_per_day"), (F.col("nb") / F.col("days")).alias("b_per_day"), F.col("_both").alias("both_per_day"), F.col("_indep").alias("independent_per_day"),
@@ -78,7 +147,8 @@ def good_events(seen: DataFrame, snr: DataFrame, snr_min: float = SNR_MIN) -> Da
 
 
 def recall(in_span: DataFrame, seen: DataFrame, snr: DataFrame, of_side: DataFrame, window_seconds: float, snr_min: float = SNR_MIN, signal_post: float = SIGNAL_POST) -> DataFrame:
-    """``(pair, budget, recall_both)``: the share of good events with a window over the threshold at both."""
+    """``(pair, budget, recall_both)``: the share of good events with a window over the threshold at
+    both. ``in_span`` must have all scores over any threshold; others don't matter."""
     good = good_events(seen, snr, snr_min)
     lo, hi, width = F.col("p_epoch") - window_seconds, F.col("p_epoch") + signal_post, 600.0
     near = good.select(*_PAIR, "side", "event_id", lo.alias("_lo"), hi.alias("_hi"), F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width))).alias("_b"))
