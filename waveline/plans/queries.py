@@ -659,14 +659,68 @@ def score_windows(spark, d):
     return out.withColumn("p", F.round(F.col("p").cast("double"), 3))
 
 
-@query()
+#: A small network of the engine's kind for a check by SQL: untrained weights, fixed by their seeds.
+WIDTH = 4
+
+
+def _networks() -> list[dict]:
+    from waveline.operators import detector
+
+    return [detector.random_weights("cnn", seed, width=WIDTH) for seed in (1, 2)]
+
+
+def _values(array) -> str:
+    """An array's elements with their places, as rows of SQL."""
+    import numpy as np
+
+    return ", ".join("(" + ", ".join([*map(str, at), f"{float(v)!r}::DOUBLE"]) + ")" for at, v in np.ndenumerate(array))
+
+
+def _gelu_sql(x: str) -> str:
+    """By the error function's Taylor series, cut off where it is one: 60 terms hold for |x| up to 5."""
+    z = f"(greatest(-5.0, least(5.0, ({x}) / sqrt(2.0))))"
+    terms = f"list_sum(list_transform(range(60), lambda n: (1 - 2 * (n % 2)) * exp((2 * n + 1) * ln(greatest(abs{z}, 1e-9)) - lgamma(n + 1.0)) / (2 * n + 1)))"
+    return f"(0.5 * ({x}) * (1 + sign{z} * 2 / sqrt(pi()) * {terms}))"
+
+
+def _network_sql(w: dict, out: str) -> str:
+    """A network's layers over ``h0`` (window_id, t, c, v), from convolutions to a probability."""
+    from waveline.operators.detector import EPS
+
+    parts, at, length = [], "h0", 64
+    for k, place in enumerate(("0", "1", "3")):
+        kernel, p = w[f"b1.conv.{place}.0.weight"], f"b1.conv.{place}.1."
+        norm = [(w[p + "weight"][o] / (w[p + "running_var"][o] + EPS) ** 0.5, w[p + "bias"][o] - w[p + "running_mean"][o] * w[p + "weight"][o] / (w[p + "running_var"][o] + EPS) ** 0.5) for o in range(len(kernel))]
+        length = (length + 1) // 2
+        scale = ", ".join(f"({o}, {float(m)!r}::DOUBLE, {float(c)!r}::DOUBLE)" for o, (m, c) in enumerate(norm))
+        half = kernel.shape[-1] // 2
+        parts.append(f"{out}_c{k} AS (SELECT window_id, tt AS t, o AS c, sum(w * v) AS v FROM {at} h JOIN (VALUES {_values(kernel)}) AS x(o, ci, k, w) ON h.c = ci JOIN (SELECT unnest(range({length})) AS tt) ON h.t = 2 * tt + k - {half} GROUP BY ALL)")
+        parts.append(f"{out}_g{k} AS (SELECT window_id, t, c, {_gelu_sql('v * m + b')} AS v FROM {out}_c{k} JOIN (VALUES {scale}) AS n(c, m, b) USING (c))")
+        at = f"{out}_g{k}"
+    line = lambda name, source, weight, bias: f"{name} AS (SELECT window_id, o AS c, sum(w * v) + any_value(b) AS v FROM {source} JOIN (VALUES {_values(weight)}) AS x(o, c, w) USING (c) JOIN (VALUES {_values(bias)}) AS y(o, b) USING (o) GROUP BY window_id, o)"
+    parts.append(f"{out}_m AS (SELECT window_id, c, avg(v) AS v FROM {at} GROUP BY window_id, c)")
+    parts.append(line(f"{out}_p", f"{out}_m", w["p1.weight"] * w["w1"], w["p1.bias"] * w["w1"]))
+    gain = ", ".join(f"({c}, {float(g)!r}::DOUBLE, {float(b)!r}::DOUBLE)" for c, (g, b) in enumerate(zip(w["head.0.weight"], w["head.0.bias"], strict=True)))
+    parts.append(f"{out}_n AS (SELECT window_id, c, (v - avg(v) OVER (PARTITION BY window_id)) / sqrt(var_pop(v) OVER (PARTITION BY window_id) + {EPS}) * g + b AS v FROM {out}_p JOIN (VALUES {gain}) AS n(c, g, b) USING (c))")
+    parts.append(line(f"{out}_q", f"{out}_n", w["head.2.weight"], w["head.2.bias"]))
+    parts.append(f"{out}_r AS (SELECT window_id, c, {_gelu_sql('v')} AS v FROM {out}_q)")
+    parts.append(line(f"{out}_s", f"{out}_r", w["head.5.weight"], w["head.5.bias"]))
+    parts.append(f"{out} AS (SELECT window_id, 1 / (1 + exp(-v)) AS p FROM {out}_s)")
+    return ", ".join(parts)
+
+
+@query(_CONDITIONED + """, unit AS (SELECT window_id, i AS t, asinh((y - avg(y) OVER (PARTITION BY window_id)) / greatest(stddev_pop(y) OVER (PARTITION BY window_id), 1e-12)) AS v FROM clean),
+h0 AS (SELECT window_id, t, c, v * f AS v FROM unit, (VALUES (0, 1), (1, -1), (2, 1)) AS x(c, f))""" + "".join(f", {_network_sql(w, f'net{k}')}" for k, w in enumerate(_networks())) + """
+SELECT 'L' || label AS station, 'v' || vec_id AS chunk, round((a.p + b.p) / 2, 3) AS p FROM net0 a JOIN net1 b USING (window_id) JOIN embeddings ON vec_id = window_id""")
 def score_by_detector(spark, d):
-    """The numpy detector with fixed untrained weights on windows of joined traces; tests hold it against loops."""
+    """Every vector as a record of three components (the second reversed in sign, the third twice as large), by an ensemble of two small networks."""
     from waveline.operators import detector, score
 
-    segs = segments.join_traces(V.recorded(spark, d), 64.0)
-    weights = detector.random_weights("cnn")
-    return score.score(segs, names.Arm("1s", 1.0, "", "cnn", 0.5, 64.0), detector.ensemble([weights], "cnn"), "perwindow", low=1.0, high=20.0)
+    sides = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.lit(f).alias("f")) for r, f in (("Z", 1.0), ("N", -1.0), ("E", 2.0))])).alias("y")
+    rows = V.windows(spark, d).select("station", F.concat(F.lit("v"), F.col("window_id")).alias("chunk"), "x", sides)
+    rows = rows.select("station", "chunk", "y.role", F.lit(0).alias("seg_id"), F.lit(0.0).alias("t0"), F.lit(64).cast("long").alias("n"), F.transform("x", lambda v: v * F.col("y.f")).alias("data"))
+    out = score.score(rows, names.Arm("16s", 16.0, "", "cnn", 16.0, 4.0), detector.ensemble(_networks(), "cnn"), "perwindow", low=0.2, high=1.5)
+    return out.select("station", "chunk", F.round(F.col("p").cast("double"), 3).alias("p"))
 
 
 @query(with_views("v_recorded") + "SELECT station, channel, t0, CAST(64 AS BIGINT) AS samples, CAST(list_sum(list_transform(x, lambda v: trunc(v * 1000))) AS BIGINT) AS total, true AS equal FROM v_recorded")
