@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from llm_helpers import odd_rows, prose, rows_of
 
@@ -72,20 +73,38 @@ def test_recall_against_brute_force(spark, make_docs):
     assert len(got & want) >= 0.98 * len(want)
 
 
-def test_lsh_alone_reaches_its_recall():
-    """Without the pieces: every item-sized window is embedded, and buckets alone find."""
-    rng, bench = random.Random(13), [b for b in items(30, 4) if len(b[1].split()) >= 8]
+def test_no_window_near_an_item_is_left_out():
+    """Of every leak the window at its best run's start is among those embedded."""
+    rng, bench = random.Random(13), items(60, 4)
     index = D.Index([(i, D.words_of(t)) for i, t in bench])
-    docs, hits, want = [], set(), set()
-    for k in range(60):
+    for k in range(300):
         i, b = rng.choice(bench)
-        docs.append((k, f"{prose(k, 6, VOCABULARY)} {edited(b, rng.randrange(D.most_edits(len(b.split())) + 1), rng)} {prose(k + 1, 6, VOCABULARY)}"))
-    for k, t in docs:
-        hits |= {(k, index.ids[at]) for at, _, _ in index.search(t, every_window=True)}
-        want |= {(k, index.ids[at]) for at, _, _ in index.search(t)}
-    truth = {(d, i) for d, i, _ in brute(docs, bench)}
-    assert hits <= truth and want <= truth
-    assert len(hits) >= 0.97 * len(truth)
+        n = len(b.split())
+        before = prose(k, rng.randrange(8), ["aa", "bb", "cc"]).replace(",", "").replace(".", "")
+        text = D.words_of(f"{before} {edited(b, rng.randrange(D.most_edits(n) + 1), rng)} {prose(k, rng.randrange(4), ['aa', 'bb'])}")
+        codes = np.array([index.vocabulary.get(w, -2) for w in text])
+        assert len(D.words_of(before)) in index.windows(codes).get(n, ()), (b, text)
+
+
+def test_many_starts_at_once(monkeypatch):
+    rng, bench = random.Random(17), items(25, 6)
+    index = D.Index([(i, D.words_of(t)) for i, t in bench])
+    texts = [" ".join(edited(b, rng.randrange(D.most_edits(len(b.split())) + 1), rng) for _, b in rng.sample(bench, 4)) for _ in range(25)]
+    whole = [index.search(t) for t in texts]
+    monkeypatch.setattr(D, "STARTS", 3)
+    assert [index.search(t) for t in texts] == whole and any(whole)
+    monkeypatch.setattr(D, "TABLE_BYTES", 0)
+    bare = D.Index([(i, D.words_of(t)) for i, t in bench])
+    assert bare.bits is None and [bare.search(t) for t in texts] == whole
+
+
+def test_long_items():
+    rng = random.Random(23)
+    item = [f"v{rng.randrange(5000)}" for _ in range(3000)]
+    index = D.Index([(7, [w.encode() for w in item])])
+    changed = [w if rng.random() > 0.1 else "new" for w in item]
+    ((_, edits, _),) = index.search(" ".join(["before"] * 50 + changed + ["after"] * 50))
+    assert edits == brute_least(item, changed) and not index.search(" ".join(item[:1500]))
 
 
 def test_exact_and_odd_cases(spark, make_docs):
