@@ -74,7 +74,7 @@ def ledger_files(spark, d):
     return tables.read_ledgers(spark, [path]).drop("source")
 
 
-@query(with_views("v_scores") + "SELECT t, round(p, 5) AS p FROM v_scores WHERE station = 'click'")
+@query(with_views("v_scores") + "SELECT t, round(CAST(CAST(p AS REAL) AS DOUBLE), 5) AS p FROM v_scores WHERE station = 'click'")
 def score_series(spark, d):
     """All scores written by station, arm and chunk; one station's series read back."""
     layout = store.Layout(_folder(spark, "out"))
