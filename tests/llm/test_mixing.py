@@ -105,7 +105,7 @@ def test_sweeps_end_when_margins_are_met(make_docs, monkeypatch):
     real = mixing.stored
     monkeypatch.setattr(mixing, "stored", lambda df, name: written.append(name) or real(df, name))
     mixing.mix(make_docs(rows()), {"source": 1.0, "lang": 1.0, "topic": 1.0}).collect()
-    assert written.count("mixing-margin") == 3
+    assert written.count("mixing-sweep") == 1
 
 
 def test_given_topics(make_docs):

@@ -67,7 +67,7 @@ def probability(factor: Column, budget: float) -> Column:
 
 
 def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]] = TARGETS, sweeps: int = SWEEPS, budget: float = BUDGET) -> DataFrame:
-    """``cells`` with ``factor``. Stored after every margin, so each plan is one sum and one join.
+    """``cells`` with ``factor``. Stored after every sweep, so that plans stay short.
 
     Values without tokens, or left out of a target's dict, get factor 0 where their margin is
     raked to nothing. Margins that no probabilities can reach (more tokens asked for than there
@@ -85,7 +85,7 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]] = TARGET
             ratio = sums.join(shares[m], m).select(m, F.when(F.col("w") > 0, F.lit(total) * F.col("share") / F.col("w")).otherwise(1.0).alias("ratio"))
             now = now.join(F.broadcast(ratio) if small[m] else ratio, m)  # as many rows as the shares, which were measured
             now = now.withColumns({"factor": F.col("factor") * F.col("ratio"), off[m]: F.abs(F.col("ratio") - 1)}).drop("ratio")
-            now = stored(now, "mixing-margin")
+        now = stored(now, "mixing-sweep")
         if (now.agg(F.max(F.greatest(*off.values(), F.lit(0.0)))).head()[0] or 0.0) <= TOLERANCE:
             break
     return now.drop(*off.values())
