@@ -5,7 +5,7 @@ import xxhash
 from llm_helpers import odd_rows, prose, rows_of
 
 from waveline.llm import simhash
-from waveline.llm.components import connected_components
+from waveline.llm.components import connected_components, joined_components
 
 
 def brute_fingerprint(text):
@@ -106,6 +106,19 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_and_more_edges(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(25)]
+    more = [(rng.randrange(80), rng.randrange(80)) for _ in range(15)]
+    make = lambda e: spark.createDataFrame(e, "a long, b long")
+    known = connected_components(make(edges))
+    got = {r.node: r.component for r in joined_components(known, make(more)).collect()}
+    want = {r.node: r.component for r in connected_components(make(edges + more)).collect()}
+    alone = {x for e in more if e[0] == e[1] for x in e}
+    assert {k: v for k, v in got.items() if k in want} == want and set(got) - set(want) <= alone
+    assert {r.node: r.component for r in joined_components(known, make([])).collect()} == {r.node: r.component for r in known.collect()}
+
+
 def word_sets(rows, n=5):
     out = []
     for _, text, *_ in rows:

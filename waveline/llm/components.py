@@ -18,12 +18,26 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Every node and its smaller neighbours move to the smallest of them."""
-    least = checkpoint(edges.groupBy("u").agg(F.min("v").alias("m")))
+    """Every node and its smaller neighbours move to the smallest of them. After a large star a
+    node's smaller neighbours are few, so its sum isn't stored."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def joined_components(known: DataFrame, more: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``(node, component)`` of the graph of ``known`` components and ``more`` edges, which are few:
+    components are nodes of a smaller graph."""
+    ends = checkpoint(more.select(F.col(a).alias("a"), F.col(b).alias("b")))
+    for c in "ab":
+        of = known.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
+        ends = ends.join(of, c, "left").withColumn(f"_{c}", F.coalesce(f"_{c}", c))
+    merged = checkpoint(connected_components(ends, "_a", "_b"))
+    nodes = known.unionByName(ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(known, "node", "left_anti").select("node", F.col("node").alias("component")))
+    to = merged.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    return nodes.join(to, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every node of an edge, component the smallest node reachable.
 

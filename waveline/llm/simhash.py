@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waveline.llm.common import bounded_broadcast, checkpoint, small_batches
-from waveline.llm.components import connected_components
+from waveline.llm.components import connected_components, joined_components
 
 SEED, SHINGLE, MAX_BITS, MAX_LIST = 42, 3, 2, 64
 #: Lists that a set is in, and positional bytes that key a list.
@@ -269,10 +269,10 @@ def similar_nodes(rows: DataFrame, similarity: float) -> DataFrame:
     hubs = checkpoint(postings.groupBy("list").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("list", "hub"))
     met = checkpoint(postings.join(hubs, "list").distinct())
     edges = _verified(checkpoint(met.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()), rows, similarity)
-    part = connected_components(edges)
+    part = checkpoint(connected_components(edges))
     of = checkpoint(met.join(part, "node", "left").select("list", "node", "size", F.coalesce("component", "node").alias("component")))
     blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES)).cast("int")
-    sizes = checkpoint(of.groupBy("list", "component").agg(F.count("*").alias("n"), F.sum("size").alias("size")))
+    sizes = of.groupBy("list", "component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     lists = sizes.groupBy("list").agg(F.max(F.struct("n", "component", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("parts"))
     lists = lists.where("parts > 1 and n > 2")  # of two, one is the hub
     strays = blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size"))
@@ -287,7 +287,7 @@ def similar_nodes(rows: DataFrame, similarity: float) -> DataFrame:
     other = other.select("list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component", side.cast("int").alias("side"))
     known = checkpoint(_nodes(placed.select("node"), rows).select("node", "shingles"))
     more = other.join(known, "node").groupBy("list", "i", "j").applyInArrow(lambda t: _joining(t, similarity), "a bigint, b bigint")
-    return connected_components(edges.unionByName(checkpoint(more)))
+    return joined_components(part, more)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, max_list: int = MAX_LIST) -> DataFrame:
