@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waveline.llm import decontaminate, extract, langid, media, mixing, simhash, substring, tokencount, urlfilter, warc
+from waveline.llm import decontaminate, extract, langid, media, mixing, negatives, simhash, substring, suffixes, tokencount, urlfilter, warc
 
 #: The rules that op5 judges by.
 URL_RULES = [
@@ -64,7 +64,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_media": op2_media, "op3_langid": op3_langid, "op4_substring": op4_substring, "op5_urls": op5_urls, "op6_mixing": op6_mixing, "op7_tokens": op7_tokens, "op8_extract": op8_extract, "op9_warc": op9_warc, "op10_decontaminate": op10_decontaminate}
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_media": op2_media, "op3_langid": op3_langid, "op4_substring": op4_substring, "op5_urls": op5_urls, "op6_mixing": op6_mixing, "op7_tokens": op7_tokens, "op8_extract": op8_extract, "op9_warc": op9_warc, "op10_decontaminate": op10_decontaminate, "op11_suffixes": op11_suffixes, "op12_negatives": op12_negatives}
 
 _OP4 = r"""
 WITH w AS (
@@ -147,4 +157,46 @@ FROM rows JOIN raked USING (source, lang, topic)
 """
 
 
-SQL = {"op4_substring": _OP4, "op5_urls": _OP5, "op6_mixing": _rake_sql(), "op9_warc": _OP9}
+_OP11 = """
+WITH b AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents
+), windows AS (
+  SELECT doc_id, s, substr(x, 2 * s + 1, 100) AS w FROM (SELECT doc_id, x, unnest(range(0, n - 49)) AS s FROM b WHERE n >= 50)
+), firsts AS (
+  SELECT w, min(doc_id) AS first FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)
+), late AS (
+  SELECT doc_id, s, coalesce(s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50, true) AS new FROM windows JOIN firsts USING (w) WHERE doc_id > first
+), runs AS (
+  SELECT doc_id, min(s) AS lo, max(s) + 50 AS hi
+  FROM (SELECT *, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM late) GROUP BY doc_id, run
+), pieces AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM runs
+), cut AS (
+  SELECT b.doc_id, string_agg(substr(x, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) || substr(any_value(x), 2 * max(hi) + 1) AS kept, count(*) AS n_spans, sum(hi - lo) AS n_removed
+  FROM pieces JOIN b ON b.doc_id = pieces.doc_id GROUP BY b.doc_id
+)
+SELECT b.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM b LEFT JOIN cut ON b.doc_id = cut.doc_id
+"""
+
+_OP12 = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+SQL = {"op4_substring": _OP4, "op5_urls": _OP5, "op6_mixing": _rake_sql(), "op9_warc": _OP9, "op11_suffixes": _OP11, "op12_negatives": _OP12}
