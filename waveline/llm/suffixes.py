@@ -39,7 +39,7 @@ SIZE, RUN = 50, 20
 #: Stretches of one anchor that a block gives to the anchor's bucket, and that a shard sorts.
 VARIANTS, SORTED_VARIANTS = 8, 2000
 #: Entries that a bucket holds on average, and suffixes sorted at once.
-BUCKET_ENTRIES, SORT_SUFFIXES = 2_000_000, 400_000
+BUCKET_ENTRIES, SORT_SUFFIXES = 500_000, 200_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
