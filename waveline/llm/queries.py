@@ -159,9 +159,9 @@ FROM rows JOIN raked USING (source, lang, topic)
 
 _OP11 = """
 WITH b AS (
-  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents
+  SELECT doc_id, encode(coalesce(text, '')) AS x, strlen(coalesce(text, '')) AS n FROM documents
 ), windows AS (
-  SELECT doc_id, s, substr(x, 2 * s + 1, 100) AS w FROM (SELECT doc_id, x, unnest(range(0, n - 49)) AS s FROM b WHERE n >= 50)
+  SELECT doc_id, s, x[s + 1 : s + 50] AS w FROM (SELECT doc_id, x, unnest(range(0, n - 49)) AS s FROM b WHERE n >= 50)
 ), firsts AS (
   SELECT w, min(doc_id) AS first FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)
 ), late AS (
@@ -172,10 +172,10 @@ WITH b AS (
 ), pieces AS (
   SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM runs
 ), cut AS (
-  SELECT b.doc_id, string_agg(substr(x, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) || substr(any_value(x), 2 * max(hi) + 1) AS kept, count(*) AS n_spans, sum(hi - lo) AS n_removed
+  SELECT b.doc_id, string_agg(hex(x[before + 1 : lo]), '' ORDER BY lo) || hex(any_value(x)[max(hi) + 1 :]) AS kept, count(*) AS n_spans, sum(hi - lo) AS n_removed
   FROM pieces JOIN b ON b.doc_id = pieces.doc_id GROUP BY b.doc_id
 )
-SELECT b.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+SELECT b.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(unhex(kept), x)) AS kept_sha256
 FROM b LEFT JOIN cut ON b.doc_id = cut.doc_id
 """
 

@@ -126,7 +126,8 @@ class Hashed:
             offset = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
             first, whole = np.repeat(first, parts) + offset * span, np.repeat(count, parts)
             count = np.minimum(whole - offset * span, span)
-        return least[first], self.strings(first, count + size - 1) ^ count.astype(np.uint64), first, count
+        # Least hashes are small numbers: mixed again, they deal out evenly.
+        return _mix(least[first]), self.strings(first, count + size - 1) ^ count.astype(np.uint64), first, count
 
 
 class Block:
