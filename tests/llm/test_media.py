@@ -1,6 +1,8 @@
 import hashlib
 import struct
 import time
+
+import pytest
 import zlib
 
 from llm_helpers import odd_rows, pandas_of
@@ -87,3 +89,34 @@ def test_media_inside_others_are_carved_too(spark):
     (r,) = media.sniff(spark.createDataFrame([(1, "x/y", outer + thumb)], "doc_id long, declared string, media binary"), ["doc_id"], with_parts=True).collect()
     assert (r.carved, r.inner) == (2, 1)
     assert [(p.kind, p.offset, p.inner, bytes(p.data)) for p in r.parts] == [("audio/wav", 0, False, outer), ("image/gif", len(outer), False, thumb), ("image/gif", outer.index(thumb), True, thumb)]
+
+
+@pytest.mark.parametrize("unit", [b"GIF89a0000000!x", b"GIF89a0000000!x\x01", b"GIF87a\x01\0\x01\0\0\0\0!\xf9\x04aaaa", b"\xff\xd8\xff\xe0\0\x04ab", b"\xff\xd8\xff\xda\0\x04ab\0\0", b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR", b"BM......"])
+def test_many_signatures_take_linear_time(unit):
+    """Every magic starts a walk over the rest; walks that meet are one."""
+    took = []
+    for n in (100_000, 400_000):
+        data = unit * (n // len(unit))
+        began = time.perf_counter()
+        media.carve_all(data)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0] + 0.5 and took[1] < 6
+
+
+def test_walks_that_meet_give_what_each_gives():
+    import random
+
+    rng = random.Random(3)
+    gif = b"GIF89a\x01\0\x01\0\0\0\0" + b"!\xf9\x02ab\0" + b";"
+    jpeg = b"\xff\xd8\xff\xe0\0\x04ab\xff\xda\0\x04cd" + b"xyz\xff\0zz" + b"\xff\xd9"
+    for _ in range(300):
+        data = b"".join(rng.choice([gif, jpeg, gif[:13], jpeg[:8], b";", b"\xff\xd9", b"!", b"\0", bytes([rng.randrange(256)]) * 3]) for _ in range(25))
+        found = sorted((f.kind, f.offset, f.length) for part in media.carve_all(data) for f in part)
+        alone = []
+        for kind, magic, check in media.FORMATS:
+            at = data.find(magic)
+            while at >= 0:
+                if length := check(data, at, {}):
+                    alone.append((kind, at, length))
+                at = data.find(magic, at + 1)
+        assert found == sorted(alone)

@@ -31,83 +31,111 @@ class Found:
     length: int
 
 
-def _wav(b: bytes, at: int) -> int:
+#: What the walks over one medium column's value have found: of a place where a walk passed, where it ends.
+Seen = dict[tuple[str, int], int]
+
+
+def _settle(seen: Seen, kind: str, path: list[int], end: int) -> int:
+    """All places of a walk end where it does; a later walk that comes by stops there."""
+    for at in path:
+        seen[kind, at] = end
+    return end
+
+
+def _wav(b: bytes, at: int, seen: Seen) -> int:
     """RIFF/WAVE: the declared size fits and the chunks fill it, fmt before data."""
     if len(b) - at < 44 or b[at + 8 : at + 12] != b"WAVE":
         return 0
     end, at0 = at + 8 + struct.unpack_from("<I", b, at + 4)[0], at
     if end > len(b):
         return 0
-    at, seen = at + 12, []
+    at, names = at + 12, set()
     while at + 8 <= end:
         name, size = bytes(b[at : at + 4]), struct.unpack_from("<I", b, at + 4)[0]
-        if at + 8 + size > end or name == b"fmt " and size < 16:
+        if at + 8 + size > end or name == b"fmt " and size < 16 or name == b"data" and b"fmt " not in names:
             return 0
-        seen.append(name)
+        names.add(name)
         at += 8 + size + size % 2
-    return end - at0 if at in (end, end + 1) and b"data" in seen and b"fmt " in seen[: seen.index(b"data")] else 0
+    return end - at0 if at in (end, end + 1) and b"data" in names else 0
 
 
-def _png(b: bytes, at: int) -> int:
-    """PNG: chunks from IHDR to IEND, each with its check sum."""
-    at0, at, first = at, at + 8, True
+def _png(b: bytes, at: int, seen: Seen) -> int:
+    """PNG: chunks from an IHDR of 13 bytes to IEND, each with its check sum."""
+    at0, at, end, path = at, at + 8, 0, []
+    if b[at : at + 8] != b"\0\0\0\rIHDR":
+        return 0
     while at + 12 <= len(b):
+        if ("png", at) in seen:
+            end = seen["png", at]
+            break
+        path.append(at)
         size, name = struct.unpack_from(">I", b, at)[0], bytes(b[at + 4 : at + 8])
-        if first and name != b"IHDR" or at + 12 + size > len(b):
-            return 0
-        if zlib.crc32(b[at + 4 : at + 8 + size]) != struct.unpack_from(">I", b, at + 8 + size)[0]:
-            return 0
-        at, first = at + 12 + size, False
+        if at + 12 + size > len(b) or zlib.crc32(memoryview(b)[at + 4 : at + 8 + size]) != struct.unpack_from(">I", b, at + 8 + size)[0]:
+            break
+        at += 12 + size
         if name == b"IEND":
-            return at - at0
-    return 0
+            end = at
+            break
+    _settle(seen, "png", path, end)
+    return end - at0 if end else 0
 
 
-def _gif(b: bytes, at: int) -> int:
+def _gif(b: bytes, at: int, seen: Seen) -> int:
     """GIF: colour tables, then blocks of sub-blocks up to the trailer."""
-    at0, n = at, len(b)
+    at0, n, end, path = at, len(b), 0, []
 
     def table(flags: int) -> int:
         return 3 << (flags & 7) + 1 if flags & 128 else 0
 
     def blocks(at: int) -> int:
-        while at < n and b[at]:
+        walked = []
+        while at < n and b[at] and ("sub", at) not in seen:
+            walked.append(at)
             at += b[at] + 1
-        return at + 1
+        return _settle(seen, "sub", walked, seen.get(("sub", at), at + 1))
 
     if n - at < 14:
         return 0
     at += 13 + table(b[at + 10])
     while at < n:
+        if ("gif", at) in seen:
+            end = seen["gif", at]
+            break
+        path.append(at)
         if b[at] == 0x3B:
-            return at + 1 - at0
+            end = at + 1
+            break
         if b[at] == 0x21:
             at = blocks(at + 2)
         elif b[at] == 0x2C and at + 10 < n:
             at = blocks(at + 11 + table(b[at + 9]))
         else:
-            return 0
-    return 0
+            break
+    _settle(seen, "gif", path, end)
+    return end - at0 if end else 0
 
 
-def _jpeg(b: bytes, at: int) -> int:
+def _jpeg(b: bytes, at: int, seen: Seen) -> int:
     """JPEG: marker segments by their lengths, then entropy-coded data up to EOI."""
-    at0, n, scan = at, len(b), False
+    at0, n, scan, end, paths = at, len(b), False, 0, {False: [], True: []}
     at += 2
     while at + 2 <= n:
+        kind = "scan" if scan else "jpeg"
+        if (kind, at) in seen:
+            end = seen[kind, at]
+            break
+        paths[scan].append(at)
         if b[at] != 0xFF:
-            if not scan:
-                return 0
-            at = b.find(b"\xff", at)
-            if at < 0:
-                return 0
+            if not scan or (at := b.find(b"\xff", at)) < 0:
+                break
             continue
         mark = b[at + 1]
         if mark == 0xD9:
-            return at + 2 - at0 if scan else 0
+            end = at + 2 if scan else 0
+            break
         if mark == 0 or 0xD0 <= mark <= 0xD7:
             if not scan:
-                return 0
+                break
             at += 2
         elif mark == 0xFF:
             at += 1
@@ -115,11 +143,13 @@ def _jpeg(b: bytes, at: int) -> int:
             scan = scan or mark == 0xDA
             at += 2 + size
         else:
-            return 0
-    return 0
+            break
+    _settle(seen, "jpeg", paths[False], end)
+    _settle(seen, "scan", paths[True], end)
+    return end - at0 if end else 0
 
 
-def _bmp(b: bytes, at: int) -> int:
+def _bmp(b: bytes, at: int, seen: Seen) -> int:
     """BMP: the declared file size holds the header and the pixels it declares."""
     if len(b) - at < 54:
         return 0
@@ -130,7 +160,7 @@ def _bmp(b: bytes, at: int) -> int:
 
 
 #: Fixed values of the formats: kind, magic bytes, validator.
-FORMATS: list[tuple[str, bytes, Callable[[bytes, int], int]]] = [
+FORMATS: list[tuple[str, bytes, Callable[[bytes, int, Seen], int]]] = [
     ("audio/wav", b"RIFF", _wav),
     ("image/png", b"\x89PNG\r\n\x1a\n", _png),
     ("image/gif", b"GIF87a", _gif),
@@ -160,10 +190,10 @@ def carve(data: bytes) -> tuple[list[Found], int]:
 
 def carve_all(data: bytes) -> tuple[list[Found], list[Found]]:
     """The outermost valid media in order, and those that lie inside them, such as a thumbnail."""
-    out, inside, end = [], [], 0
+    out, inside, end, seen = [], [], 0, {}
     hits = sorted((last - length + 1, k) for last, (k, length) in _signatures().iter(data.decode("latin-1")))
     for at, k in hits:
-        if length := FORMATS[k][2](data, at):
+        if length := FORMATS[k][2](data, at, seen):
             if at < end:
                 inside.append(Found(FORMATS[k][0], at, length))
             else:
