@@ -147,6 +147,31 @@ def test_blocks():
     assert text("") == [] and text("<!-- open") == []
 
 
+A, B, C = ("a" * 20 + " one", "b" * 20 + " two", "c" * 20 + " three")
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<p>{A}</p><p hidden>x<p>{B}</p>", [A, B]),
+    (f"<ul><li hidden>x<li>{B}</ul><p>{C}</p>", [B, C]),
+    (f"<ul><li>{A}<li hidden>x<ul><li>y<li>z</ul>w<li>{B}</ul><p>{C}", [A, B, C]),
+    (f"<ul><li hidden>x</ul><p>{C}", [C]),
+    (f"<table><tr><td hidden>x<td>{B}<tr hidden><td>x<td>y<tr><td>{C}</table><p>{A}", [B, C, A]),
+    (f"<dl><dt hidden>x<dd>{B}<dd hidden>y<dt>{C}</dl>", [B, C]),
+    (f"<p hidden>x<div>{B}</div>", [B]),
+    (f"<p hidden>x <b>y</b> <!-- <p> --> z<div>{B}</div>", [B]),
+    (f"<div hidden><p>x<p>y<div>z</div><li>w</div><p>{B}", [B]),
+    (f"<article><div hidden>x</article><p>{B}", [B]),
+    (f"<div><p hidden>x</div><p>{B}", [B]),
+    (f'<div hidden title="</div>">x</div><p>{B}', [B]),
+    (f"<span hidden>x <span>y</span> z</span><p>{B}", [B]),
+    (f"<p>{A}<div hidden>never ends<p>x", [A]),
+    (f"<p>{A} <span hidden>x</span> end", [A + " end"]),
+    (f"<select hidden><option>x<option>y</select><p>{B}", [B]),
+])
+def test_hidden_elements_end_where_their_kind_ends(page, want):
+    assert [b.text for b in extract.blocks_of(page)] == want
+
+
 def test_min_cut_against_brute_force():
     rng = random.Random(4)
     for _ in range(200):

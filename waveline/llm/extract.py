@@ -243,7 +243,7 @@ def blocks_of(page: str) -> list[Block]:
             number += 1
             element = _opened(tag, attributes, number, stack[-1] if stack else None)
             if element is None:  # not shown: up to its own end tag
-                at = _past(page, tag, at, ends)
+                at = _past(page, tag, at, ends, open_tags)
                 continue
             stack.append(element)
             open_tags[tag] += 1
@@ -253,14 +253,41 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def _past(page: str, tag: str, at: int, ends: _Ends) -> int:
-    """Where a hidden element ends: at the end tag that matches, or at the page's end."""
-    deep = 1
-    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])", re.I).finditer(page, at):
-        deep += -1 if m[1] else 1
-        if not deep:
-            end = ends.of(m.end())
-            return end + 1 if end >= 0 else len(page)
+#: Fixed values of the format: what ends an element without an end tag, besides what it is in.
+_ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "thead", "tfoot"}, "td": {"td", "th", "tr", "tbody", "thead", "tfoot"}, "th": {"td", "th", "tr", "tbody", "thead", "tfoot"}, "option": {"option"}}
+_ANY_TAG = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*))")
+
+
+def _past(page: str, tag: str, at: int, ends: _Ends, around: Counter) -> int:
+    """Where a hidden element ends: at its end tag, where its kind ends without one, where an
+    element that it is in (``around``) ends; else at the page's end."""
+    inside: list[str] = []
+    while m := _ANY_TAG.search(page, at):
+        if m[2] is None:
+            end = page.find("-->", m.end())
+            at = len(page) if end < 0 else end + 3
+            continue
+        end = ends.of(m.end())
+        if end < 0:
+            return len(page)
+        at, name = end + 1, m[2].lower()
+        if m[1]:
+            if name in inside:
+                del inside[len(inside) - 1 - inside[::-1].index(name) :]
+            elif name == tag:
+                return at
+            elif name in BLOCK_TAGS and around[name]:
+                return m.start()
+            continue
+        if name in BLOCK_TAGS:
+            while inside and (inside[-1] == "p" or name in _ENDED_BY.get(inside[-1], ())):
+                inside.pop()
+            if not inside and (tag == "p" or name in _ENDED_BY.get(tag, ())):
+                return m.start()
+        elif name == "option" == tag and not inside:
+            return m.start()
+        if (name in BLOCK_TAGS or name == tag) and name not in VOID_TAGS and page[end - 1] != "/":
+            inside.append(name)
     return len(page)
 
 
