@@ -73,6 +73,23 @@ def test_recall_against_brute_force(spark, make_docs):
     assert len(got & want) >= 0.98 * len(want)
 
 
+@pytest.mark.parametrize("similarity", [0.5, 0.66])
+def test_lower_similarities(similarity):
+    """Items may lose every word pair there: all windows are embedded."""
+    rng, bench = random.Random(5), items(24, 4)
+    index, found, planted = D.Index([(i, D.words_of(t)) for i, t in bench], similarity), 0, 0
+    for i, text in bench:
+        n = len(D.words_of(text))
+        doc = f"{prose(i, 20)} {edited(text, rng.randrange(D.most_edits(n, similarity) + 1), rng)} {prose(i + 500, 20)}"
+        got = {t: e for t, e, _ in index.search(doc)}
+        want = {t: e for t, (_, b) in enumerate(bench) if (e := brute_least(D.words_of(b), D.words_of(doc))) <= D.most_edits(len(D.words_of(b)), similarity)}
+        assert all(want.get(t) == e for t, e in got.items())
+        found, planted = found + len(got), planted + len(want)
+    assert planted >= 24 and found >= 0.95 * planted
+    with pytest.raises(ValueError):
+        D.Index([(1, [b"a"])], similarity=0.0)
+
+
 def test_no_window_near_an_item_is_left_out():
     """Of every leak the window at its best run's start is among those embedded."""
     rng, bench = random.Random(13), items(60, 4)

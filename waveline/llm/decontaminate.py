@@ -14,7 +14,8 @@ target recall and the agreement expected at the similarity wanted.
 Item-sized windows of every start are candidates for embedding, but for those that cannot be near
 an item of their length: e edits spare all but 2e of an item's word pairs, and a window that is
 e words too short misses e more. Of any 3e + k of an item's pairs (its rarest are taken) a window
-near it has k, so windows that have so many of no item are left out, without loss. Items that
+near it has k, so windows that have so many of no item are left out, without loss. (Where an item
+has no more than 3e pairs, as short ones at low similarities, every window is embedded.) Items that
 allow no edits are found by their whole word sequence. Walks of one start are the same for all
 lengths, so a start is embedded once, many at a time in numpy.
 """
@@ -54,6 +55,11 @@ def most_edits(n: int, similarity: float = SIMILARITY) -> int:
     return n - math.ceil(similarity * n - 1e-9)
 
 
+def agreement_at(similarity: float) -> float:
+    """Agreement of positions expected at a similarity: less than ``AGREEMENT`` below 0.8, more edits put walks out of step."""
+    return AGREEMENT if similarity >= SIMILARITY else max(0.12, AGREEMENT - 1.1 * (SIMILARITY - similarity))
+
+
 def repetitions(recall: float = RECALL, sampled: int = SAMPLED, agreement: float = AGREEMENT) -> int:
     """Repetitions that find a pair with the agreement given with at least the recall wanted."""
     return math.ceil(math.log(1 - recall) / math.log(1 - agreement**sampled))
@@ -146,11 +152,13 @@ class Index:
     """Items of one block: their word pairs, and their buckets in every repetition."""
 
     def __init__(self, items: list[tuple[object, list[bytes]]], similarity: float = SIMILARITY, recall: float = RECALL):
+        if not 0 < similarity <= 1:
+            raise ValueError(f"similarity must be over 0 and at most 1, not {similarity}")
         self.ids = [i for i, _ in items]
         self.vocabulary: dict[bytes, int] = {}
         self.items = [[self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words] for _, words in items]
         self.edits = [most_edits(len(x), similarity) for x in self.items]
-        self.reps = repetitions(recall)
+        self.reps = repetitions(recall, agreement=agreement_at(similarity))
         words, steps = len(self.vocabulary), 3 * max(map(len, self.items), default=0)
         self.bits = walk_bits(np.append(np.arange(words), _OTHER), np.arange(steps)) if words * steps <= TABLE_BYTES else None
         by_words: dict[tuple, int] = {}
@@ -177,7 +185,12 @@ class Index:
         return at, codes[at].astype(np.int64) * len(self.vocabulary) + codes[at + 1]
 
     def _pairs(self, ts: list[int]) -> None:
-        """The word pairs looked for, in order, and the items each is of."""
+        """The word pairs looked for, in order, and the items each is of.
+
+        An item whose pairs can all be gone at its edits is looked for in every window of its length.
+        """
+        self.every = {len(self.items[t]) for t in ts if len(self.items[t]) - 1 <= 3 * self.edits[t]}
+        ts = [t for t in ts if len(self.items[t]) not in self.every]
         none = np.empty(0, np.int64)
         own = [np.unique(self._pair_codes(np.array(self.items[t]))[1], return_counts=True) for t in ts]
         found, n = np.unique(np.concatenate([none, *[x for x, _ in own]]), return_counts=True)
@@ -242,7 +255,7 @@ class Index:
                 lo, hi = np.maximum(0, first[mine] - size + 2), upto[mine] + 1
                 spans = np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())
                 out[size] = np.unique(spans)
-        return out
+        return out | {n: np.arange(total) for n in self.every if total}
 
     def search(self, text: str | None) -> list[tuple[int, int, int]]:
         """(item's place, edits, end) of every item that leaks into a text, at its fewest edits."""
@@ -317,7 +330,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     Whole texts are searched. A null or wordless text or item has no leaks; equal items are
     each named; repeated rows are each reported and null ids stay null. Empty tables give no
-    rows; other columns are ignored.
+    rows; other columns are ignored. Below 0.8 the repetitions grow with what edits leave in
+    step, and items that may lose all their word pairs are looked for in every window.
     """
     kinds = docs.select(id_col).schema[0].dataType, benchmark.select(item_col).schema[0].dataType
     schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, edits int, item_words int, end_word bigint"
