@@ -120,12 +120,20 @@ def test_sparse_counts_are_each_text_alone():
         assert dict(zip(buckets[lo:hi].tolist(), counts[lo:hi].tolist())) == {g: int((alone == g).sum()) for g in set(alone.tolist())}
 
 
-def test_many_languages_have_fewer_buckets(make_docs, monkeypatch):
-    monkeypatch.setattr(langid, "MODEL_BYTES", 3 * (1 << 11) * 4)
-    out = pandas_of(langid.identify(make_docs(rows(30))))
-    truth = {r[0]: r[2] for r in rows(30)}
-    assert (out.lang_pred == out.doc_id.map(truth)).mean() > 0.9
-    assert len(langid.train(make_docs(rows(5))).weights) == 1 << 11
+def test_blocks_of_languages_give_what_one_model_gives(make_docs):
+    """More languages than one broadcast holds: a pass for each block, the same predictions."""
+    data = rows(20) + [(9000 + i, prose(i, 1 + i % 4, LEXICON["en"] + LEXICON["fr"] + LEXICON["de"]), None, "b") for i in range(40)] + odd_rows(9500)
+    docs = make_docs(data)
+    models = [langid.train(docs, block=n) for n in (256, 2, 1)]
+    assert [len(m) for m in models] == [1, 2, 4] and all(len(m.weights) == langid.BUCKETS for part in models for m in part)
+    texts = [t for _, t, *_ in data]
+    one = models[0][0].predict(texts)
+    for part in models:
+        got = langid.predict_all(part, texts)
+        assert [lang for lang, _ in got] == [lang for lang, _ in one] and [p for _, p in got] == pytest.approx([p for _, p in one], rel=1e-6)
+        out = langid.predicted(docs.select("doc_id", "text"), 1, part, "lang", "p").collect()
+        assert sorted((r.text or "", r.lang) for r in out) == sorted((t or "", lang) for t, (lang, _) in zip(texts, one))
+    assert 0.05 < min(p for lang, p in one if lang != "und") < 0.99
 
 
 def test_stage_keeps_columns_and_clean_rows(make_docs):

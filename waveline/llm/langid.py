@@ -4,7 +4,8 @@ Training counts every 1-, 2- and 3-gram of every labelled text into a fixed numb
 summed a task at a time and then in Spark. The model is one row of log-probabilities for each
 bucket and one column for each language; it is broadcast. A batch of texts becomes one sparse
 matrix of bucket counts (rows' ends, buckets, counts), and its product with the model gives the
-scores of all its texts.
+scores of all its texts. With many languages the model is blocks of some of them: each text
+carries the best so far and the sum of all likelihoods against it from block to block.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from waveline.llm.common import fresh, small_batches
+from waveline.llm.common import checkpoint, fresh, small_batches
 
-#: Size of the model: buckets, n-gram lengths, and bytes of the broadcast at most. With more
-#: languages than they hold at BUCKETS, buckets are halved until the model fits.
-BUCKETS, ORDERS, MODEL_BYTES = 1 << 15, 3, 32 << 20
+#: Size of the model: buckets, n-gram lengths, and languages of one broadcast at most (32 MB).
+#: More languages are several blocks, a pass over the texts for each.
+BUCKETS, ORDERS, LANGUAGES = 1 << 15, 3, 256
 #: Characters whose n-grams are held at once, but for a longer text.
 CHARS = 1 << 18
 #: A task hands on its counts when it has this many languages, so that its memory is bounded.
@@ -103,21 +105,65 @@ class Model:
             out[:, k] = np.diff(so_far[ends], prepend=0.0)
         return out + self.prior
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """The likeliest language of each text and its posterior probability, the alphabetically
-        first of equal ones; ``und`` and 0 without letters or languages."""
-        out = [("und", 0.0)] * len(texts)
+    def go_on(self, texts: list[str | None], so_far: list[tuple[str, float, float] | None]) -> list[tuple[str, float, float] | None]:
+        """(language, score, likelihoods of all against it) of each text, with this block's languages
+        taken in; of equal scores the first stays. None without letters or languages."""
+        out = list(so_far)
         known = [i for i, t in enumerate(texts) if t and self.languages and _LETTER.search(t)]
         at = 0
         for part in _parts([texts[i] for i in known]):
             scores = self.scores(part)
             best = scores.argmax(axis=1)
-            sure = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
-            for i, b, p in zip(known[at : at + len(part)], best.tolist(), sure.tolist(), strict=True):
-                out[i] = self.languages[b], p
+            top = scores.max(axis=1)
+            total = np.exp(scores - top[:, None]).sum(axis=1)
+            for i, b, score, against in zip(known[at : at + len(part)], best.tolist(), top.tolist(), total.tolist(), strict=True):
+                had = out[i]
+                if had is None:
+                    out[i] = self.languages[b], score, against
+                elif score > had[1]:
+                    out[i] = self.languages[b], score, against + had[2] * float(np.exp(had[1] - score))
+                else:
+                    out[i] = had[0], had[1], had[2] + against * float(np.exp(score - had[1]))
             at += len(part)
         return out
 
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The likeliest language of each text and its posterior probability, the alphabetically
+        first of equal ones; ``und`` and 0 without letters or languages."""
+        return [("und", 0.0) if x is None else (x[0], 1 / x[2]) for x in self.go_on(texts, [None] * len(texts))]
+
+
+def predict_all(models: list[Model], texts: list[str | None]) -> list[tuple[str, float]]:
+    """The same over all blocks of a model."""
+    found: list[tuple[str, float, float] | None] = [None] * len(texts)
+    for model in models:
+        found = model.go_on(texts, found)
+    return [("und", 0.0) if x is None else (x[0], 1 / x[2]) for x in found]
+
+
+def predicted(rows: DataFrame, at: int, models: list[Model], lang: str, score: str) -> DataFrame:
+    """``rows`` with the language predicted of the text in column ``at``, and its probability.
+
+    A pass over the texts for each block of languages, each with its own broadcast.
+    """
+    types = [*rows.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
+    rest, wide = fresh(rows, "wl_rest"), len(rows.columns)
+    carried = T.StructType([*types, T.StructField(rest, T.DoubleType())])
+    rows = rows.select("*", F.lit(None).cast("string").alias(lang), F.lit(None).cast("double").alias(score), F.lit(None).cast("double").alias(rest))
+    for model in models:
+        shared = rows.sparkSession.sparkContext.broadcast(model)
+
+        def work(batches, shared=shared):
+            for batch in batches:
+                had = [None if a is None else (a, b, c) for a, b, c in zip(*(batch.column(wide + k).to_pylist() for k in range(3)), strict=True)]
+                found = shared.value.go_on(batch.column(at).to_pylist(), had)
+                cols = [pa.array([None if x is None else x[k] for x in found], t) for k, t in enumerate((pa.string(), pa.float64(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:wide], *cols], batch.schema.names)
+
+        rows = rows.mapInArrow(work, carried)
+    none = F.col(lang).isNull()
+    return rows.withColumns({score: F.when(none, 0.0).otherwise(1 / F.col(rest)), lang: F.when(none, "und").otherwise(F.col(lang))}).drop(rest)
+
 
 def bucket_counts(rows: DataFrame, text_col: str, lang_col: str, buckets: int = BUCKETS) -> DataFrame:
     """``(lang, bucket, n)`` over all rows; bucket -1 counts documents. Rows without language are left out."""
@@ -145,19 +191,26 @@ def bucket_counts(rows: DataFrame, text_col: str, lang_col: str, buckets: int =
     return labelled.mapInArrow(run, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS, smoothing: float = 0.5) -> Model:
-    """A model of all labelled rows. At most MODEL_BYTES / 4 numbers reach the driver, if that many
-    languages have two buckets."""
+def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS, smoothing: float = 0.5, block: int = LANGUAGES) -> list[Model]:
+    """A model of all labelled rows, in blocks of at most ``block`` languages in order. The counts
+    of one block are on the driver at a time; a model of none is no block."""
     languages = sorted(r[0] for r in rows.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().toLocalIterator())
-    while buckets > 2 and len(languages) * buckets * 4 > MODEL_BYTES:
-        buckets //= 2
-    counts = np.zeros((buckets + 1, len(languages)))
-    if languages:
-        found = bucket_counts(rows, text_col, lang_col, buckets).toArrow()
-        place = np.searchsorted(languages, found["lang"].to_numpy(zero_copy_only=False).astype(str))
-        counts[found["bucket"].to_numpy() + 1, place] = found["n"].to_numpy()
-    documents, counts = counts[0], counts[1:] + smoothing
-    return Model(languages, np.log(np.maximum(documents, 1) / max(documents.sum(), 1)), np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    if not languages:
+        return []
+    found = checkpoint(bucket_counts(rows, text_col, lang_col, buckets)) if len(languages) > block else bucket_counts(rows, text_col, lang_col, buckets)
+    out, total = [], 0.0
+    for k in range(0, len(languages), block):
+        some = languages[k : k + block]
+        mine = found.where((F.col("lang") >= some[0]) & (F.col("lang") <= some[-1])) if len(languages) > block else found
+        mine, counts = mine.toArrow(), np.zeros((buckets + 1, len(some)))
+        place = np.searchsorted(some, mine["lang"].to_numpy(zero_copy_only=False).astype(str))
+        counts[mine["bucket"].to_numpy() + 1, place] = mine["n"].to_numpy()
+        documents, counts = counts[0], counts[1:] + smoothing
+        total += documents.sum()
+        out.append(Model(some, documents, np.log(counts / counts.sum(axis=0)).astype(np.float32)))
+    for model in out:
+        model.prior = np.log(np.maximum(model.prior, 1) / max(total, 1))
+    return out
 
 
 def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
@@ -172,17 +225,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     nothing to learn from. A row with a null id isn't learnt from nor held out. Repeated rows
     come back as often as they went in; an empty table gives none; other columns are ignored.
     """
-    model = train(docs.where(~held_out(id_col)), text_col, lang_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        for batch in batches:
-            found = shared.value.predict(batch.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
-
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    rows = small_batches(docs).select(F.col(id_col), F.coalesce(held_out(id_col), F.lit(False)).alias("_held"), F.col(text_col))
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    models = train(docs.where(~held_out(id_col)), text_col, lang_col)
+    rows = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text_col).alias("_text"))
+    return predicted(rows, 2, models, "lang_pred", "score").select("doc_id", "held_out", "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -193,22 +238,15 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nothing to learn from, texts with letters stay all the same. Repeated rows and rows with a
     null id stay by their texts; an empty table gives none.
     """
-    model = train(docs.where(~held_out(id_col)), text_col, lang_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    name = fresh(docs, "lang_pred")
+    models = train(docs.where(~held_out(id_col)), text_col, lang_col)
+    name, score = fresh(docs, "lang_pred"), fresh(docs, "score")
+    if models:
+        rows = predicted(small_batches(docs), docs.columns.index(text_col), models, name, score)
+        return rows.where(F.col(name) != "und").select(*docs.columns)
     at = docs.columns.index(text_col)
 
-    def run(batches):
+    def lettered(batches):
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            if shared.value.languages:
-                found = [lang for lang, _ in shared.value.predict(texts)]
-            else:
-                found = ["" if t and _LETTER.search(t) else "und" for t in texts]
-            found = pa.array(found, pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
-
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())])
-    return small_batches(docs).mapInArrow(run, schema).where(F.col(name) != "und").select(*docs.columns)
+            yield batch.filter(pa.array([bool(t and _LETTER.search(t)) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return small_batches(docs).mapInArrow(lettered, docs.schema)
