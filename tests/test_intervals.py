@@ -139,3 +139,41 @@ def test_thresholds_leave_out_budgets_beyond_the_windows(spark):
     days = spark.createDataFrame([("s", 10.0)], "k string, days double")
     got = {r.budget: r.thr for r in alarms.thresholds(df, ["k"], [10.0, 9.0, 1.0], days).collect()}
     assert got == {b: pytest.approx(np.quantile(np.arange(100) / 100, 1 - b * 10 / 100)) for b in (9.0, 1.0)}
+
+
+def test_quantiles_of_crowded_values(spark):
+    """Nearly all values under a thousandth: buckets are divided until few are left to sort."""
+    import numpy as np
+
+    from waveline.operators.quantiles import quantiles_at
+
+    rng = np.random.default_rng(8)
+    sets = {"crowded": rng.random(4000) ** 2 * 1e-4, "equal": np.full(3000, 0.25), "wide": rng.normal(size=500) * 3, "two": np.array([0.1, 0.7]), "one": np.array([1.0])}
+    values = spark.createDataFrame([(k, float(v)) for k, x in sets.items() for v in x] + [("crowded", None)], "k string, v double")
+    qs = [0.0, 0.1, 0.5, 0.731, 0.999, 1.0]
+    wanted = spark.createDataFrame([(k, q) for k in sets for q in qs] + [("nobody", 0.5)], "k string, q double")
+    got = {(r.k, r.q): r.quantile for r in quantiles_at(values, ["k"], "v", wanted, sorted_at_once=20).collect()}
+    assert got == {(k, q): pytest.approx(np.quantile(x, q), rel=1e-12, abs=1e-15) for k, x in sets.items() for q in qs}
+
+
+def test_joint_days_have_no_constant_key(spark):
+    """Pairs are formed once, under a key of month and blocks; days as by all pairs."""
+    import random
+
+    from waveline.plans.inventory import joint_days
+
+    rng = random.Random(3)
+    rows = [(f"S{k:02d}", lo := rng.randrange(400) * 43_200.0, lo + rng.randrange(1, 80) * 43_200.0) for k in range(40) for _ in range(3)]
+    spans = {}
+    for s, lo, hi in rows:
+        spans.setdefault(s, []).append((lo, hi))
+    want = {}
+    for a in spans:
+        for b in spans:
+            days = [int((min(y, v) - max(x, u)) // 86400) for x, y in spans[a] for u, v in spans[b] if min(y, v) > max(x, u)]
+            if a < b and days:
+                want[a, b] = sum(days)
+    out = joint_days(spark.createDataFrame(rows, "station string, lo double, hi double"))
+    assert {(r.station_a, r.station_b): r.joint_days for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "0 AS _k" not in plan and "Cartesian" not in plan

@@ -8,7 +8,7 @@ from test_sources import make_archive
 from waveline import cli
 from waveline.functions import names
 from waveline.functions.names import Arm
-from waveline.operators import arrivals, baseline, coincidence, snr, windows
+from waveline.operators import arrivals, baseline, blocks, coincidence, snr, windows
 from waveline.plans import adopt, inventory, run
 from waveline.sources import archive, mseed, store, tables
 
@@ -98,7 +98,7 @@ def segments_of(spark, n=60_000, gap_at=None):
         data[30_000:31_000] *= 20
         parts = [(0, data)] if gap_at is None else [(0, data[:gap_at]), (gap_at + 100, data[gap_at + 100 :])]
         rows += [("S", "c", role, i, at / FS, len(d), d.tolist()) for i, (at, d) in enumerate(parts)]
-    return spark.createDataFrame(rows, "station string, chunk string, role string, seg_id int, t0 double, n bigint, data array<double>")
+    return blocks.pack(spark.createDataFrame(rows, "station string, chunk string, role string, seg_id int, t0 double, n bigint, data array<double>"))
 
 
 def test_snr(spark):
@@ -123,7 +123,7 @@ def test_cut_every_length_or_none(spark):
     assert {r.event_id for r in got} == {0} and len(got) == 6
     assert {r.tag for r in got} == {"event_0_raw", "noise_event_0_raw"}
     first = next(r for r in got if r.kind == "eq" and r.length_s == 6.0)
-    z = np.array(segs.where("role = 'Z' and seg_id = 0").head().data)
+    z = np.frombuffer(segs.where("role = 'Z' and seg_id = 0 and block = 0").head().data)
     assert first.samples[0] == np.trunc(z[29_900:30_500]).astype(int).tolist() and len(first.samples) == 3
     assert [(r.band, r.kept) for r in windows.kept_by_band(out, events, ["station", "chunk"]).collect()] == [(2.5, 1)]
 

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from waveline.functions import arrays
-from waveline.operators import detector, score, signal
+from waveline.functions import names
+from waveline.operators import blocks, detector, intervals, score, signal
 
 FS = 100.0
 
@@ -113,44 +114,87 @@ def test_checkpoints():
         detector.find_checkpoints(names, branch="gru")
 
 
-def gain_offset(gain, offset):
-    rng = np.random.default_rng(5)
-    return [[(0.0, rng.normal(size=6000) * 100 * gain + offset)] for _ in range(3)]
+def stub(block):
+    return np.abs(block).mean(axis=(1, 2)).astype(np.float64)
 
 
-def stub(block):
-    return np.abs(block).mean(axis=(1, 2))
+def record(spark, *sides, chunk="c"):
+    """Segments of a station's three components, in blocks, from lists of (start, samples)."""
+    rows = [("S", chunk, role, k, t0, len(x), x.tolist()) for role, side in zip("ZNE", sides) for k, (t0, x) in enumerate(side)]
+    return blocks.pack(spark.createDataFrame(rows, "station string, chunk string, role string, seg_id int, t0 double, n bigint, data array<double>"))
 
 
-def run(segs, mode, **kw):
-    out = list(score.score_chunk(segs, stub, 600, 600, mode=mode, **kw))
-    return np.concatenate([t for t, _ in out]), np.concatenate([p for _, p in out])
+def gain_offset(spark, gain, offset):
+    rng = np.random.default_rng(5)
+    return record(spark, *[[(0.0, rng.normal(size=6000) * 100 * gain + offset)] for _ in range(3)])
 
 
-def test_perwindow_ignores_gain_and_offset():
-    t, p = run(gain_offset(1, 0), "perwindow")
-    assert len(t) == 10 and t == pytest.approx(np.arange(10) * 6.0)
-    assert run(gain_offset(25, 5000), "perwindow")[1] == pytest.approx(p, rel=1e-4)
+ARM = names.Arm("6s", 6.0, "", "cnn", 6.0)
+
+
+def scored(segs, mode, **kw):
+    rows = sorted(score.score(segs, ARM, stub, mode, **kw).collect(), key=lambda r: (r.chunk, r.t))
+    return np.array([r.t for r in rows]), np.array([r.p for r in rows])
 
 
-def test_station_units_and_constant():
-    one = np.ones(3)
-    p = run(gain_offset(1, 0), "trimmed", mu=0 * one, sigma=100 * one)[1]
-    assert run(gain_offset(1, 0), "constant", constant=100.0)[1] == pytest.approx(p)
-    assert run(gain_offset(1, 0), "pooled", mu=0 * one, sigma=1000 * one)[1] == pytest.approx(p / 10)
+def test_perwindow_ignores_gain_and_offset(spark):
+    t, p = scored(gain_offset(spark, 1, 0), "perwindow")
+    assert len(t) == 10 and t == pytest.approx(np.arange(10) * 6.0)
+    assert scored(gain_offset(spark, 25, 5000), "perwindow")[1] == pytest.approx(p, rel=1e-4)
+
+
+def test_station_units_and_constant(spark):
+    segs = gain_offset(spark, 1, 0)
+    base = lambda sigma, trimmed: spark.createDataFrame([("S", r, 0.0, sigma, trimmed) for r in "ZNE"], "station string, role string, mu double, sigma double, sigma_trimmed double")
+    p = scored(segs, "trimmed", baseline=base(1000.0, 100.0))[1]
+    assert scored(segs, "constant", constant=100.0)[1] == pytest.approx(p, rel=1e-6)
+    assert scored(segs, "pooled", baseline=base(1000.0, 100.0))[1] == pytest.approx(p / 10, rel=1e-5)
+    assert scored(segs, "trimmed", baseline=base(100.0, None))[1] == pytest.approx(p, rel=1e-6)
+    loud = scored(gain_offset(spark, 25, 5000), "trimmed", baseline=base(1000.0, 100.0))[1]
+    assert loud == pytest.approx(25 * p, rel=1e-3)  # station units keep the gain, and lose the offset
+    assert len(scored(segs, "trimmed", baseline=base(1.0, 1.0).where("role <> 'E'"))[0]) == 0
+    with pytest.raises(ValueError):
+        scored(segs, "other")
     with pytest.raises(ValueError):
-        run(gain_offset(1, 0), "other")
+        scored(segs, "pooled")
 
 
-def test_blocks_fill_across_spans():
+def test_batches_fill_across_spans(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK", 1000)
     rng = np.random.default_rng(6)
-    segs = [[(k * 70.0, rng.normal(size=6500)) for k in range(4)] for _ in range(3)]
-    t, p = run(segs, "perwindow")
-    small = run(segs, "perwindow", block_windows=3, batch=2)
+    segs = record(spark, *[[(k * 70.0, rng.normal(size=6500)) for k in range(4)] for _ in range(3)])
+    t, p = scored(segs, "perwindow")
+    small = scored(segs, "perwindow", batch=3)
     assert len(t) == 40 and small[0] == pytest.approx(t) and small[1] == pytest.approx(p)
-    near = run(segs, "perwindow", near=[(73.0, 90.0)])[0]
+    near = scored(segs, "perwindow", near=[(73.0, 90.0)])[0]
     assert near == pytest.approx([76.0, 82.0]) and set(near) <= set(t)
-    assert list(score.score_chunk([segs[0], segs[1], []], stub, 600, 600)) == []
+    assert len(scored(segs.where("role <> 'E'"), "perwindow")[0]) == 0
+
+
+def test_many_short_spans_make_few_batches(spark):
+    """As many groups as the windows ask for, whatever the gaps and the chunks."""
+    heads = spark.range(30_000).selectExpr("'S' AS station", "concat('c', id % 3) AS chunk", "cast(id AS double) * 100 AS t0", "0 AS seg_z", "0L AS off_z", "0 AS seg_n", "0L AS off_n", "0 AS seg_e", "0L AS off_e", "600 + 600 * (id % 2) AS n")
+    out = score.batches_of(heads, ["station", "chunk"], 600, 600, FS).groupBy("_g", "role").agg({"_count": "sum"}).collect()
+    assert len(out) == 3 * 45 and {r[2] for r in out} == {1000}
+
+
+def test_spans_of_fragments_against_all_triples(spark):
+    rng, rows, want = np.random.default_rng(3), [], []
+    for c in range(40):
+        sides = []
+        for _ in range(3):
+            cuts = np.sort(rng.choice(400, rng.integers(2, 14), replace=False))
+            sides.append([(float(a), int(b - a)) for a, b in zip(cuts[::2], cuts[1::2])])
+        rows += [(c, role, k, t0, n) for role, side in zip("ZNE", sides) for k, (t0, n) in enumerate(side)]
+        for i, (a, x) in enumerate(sides[0]):
+            for j, (b, y) in enumerate(sides[1]):
+                for k, (d, z) in enumerate(sides[2]):
+                    lo, hi = max(a, b, d), min(a + x, b + y, d + z)
+                    if hi - lo >= 5:
+                        want.append((c, lo, i, lo - a, j, lo - b, k, lo - d, hi - lo))
+    heads = spark.createDataFrame(rows, "c int, role string, seg_id int, t0 double, n bigint")
+    got = intervals.common_spans(heads, ["c"], 1.0, 5).select("c", "t0", "seg_z", "off_z", "seg_n", "off_n", "seg_e", "off_e", "n")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
 def torch_archive(path, weights):
@@ -238,20 +282,3 @@ def test_weights_files_cannot_name_anything_else(tmp_path):
 def test_error_function():
     x = np.concatenate([np.linspace(-7, 7, 20_001), [0.46875, -0.46875, 4.0, 30.0, -30.0, 1e-300]])
     assert np.abs(detector._erf(x) - [math.erf(v) for v in x]).max() < 1e-15
-
-
-def test_spans_of_fragments_against_all_triples():
-    rng = np.random.default_rng(3)
-    for _ in range(60):
-        sides = []
-        for _ in range(3):
-            cuts = np.sort(rng.choice(400, rng.integers(2, 14), replace=False))
-            sides.append([(float(a), np.zeros(b - a)) for a, b in zip(cuts[::2], cuts[1::2])])
-        want = []
-        for i, (a, x) in enumerate(sides[0]):
-            for j, (b, y) in enumerate(sides[1]):
-                for k, (c, z) in enumerate(sides[2]):
-                    lo, hi = max(a, b, c), min(a + len(x), b + len(y), c + len(z))
-                    if hi - lo >= 5:
-                        want.append((lo, [(i, int(lo - a)), (j, int(lo - b)), (k, int(lo - c))], int(hi - lo)))
-        assert score.spans_in(sides, 1.0, 5) == sorted(want, key=lambda s: s[0])

@@ -62,13 +62,42 @@ def test_discovery_and_decoding(spark, tmp_path):
     assert reasons == {"AAA_2024-02-01.zip.part": "download in flight", "incoming.AAA": "download in flight", "AAA_2024-01-01.dup2.zip": "duplicate delivery", "other.txt": "unrecognised name"}
     got = archive.read_chunks(chunks.where("station = 'AAA'")).collect()
     assert len(got) == 6 and {r.channel for r in got} == {"HHZ", "HHN", "HHE"}
-    assert next(r.data for r in got if r.chunk.endswith("01-22") and r.channel == "HHZ") == traces(1)[0].data.tolist()
+    assert [r.seq for r in got if r.chunk.endswith("01-22")] == [0, 1, 2] and {(r.at, r.n) for r in got} == {(0, 3000)}
+    assert np.array_equal(np.frombuffer(next(r.data for r in got if r.chunk.endswith("01-22") and r.channel == "HHZ")), traces(1)[0].data)
     archive.register(spark)
     source = spark.read.format("waveline_chunks").load(root)
     assert source.where("station = 'BBB' and chunk = 'BBB_2024-01-22'").select("station", "chunk").distinct().collect() == [("BBB", "BBB_2024-01-22")]
     assert source.count() == 12
     one = spark.read.format("waveline_chunks").option("stations", "BBB").option("chunks", "BBB_2024-01-22").load(root)
     assert one.select("station", "chunk").distinct().collect() == [("BBB", "BBB_2024-01-22")]
+    vertical = spark.read.format("waveline_chunks").option("channels", "HHZ").load(root)
+    assert {(r.channel, r.seq) for r in vertical.collect()} == {("HHZ", 0)} and vertical.count() == 4
+
+
+class Reading:
+    """A stream that says how much was asked of it ahead of what has been used."""
+
+    def __init__(self, data):
+        self.data, self.at = data, 0
+
+    def read(self, n):
+        part = self.data[self.at : self.at + n]
+        self.at += len(part)
+        return part
+
+
+def test_records_are_decoded_as_they_come():
+    data = mseed.write_traces([mseed.Trace("S", c, 1714521600.0, FS, np.arange(100_000.0)) for c in ("HHZ", "HHN")])
+    f = Reading(data)
+    pieces = mseed.stream_pieces(f, 5000)
+    first = next(pieces)
+    assert (first.seq, first.at, len(first.trace.data)) == (0, 0, 5000)
+    f2 = Reading(data)
+    assert next(mseed.stream_records(f2, window=8192)) and f2.at <= 16_384
+    rest = [first, *pieces]
+    assert [(p.seq, p.at) for p in rest] == [(s, k * 5000) for s in (0, 1) for k in range(20)]
+    assert all(np.array_equal(p.trace.data, np.arange(p.at, p.at + 5000.0)) for p in rest)
+    assert {p.seq for p in mseed.stream_pieces(Reading(data), 5000, ["HHN"])} == {1}
 
 
 def test_options_prune_files(tmp_path):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -111,7 +110,3 @@ def even_places(n: int, k: int) -> list[int]:
     """``k`` places spread evenly over ``n``, ends included, halves to the even place."""
     k = min(k, n)
     return [round(j * (n - 1) / (k - 1)) if k > 1 else 0 for j in range(k)] if n else []
-
-
-def is_nan(x: float | None) -> bool:
-    return x is None or math.isnan(x)

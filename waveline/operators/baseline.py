@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waveline.functions.names import even_places
-from waveline.operators.segments import list_arrays
+from waveline.operators import blocks
 from waveline.operators.signal import clean_block
 
 SAMPLE_CHUNKS, PIECE_SECONDS, TRIM, LEAST_SECONDS = 6, 3600.0, 0.1, 10.0
@@ -22,24 +22,33 @@ def even_sample(chunks: DataFrame, keys: list[str], order: str, k: int = SAMPLE_
     return rows.where(F.array_contains(places, F.col("_i"))).drop("_i", "_n")
 
 
-def piece_moments(segments: DataFrame, fs: float, low: float = 1.0, high: float = 45.0, piece_seconds: float = PIECE_SECONDS) -> DataFrame:
-    """``(station, role, s, ss, n)`` of each conditioned piece of at least ten seconds."""
+def piece_moments(segments: DataFrame, fs: float, low: float = 1.0, high: float = 45.0, piece_seconds: float = PIECE_SECONDS, keys: list[str] = ("station", "chunk", "role")) -> DataFrame:
+    """``(station, role, s, ss, n)`` of each conditioned piece of at least ten seconds.
+
+    Segments are in blocks. Pieces are found on headers and each is read by itself, so memory
+    doesn't grow with a segment.
+    """
     piece, least = int(round(piece_seconds * fs)), LEAST_SECONDS * fs
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(piece).cast("long"))).alias("at")
+    asked = blocks.heads(segments).select(*keys, "seg_id", "n", begin)
+    asked = asked.select(*keys, "seg_id", "at", F.least(F.lit(piece), F.col("n") - F.col("at")).cast("int").alias("want")).where(F.col("want") >= least)
 
     def work(batches):
         for batch in batches:
-            stations, roles = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
-            for station, role, data in zip(stations, roles, list_arrays(pa.chunked_array([batch.column(2)])), strict=True):
-                for lo in range(0, len(data), piece):
-                    part = data[lo : lo + piece]
-                    if len(part) >= least:
-                        c = clean_block(part[None], fs, low, high)[0]
-                        rows.append((station, role, float(c.sum()), float((c * c).sum()), len(c)))
-            types = [pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["station", "role", "s", "ss", "n"])
+            data = blocks.packed_arrays(batch.column(2))
+            for n in sorted({len(x) for x in data}):  # pieces of one length at once, a few million samples at a time
+                some = [i for i, x in enumerate(data) if len(x) == n]
+                step = max(1, 4_000_000 // n)
+                for k in range(0, len(some), step):
+                    c = clean_block(np.stack([data[i] for i in some[k : k + step]]), fs, low, high)
+                    rows += zip(some[k : k + step], c.sum(1).tolist(), (c * c).sum(1).tolist(), [n] * len(c), strict=True)
+            at = batch.select(["station", "role"]).take(pa.array([r[0] for r in rows], pa.int64()))
+            cols = [pa.array([r[k] for r in rows], t) for k, t in ((1, pa.float64()), (2, pa.float64()), (3, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*at.columns, *cols], ["station", "role", "s", "ss", "n"])
 
-    return segments.select("station", "role", "data").mapInArrow(work, "station string, role string, s double, ss double, n bigint")
+    rows = blocks.fetch(asked, segments, list(keys), "at", "want").select("station", "role", "samples")
+    return rows.mapInArrow(work, "station string, role string, s double, ss double, n bigint")
 
 
 def _sigma(ss, s, n):
@@ -65,16 +74,18 @@ def noise_statistics(pieces: DataFrame, keys: list[str] = ("station", "role"), t
     return out.select(*keys, "mu", "sigma", "sigma_trimmed", "sigma_median", "n_samples", "n_pieces", (F.col("sigma") > 2 * F.col("sigma_trimmed")).alias("loud"))
 
 
-def station_baseline(segments: DataFrame, fs: float, low: float = 1.0, high: float = 45.0, sample_chunks: int = SAMPLE_CHUNKS, piece_seconds: float = PIECE_SECONDS, trim: float = TRIM) -> DataFrame:
-    """Every station's statistics over an even sample of its chunks, with what they were made by."""
-    chunks = even_sample(segments.select("station", "chunk").distinct(), ["station"], "chunk", sample_chunks)
-    used = segments.join(chunks, ["station", "chunk"])
-    stats = noise_statistics(piece_moments(used, fs, low, high, piece_seconds), ["station", "role"], trim)
+def made_of(segments: DataFrame) -> DataFrame:
+    """``(station, chunk, band)`` of the chunks that pieces were made of."""
     band = F.expr("upper(substring(channel, 1, length(channel) - 1))")
-    made = used.groupBy("station", "chunk").agg(F.min(band).alias("band"))
-    made = made.groupBy("station").agg(F.map_from_entries(F.collect_list(F.struct("chunk", "band"))).alias("chunks"), F.array_sort(F.collect_set("band")).alias("bands"))
+    return segments.where("block = 0").groupBy("station", "chunk").agg(F.min(band).alias("band"))
+
+
+def station_baseline(pieces: DataFrame, made: DataFrame, fs: float, low: float = 1.0, high: float = 45.0, piece_seconds: float = PIECE_SECONDS, trim: float = TRIM) -> DataFrame:
+    """Every station's statistics from its pieces (``piece_moments``), with what they were made by (``made_of``)."""
+    stats = noise_statistics(pieces, ["station", "role"], trim)
+    by = made.groupBy("station").agg(F.map_from_entries(F.collect_list(F.struct("chunk", "band"))).alias("chunks"), F.array_sort(F.collect_set("band")).alias("bands"))
     fixed = {"fs": fs, "freqmin": low, "freqmax": high, "piece_seconds": piece_seconds, "trim": trim}
-    return stats.join(made, "station").withColumns({k: F.lit(float(v)) for k, v in fixed.items()}).withColumn("several_bands", F.size("bands") > 1)
+    return stats.join(by, "station").withColumns({k: F.lit(float(v)) for k, v in fixed.items()}).withColumn("several_bands", F.size("bands") > 1)
 
 
 def passband_fits(baseline: DataFrame, low: float, high: float) -> DataFrame:
@@ -82,5 +93,3 @@ def passband_fits(baseline: DataFrame, low: float, high: float) -> DataFrame:
     fits = (F.col("freqmin").isNull()) | ((F.col("freqmin") == low) & (F.col("freqmax") == high))
     return baseline.select("station", "freqmin", "freqmax").distinct().withColumn("fits", fits).withColumn("reason", F.when(~fits, "another passband"))
 
-
-__all__ = ["even_places", "even_sample", "noise_statistics", "passband_fits", "piece_moments", "station_baseline"]

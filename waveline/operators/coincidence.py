@@ -29,8 +29,12 @@ LEVELS, SPARE, DEEPER = 10_000, 2.0, 4.0
 
 
 def joint_spans(scores: DataFrame, pairs: DataFrame, steps: DataFrame, slack: float = 2.5) -> DataFrame:
-    """``(station_a, station_b, lo, hi)``: recorded at both. The first station's step rules both coverages."""
-    asked = pairs.join(steps.select(F.col("station").alias("station_a"), "step"), "station_a")
+    """``(station_a, station_b, lo, hi)``: recorded at both. The first station's step rules both coverages.
+
+    Steps are whole microseconds: medians that differ in the last digit only would each need a
+    coverage of their own.
+    """
+    asked = pairs.join(steps.select(F.col("station").alias("station_a"), F.round("step", 6).alias("step")), "station_a")
     sides = {s: asked.select(*_PAIR, "step", F.col(f"station_{s}").alias("station")) for s in "ab"}
     needed = sides["a"].select("station", "step").unionByName(sides["b"].select("station", "step")).distinct()
     cover = coverage_spans(scores.join(needed, "station"), ["station", "step"], "step", slack=slack)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from waveline.durable import checkpoint, measured_broadcast
 from waveline.functions.names import BANDS, ROLES, band_of, role_letter
+from waveline.operators import blocks
 from waveline.operators.signal import resample
 from waveline.schemas import SEGMENT
 
@@ -37,19 +38,21 @@ def select_traces(traces: DataFrame, code: str) -> DataFrame:
     return traces.where(F.upper("channel") == code.upper() if len(code) > 1 else role_letter("channel") == code.upper())
 
 
-def trace_runs(traces: DataFrame, keys: list[str], fs: float, t0: str = "t0", n: str = "n") -> DataFrame:
+def trace_runs(traces: DataFrame, keys: list[str], fs: float, t0: str = "t0", n: str = "n", seq: str | None = None) -> DataFrame:
     """``traces`` with ``run`` (a number by key) and ``contained``.
 
     A trace continues a run if it starts at most half a sample after the furthest end so far.
-    It is contained if all its samples are covered by traces that started before it.
+    It is contained if all its samples are covered by traces before it. Of equal starts the
+    smaller ``seq`` comes first, or, without one, the longer trace.
     """
     dt = 1.0 / fs
     end = F.col(t0) + F.col(n) * dt
-    order = Window.partitionBy(*keys).orderBy(t0, F.col(n).desc())
+    by = [F.col(t0), F.col(n).desc() if seq is None else F.col(seq)]
+    order = Window.partitionBy(*keys).orderBy(*by)
     ahead = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     cut = F.when(ahead.isNull() | (F.col(t0) > ahead + 0.5 * dt), 1).otherwise(0)
     rows = traces.withColumn("_cut", cut).withColumn("run", F.sum("_cut").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int") - 1)
-    in_run = Window.partitionBy(*keys, "run").orderBy(t0, F.col(n).desc())
+    in_run = Window.partitionBy(*keys, "run").orderBy(*by)
     first = F.min(t0).over(Window.partitionBy(*keys, "run"))
     last = F.rint((F.col(t0) - first) / dt).cast("long") + F.col(n)
     rows = rows.withColumn("_last", last)
@@ -57,64 +60,94 @@ def trace_runs(traces: DataFrame, keys: list[str], fs: float, t0: str = "t0", n:
     return rows.withColumn("contained", F.coalesce(F.col("_last") <= covered, F.lit(False))).drop("_cut", "_last")
 
 
-def paint(starts: np.ndarray, arrays: list[np.ndarray], fs: float) -> np.ndarray:
-    """One run's samples: in start order a trace that reaches further overwrites, a contained one is left out."""
-    places = np.rint((starts - starts[0]) * fs).astype(np.int64)
-    out = np.empty(max(p + len(a) for p, a in zip(places, arrays, strict=True)))
-    covered = 0
-    for p, a in zip(places, arrays, strict=True):
-        if p + len(a) > covered:
-            out[p : p + len(a)] = a
-            covered = p + len(a)
-    return out
+def pack_traces(traces: DataFrame) -> DataFrame:
+    """Traces ``(station, chunk, channel, seq, t0, fs, data)`` with lists of doubles, in packed pieces."""
+    rows = blocks.pack(traces.select("station", "chunk", "channel", "seq", "t0", "fs", "data"))
+    size = (F.octet_length("data") / 8).cast("int")
+    return rows.select("station", "chunk", "channel", F.col("seq").cast("int").alias("seq"), "t0", "fs", (F.col("block").cast("long") * blocks.BLOCK).alias("at"), size.alias("n"), "data")
 
 
-def join_traces(traces: DataFrame, fs: float, channels: DataFrame | None = None) -> DataFrame:
-    """Gap-free segments of every chunk and channel, in time order.
+def trace_heads(traces: DataFrame) -> DataFrame:
+    """``(station, chunk, channel, seq, t0, fs, raw)``: each trace without its samples, ``raw`` of them."""
+    return traces.groupBy("station", "chunk", F.upper("channel").alias("channel"), "seq").agg(F.first("t0").alias("t0"), F.first("fs").alias("fs"), F.sum(F.col("n").cast("long")).alias("raw"))
 
-    Traces are ``(station, chunk, channel, t0, fs, data)`` and may have ``n``, their samples;
-    with ``channels`` (of ``pick_channels``) only the chosen ones count. Runs are found on
-    headers alone, which are small; then each trace joins its run, and samples move once, to the
-    task that paints the run, for a segment is one array. ``traces`` is read twice, once for its
-    headers: it should be stored, so that the first reading leaves the samples where they are.
-    """
-    keys = ["station", "chunk", "channel"]
-    size = F.col("n") if "n" in traces.columns else F.size("data")
-    rows = traces.select("station", "chunk", F.upper("channel").alias("channel"), "t0", "fs", size.cast("long").alias("raw"), "data")
-    off = F.abs(F.col("fs") - fs) > RATE_TOLERANCE
-    heads = rows.select(*keys, "t0", "fs", "raw").distinct()
-    if channels is not None:
-        wanted = channels.select("station", "chunk", F.explode(F.array("z", "n", "e")).alias("channel"))
-        heads = heads.join(wanted, keys)
-    heads = heads.withColumn("n", F.when(off, F.rint(F.col("raw") * (fs / F.col("fs"))).cast("long")).otherwise(F.col("raw")))
-    runs = trace_runs(heads, keys, fs).where("not contained").select(*keys, "t0", "fs", "raw", "run")
-    placed = rows.join(measured_broadcast(checkpoint(runs)), [*keys, "t0", "fs", "raw"])
 
-    def one(table: pa.Table) -> pa.Table:
-        starts, rates = table["t0"].to_numpy(), table["fs"].to_numpy()
-        order = np.argsort(starts, kind="stable")
-        arrays = list_arrays(table["data"])
-        arrays = [arrays[i] if abs(rates[i] - fs) <= RATE_TOLERANCE else resample(arrays[i], rates[i], fs) for i in order]
-        data = paint(starts[order], arrays, fs)
-        first = table.select([*keys, "run", "t0"]).slice(int(order[0]), 1).to_pylist()[0]
-        cols = [first["station"], first["chunk"], first["channel"], _role(first["channel"]), first["run"], first["t0"], len(data)]
-        types = [pa.string()] * 4 + [pa.int32(), pa.float64(), pa.int64()]
-        lists = pa.ListArray.from_arrays(pa.array([0, len(data)], pa.int32()), pa.array(data))
-        return pa.Table.from_arrays([*[pa.array([c], t) for c, t in zip(cols, types, strict=True)], lists], _SEGMENT)
+_TRACE_KEYS = ["station", "chunk", "channel", "seq"]
+
 
-    return placed.select(*keys, "run", "t0", "fs", "data").groupBy(*keys, "run").applyInArrow(one, SEGMENT)
+def _resampled(pieces: DataFrame, fs: float) -> DataFrame:
+    """Whole traces at the rate ``fs``, in pieces again. A trace of another rate is one task's."""
+    size = blocks.BLOCK
 
+    def one(table: pa.Table) -> pa.Table:
+        table = table.sort_by("at")
+        data = resample(np.concatenate(blocks.packed_arrays(table["data"])), table["fs"][0].as_py(), fs)
+        at = range(0, len(data), size)
+        same = [pa.array([table[c][0].as_py()] * len(at), table[c].type) for c in _TRACE_KEYS]
+        return pa.Table.from_arrays([*same, pa.array(list(at), pa.int64()), blocks.packed_column([data[k : k + size] for k in at])], [*_TRACE_KEYS, "at", "data"])
+
+    return pieces.groupBy(*_TRACE_KEYS).applyInArrow(one, "station string, chunk string, channel string, seq int, at bigint, data binary")
 
-_SEGMENT = ["station", "chunk", "channel", "role", "seg_id", "t0", "n", "data"]
 
+def join_traces(traces: DataFrame, fs: float, channels: DataFrame | None = None) -> DataFrame:
+    """Gap-free segments of every chunk and channel, as packed blocks.
 
-def list_arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
-    """Each row's list as a numpy array, without copying the values."""
-    out = []
-    for chunk in column.chunks:
-        values, offsets = chunk.values.to_numpy(zero_copy_only=False), chunk.offsets.to_numpy()
-        out += [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-    return out
+    ``traces`` are pieces as in ``schemas.TRACE``; with ``channels`` (of ``pick_channels``) only the
+    chosen ones count. Runs, places and lengths are found on headers alone. Each piece is then cut
+    at the blocks' borders and moves once, to the task that paints its block: in order of start,
+    then of ``seq``, a trace that reaches further overwrites, a contained one is left out.
+    ``traces`` is read twice, once for its headers: it should be stored.
+    """
+    keys, size = ["station", "chunk", "channel"], blocks.BLOCK
+    off = F.abs(F.col("fs") - fs) > RATE_TOLERANCE
+    heads = trace_heads(traces)
+    if channels is not None:
+        wanted = channels.select("station", "chunk", F.explode(F.array("z", "n", "e")).alias("channel"))
+        heads = heads.join(wanted, keys)
+    heads = heads.withColumn("off", off).withColumn("n", F.when(off, F.rint(F.col("raw") * (fs / F.col("fs"))).cast("long")).otherwise(F.col("raw"))).where("n > 0")
+    runs = trace_runs(heads, keys, fs, seq="seq")
+    in_run = Window.partitionBy(*keys, "run")
+    runs = runs.withColumn("first", F.min("t0").over(in_run)).withColumn("place", F.rint((F.col("t0") - F.col("first")) * fs).cast("long"))
+    runs = runs.withColumn("length", F.max(F.col("place") + F.col("n")).over(in_run)).withColumn("rank", F.row_number().over(in_run.orderBy("t0", "seq")))
+    runs = checkpoint(runs.where("not contained").select(*_TRACE_KEYS, "off", "run", "first", "place", "length", "rank"))
+    pieces = traces.select("station", "chunk", F.upper("channel").alias("channel"), "seq", "fs", "at", "data")
+    others = runs.where("off")
+    plain = pieces.select(*_TRACE_KEYS, "at", "data").join(measured_broadcast(runs.where("not off")), _TRACE_KEYS)
+    if others.head(1):
+        turned = _resampled(pieces.join(measured_broadcast(others.select(*_TRACE_KEYS)), _TRACE_KEYS, "left_semi"), fs)
+        plain = plain.unionByName(turned.join(measured_broadcast(others), _TRACE_KEYS))
+
+    def cut(batches):
+        for batch in batches:
+            rows, numbers, begins, parts = [], [], [], []
+            for i, (at, place, data) in enumerate(zip(batch.column("at").to_pylist(), batch.column("place").to_pylist(), blocks.packed_arrays(batch.column("data")), strict=True)):
+                lo, hi = place + at, place + at + len(data)
+                for k in range(lo // size, -(-hi // size)):
+                    a, z = max(lo, k * size), min(hi, (k + 1) * size)
+                    rows.append(i)
+                    numbers.append(k)
+                    begins.append(a - k * size)
+                    parts.append(data[a - lo : z - lo])
+            taken = batch.select([*keys, "run", "first", "length", "rank"]).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(numbers, pa.int32()), pa.array(begins, pa.int32()), blocks.packed_column(parts)], [*keys, "run", "first", "length", "rank", "block", "begin", "part"])
+
+    order = [*keys, "run", "first", "at", "place", "data", "length", "rank"]
+    named = "station string, chunk string, channel string"
+    parts = plain.select(*order).mapInArrow(cut, f"{named}, run int, first double, length bigint, rank int, block int, begin int, part binary")
+
+    def paint(table: pa.Table) -> pa.Table:
+        of = {c: table[c][0].as_py() for c in (*keys, "run", "first", "length", "block")}
+        out = np.empty(min(size, of["length"] - of["block"] * size))
+        ranks, begins, data = table["rank"].to_numpy(), table["begin"].to_numpy(), blocks.packed_arrays(table["part"])
+        for i in np.argsort(ranks, kind="stable").tolist():
+            out[begins[i] : begins[i] + len(data[i])] = data[i]
+        cols = [of["station"], of["chunk"], of["channel"], _role(of["channel"]), of["run"], of["first"], of["length"], of["block"], float(out.sum()), out.tobytes()]
+        return pa.Table.from_arrays([pa.array([c], t) for c, t in zip(cols, _SEGMENT.types, strict=True)], schema=_SEGMENT)
+
+    return parts.groupBy(*keys, "run", "block").applyInArrow(paint, SEGMENT)
+
+
+_SEGMENT = pa.schema([("station", pa.string()), ("chunk", pa.string()), ("channel", pa.string()), ("role", pa.string()), ("seg_id", pa.int32()), ("t0", pa.float64()), ("n", pa.int64()), ("block", pa.int32()), ("total", pa.float64()), ("data", pa.binary())])
 
 
 def _role(channel: str) -> str | None:
@@ -126,28 +159,27 @@ def span_of(segments: DataFrame, keys: list[str], fs: float) -> DataFrame:
     return segments.groupBy(*keys).agg(F.min("t0").alias("first"), F.max_by(F.col("t0") + F.col("n") / F.lit(fs), "t0").alias("last"))
 
 
-def containing(requests: DataFrame, segments: DataFrame, keys: list[str], fs: float, start: str, want: str, bucket: float = 3600.0) -> DataFrame:
-    """``requests`` with ``samples``: the first segment that wholly holds ``want`` samples from ``start``.
+def holding(requests: DataFrame, heads: DataFrame, keys: list[str], fs: float, start: str, wants: dict[str, int], bucket: float = 3600.0) -> DataFrame:
+    """``requests`` with, for each of ``wants``, ``(seg_id, at)``: the first segment that wholly holds so many samples from ``start``.
 
-    A request that no segment holds whole has no row. Requests meet the segments' headers by
-    hours; samples are fetched afterwards, of the one segment chosen.
+    Requests meet the segments' headers by hours, all lengths at once; where none holds a length
+    whole its column is null, and a request that no segment holds has no row.
     """
     ids = [*requests.columns]
     left = requests.withColumn("_b", F.floor(F.col(start) / bucket))
-    right = segments.select(*keys, "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"))
+    right = heads.select(*keys, "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"))
     right = right.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_t0") / bucket) - 1, F.floor((F.col("_t0") + F.col("_len") / fs) / bucket))))
-    place = F.rint((F.col(start) - F.col("_t0")) * fs).cast("long")
-    met = left.join(right, [*keys, "_b"]).withColumn("_at", place).where((F.col("_at") >= 0) & (F.col("_at") + F.col(want) <= F.col("_len")))
-    first = met.groupBy(*ids).agg(F.min(F.struct("seg_id", "_at")).alias("_x")).select(*ids, "_x.*")
-    return fetch(first, segments, keys, "_at", want).drop("_at", "seg_id")
+    at = F.rint((F.col(start) - F.col("_t0")) * fs).cast("long")
+    met = left.join(right, [*keys, "_b"]).withColumn("_at", at).where((F.col("_at") >= 0) & (F.col("_at") + F.lit(min(wants.values())) <= F.col("_len")))
+    first = {c: F.min(F.when(F.col("_at") + F.lit(n) <= F.col("_len"), F.struct("seg_id", F.col("_at").alias("at")))).alias(c) for c, n in wants.items()}
+    return met.groupBy(*ids).agg(*first.values())
 
 
-def fetch(requests: DataFrame, segments: DataFrame, keys: list[str], at: str, want: str) -> DataFrame:
-    """``requests`` (with ``keys`` and ``seg_id``) with ``samples``: ``want`` of their segment's from ``at`` on.
+def containing(requests: DataFrame, segments: DataFrame, keys: list[str], fs: float, start: str, want: int) -> DataFrame:
+    """``requests`` with ``samples``, a list: the first segment that wholly holds ``want`` samples from ``start``.
 
-    Few requests are broadcast, and the samples stay where they are; else each segment moves
-    once, to its requests.
+    A request that no segment holds whole has no row. Samples are fetched of the one segment chosen.
     """
-    few = measured_broadcast(checkpoint(requests))
-    data = segments.select(*keys, "seg_id", "data")
-    return data.join(few, [*keys, "seg_id"]).select(*requests.columns, F.slice("data", (F.col(at) + 1).cast("int"), F.col(want).cast("int")).alias("samples"))
+    found = holding(requests, blocks.heads(segments), keys, fs, start, {"_x": want})
+    found = found.select(*requests.columns, "_x.seg_id", F.col("_x.at").alias("_at"), F.lit(want).alias("_want"))
+    return blocks.values(blocks.fetch(found, segments, keys, "_at", "_want")).drop("_at", "seg_id", "_want")

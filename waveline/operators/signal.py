@@ -11,6 +11,8 @@ import numpy as np
 from waveline.functions.arrays import taper_weights
 
 ORDER = 4
+#: Samples that are filtered by one matrix product.
+BLOCK = 64
 
 
 def taper_vector(n: int, share: float = 0.05) -> np.ndarray:
@@ -28,8 +30,8 @@ def detrend(x: np.ndarray, linear: bool = True) -> np.ndarray:
     return out
 
 
-def butter_bandpass(low: float, high: float, fs: float, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """Digital Butterworth coefficients: analogue prototype, band transform, bilinear transform."""
+def _bandpass(low: float, high: float, fs: float, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, float]:
+    """Zeros, poles and gain of a digital Butterworth band-pass: analogue prototype, band transform, bilinear transform."""
     warped = 2 * fs * np.tan(np.pi * np.array([low, high]) / fs)
     width, centre = warped[1] - warped[0], np.sqrt(warped[0] * warped[1])
     k = np.arange(1, order + 1)
@@ -40,7 +42,66 @@ def butter_bandpass(low: float, high: float, fs: float, order: int = ORDER) -> t
     digital = (2 * fs + poles) / (2 * fs - poles)
     zeros = np.concatenate([np.ones(order), -np.ones(order)])
     gain = np.real((2 * fs * width) ** order / np.prod(2 * fs - poles))
-    return np.real(gain * np.poly(zeros)), np.real(np.poly(digital))
+    return zeros, digital, float(gain)
+
+
+def butter_bandpass(low: float, high: float, fs: float, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """Its coefficients."""
+    zeros, poles, gain = _bandpass(low, high, fs, order)
+    return np.real(gain * np.poly(zeros)), np.real(np.poly(poles))
+
+
+class Modal:
+    """A band-pass as a sum of first-order parts, one for each pair of poles.
+
+    Its state is a complex number a part, which a step multiplies by the pole: states can be
+    carried over any number of samples by powers, without the loss of digits that powers of a
+    companion matrix have.
+    """
+
+    def __init__(self, low: float, high: float, fs: float, order: int = ORDER):
+        zeros, poles, gain = _bandpass(low, high, fs, order)
+        self.pad = 3 * (len(poles) + 1)
+        self.poles = poles[poles.imag > 0]
+        of = lambda p: gain * np.prod(1 - zeros / p) / np.prod(1 - poles[poles != p] / p)
+        self.weights = 2 * np.array([of(p) for p in self.poles])
+        self.direct = float(np.real(gain * np.prod(zeros) / np.prod(poles)))
+        #: The states after endless ones.
+        self.steady = 1 / (1 - self.poles)
+        n = np.arange(BLOCK)
+        powers = self.poles[:, None] ** n
+        response = np.real(self.weights @ powers)
+        response[0] += self.direct
+        lag = n[:, None] - n
+        self._own = np.where(lag >= 0, response[np.maximum(lag, 0)], 0.0).T  # from sample to sample of a block
+        self._to_state = powers[:, ::-1].T  # from sample to the state after a block
+        self._from_state = self.weights[:, None] * powers * self.poles[:, None]
+
+    def run(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of samples filtered from their states; and the states after the last sample."""
+        rows, length = x.shape
+        blocks = -(-length // BLOCK)
+        wide = np.zeros((rows, blocks * BLOCK))
+        wide[:, :length] = x
+        wide = wide.reshape(rows, blocks, BLOCK)
+        pushed = wide @ self._to_state
+        states, z, step = np.empty((rows, blocks, len(self.poles)), complex), state, self.poles**BLOCK
+        for k in range(blocks):
+            states[:, k] = z
+            z = z * step + pushed[:, k]
+        # The last block's zeros are no samples: the state before them.
+        z = z * self.poles ** (length - blocks * BLOCK)
+        real = states.reshape(rows * blocks, -1)
+        held = real.real @ self._from_state.real - real.imag @ self._from_state.imag
+        return (wide @ self._own + held.reshape(rows, blocks, BLOCK)).reshape(rows, -1)[:, :length], z
+
+    def both_ways(self, x: np.ndarray) -> np.ndarray:
+        """Forward and backward over a whole segment, with an odd extension at both ends."""
+        left, right = 2 * x[0] - x[self.pad : 0 : -1], 2 * x[-1] - x[-2 : -self.pad - 2 : -1]
+        wide = np.concatenate([left, x, right])[None]
+        for _ in range(2):
+            wide = self.run(wide, wide[:, :1] * self.steady)[0][:, ::-1]
+        return wide[0, self.pad : -self.pad]
 
 
 def band(fs: float, low: float, high: float) -> tuple[np.ndarray, np.ndarray] | None:
@@ -57,9 +118,6 @@ def _steady(b: np.ndarray, a: np.ndarray) -> np.ndarray:
     return np.linalg.solve(np.eye(n) - shift, b[1:] - a[1:] * b[0])
 
 
-BLOCK = 64
-
-
 def lfilter(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray) -> np.ndarray:
     """One pass over the last axis, all rows at once, from the state given (rows by order).
 
@@ -124,14 +182,19 @@ def clean_window(x: np.ndarray, fs: float, low: float, high: float) -> np.ndarra
 
 def condition_segment(x: np.ndarray, fs: float, low: float = 2.0, high: float = 20.0) -> np.ndarray | None:
     """A whole segment, mean off and band-passed; None if it is too short for the filter."""
-    b, a = butter_bandpass(low, high, fs)
-    return filtfilt(b, a, detrend(x, linear=False)) if len(x) > 3 * len(a) else None
+    f = Modal(low, high, fs)
+    return f.both_ways(detrend(x, linear=False)) if len(x) > f.pad else None
 
 
 def resample(x: np.ndarray, fs: float, to: float) -> np.ndarray:
-    """Fourier resampling to another rate, periodic as that is; an approximation at the ends."""
+    """Fourier resampling to another rate, periodic as that is; an approximation at the ends.
+
+    A trace too short for one sample at the new rate has none.
+    """
     n = len(x)
     m = int(round(n * to / fs))
+    if not m:
+        return np.empty(0)
     spectrum = np.fft.rfft(x)
     out = np.zeros(m // 2 + 1, complex)
     k = min(len(out), len(spectrum))

@@ -2,38 +2,17 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waveline.durable import stored
+from waveline.durable import checkpoint, stored
 from waveline.functions.arrays import rms
-from waveline.operators.segments import containing, list_arrays
-from waveline.operators.signal import condition_segment
+from waveline.operators import blocks
+from waveline.operators.segments import holding
 
 NOISE, SIGNAL, BAND = (-60.0, -10.0), (-1.0, 12.0), (2.0, 20.0)
 
 
-def condition(segments: DataFrame, fs: float, band: tuple[float, float] = BAND) -> DataFrame:
-    """Segments with mean off and band-passed; those too short for the filter are left out."""
-
-    at = segments.columns.index("data")
-
-    def work(batches):
-        for batch in batches:
-            done = [condition_segment(d, fs, *band) for d in list_arrays(pa.chunked_array([batch.column(at)]))]
-            long = batch.filter(pa.array([d is not None for d in done], pa.bool_()))
-            kept = [d for d in done if d is not None]
-            ends = np.cumsum([0] + [len(d) for d in kept]).astype(np.int32)
-            cols = list(long.columns)
-            cols[at] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*kept, np.empty(0)])))
-            yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
-
-    return segments.mapInArrow(work, segments.schema)
-
-
 def ratio_of(signal: Column, noise: Column) -> Column:
     """A root mean square over another; null where the noise is silent or either is missing."""
     return F.when(noise > 0, signal / noise)
@@ -42,16 +21,21 @@ def ratio_of(signal: Column, noise: Column) -> Column:
 def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float, band: tuple[float, float] | None = BAND, noise: tuple[float, float] = NOISE, signal: tuple[float, float] = SIGNAL) -> DataFrame:
     """``events`` with ``snr`` and ``dropped``: what straddles a gap, or is silent, has no ratio.
 
-    Segments are the vertical component's; events carry ``keys``, ``event_id`` and ``p_epoch``
+    Segments are the vertical component's, in blocks; events carry ``keys``, ``event_id`` and ``p_epoch``
     (those without a travel time aren't asked for and aren't counted as dropped).
     """
-    segs = stored(condition(segments, fs, band), "conditioned") if band else segments  # read for its headers and its samples
-    asked = events.select(*keys, "event_id", "p_epoch")
-    parts = {}
+    asked, heads = events.select(*keys, "event_id", "p_epoch").distinct(), blocks.heads(segments)
+    wants = []
     for name, (lo, hi) in (("noise", noise), ("signal", signal)):
-        want = asked.withColumns({"_start": F.col("p_epoch") + lo, "_want": F.lit(int(round((hi - lo) * fs)))})
-        parts[name] = containing(want, segs, keys, fs, "_start", "_want").select(*keys, "event_id", rms("samples").alias(name))
-    both = events.join(parts["noise"], [*keys, "event_id"], "left").join(parts["signal"], [*keys, "event_id"], "left")
+        want = int(round((hi - lo) * fs))
+        held = holding(asked.withColumn("_start", F.col("p_epoch") + lo), heads, keys, fs, "_start", {"_x": want})
+        wants.append(held.select(*keys, "event_id", F.lit(name).alias("_part"), "_x.seg_id", "_x.at", F.lit(want).alias("want")))
+    requests = checkpoint(wants[0].unionByName(wants[1]))
+    if band:  # whole segments' filters, of the blocks that are asked for
+        segments = stored(blocks.filtered(segments, keys, fs, *band, needed=blocks.needed_blocks(requests, keys, "at", "want")), "conditioned")
+    got = blocks.values(blocks.fetch(requests, segments, keys, "at", "want")).select(*keys, "event_id", "_part", rms("samples").alias("_rms"))
+    by = got.groupBy(*keys, "event_id").agg(*[F.max(F.when(F.col("_part") == p, F.col("_rms"))).alias(p) for p in ("noise", "signal")])
+    both = events.join(by, [*keys, "event_id"], "left")
     return both.withColumn("snr", ratio_of(F.col("signal"), F.col("noise"))).withColumn("dropped", F.col("snr").isNull()).drop("noise", "signal")
 
 
@@ -78,7 +62,3 @@ def summary(snr: DataFrame, keys: list[str]) -> DataFrame:
     """Events measured, their median and the share at three or over."""
     return snr.groupBy(*keys).agg(F.count("*").alias("events"), F.median("snr").alias("median_snr"), F.avg((F.col("snr") >= 3).cast("double")).alias("share_over_3"))
 
-
-def empty(like: DataFrame) -> pd.DataFrame:
-    """A station without measured events has a typed, empty table."""
-    return like.limit(0).toPandas()

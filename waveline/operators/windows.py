@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waveline.functions.names import event_tag, magnitude_band
-from waveline.operators.segments import containing
+from waveline.operators import blocks
+from waveline.operators.segments import holding
 
 PRE, NOISE_OFFSET, LENGTHS, TAIL = 2.0, 300.0, (6.0, 10.0, 20.0), 60.0
 
 
-def candidates(events: DataFrame, segments: DataFrame, keys: list[str], fs: float, noise_offset: float = NOISE_OFFSET) -> DataFrame:
+def candidates(events: DataFrame, heads: DataFrame, keys: list[str], fs: float, noise_offset: float = NOISE_OFFSET) -> DataFrame:
     """Events whose noise window and a minute after P lie inside the record of any component."""
-    extent = segments.groupBy(*keys).agg(F.min("t0").alias("_lo"), F.max(F.col("t0") + F.col("n") / F.lit(fs)).alias("_hi"))
+    extent = heads.groupBy(*keys).agg(F.min("t0").alias("_lo"), F.max(F.col("t0") + F.col("n") / F.lit(fs)).alias("_hi"))
     near = events.join(extent, keys)
     return near.where((F.col("p_epoch") >= F.col("_lo") + noise_offset) & (F.col("p_epoch") <= F.col("_hi") - TAIL)).drop("_lo", "_hi")
 
@@ -22,19 +24,25 @@ def cut(events: DataFrame, segments: DataFrame, keys: list[str], fs: float, leng
     """One row of each event, length and kind (``eq``, ``noise``) with whole-number samples Z, N, E.
 
     An event is kept only if all components hold it whole at every length, so that the lengths
-    hold the same events. Events carry ``keys``, ``event_id``, ``p_epoch`` and ``cut_epoch``.
+    hold the same events: that is decided on headers, and samples are fetched of what is kept.
+    Events carry ``keys``, ``event_id``, ``p_epoch`` and ``cut_epoch``.
     """
+    heads = blocks.heads(segments)
     kinds = F.explode(F.array(F.struct(F.lit("eq").alias("kind"), (F.col("cut_epoch") - pre).alias("start")), F.struct(F.lit("noise").alias("kind"), (F.col("p_epoch") - noise_offset).alias("start"))))
-    asked = candidates(events, segments, keys, fs, noise_offset).select(*keys, "event_id", F.explode(F.array(*[F.lit(float(x)) for x in lengths])).alias("length_s"), kinds.alias("x"))
-    asked = asked.select(*keys, "event_id", "length_s", "x.kind", "x.start", F.rint(F.col("length_s") * fs).cast("int").alias("want"))
+    asked = candidates(events, heads, keys, fs, noise_offset).select(*keys, "event_id", kinds.alias("x")).select(*keys, "event_id", "x.*")
     asked = asked.withColumn("role", F.explode(F.array(*map(F.lit, "ZNE"))))
-    got = containing(asked, segments, [*keys, "role"], fs, "start", "want")
-    whole = got.groupBy(*keys, "event_id", "length_s", "kind", "start").agg(F.map_from_entries(F.collect_list(F.struct("role", "samples"))).alias("by")).where(F.size("by") == 3)
+    wants = {f"_{k}": int(np.rint(x * fs)) for k, x in enumerate(lengths)}
+    held = holding(asked, heads, [*keys, "role"], fs, "start", wants)
+    held = held.where(" and ".join(f"{c} is not null" for c in wants))
     n = F.count("*").over(Window.partitionBy(*keys, "event_id"))
+    kept = held.withColumn("_n", n).where(F.col("_n") == 6)
+    each = F.explode(F.array(*[F.struct(F.lit(float(x)).alias("length_s"), F.lit(want).alias("want"), F.col(f"{c}.seg_id").alias("seg_id"), F.col(f"{c}.at").alias("at")) for x, (c, want) in zip(lengths, wants.items(), strict=True)]))
+    requests = kept.select(*keys, "event_id", "kind", "start", "role", each.alias("x")).select(*keys, "event_id", "kind", "start", "role", "x.*")
+    got = blocks.values(blocks.fetch(requests, segments, [*keys, "role"], "at", "want"))
+    whole = got.groupBy(*keys, "event_id", "length_s", "kind", "start").agg(F.map_from_entries(F.collect_list(F.struct("role", "samples"))).alias("by"))
     samples = F.transform(F.array(*map(F.lit, "ZNE")), lambda r: F.transform(F.element_at("by", r), lambda v: v.cast("int")))
-    kept = whole.withColumn("_n", n).where(F.col("_n") == 2 * len(lengths))
     tag = F.concat(F.when(F.col("kind") == "noise", "noise_").otherwise(""), event_tag("event_id"), F.lit("_raw"))
-    return kept.select(*keys, "event_id", "length_s", "kind", tag.alias("tag"), F.col("start").alias("t0"), samples.alias("samples"))
+    return whole.select(*keys, "event_id", "length_s", "kind", tag.alias("tag"), F.col("start").alias("t0"), samples.alias("samples"))
 
 
 def kept_by_band(windows: DataFrame, events: DataFrame, keys: list[str]) -> DataFrame:

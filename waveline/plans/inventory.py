@@ -12,6 +12,8 @@ from waveline.sources.tables import FETCHED, PENDING, spans_in_state
 MIN_JOINT_DAYS, MIN_CHUNKS = 60, 2
 #: All pairs of stations are formed by so many blocks of either side.
 PAIR_BLOCKS = 8
+#: Blocks of stations whose recordings are compared; a key is a month and two blocks.
+JOINT_BLOCKS = 16
 
 
 def span_days(spans: DataFrame, keys: list[str]) -> DataFrame:
@@ -50,12 +52,14 @@ def joint_days(spans: DataFrame) -> DataFrame:
     """``(station_a, station_b, joint_days)``, a < b: whole days of each common part, added up.
 
     ``spans`` is ``(station, lo, hi)``. Stations meet in the months they share, so pairs that
-    never recorded together aren't formed.
+    never recorded together aren't formed; they are dealt to blocks, and spans of two blocks meet
+    under a key of both, so that a month isn't one task's and each pair is formed once.
     """
-    a, b = (spans.select(F.col("station").alias(f"station_{s}"), "lo", "hi") for s in "ab")
-    month = 30 * 86400.0
-    both = intersect(a.withColumn("_k", F.lit(0)), b.withColumn("_k", F.lit(0)), ["_k"], bucket=month, carry=(["station_a"], ["station_b"]))
-    return both.where("station_a < station_b").groupBy("station_a", "station_b").agg(F.sum(whole_days("lo", "hi")).alias("joint_days"))
+    own, last = F.pmod(F.xxhash64("station"), F.lit(JOINT_BLOCKS)).cast("int"), F.lit(JOINT_BLOCKS - 1)
+    a = spans.select(F.col("station").alias("_a"), "lo", "hi", own.alias("_i"), F.explode(F.sequence(own, last)).alias("_j"))
+    b = spans.select(F.col("station").alias("_b_"), "lo", "hi", F.explode(F.sequence(F.lit(0), own)).alias("_i"), own.alias("_j"))
+    both = intersect(a, b, ["_i", "_j"], bucket=30 * 86400.0, carry=(["_a"], ["_b_"])).where("_i < _j or _a < _b_")
+    return both.groupBy(F.least("_a", "_b_").alias("station_a"), F.greatest("_a", "_b_").alias("station_b")).agg(F.sum(whole_days("lo", "hi")).alias("joint_days"))
 
 
 def separations(stations: DataFrame, max_separation: float | None = None) -> DataFrame:

@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from waveline.durable import stored
+from waveline.operators import blocks
+from waveline.operators.segments import pack_traces
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -67,7 +71,7 @@ def segments(spark: SparkSession, d: str) -> DataFrame:
     t0, n = F.floor(epoch("l_shipdate") / 600) * 600.0, F.floor(F.col("l_quantity") / 25 * 144).cast("long") + 1
     rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("station"), F.get(roles, F.col("l_linenumber") % 3).alias("role"), t0.alias("t0"), n.alias("n"))
     rows = rows.withColumn("seg_id", F.row_number().over(Window.partitionBy("station", "role").orderBy("t0", "n")))
-    return rows.withColumn("data", samples((F.col("t0") / 600).cast("long") + F.col("n"), F.col("n")))
+    return stored(blocks.pack(rows.withColumn("data", samples((F.col("t0") / 600).cast("long") + F.col("n"), F.col("n")))), "segments")
 
 
 def arrivals_at(spark: SparkSession, d: str) -> DataFrame:
@@ -77,11 +81,11 @@ def arrivals_at(spark: SparkSession, d: str) -> DataFrame:
 
 
 def recorded(spark: SparkSession, d: str) -> DataFrame:
-    """Every vector as a trace of 64 samples, three channels of ten stations, some overlapping and some apart."""
+    """Every vector as a trace of 64 samples, three channels of ten stations, some overlapping, some together and some apart; their order is that of the ids."""
     k = F.col("vec_id")
     codes = F.array(*map(F.lit, ["HHZ", "HHN", "HHE"]))
-    rows = table(spark, d, "embeddings").select(F.concat(F.lit("L"), F.col("label")).alias("station"), F.lit("L_2024-01-01").alias("chunk"), F.get(codes, (k % 3).cast("int")).alias("channel"), (F.floor(k / 30) * 0.5 + k * 7 % 8 * 0.0625).alias("t0"), F.lit(64.0).alias("fs"), F.transform("embedding", lambda x: x.cast("double")).alias("data"))
-    return rows
+    rows = table(spark, d, "embeddings").select(F.concat(F.lit("L"), F.col("label")).alias("station"), F.lit("L_2024-01-01").alias("chunk"), F.get(codes, (k % 3).cast("int")).alias("channel"), (F.floor(k / 30) * 0.5 + k * 7 % 8 * 0.0625).alias("t0"), F.lit(64.0).alias("fs"), F.transform("embedding", lambda x: x.cast("double")).alias("data"), k.cast("int").alias("seq"))
+    return stored(pack_traces(rows), "traces")
 
 
 def channels(spark: SparkSession, d: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from waveline.functions import arrays, names
 from waveline.functions.geo import haversine_km
-from waveline.operators import alarms, arrivals, baseline, coincidence, intervals, segments, snr
+from waveline.operators import alarms, arrivals, baseline, blocks, coincidence, intervals, segments, snr
 from waveline.plans import inventory
 from waveline.plans import proxies as V
 from waveline.plans.proxies import with_views
@@ -172,10 +172,11 @@ def asinh_transform(spark, d):
     return V.windows(spark, d).select("window_id", F.round(arrays.total(F.transform("x", lambda v: arrays.asinh(v * 1000))), 6).alias("total"))
 
 
-@query("SELECT i, round(CASE WHEN i < 32 THEN 0.5 - 0.5 * cos(2 * pi() * i / 63) WHEN i >= 608 THEN 0.5 - 0.5 * cos(2 * pi() * (639 - i) / 63) ELSE 1 END, 9) AS weight FROM (SELECT CAST(unnest(range(640)) AS INT) AS i)")
+@query(with_views("v_windows") + "SELECT window_id, CAST(i AS INT) AS i, round(v * CASE WHEN i < 3 THEN 0.5 - 0.5 * cos(2 * pi() * i / 5) WHEN i > 60 THEN 0.5 - 0.5 * cos(2 * pi() * (63 - i) / 5) ELSE 1 END, 9) + 0.0 AS y FROM (SELECT window_id, unnest(x) AS v, unnest(range(64)) AS i FROM v_windows)")
 def taper_vector(spark, d):
-    weights = F.array(*[F.lit(w) for w in arrays.taper_weights(640)])
-    return spark.range(1).select(F.posexplode(weights).alias("i", "weight")).select("i", F.round("weight", 9).alias("weight"))
+    """Every vector with its ends tapered."""
+    rows = V.windows(spark, d).select("window_id", F.posexplode(arrays.taper("x", 64)).alias("i", "y"))
+    return rows.withColumn("y", F.round("y", 9) + 0.0)
 
 
 @query(with_views("v_windows") + """, e AS (SELECT window_id, unnest(x) AS v, unnest(range(64)) AS i FROM v_windows),
@@ -549,7 +550,7 @@ def limit_chunks(spark, d):
 
 
 @query(with_views("v_recorded") + """, t AS (SELECT *, t0 + 1 AS fin, row_number() OVER (ORDER BY vec_id) AS id FROM v_recorded),
--- Traces of one length: an equal start is the only containment; of such the first by samples' order counts once.
+-- Traces of one length: an equal start is the only containment.
 heads AS (SELECT DISTINCT station, channel, t0, fin FROM t),
 cut AS (SELECT *, CASE WHEN t0 - max(fin) OVER (PARTITION BY station, channel ORDER BY t0 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 0.5 / 64 THEN 0 ELSE 1 END AS c FROM heads),
 runs AS (SELECT *, sum(c) OVER (PARTITION BY station, channel ORDER BY t0) AS run FROM cut),
@@ -559,10 +560,10 @@ def join_traces(spark, d):
     """The segments' extents; their samples are ``painted_samples``."""
     traces = V.recorded(spark, d)
     segs = segments.join_traces(traces, 64.0)
-    return segs.select("station", "channel", "role", "t0", "n")
+    return blocks.heads(segs).select("station", "channel", "role", "t0", "n")
 
 
-@query(with_views("v_recorded") + """, one AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY station, channel, t0) AS same FROM v_recorded) WHERE same = 1),
+@query(with_views("v_recorded") + """, one AS (SELECT * FROM v_recorded QUALIFY row_number() OVER (PARTITION BY station, channel, t0 ORDER BY vec_id) = 1),
 heads AS (SELECT *, CASE WHEN t0 - max(t0 + 1) OVER (PARTITION BY station, channel ORDER BY t0 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 0.5 / 64 THEN 0 ELSE 1 END AS c FROM one),
 runs AS (SELECT *, sum(c) OVER (PARTITION BY station, channel ORDER BY t0) AS run FROM heads),
 placed AS (SELECT *, min(t0) OVER (PARTITION BY station, channel, run) AS start FROM runs),
@@ -570,12 +571,12 @@ every AS (SELECT station, channel, start, t0, CAST(round_even((t0 - start) * 64,
 painted AS (SELECT station, channel, start, i, max_by(v, t0) AS v FROM every GROUP BY ALL)
 SELECT station, channel, start AS t0, count(*) AS n, round(sum(v), 6) AS total, round(sum(v * (i % 17)), 5) AS weighted FROM painted GROUP BY station, channel, start""")
 def painted_samples(spark, d):
-    """Where traces overlap the later one's samples count. Traces that start together, whose order is open, are left out in both engines."""
-    traces = V.recorded(spark, d)
-    alone = traces.groupBy("station", "channel", "t0").agg(F.count("*").alias("same")).where("same = 1").drop("same")
-    segs = segments.join_traces(traces.join(alone, ["station", "channel", "t0"]), 64.0)
-    weighted = arrays.total(F.transform("data", lambda v, i: v * (i % 17)))
-    return segs.select("station", "channel", "t0", "n", F.round(arrays.total("data"), 6).alias("total"), F.round(weighted, 5).alias("weighted"))
+    """Where traces overlap the later one's samples count; of those that start together the first in order."""
+    segs = blocks.values(segments.join_traces(V.recorded(spark, d), 64.0), "data")
+    offset = F.col("block").cast("long") * blocks.BLOCK
+    weighted = arrays.total(F.transform("data", lambda v, i: v * ((i + offset) % 17)))
+    each = segs.select("station", "channel", "t0", "n", arrays.total("data").alias("total"), weighted.alias("weighted"))
+    return r6(each.groupBy("station", "channel", "t0", "n").agg(F.sum("total").alias("total"), F.round(F.sum("weighted"), 5).alias("weighted")), "total")
 
 
 #: The band-pass of 0.2 to 1.5 Hz at 4 Hz (order 4), numerator and denominator, and
@@ -609,7 +610,8 @@ clean AS (SELECT window_id, 118 - i - 27 AS i, y FROM back WHERE 118 - i - 27 BE
 
 
 def _windows_as_segments(spark, d) -> DataFrame:
-    return V.windows(spark, d).select(F.col("station"), F.col("window_id"), F.lit("Z").alias("role"), F.col("x").alias("data"))
+    rows = V.windows(spark, d).select("station", F.lit("c").alias("chunk"), F.lit("Z").alias("role"), F.col("window_id").alias("seg_id"), F.lit(0.0).alias("t0"), F.size("x").cast("long").alias("n"), F.col("x").alias("data"))
+    return blocks.pack(rows)
 
 
 @query(_CONDITIONED + " SELECT window_id, CAST(i AS INT) AS i, round(y, 6) + 0.0 AS y FROM clean")
@@ -655,7 +657,7 @@ def score_windows(spark, d):
 
     rows = V.windows(spark, d).select("station", F.concat(F.lit("v"), F.col("window_id")).alias("chunk"), F.explode(F.array(*map(F.lit, "ZNE"))).alias("role"), F.lit(0).alias("seg_id"), F.lit(0.0).alias("t0"), F.lit(64).cast("long").alias("n"), F.col("x").alias("data"))
     arm = names.Arm("16s", 16.0, "", "", 16.0, 4.0)
-    out = score.score(rows, arm, _mean_absolute, "constant", low=0.2, high=1.5, constant=0.5)
+    out = score.score(blocks.pack(rows), arm, _mean_absolute, "constant", low=0.2, high=1.5, constant=0.5)
     return out.withColumn("p", F.round(F.col("p").cast("double"), 3))
 
 
@@ -719,31 +721,38 @@ def score_by_detector(spark, d):
     sides = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.lit(f).alias("f")) for r, f in (("Z", 1.0), ("N", -1.0), ("E", 2.0))])).alias("y")
     rows = V.windows(spark, d).select("station", F.concat(F.lit("v"), F.col("window_id")).alias("chunk"), "x", sides)
     rows = rows.select("station", "chunk", "y.role", F.lit(0).alias("seg_id"), F.lit(0.0).alias("t0"), F.lit(64).cast("long").alias("n"), F.transform("x", lambda v: v * F.col("y.f")).alias("data"))
-    out = score.score(rows, names.Arm("16s", 16.0, "", "cnn", 16.0, 4.0), detector.ensemble(_networks(), "cnn"), "perwindow", low=0.2, high=1.5)
+    out = score.score(blocks.pack(rows), names.Arm("16s", 16.0, "", "cnn", 16.0, 4.0), detector.ensemble(_networks(), "cnn"), "perwindow", low=0.2, high=1.5)
     return out.select("station", "chunk", F.round(F.col("p").cast("double"), 3).alias("p"))
 
 
 @query(with_views("v_recorded") + "SELECT station, channel, t0, CAST(64 AS BIGINT) AS samples, CAST(list_sum(list_transform(x, lambda v: trunc(v * 1000))) AS BIGINT) AS total, true AS equal FROM v_recorded")
 def mseed_round_trip(spark, d):
-    """Samples written as compressed records and read back."""
-    import numpy as np
-
-    from waveline.sources.mseed import Trace, read_traces, write_traces
+    """Every trace packed as a chunk file of compressed records, and decoded as the archive's files are."""
+    import io
+    import zipfile
 
+    import numpy as np
     import pyarrow as pa
 
-    def work(batches):
+    from waveline.sources import archive, mseed
+
+    def packed(batches):
         for batch in batches:
             out = []
-            for station, channel, t0, data in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                whole = np.trunc(np.asarray(data) * 1000)
-                back = read_traces(write_traces([Trace(station[:5], channel, t0, 64.0, whole)]))
-                got = np.concatenate([b.data for b in back])
-                out.append((back[0].station, back[0].channel, back[0].t0, len(got), int(got.sum()), bool(np.array_equal(got, whole))))
-            types = [pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], ["station", "channel", "t0", "samples", "total", "equal"])
-
-    return V.recorded(spark, d).select("station", "channel", "t0", "data").mapInArrow(work, "station string, channel string, t0 double, samples bigint, total bigint, equal boolean")
+            for station, channel, t0, data in zip(*(batch.column(c).to_pylist() for c in ("station", "channel", "t0", "data")), strict=True):
+                file = io.BytesIO()
+                with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr("data.mseed", mseed.write_traces([mseed.Trace(station[:5], channel, t0, 64.0, np.trunc(np.frombuffer(data) * 1000))], power=9))
+                out.append(file.getvalue())
+            yield pa.RecordBatch.from_arrays([batch.column("station"), batch.column("chunk"), pa.array(out, pa.binary())], ["station", "chunk", "content"])
+
+    traces = V.recorded(spark, d).withColumn("chunk", F.concat(F.lit("v"), F.col("seq")))
+    back = archive.decode(traces.select("station", "chunk", "channel", "t0", "data").mapInArrow(packed, "station string, chunk string, content binary"))
+    back = blocks.values(back.select("station", "chunk", "channel", "t0", "n", "data"), "data")
+    whole = blocks.values(traces.select("chunk", F.col("data").alias("given")), "given")
+    equal = F.col("data") == F.transform("given", lambda v: F.signum(v) * F.floor(F.abs(v * 1000)) + 0.0)
+    rows = back.join(whole, "chunk").groupBy("station", "chunk", "channel", "t0").agg(F.sum("n").alias("samples"), F.sum(arrays.total("data")).cast("bigint").alias("total"), F.every(equal).alias("equal"))
+    return rows.drop("chunk")
 
 
 @query(with_views("v_scores") + f", {_declared(0.99, 'dec')} SELECT station, round(t, 6) AS t, round(p, 6) AS p FROM dec")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from waveline.durable import checkpoint_dir
 from waveline.functions import arrays, names
-from waveline.operators import arrivals, baseline, score, segments, signal, snr, windows
+from waveline.operators import arrivals, baseline, blocks, score, segments, signal, snr, windows
 from waveline.plans import proxies as V
 from waveline.plans import queries as Q
 from waveline.plans import run
@@ -25,10 +25,10 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _csv(df: DataFrame, name: str) -> str:
-    """One file with a header, in the frame's order."""
+def _csv(df: DataFrame, name: str, files: int | None = 1) -> str:
+    """One file with a header, in the frame's order; or as many as there are partitions."""
     path = _folder(df.sparkSession, name)
-    df.coalesce(1).write.option("header", "true").csv(path)
+    (df.coalesce(files) if files else df).write.option("header", "true").csv(path)
     return path
 
 
@@ -58,7 +58,7 @@ def catalogue_file(spark, d):
     """The catalogue as a file of dates and quoted places, every 97th date no date."""
     e = V.catalog(spark, d)
     date = F.when(F.col("event_id") % 97 == 0, "no date").otherwise(F.date_format(F.timestamp_seconds(F.floor("t")), "dd/MM/yyyy HH:mm:ss"))
-    path = _csv(e.select(F.col("event_id").alias("EventID"), date.alias("Date"), F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"), F.col("depth").alias("Depth"), F.col("mag").alias("Magnitude"), F.concat(F.lit("place, "), "event_id").alias("Location")), "catalogue")
+    path = _csv(e.repartition(8).select(F.col("event_id").alias("EventID"), date.alias("Date"), F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"), F.col("depth").alias("Depth"), F.col("mag").alias("Magnitude"), F.concat(F.lit("place, "), "event_id").alias("Location")), "catalogue", None)
     return r6(tables.read_events(spark, path).select("event_id", "t", "lat", "mag", "depth", "location"), "lat", "mag")
 
 
@@ -86,7 +86,7 @@ def score_series(spark, d):
 @query(with_views("v_snr") + "SELECT event_id, round(max(snr), 6) AS snr FROM v_snr GROUP BY event_id")
 def snr_file(spark, d):
     """Readings from a file, the larger of an event."""
-    return r6(tables.read_snr(spark, _csv(V.snr(spark, d).select("event_id", "snr", "part"), "snr")), "snr")
+    return r6(tables.read_snr(spark, _csv(V.snr(spark, d).select("event_id", "snr", "part").repartition(8), "snr", None)), "snr")
 
 
 @query(with_views("v_snr") + "SELECT event_id, round(snr, 6) AS snr, chunk FROM (SELECT *, 'p' || part AS chunk, row_number() OVER (PARTITION BY event_id ORDER BY part, time, snr) AS k FROM (SELECT event_id, part, time, max(snr) AS snr FROM v_snr GROUP BY ALL)) WHERE k = 1")
@@ -158,7 +158,7 @@ def score_by_baseline(spark, d):
     """Scores in the units of each station's noise; stations without all three roles have none."""
     rows = V.windows(spark, d).select("station", F.concat(F.lit("v"), F.col("window_id")).alias("chunk"), F.explode(F.array(*map(F.lit, "ZNE"))).alias("role"), F.lit(0).alias("seg_id"), F.lit(0.0).alias("t0"), F.lit(64).cast("long").alias("n"), F.col("x").alias("data"))
     arm = names.Arm("16s", 16.0, "", "", 16.0, 4.0)
-    out = score.score(rows, arm, _quarter, "pooled", _units(spark, d), low=0.2, high=1.5)
+    out = score.score(blocks.pack(rows), arm, _quarter, "pooled", _units(spark, d), low=0.2, high=1.5)
     return out.select("station", "chunk", F.round(F.col("p").cast("double"), 3).alias("p"))
 
 
@@ -187,8 +187,9 @@ def channel_selection(spark, d):
 @query(with_views("v_windows") + "SELECT station, count(*) AS pieces, CAST(sum(n) AS BIGINT) AS samples FROM (SELECT station, unnest([least(k, 48), greatest(k - 48, 0)]) AS n FROM (SELECT station, window_id % 64 + 1 AS k FROM v_windows)) WHERE n >= 40 GROUP BY station")
 def short_pieces(spark, d):
     """Segments cut into pieces of twelve seconds; what is under ten seconds is left out."""
-    rows = V.windows(spark, d).select("station", F.lit("Z").alias("role"), F.slice("x", F.lit(1), (F.col("window_id") % 64 + 1).cast("int")).alias("data"))
-    return baseline.piece_moments(rows, 4.0, 0.2, 1.5, 12.0).groupBy("station").agg(F.count("*").alias("pieces"), F.sum("n").alias("samples"))
+    data = F.slice("x", F.lit(1), (F.col("window_id") % 64 + 1).cast("int"))
+    rows = V.windows(spark, d).select("station", F.lit("c").alias("chunk"), F.lit("Z").alias("role"), F.col("window_id").alias("seg_id"), F.lit(0.0).alias("t0"), F.size(data).cast("long").alias("n"), data.alias("data"))
+    return baseline.piece_moments(blocks.pack(rows), 4.0, 0.2, 1.5, 12.0).groupBy("station").agg(F.count("*").alias("pieces"), F.sum("n").alias("samples"))
 
 
 @query(with_views("v_windows") + """, f AS (SELECT window_id, unnest(range(17)) AS k, x FROM v_windows),
@@ -223,6 +224,6 @@ def stored_windows(spark, d):
 @query(Q._CONDITIONED.replace("(v - m * i - c) * CASE WHEN i < 3 THEN 0.5 - 0.5 * cos(2 * pi() * i / 5) WHEN i > 60 THEN 0.5 - 0.5 * cos(2 * pi() * (63 - i) / 5) ELSE 1 END AS v", "v - (avg(v) OVER (PARTITION BY window_id)) AS v") + " SELECT window_id, CAST(i AS INT) AS i, round(y, 6) + 0.0 AS y FROM clean")
 def conditioned_segments(spark, d):
     """Every vector as a vertical segment, as signal to noise is measured on: mean off, band-passed."""
-    rows = V.windows(spark, d).select("window_id", F.col("x").alias("data"))
-    out = snr.condition(rows, 4.0, (0.2, 1.5))
-    return out.select("window_id", F.posexplode("data").alias("i", "y")).withColumn("y", F.round("y", 6) + 0.0)
+    rows = V.windows(spark, d).select(F.col("window_id").alias("seg_id"), F.lit(0.0).alias("t0"), F.size("x").cast("long").alias("n"), F.col("x").alias("data"))
+    out = blocks.values(blocks.filtered(blocks.pack(rows), [], 4.0, 0.2, 1.5), "data")
+    return out.select(F.col("seg_id").alias("window_id"), F.posexplode("data").alias("i", "y")).withColumn("y", F.round("y", 6) + 0.0)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from waveline.durable import checkpoint, stored
 from waveline.functions.names import Arm
-from waveline.operators import arrivals, baseline, coincidence, score, segments, snr, windows
+from waveline.operators import arrivals, baseline, blocks, coincidence, score, segments, snr, windows
 from waveline.operators.alarms import median_step
 from waveline.plans import inventory
 from waveline.schemas import BASELINE, CONDITIONING
@@ -47,8 +47,7 @@ def products(arms: list[Arm], settings: Settings) -> list[str]:
 def decoded(chunks: DataFrame, fs: float) -> DataFrame:
     """Gap-free segments of the chunks' chosen channels. Traces are stored once, decoded, so that
     channels and runs are found on their headers."""
-    traces = archive.read_chunks(chunks)
-    traces = stored(traces.withColumn("n", F.size("data").cast("long")), "traces")
+    traces = stored(archive.read_chunks(chunks), "traces")
     return stored(segments.join_traces(traces, fs, segments.pick_channels(traces)), "segments")
 
 
@@ -61,13 +60,19 @@ def in_groups(chunks: DataFrame, size: int) -> list[DataFrame]:
 
 
 def build_baseline(spark: SparkSession, chunks: DataFrame, layout: store.Layout, settings: Settings, sample_chunks: int = baseline.SAMPLE_CHUNKS, force: bool = False, piece_seconds: float = baseline.PIECE_SECONDS) -> DataFrame:
-    """Baselines of the stations that lack one (all with ``force``), each sampled chunk decoded once."""
+    """Baselines of the stations that lack one (all with ``force``), each sampled chunk decoded once, a group at a time."""
     if not force:
         have = store.read_table(spark, layout.baseline, f"{BASELINE}, {CONDITIONING}").select("station").distinct()
         chunks = chunks.join(have, "station", "left_anti")
     picked = baseline.even_sample(chunks, ["station"], "name", sample_chunks)
-    segs = decoded(picked, settings.fs)
-    out = checkpoint(baseline.station_baseline(segs, settings.fs, settings.low, settings.high, sample_chunks, piece_seconds))
+    pieces = made = None
+    for group in in_groups(picked, settings.group_chunks):  # a few numbers of each piece are kept of a group
+        segs = decoded(group, settings.fs)
+        some = checkpoint(baseline.piece_moments(segs, settings.fs, settings.low, settings.high, piece_seconds)), checkpoint(baseline.made_of(segs))
+        pieces, made = (a if had is None else had.unionByName(a) for had, a in zip((pieces, made), some, strict=True))
+    if pieces is None:
+        return spark.createDataFrame([], f"{BASELINE}, loud boolean, {CONDITIONING}, several_bands boolean")
+    out = checkpoint(baseline.station_baseline(pieces, made, settings.fs, settings.low, settings.high, piece_seconds))
     if out.head(1):
         store.write_baseline(out, layout)
     return out
@@ -133,7 +138,7 @@ def _run_group(group: DataFrame, due: DataFrame, layout: store.Layout, known: Da
             finish(product, rows)
     if "range" in asked:
         vertical = of("range").where("role = 'Z'")
-        extent = segments.span_of(vertical, keys, settings.fs)
+        extent = segments.span_of(blocks.heads(vertical), keys, settings.fs)
         measured = snr.measure(vertical, arrivals.inside(known, extent, ["station"]), keys, settings.fs).where("not dropped")
         parts = stored(measured.select(*keys, "event_id", "time", "mag", F.col("dist").alias("dist_km"), "depth", "snr", "location"), "snr")
         store.write_snr_parts(parts, layout)

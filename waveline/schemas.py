@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-#: Raw and joined samples.
-TRACE = "station string, chunk string, channel string, t0 double, fs double, data array<double>"
-SEGMENT = "station string, chunk string, channel string, role string, seg_id int, t0 double, n bigint, data array<double>"
+#: Raw and joined samples, as packed doubles. A trace, numbered by ``seq`` in the order of its
+#: file, is in pieces: ``at`` is the place of a piece's first sample, ``n`` how many it has. A
+#: segment is in blocks: ``n`` is the whole segment's length.
+TRACE = "station string, chunk string, channel string, seq int, t0 double, fs double, at bigint, n int, data binary"
+SEGMENT = "station string, chunk string, channel string, role string, seg_id int, t0 double, n bigint, block int, total double, data binary"
 SPAN = "station string, chunk string, t0 double, seg_z int, off_z bigint, seg_n int, off_n bigint, seg_e int, off_e bigint, n bigint"
 
 #: Sources.

@@ -5,7 +5,8 @@ from __future__ import annotations
 import io
 import os
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Collection, Iterable, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from waveline.functions.names import chunk_date, chunk_station, reject_reason
+from waveline.operators import blocks
 from waveline.schemas import TRACE
-from waveline.sources.mseed import Trace, read_traces
+from waveline.sources.mseed import Piece, stream_pieces
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -46,54 +48,62 @@ def rejected(files: DataFrame, stations: list[str] | None = None) -> DataFrame:
     return rows.select(F.col("folder").alias("station"), "name", reject_reason("name").alias("reason")).where("reason is not null")
 
 
-def unpack(data: bytes) -> list[Trace]:
-    """The traces of the first mseed member of a zip, unmerged and in file order."""
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
+def unpack(file: BinaryIO, size: int, channels: Collection[str] | None = None) -> Iterator[Piece]:
+    """The traces of the first mseed member of a zip, unmerged and in file order, in pieces of at most ``size`` samples.
+
+    Records are decoded as the member inflates; no more than a piece and a window are held.
+    """
+    with zipfile.ZipFile(file) as z:
         name = next((n for n in z.namelist() if n.lower().endswith(".mseed")), None)
         if name is None:
             raise ValueError("no .mseed member")
-        return read_traces(z.read(name))
+        with z.open(name) as member:
+            yield from stream_pieces(member, size, channels)
+
+
+def _batches(station: str, chunk: str, pieces: Iterable[Piece], size: int) -> Iterator[pa.RecordBatch]:
+    """Pieces as Arrow batches that go out as they fill, of some ``size`` samples each."""
+    held: list[Piece] = []
 
+    def batch() -> pa.RecordBatch:
+        same = [pa.array([station] * len(held), pa.string()), pa.array([chunk] * len(held), pa.string())]
+        cols = [([p.trace.channel for p in held], pa.string()), ([p.seq for p in held], pa.int32()), ([p.trace.t0 for p in held], pa.float64()), ([p.trace.fs for p in held], pa.float64()), ([p.at for p in held], pa.int64()), ([len(p.trace.data) for p in held], pa.int32()), ([np.asarray(p.trace.data, np.float64).tobytes() for p in held], pa.binary())]
+        return pa.RecordBatch.from_arrays([*same, *[pa.array(v, t) for v, t in cols]], ["station", "chunk", "channel", "seq", "t0", "fs", "at", "n", "data"])
 
-#: Samples of one batch on their way to the JVM, unless one trace has more.
-BATCH_SAMPLES = 4_000_000
+    for p in pieces:
+        held.append(p)
+        if sum(len(x.trace.data) for x in held) >= size or len(held) >= 1000:
+            yield batch()
+            held = []
+    if held:
+        yield batch()
 
 
-def _batches(station: str, chunk: str, traces: list[Trace]) -> Iterator[pa.RecordBatch]:
-    """A chunk's traces as Arrow batches of bounded size."""
-    at = 0
-    while at < len(traces):
-        end, n = at, 0
-        while end < len(traces) and (end == at or n + len(traces[end].data) <= BATCH_SAMPLES):
-            n += len(traces[end].data)
-            end += 1
-        part = traces[at:end]
-        ends = np.cumsum([0] + [len(t.data) for t in part]).astype(np.int32)
-        data = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.asarray(t.data, np.float64) for t in part])))
-        cols = [pa.array([station] * len(part), pa.string()), pa.array([chunk] * len(part), pa.string()), pa.array([t.channel for t in part], pa.string()), pa.array([t.t0 for t in part], pa.float64()), pa.array([t.fs for t in part], pa.float64()), data]
-        yield pa.RecordBatch.from_arrays(cols, ["station", "chunk", "channel", "t0", "fs", "data"])
-        at = end
+def decode(rows: DataFrame) -> DataFrame:
+    """The traces, in pieces, of ``(station, chunk, content)`` rows of packed chunk files."""
+    size = blocks.BLOCK
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for station, chunk, content in zip(*(batch.column(k) for k in range(3)), strict=True):
+                yield from _batches(station.as_py(), chunk.as_py(), unpack(io.BytesIO(content.as_buffer()), size), size)
+
+    return rows.select("station", "chunk", "content").mapInArrow(work, TRACE)
 
 
 def read_chunks(chunks: DataFrame) -> DataFrame:
-    """The traces of ``(station, chunk, path)`` rows; one file is one task's row.
+    """The traces of ``(station, chunk, path)`` rows in pieces; one file is one task's row.
 
-    Files are read by Spark, so any store it reaches will do; a file must fit a task's memory.
-    The paths of ``chunks`` pass the driver, without contents: a batch run gives a group at a time.
+    Files are read by Spark, so any store it reaches will do; a packed file must fit a task's
+    memory, its samples need not. The paths of ``chunks`` pass the driver, without contents: a
+    batch run gives a group at a time.
     """
     spark = chunks.sparkSession
     paths = [r.path for r in chunks.select("path").collect()]
     if not paths:
         return spark.createDataFrame([], TRACE)
     content = spark.read.format("binaryFile").load(paths).select("path", "content")
-    rows = content.join(F.broadcast(chunks.select("station", "chunk", "path")), "path").select("station", "chunk", "content")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for station, chunk, content in zip(*(batch.column(k) for k in range(3)), strict=True):
-                yield from _batches(station.as_py(), chunk.as_py(), unpack(content.as_py()))
-
-    return rows.mapInArrow(work, TRACE)
+    return decode(content.join(F.broadcast(chunks.select("station", "chunk", "path")), "path"))
 
 
 class _ChunkPartition(InputPartition):
@@ -102,10 +112,10 @@ class _ChunkPartition(InputPartition):
 
 
 class ChunkReader(DataSourceReader):
-    """One partition of each chunk file; the options name stations and chunks, and no other file is opened."""
+    """One partition of each chunk file; the options name stations, chunks and channels: no other file is opened, no other channel kept."""
 
-    def __init__(self, root: str, stations: list[str] | None, chunks: list[str] | None):
-        self.root, self.wanted = root, {"station": stations, "chunk": chunks}
+    def __init__(self, root: str, stations: list[str] | None, chunks: list[str] | None, channels: list[str] | None = None):
+        self.root, self.wanted, self.channels = root, {"station": stations, "chunk": chunks}, channels
 
     def partitions(self) -> list[InputPartition]:
         import re
@@ -122,8 +132,8 @@ class ChunkReader(DataSourceReader):
         return out
 
     def read(self, partition: _ChunkPartition):
-        with open(partition.path, "rb") as f:
-            yield from _batches(partition.station, partition.chunk, unpack(f.read()))
+        with open(partition.path, "rb") as f:  # read where the zip's directory says, as it inflates
+            yield from _batches(partition.station, partition.chunk, unpack(f, blocks.BLOCK, self.channels), blocks.BLOCK)
 
 
 class ChunkSource(DataSource):
@@ -137,7 +147,7 @@ class ChunkSource(DataSource):
         return TRACE
 
     def reader(self, schema) -> ChunkReader:
-        named = [v.split(",") if (v := self.options.get(k)) else None for k in ("stations", "chunks")]
+        named = [v.split(",") if (v := self.options.get(k)) else None for k in ("stations", "chunks", "channels")]
         return ChunkReader(self.options["path"], *named)
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import io
 import struct
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import numpy as np
 
@@ -70,56 +73,115 @@ def decode_steim(data: bytes, n: int, level: int, order: str = ">") -> np.ndarra
     return samples
 
 
-def read_records(data: bytes) -> list[Trace]:
-    """One trace of each record, in file order; records without samples are left out."""
-    out, at = [], 0
-    while at + _HEADER <= len(data):
-        order = ">"
-        year = struct.unpack_from(">H", data, at + 20)[0]
-        if not 1900 <= year <= 2100:
-            order = "<"
-        year, day, hour, minute, second, _, ticks, n, factor, multiplier = struct.unpack_from(f"{order}HHBBBBHHhh", data, at + 20)
-        flags = data[at + 36]
-        correction, begin, blockette = struct.unpack_from(f"{order}iHH", data, at + 40)
-        encoding, length, micros = None, None, 0
-        while blockette:
-            kind, following = struct.unpack_from(f"{order}HH", data, at + blockette)
-            if kind == 1000:
-                encoding, word, power = data[at + blockette + 4 : at + blockette + 7]
-                length = 1 << power
-                sample_order = ">" if word else "<"
-            elif kind == 1001:
-                micros = struct.unpack_from("b", data, at + blockette + 5)[0]
-            elif kind == 100:
-                pass
-            blockette = following
-        if length is None:
-            raise ValueError(f"no blockette 1000 at {at}")
-        if n:
-            start = dt.datetime(year, 1, 1, hour, minute, min(second, 59), tzinfo=dt.UTC) + dt.timedelta(days=day - 1, seconds=second - min(second, 59))
-            t0 = start.timestamp() + ticks / 1e4 + micros / 1e6 + (correction / 1e4 if not flags & 2 else 0.0)
-            body = data[at + begin : at + length]
-            if encoding in PLAIN:
-                samples = np.frombuffer(body, sample_order + PLAIN[encoding], n)
-            elif encoding in (STEIM1, STEIM2):
-                samples = decode_steim(body, n, encoding - 9, sample_order)
-            else:
-                raise ValueError(f"encoding {encoding} isn't read")
-            text = lambda a, b: data[at + a : at + b].decode("ascii", "replace").strip()  # noqa: B023, E731
-            out.append(Trace(text(8, 13), text(15, 18), t0, _rate(factor, multiplier), samples.astype(np.float64)))
+def _record(data: bytes, at: int) -> tuple[Trace | None, int]:
+    """The record at a place, None if it has no samples, and its length."""
+    order = ">"
+    year = struct.unpack_from(">H", data, at + 20)[0]
+    if not 1900 <= year <= 2100:
+        order = "<"
+    year, day, hour, minute, second, _, ticks, n, factor, multiplier = struct.unpack_from(f"{order}HHBBBBHHhh", data, at + 20)
+    flags = data[at + 36]
+    correction, begin, blockette = struct.unpack_from(f"{order}iHH", data, at + 40)
+    encoding, length, micros = None, None, 0
+    while blockette:
+        kind, following = struct.unpack_from(f"{order}HH", data, at + blockette)
+        if kind == 1000:
+            encoding, word, power = data[at + blockette + 4 : at + blockette + 7]
+            length = 1 << power
+            sample_order = ">" if word else "<"
+        elif kind == 1001:
+            micros = struct.unpack_from("b", data, at + blockette + 5)[0]
+        elif kind == 100:
+            pass
+        blockette = following
+    if length is None:
+        raise ValueError(f"no blockette 1000 at {at}")
+    if not n:
+        return None, length
+    start = dt.datetime(year, 1, 1, hour, minute, min(second, 59), tzinfo=dt.UTC) + dt.timedelta(days=day - 1, seconds=second - min(second, 59))
+    t0 = start.timestamp() + ticks / 1e4 + micros / 1e6 + (correction / 1e4 if not flags & 2 else 0.0)
+    body = data[at + begin : at + length]
+    if encoding in PLAIN:
+        samples = np.frombuffer(body, sample_order + PLAIN[encoding], n)
+    elif encoding in (STEIM1, STEIM2):
+        samples = decode_steim(body, n, encoding - 9, sample_order)
+    else:
+        raise ValueError(f"encoding {encoding} isn't read")
+    text = lambda a, b: data[at + a : at + b].decode("ascii", "replace").strip()
+    return Trace(text(8, 13), text(15, 18), t0, _rate(factor, multiplier), samples.astype(np.float64)), length
+
+
+def stream_records(f: BinaryIO, window: int = 1 << 20) -> Iterator[Trace]:
+    """One trace of each record, in file order, read as the stream goes on; records without samples are left out.
+
+    A record is at most ``window`` bytes long; no more than two windows are held.
+    """
+    data, at, more = b"", 0, True
+    while True:
+        while more and len(data) - at < window:
+            part = f.read(window)
+            more = bool(part)
+            data, at = data[at:] + part, 0
+        if at + _HEADER > len(data):
+            return
+        trace, length = _record(data, at)
+        if trace is not None:
+            yield trace
         at += length
-    return out
+
+
+def read_records(data: bytes) -> list[Trace]:
+    """One trace of each record, in file order."""
+    return list(stream_records(io.BytesIO(data)))
+
+
+@dataclass
+class Piece:
+    """Some samples of a trace: the trace's number and start, and the place of the first."""
+
+    seq: int
+    at: int
+    trace: Trace
+
+
+def stream_pieces(f: BinaryIO, size: int, channels: Collection[str] | None = None) -> Iterator[Piece]:
+    """The traces of a stream in pieces of ``size`` samples, or what is left, in file order.
+
+    Records that follow on from each other, to half a sample, are one trace; traces are numbered
+    in file order. With ``channels``, only these.
+    """
+    seq, last, held, count, done = -1, None, [], 0, 0
+
+    def flush(n: int) -> Piece:
+        nonlocal held, count, done
+        whole = np.concatenate(held)
+        piece = Piece(seq, done, Trace(last.station, last.channel, start, last.fs, whole[:n]))
+        held, count, done = [whole[n:]] if n < len(whole) else [], count - n, done + n
+        return piece
+
+    start = 0.0
+    for r in stream_records(f):
+        if not (last is not None and last.channel == r.channel and last.fs == r.fs and abs(last.t0 + len(last.data) / r.fs - r.t0) < 0.5 / r.fs):
+            if count:
+                yield flush(count)
+            seq, start, held, count, done = seq + 1, r.t0, [], 0, 0
+        last = r
+        if channels is not None and r.channel not in channels:
+            continue
+        held.append(r.data)
+        count += len(r.data)
+        while count >= size:
+            yield flush(size)
+    if count:
+        yield flush(count)
 
 
 def read_traces(data: bytes) -> list[Trace]:
     """Records that follow on from each other, to half a sample, as one trace."""
-    out: list[list[Trace]] = []
-    for r in read_records(data):
-        if out and (last := out[-1][-1]).channel == r.channel and last.fs == r.fs and abs(last.t0 + len(last.data) / r.fs - r.t0) < 0.5 / r.fs:
-            out[-1].append(r)
-        else:
-            out.append([r])
-    return [Trace(p[0].station, p[0].channel, p[0].t0, p[0].fs, np.concatenate([r.data for r in p])) for p in out]
+    out: dict[int, list[Trace]] = {}
+    for p in stream_pieces(io.BytesIO(data), 1 << 20):
+        out.setdefault(p.seq, []).append(p.trace)
+    return [Trace(p[0].station, p[0].channel, p[0].t0, p[0].fs, np.concatenate([r.data for r in p])) for p in out.values()]
 
 
 def _steim1(samples: np.ndarray, before: int) -> bytes:

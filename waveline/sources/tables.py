@@ -17,9 +17,12 @@ from waveline.sources.store import exists
 FETCHED, PENDING, UNKNOWN = ("fetched",), ("pending", "claimed", "submitted"), "?"
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, names without blanks and byte-order mark."""
-    df = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """All columns as text, names without blanks and byte-order mark.
+
+    Files are split between tasks, unless fields may hold line breaks inside their quotes.
+    """
+    df = spark.read.option("header", "true").option("multiLine", str(line_breaks).lower()).option("escape", '"').csv(path)
     return df.toDF(*[c.replace("\ufeff", "").strip() for c in df.columns])
 
 
