@@ -74,6 +74,41 @@ def test_travel_times(spark):
     assert sorted(got) == [1, 2] and got[1].tt_p == pytest.approx(np.hypot(10, 10) / 6) and got[2].tt_p == pytest.approx(10 / 6)
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_rays_against_every_crossing_point(seed):
+    """A direct ray is the quickest of all broken lines; head waves go down, along a boundary and up at their angles."""
+    rng = np.random.default_rng(seed)
+    h1, h2 = rng.uniform(5, 30, 2)
+    v1 = rng.uniform(3, 6)
+    v2, v3 = v1 + rng.uniform(0.2, 1.5), 9.0
+    x = np.array([0.0, 3.0, 20.0, 77.0, 200.0])
+    depths = np.array([0.0, h1 * 0.5, h1, h1 + h2 * 0.7, h1 + h2 + 4])
+    got = arrivals.first_arrivals(x, depths, "P", [(0.0, v1, 1.0), (h1, v2, 1.0), (h1 + h2, v3, 1.0)])
+    share = np.linspace(0, 1, 1001)
+    for i, z in enumerate(depths):
+        up = np.array([min(z, h1), np.clip(z - h1, 0, h2), max(z - h1 - h2, 0)])
+        for j, far in enumerate(x):
+            a, b = (g.ravel() for g in np.meshgrid(share, share if up[2] else [1.0]))
+            at = [0 * a, a * b * far, b * far, far + 0 * a] if up[2] else [0 * a, a * far if up[1] else far + 0 * a, far + 0 * a, far + 0 * a]
+            ways = [sum(np.hypot(at[k + 1] - at[k], up[k]) / v for k, v in enumerate((v1, v2, v3)) if up[k]).min() if z else far / v1]
+            for k, (top, v) in enumerate(((h1, v2), (h1 + h2, v3)), 1):
+                if z <= top:
+                    down = [2 * h - u for h, u in zip((h1, h2)[:k], up, strict=False)]
+                    sines = [w / v for w in (v1, v2)[:k]]
+                    along = far - sum(g * s / np.sqrt(1 - s * s) for g, s in zip(down, sines, strict=True))
+                    if along >= 0:
+                        ways.append(along / v + sum(g / np.sqrt(1 - s * s) / w for g, s, w in zip(down, sines, (v1, v2), strict=False)))
+            assert got[i, j] == pytest.approx(min(ways), abs=2e-4), (z, far)
+
+
+def test_times_of_the_public_model_are_smooth():
+    """No distance is left without its own ray: apparent speeds stay within the model's."""
+    for phase, slowest in (("P", 5.8), ("S", 3.36)):
+        t = arrivals.first_arrivals(np.arange(0, 505, 5.0), np.array([5.0, 20.0, 35.0, 50.0, 105.0]), phase)
+        steps = np.diff(t, axis=1)
+        assert (steps >= 0).all() and (steps <= 5 / slowest + 1e-9).all()
+
+
 def test_deep_events_have_arrivals(spark):
     """Through the table that the commands make; straight rays at the least and greatest speeds bound the times."""
     events = spark.createDataFrame([(k, 100.0, 37.0, 30.0, z, 3.0) for k, z in enumerate([150.0, 405.0, 600.0, 690.0, None, 10.0, 9000.0])], "event_id long, t double, lat double, lon double, depth double, mag double")

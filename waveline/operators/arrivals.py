@@ -22,6 +22,12 @@ _LOWER = ((25.1486, -41.1538, 51.9932, -26.6083), (12.9303, -21.2590, 27.8988, -
 IASP91 += [(z, *(sum(c * (1 - z / EARTH_KM) ** k for k, c in enumerate(cs)) for cs in _LOWER)) for z in range(800, 2741, 20)]
 #: Rays are followed so far down at least, and so far below the source.
 LEAST_BOTTOM, BELOW_SOURCE = 410.0, 50.0
+#: Enough for a slowness to the last digit of a double.
+HALVINGS = 60
+#: Constant flat layers, top depth (km), P and S velocity (km/s) of each; the last is a half-space.
+Layers = list[tuple[float, float, float]]
+#: The crust of iasp91 over its uppermost mantle.
+CRUST: Layers = [(0.0, 5.80, 3.36), (20.0, 6.50, 3.75), (35.0, 8.04, 4.47)]
 PHASE_SETS = {"P": ("p", "P", "Pn", "Pg"), "S": ("s", "S", "Sn", "Sg")}
 
 
@@ -38,63 +44,75 @@ def _profile(speed: int, step: float = 1.0, bottom: float = LEAST_BOTTOM) -> tup
     return np.array([*depth, rows[-1][0]]), np.array(v)
 
 
-def first_arrivals(distances: np.ndarray, depths: np.ndarray, phase: str = "P") -> np.ndarray:
-    """Seconds by depth and distance: the earliest of the direct ray, turning rays and head waves."""
-    deepest = float(np.max(depths, initial=0.0))
-    if deepest > IASP91[-1][0]:
-        raise ValueError(f"no velocities below {IASP91[-1][0]:g} km")
-    edges, v = _profile(0 if phase == "P" else 1, bottom=max(LEAST_BOTTOM, deepest + BELOW_SOURCE if deepest > LEAST_BOTTOM - BELOW_SOURCE else 0.0))
-    radius = EARTH_KM - edges
-    flat, speed = EARTH_KM * np.log(EARTH_KM / radius), v * EARTH_KM / ((radius[:-1] + radius[1:]) / 2)
-    thick = np.diff(flat)
-    out = np.full((len(depths), len(distances)), np.inf)
-    slownesses = np.unique(np.concatenate([1 / speed, np.linspace(1e-5, 1 / speed.min(), 4000)]))
-    for i, z in enumerate(depths):
-        above = int(np.searchsorted(edges, z, side="right") - 1) if z > 0 else 0
-        share = np.clip((z - edges[:-1]) / np.diff(edges), 0, 1)
-        for p in slownesses:
-            eta2 = 1 / speed**2 - p * p
-            turn = int(np.argmax(eta2 <= 0)) if (eta2 <= 0).any() else len(speed)
-            if turn <= above and z > 0:
-                continue
-            eta = np.sqrt(np.maximum(eta2, 1e-15))
-            x, t = thick * p / eta, thick / (speed**2 * eta)
-            up_x, up_t = (x * share)[: above + 1].sum(), (t * share)[: above + 1].sum()
-            paths = [(up_x, up_t)] if z > 0 else []
-            if turn < len(speed):
-                down_x, down_t = 2 * x[:turn].sum() - up_x, 2 * t[:turn].sum() - up_t
-                paths.append((down_x, down_t))
-                # along the top of the faster layer below: a head wave of this slowness
-                if abs(p * speed[turn] - 1) < 1e-9:
-                    far = distances >= down_x
-                    out[i, far] = np.minimum(out[i, far], down_t + (distances[far] - down_x) * p)
-            for px, pt in paths:
-                near = np.abs(distances - px)
-                k = int(np.argmin(near))
-                if near[k] < 2.5:  # a ray that lands in the cell; its time at the cell's distance
-                    out[i, k] = min(out[i, k], pt + (distances[k] - px) * p)
-        if z == 0:
-            out[i] = np.minimum(out[i], distances / speed[0])
-        out[i] = np.minimum.accumulate(out[i][::-1])[::-1]
+def first_arrivals(distances: np.ndarray, depths: np.ndarray, phase: str = "P", layers: Layers | None = None) -> np.ndarray:
+    """Seconds by depth and distance: the earlier of the direct ray and the head waves.
+
+    Without ``layers`` the layers are thin ones of iasp91, flattened for the sphere: in these a
+    turning ray is the head wave of the layer that it turns in. Both are exact for the layers. A
+    direct ray's slowness is found by halving, as the one at which ``p x + tau(p)`` is greatest;
+    a head wave's is its layer's, and it is there from its critical distance on.
+    """
+    x, z = np.asarray(distances, float), np.asarray(depths, float)
+    column = 0 if phase == "P" else 1
+    if layers is None:
+        deepest = float(np.max(z, initial=0.0))
+        if deepest > IASP91[-1][0]:
+            raise ValueError(f"no velocities below {IASP91[-1][0]:g} km")
+        edges, v = _profile(column, bottom=max(LEAST_BOTTOM, deepest + BELOW_SOURCE if deepest > LEAST_BOTTOM - BELOW_SOURCE else 0.0))
+        radius = EARTH_KM - edges
+        thick, speed = np.diff(EARTH_KM * np.log(EARTH_KM / radius)), v * EARTH_KM / ((radius[:-1] + radius[1:]) / 2)
+    else:
+        edges, speed = np.array([top for top, *_ in layers] + [np.inf]), np.array([row[1 + column] for row in layers], float)
+        edges[-1] = max(edges[-2], float(np.max(z, initial=0.0))) + 1.0  # the half-space, as deep as it is asked for
+        thick = np.diff(edges)
+    slow = 1 / speed
+    up = np.clip((z[:, None] - edges[:-1]) / np.diff(edges), 0, 1) * thick
+    out = np.array([_direct(x, u[u > 0], slow[u > 0]) if (u > 0).any() else x * slow[0] for u in up]).reshape(len(z), len(x))
+    # Layers faster than all above them carry head waves along their tops, from sources not below these.
+    fast = [j for j in range(1, len(slow)) if slow[j] < slow[:j].min()]
+    p = slow[fast]
+    within = np.arange(len(slow)) < np.array(fast, int)[:, None]
+    eta = np.sqrt(np.where(within, slow**2 - p[:, None] ** 2, 1.0))
+    crossed = 2 * thick - up
+    tau, critical = crossed @ np.where(within, eta, 0.0).T, crossed @ np.where(within, p[:, None] / eta, 0.0).T
+    for i in range(len(z)):
+        there = (edges[fast] >= z[i])[:, None] & (x >= critical[i][:, None])
+        out[i] = np.minimum(out[i], np.where(there, p[:, None] * x + tau[i][:, None], np.inf).min(0, initial=np.inf))
     return out
 
 
-def iasp91_table(spark: SparkSession, max_km: float = 500.0, max_depth: float = 100.0, grid_km: float = GRID_KM, cells: list[int] | None = None) -> DataFrame:
+def _direct(x: np.ndarray, thick: np.ndarray, slow: np.ndarray) -> np.ndarray:
+    """Seconds of the ray straight through the layers above a source, to each distance."""
+    low, high = np.zeros(len(x)), np.full(len(x), slow.min())
+    for _ in range(HALVINGS):
+        p = (low + high) / 2
+        short = (thick * p[:, None] / np.sqrt(np.maximum(slow**2 - p[:, None] ** 2, 1e-300))).sum(1) < x
+        low, high = np.where(short, p, low), np.where(short, high, p)
+    return low * x + (thick * np.sqrt(slow**2 - low[:, None] ** 2)).sum(1)
+
+
+def ray_table(spark: SparkSession, max_km: float = 500.0, max_depth: float = 100.0, grid_km: float = GRID_KM, cells: list[int] | None = None, layers: Layers | None = None) -> DataFrame:
     """``(phase, di, zi, tt)``: the lookup table, its size fixed by its arguments. ``cells`` are
-    the depths' rows of the grid to make, if not all down to ``max_depth``."""
+    the depths' rows of the grid to make, if not all down to ``max_depth``; ``layers`` a model of
+    one's own, if not iasp91."""
     distances = np.arange(0, max_km + grid_km, grid_km)
     zis = list(range(len(np.arange(0, max_depth + grid_km, grid_km)))) if cells is None else sorted(set(cells))
     depths = np.array(zis, float) * grid_km
-    rows = [(ph, d, z, float(t)) for ph in PHASE_SETS for z, tt in zip(zis, first_arrivals(distances, depths, ph), strict=True) for d, t in enumerate(tt.tolist()) if np.isfinite(t)]
+    rows = [(ph, d, z, float(t)) for ph in PHASE_SETS for z, tt in zip(zis, first_arrivals(distances, depths, ph, layers), strict=True) for d, t in enumerate(tt.tolist())]
     return spark.createDataFrame(rows, "phase string, di int, zi int, tt double")
 
 
-def catalogue_table(events: DataFrame, max_km: float = 500.0, grid_km: float = GRID_KM) -> DataFrame:
+def iasp91_table(spark: SparkSession, max_km: float = 500.0, max_depth: float = 100.0, grid_km: float = GRID_KM) -> DataFrame:
+    """The lookup table of the public model."""
+    return ray_table(spark, max_km, max_depth, grid_km)
+
+
+def catalogue_table(events: DataFrame, max_km: float = 500.0, grid_km: float = GRID_KM, layers: Layers | None = None) -> DataFrame:
     """The lookup table for all depths of a catalogue. Only its distinct depth cells reach the
     driver, at most one for each grid step down to the core; a depth below the model has none."""
     zi = grid_columns(F.lit(0.0), F.coalesce("depth", F.lit(DEFAULT_DEPTH)), grid_km)[1]
     found = events.select(zi.alias("zi")).where(F.col("zi") * grid_km <= IASP91[-1][0]).distinct().collect()
-    return iasp91_table(events.sparkSession, max_km, grid_km=grid_km, cells=[r.zi for r in found])
+    return ray_table(events.sparkSession, max_km, grid_km=grid_km, cells=[r.zi for r in found], layers=layers)
 
 
 def straight_table(spark: SparkSession, max_km: float = 500.0, max_depth: float = 100.0, grid_km: float = GRID_KM, vp: float = 6.0, vs: float = 3.5) -> DataFrame:

@@ -320,9 +320,32 @@ arr AS (SELECT station, event_id, t, dist, depth, sqrt(pow(round_even(dist / 5,
 arrivals AS (SELECT station, event_id, dist, path / 6 AS tt_p, path / 3.5 AS tt_s, t + path / 6 AS p_epoch, t + path / 3.5 AS s_epoch FROM arr)"""
 
 
-@query(with_views("v_catalog", "v_stations") + f", {_ARRIVALS} SELECT station, event_id, round(dist, 6) AS dist, round(tt_p, 6) AS tt_p, round(tt_s, 6) AS tt_s, round(tt_s - tt_p, 6) AS sp_seconds, CAST(round_even(p_epoch * 1000, 0) AS BIGINT) AS p_ms FROM arrivals")
+def _reach_sql(p: str) -> str:
+    """How far a ray of a slowness gets on its way up through three layers."""
+    return " + ".join(f"CASE WHEN u{k} > 0 THEN u{k} * {p} / sqrt(greatest(1 / (v{k} * v{k}) - {p} * {p}, 1e-300)) ELSE 0 END" for k in (1, 2, 3))
+
+
+_SPEEDS = ", ".join("(" + ", ".join([f"'{ph}'", *(f"{layer[1 + k]}::DOUBLE" for layer in arrivals.CRUST)]) + ")" for k, ph in enumerate("PS"))
+_Z1, _Z2 = (top for top, *_ in arrivals.CRUST[1:])
+#: Direct rays by halving their slowness and head waves in closed form, for the crust's three layers.
+_RAYS = f"""near AS (SELECT s.station, c.*, {_km('s', 'c')} AS dist FROM v_catalog c, v_stations s),
+arr AS (SELECT *, round_even(dist / 5, 0) AS di, round_even(greatest(coalesce(depth, 10), 0) / 5, 0) AS zi FROM near WHERE dist <= 500),
+cell AS (SELECT *, 5 * di AS x, least(5 * zi, {_Z1}) AS u1, greatest(least(5 * zi, {_Z2}) - {_Z1}, 0) AS u2, greatest(5 * zi - {_Z2}, 0) AS u3 FROM (SELECT DISTINCT di, zi FROM arr), (VALUES {_SPEEDS}) AS y(phase, v1, v2, v3)),
+ray AS (SELECT *, 0::DOUBLE AS lo, 1 / CASE WHEN u3 > 0 THEN v3 WHEN u2 > 0 THEN v2 ELSE v1 END AS hi, 0 AS n FROM cell
+  UNION ALL SELECT * EXCLUDE (lo, hi, n, mid), CASE WHEN {_reach_sql('mid')} < x THEN mid ELSE lo END, CASE WHEN {_reach_sql('mid')} < x THEN hi ELSE mid END, n + 1 FROM (SELECT *, (lo + hi) / 2 AS mid FROM ray WHERE n < 60)),
+slant AS (SELECT *, sqrt(1 / (v1 * v1) - 1 / (v2 * v2)) AS e12, sqrt(1 / (v1 * v1) - 1 / (v3 * v3)) AS e13, sqrt(1 / (v2 * v2) - 1 / (v3 * v3)) AS e23 FROM ray WHERE n = 60),
+times AS (SELECT phase, di, zi, least(
+  CASE WHEN zi = 0 THEN x / v1 ELSE lo * x + {' + '.join(f'CASE WHEN u{k} > 0 THEN u{k} * sqrt(1 / (v{k} * v{k}) - lo * lo) ELSE 0 END' for k in (1, 2, 3))} END,
+  CASE WHEN 5 * zi <= {_Z1} AND x >= ({2 * _Z1} - u1) / v2 / e12 THEN x / v2 + ({2 * _Z1} - u1) * e12 ELSE 1e9 END,
+  CASE WHEN 5 * zi <= {_Z2} AND x >= ({2 * _Z1} - u1) / v3 / e13 + ({2 * (_Z2 - _Z1)} - u2) / v3 / e23 THEN x / v3 + ({2 * _Z1} - u1) * e13 + ({2 * (_Z2 - _Z1)} - u2) * e23 ELSE 1e9 END) AS tt FROM slant)"""
+
+
+@query(with_views("v_catalog", "v_stations").replace("WITH", "WITH RECURSIVE", 1) + f", {_RAYS} SELECT station, event_id, round(dist, 6) AS dist, round(p.tt, 6) AS tt_p, round(s.tt, 6) AS tt_s, round(s.tt - p.tt, 6) AS sp_seconds, CAST(round_even((t + p.tt) * 1000, 0) AS BIGINT) AS p_ms FROM arr JOIN times p USING (di, zi) JOIN times s USING (di, zi) WHERE p.phase = 'P' AND s.phase = 'S'")
 def predicted_arrivals(spark, d):
-    rows = r6(_arrivals(spark, d), "dist", "tt_p", "tt_s", "sp_seconds")
+    """Every event by the stations within reach, by rays through the crust's layers."""
+    events = V.catalog(spark, d)
+    found = arrivals.predicted_arrivals(events, V.stations(spark, d), arrivals.catalogue_table(events, layers=arrivals.CRUST))
+    rows = r6(found, "dist", "tt_p", "tt_s", "sp_seconds")
     return rows.select("station", "event_id", "dist", "tt_p", "tt_s", "sp_seconds", F.rint(F.col("p_epoch") * 1000).cast("bigint").alias("p_ms"))
 
 
