@@ -685,13 +685,24 @@ def score_windows(spark, d):
 
 
 #: A small network of the engine's kind for a check by SQL: untrained weights, fixed by their seeds.
-WIDTH = 4
+WIDTH, HIDDEN = 4, 4
 
 
-def _networks() -> list[dict]:
+def _networks(branch: str) -> list[dict]:
+    """Two of a branch. What it finds in noise is taken off and the rest enlarged, so that windows
+    get scores of their own: plain random weights score all alike."""
+    import numpy as np
+
     from waveline.operators import detector
 
-    return [detector.random_weights("cnn", seed, width=WIDTH) for seed in (1, 2)]
+    noise = np.random.default_rng(0).normal(size=(200, 64, 1)) * [1.0, -1.0, 2.0]
+    out = []
+    for seed in (1, 2):
+        w = {k: v if k.endswith("running_var") else v * 6 for k, v in detector.random_weights(branch, seed, HIDDEN, WIDTH).items()}
+        found = detector.features(w, np.arcsinh(noise / noise.std(1, keepdims=True)), branch)
+        w |= {"p1.weight": w["p1.weight"] / found.std(0), "w1": np.float64(1.0)}
+        out.append(w | {"p1.bias": -w["p1.weight"] @ found.mean(0), "head.5.weight": w["head.5.weight"] * 2})
+    return out
 
 
 def _values(array) -> str:
@@ -708,12 +719,51 @@ def _gelu_sql(x: str) -> str:
     return f"(0.5 * ({x}) * (1 + sign{z} * 2 / sqrt(pi()) * {terms}))"
 
 
-def _network_sql(w: dict, out: str) -> str:
-    """A network's layers over ``h0`` (window_id, t, c, v), from convolutions to a probability."""
+def _list(array) -> str:
+    """An array as nested lists of SQL."""
+    return "[" + ", ".join(_list(row) if row.ndim else f"{float(row)!r}::DOUBLE" for row in array) + "]"
+
+
+def _affine_sql(weight, bias, x: str) -> str:
+    """A matrix and a bias applied to a list."""
+    return f"list_transform(range(1, {len(bias) + 1}), lambda j: {_list(bias)}[j] + list_dot_product({_list(weight)}[j], {x}))"
+
+
+def _recurrent_sql(w: dict, source: str, length: int, out: str) -> str:
+    """The two recurrences as a query each that repeats itself, step by step; then attention as a join of a window's steps with all its steps, a row of means at the end."""
+    from waveline.operators.detector import EPS, HEADS
+
+    each, sigmoid = f"range(1, {HIDDEN + 1})", lambda x: f"(1 / (1 + exp(-{x})))"
+    parts = [f"{out}_x AS MATERIALIZED (SELECT window_id, t, list(v ORDER BY c) AS x FROM {source} GROUP BY window_id, t)"]
+    for tail, name, place in (("", "ahead", "n"), ("_reverse", "back", f"{length - 1} - n")):
+        w_ih, w_hh, bias = w[f"b1.lstm.weight_ih_l0{tail}"], w[f"b1.lstm.weight_hh_l0{tail}"], w[f"b1.lstm.bias_ih_l0{tail}"] + w[f"b1.lstm.bias_hh_l0{tail}"]
+        gate = lambda k: f"g[{k * HIDDEN} + k]"
+        parts.append(f"{out}_{name}_in AS MATERIALIZED (SELECT window_id, t, {_affine_sql(w_ih, bias, 'x')} AS given FROM {out}_x)")
+        parts.append(f"""{out}_{name} AS (SELECT DISTINCT window_id, -1::BIGINT AS n, {_list(bias[:HIDDEN] * 0)} AS h, {_list(bias[:HIDDEN] * 0)} AS cell FROM {out}_x
+  UNION ALL SELECT window_id, n, list_transform({each}, lambda k: {sigmoid(gate(3))} * tanh(cell[k])), cell FROM (
+    SELECT window_id, n, g, list_transform({each}, lambda k: {sigmoid(gate(1))} * cell[k] + {sigmoid(gate(0))} * tanh({gate(2)})) AS cell FROM (
+      SELECT window_id, n + 1 AS n, cell, list_transform(range(1, {4 * HIDDEN + 1}), lambda j: given[j] + list_dot_product({_list(w_hh)}[j], h)) AS g
+      FROM {out}_{name} r JOIN (SELECT window_id AS of, {place.replace('n', 't')} AS step, given FROM {out}_{name}_in) ON of = window_id AND step = n + 1)))""")
+    d, size = 2 * HIDDEN, 2 * HIDDEN // HEADS
+    dot = " + ".join(f"a.y[{size} * head + {k}] * b.y[{d} + {size} * head + {k}]" for k in range(1, size + 1))
+    means = ", ".join(f"sum(e * v{k}) / sum(e)" for k in range(1, size + 1))
+    values = ", ".join(f"b.y[{2 * d} + {size} * head + {k}] AS v{k}" for k in range(1, size + 1))
+    parts.append(f"{out}_both AS MATERIALIZED (SELECT window_id, a.n AS t, a.h || b.h AS x FROM {out}_ahead a JOIN {out}_back b USING (window_id) WHERE a.n >= 0 AND b.n = {length - 1} - a.n)")
+    parts.append(f"{out}_qkv AS MATERIALIZED (SELECT window_id, t, {_affine_sql(w['b1.attn.in_proj_weight'], w['b1.attn.in_proj_bias'], 'x')} AS y FROM {out}_both)")
+    parts.append(f"{out}_seen AS (SELECT window_id, t, head, [{means}] AS o FROM (SELECT window_id, a.t, head, exp(({dot}) / sqrt({size}.0)) AS e, {values} FROM {out}_qkv a JOIN {out}_qkv b USING (window_id), (SELECT unnest(range({HEADS})) AS head)) GROUP BY window_id, t, head)")
+    parts.append(f"{out}_mixed AS (SELECT window_id, t, {_affine_sql(w['b1.attn.out_proj.weight'], w['b1.attn.out_proj.bias'], 'o')} AS o FROM (SELECT window_id, t, flatten(list(o ORDER BY head)) AS o FROM {out}_seen GROUP BY window_id, t))")
+    parts.append(f"{out}_sum AS (SELECT window_id, t, list_transform(range(1, {d + 1}), lambda k: x[k] + o[k]) AS x FROM {out}_both JOIN {out}_mixed USING (window_id, t))")
+    parts.append(f"{out}_level AS (SELECT window_id, t, list_transform(range(1, {d + 1}), lambda k: (x[k] - list_avg(x)) / sqrt(list_var_pop(x) + {EPS}) * {_list(w['b1.norm.weight'])}[k] + {_list(w['b1.norm.bias'])}[k]) AS x FROM {out}_sum)")
+    parts.append(f"{out}_a AS (SELECT window_id, t, unnest(range({d})) AS c, unnest(x) AS v FROM {out}_level)")
+    return ", ".join(parts)
+
+
+def _network_sql(w: dict, out: str, branch: str) -> str:
+    """A network's layers over ``h0`` (window_id, t, c, v), from its first to a probability."""
     from waveline.operators.detector import EPS
 
     parts, at, length = [], "h0", 64
-    for k, place in enumerate(("0", "1", "3")):
+    for k, place in enumerate(("0", "1", "3") if branch != "lstm" else ()):
         kernel, p = w[f"b1.conv.{place}.0.weight"], f"b1.conv.{place}.1."
         norm = [(w[p + "weight"][o] / (w[p + "running_var"][o] + EPS) ** 0.5, w[p + "bias"][o] - w[p + "running_mean"][o] * w[p + "weight"][o] / (w[p + "running_var"][o] + EPS) ** 0.5) for o in range(len(kernel))]
         length = (length + 1) // 2
@@ -722,6 +772,9 @@ def _network_sql(w: dict, out: str) -> str:
         parts.append(f"{out}_c{k} AS (SELECT window_id, tt AS t, o AS c, sum(w * v) AS v FROM {at} h JOIN (VALUES {_values(kernel)}) AS x(o, ci, k, w) ON h.c = ci JOIN (SELECT unnest(range({length})) AS tt) ON h.t = 2 * tt + k - {half} GROUP BY ALL)")
         parts.append(f"{out}_g{k} AS (SELECT window_id, t, c, {_gelu_sql('v * m + b')} AS v FROM {out}_c{k} JOIN (VALUES {scale}) AS n(c, m, b) USING (c))")
         at = f"{out}_g{k}"
+    if branch != "cnn":
+        parts.append(_recurrent_sql(w, at, length, out))
+        at = f"{out}_a"
     line = lambda name, source, weight, bias: f"{name} AS (SELECT window_id, o AS c, sum(w * v) + any_value(b) AS v FROM {source} JOIN (VALUES {_values(weight)}) AS x(o, c, w) USING (c) JOIN (VALUES {_values(bias)}) AS y(o, b) USING (o) GROUP BY window_id, o)"
     parts.append(f"{out}_m AS (SELECT window_id, c, avg(v) AS v FROM {at} GROUP BY window_id, c)")
     parts.append(line(f"{out}_p", f"{out}_m", w["p1.weight"] * w["w1"], w["p1.bias"] * w["w1"]))
@@ -734,20 +787,42 @@ def _network_sql(w: dict, out: str) -> str:
     return ", ".join(parts)
 
 
-@query(_CONDITIONED + """, unit AS (SELECT window_id, i AS t, asinh((y - avg(y) OVER (PARTITION BY window_id)) / greatest(stddev_pop(y) OVER (PARTITION BY window_id), 1e-12)) AS v FROM clean),
-h0 AS (SELECT window_id, t, c, v * f AS v FROM unit, (VALUES (0, 1), (1, -1), (2, 1)) AS x(c, f))""" + "".join(f", {_network_sql(w, f'net{k}')}" for k, w in enumerate(_networks())) + """
-SELECT 'L' || label AS station, 'v' || vec_id AS chunk, round((a.p + b.p) / 2, 3) AS p FROM net0 a JOIN net1 b USING (window_id) JOIN embeddings ON vec_id = window_id""")
-def score_by_detector(spark, d):
+def _detector_sql(branch: str) -> str:
+    nets = "".join(f", {_network_sql(w, f'net{k}', branch)}" for k, w in enumerate(_networks(branch)))
+    return f"""{_CONDITIONED}, unit AS (SELECT window_id, i AS t, asinh((y - avg(y) OVER (PARTITION BY window_id)) / greatest(stddev_pop(y) OVER (PARTITION BY window_id), 1e-12)) AS v FROM clean),
+h0 AS (SELECT window_id, t, c, v * f AS v FROM unit, (VALUES (0, 1), (1, -1), (2, 1)) AS x(c, f)){nets}
+SELECT 'L' || label AS station, 'v' || vec_id AS chunk, round((a.p + b.p) / 2, 3) AS p FROM net0 a JOIN net1 b USING (window_id) JOIN embeddings ON vec_id = window_id"""
+
+
+def _detected(spark, d, branch: str) -> DataFrame:
     """Every vector as a record of three components (the second reversed in sign, the third twice as large), by an ensemble of two small networks."""
     from waveline.operators import detector, score
 
     sides = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.lit(f).alias("f")) for r, f in (("Z", 1.0), ("N", -1.0), ("E", 2.0))])).alias("y")
     rows = V.windows(spark, d).select("station", F.concat(F.lit("v"), F.col("window_id")).alias("chunk"), "x", sides)
     rows = rows.select("station", "chunk", "y.role", F.lit(0).alias("seg_id"), F.lit(0.0).alias("t0"), F.lit(64).cast("long").alias("n"), F.transform("x", lambda v: v * F.col("y.f")).alias("data"))
-    out = score.score(blocks.pack(rows), names.Arm("16s", 16.0, "", "cnn", 16.0, 4.0), detector.ensemble(_networks(), "cnn"), "perwindow", low=0.2, high=1.5)
+    out = score.score(blocks.pack(rows), names.Arm("16s", 16.0, "", branch, 16.0, 4.0), detector.ensemble(_networks(branch), branch), "perwindow", low=0.2, high=1.5)
     return out.select("station", "chunk", F.round(F.col("p").cast("double"), 3).alias("p"))
 
 
+@query(_detector_sql("cnn"))
+def score_by_detector(spark, d):
+    """Convolutions alone."""
+    return _detected(spark, d, "cnn")
+
+
+@query(_detector_sql("lstm"))
+def score_by_recurrence(spark, d):
+    """The recurrence over a window's samples, and attention."""
+    return _detected(spark, d, "lstm")
+
+
+@query(_detector_sql("cnn-lstm"))
+def score_by_attention(spark, d):
+    """Convolutions, then the recurrence over what they make, and attention."""
+    return _detected(spark, d, "cnn-lstm")
+
+
 @query(with_views("v_recorded") + "SELECT station, channel, t0, CAST(64 AS BIGINT) AS samples, CAST(list_sum(list_transform(x, lambda v: trunc(v * 1000))) AS BIGINT) AS total, true AS equal FROM v_recorded")
 def mseed_round_trip(spark, d):
     """Every trace packed as a chunk file of compressed records, and decoded as the archive's files are."""
