@@ -346,9 +346,15 @@ def test_adopted_files_become_rows(spark, tmp_path):
     (src / "raw/continuous_windows/6s/AAA/eq/event_12_raw.mseed").write_bytes(mseed.write_traces([mseed.Trace("AAA", f"HH{c}", 50.0, FS, np.arange(600)) for c in "ZNE"]))
     (src / "runs_coinc/bbb_aaa_6s_coincidence.csv").write_text("budget_per_day,separation_km,joint_days,coincidence_seconds,station_a,station_b,thr_a,thr_b,a_per_day,b_per_day,both_per_day,independent_per_day,excess_over_independent,recall_both\n10.0,88.0,70.0,14.0,BBB,AAA,0.9,0.8,10.0,9.0,1.0,0.1,10.0,\n")
     (src / "runs_coinc/notes.csv").write_text("x")
-    found = adopt.find(str(src), special={"dense": ("AAA", "dense.")})
-    assert [(f.kind, f.key.get("station"), f.key.get("arm")) for f in found] == [("baseline", "AAA", None), ("snr", "AAA", None), ("snr_partial", "AAA", None), ("scores", "AAA", "6s"), ("scores", "AAA", "dense.6s"), ("windows", "AAA", None), ("pairs", None, "6s")]
-    assert {f.key["station"] for f in adopt.find(str(src)) if f.key.get("arm") == "dense.6s"} == {"MANT"}
+    loose, order = tmp_path / "loose", list(adopt.KINDS)
+    (loose / "deep").mkdir(parents=True)
+    (loose / "deep" / "ccc_baseline.json").write_text("{}")
+    (loose / "aaa_baseline.json").write_text(json.dumps({"Z": {"mu": 9.0}}))  # the first folder's counts
+    found = adopt.find(spark, str(src), (str(loose), str(tmp_path / "missing")), {"dense": ("AAA", "dense.")})
+    assert [(f.kind, f.station, f.arm) for f in sorted(found.where("at = 0").collect(), key=lambda f: (order.index(f.kind), f.path))] == [("baseline", "AAA", None), ("snr", "AAA", None), ("snr_partial", "AAA", None), ("scores", "AAA", "6s"), ("scores", "AAA", "dense.6s"), ("windows", "AAA", None), ("pairs", None, "6s")]
+    assert [(f.kind, f.station) for f in found.where("at = 1").collect()] == [("baseline", "AAA")]
+    assert {f.station for f in adopt.find(spark, str(src)).where("arm = 'dense.6s'").collect()} == {"MANT"}
+    assert adopt.find(spark, str(tmp_path / "missing")).count() == 0
     assert adopt.convert(spark, found, layout) == {"baseline": 1, "snr": 2, "snr_partial": 1, "scores": 14, "windows": 1, "pairs": 1}
     assert [(r.sigma_trimmed, r.freqmin, r.trim) for r in spark.read.parquet(layout.baseline).collect()] == [(1.5, 1.0, None)]
     assert {r.event_id: r.snr for r in run.snr_table(spark, layout).collect()} == {1: 8.25, 2: None}
@@ -360,6 +366,31 @@ def test_adopted_files_become_rows(spark, tmp_path):
     assert set(adopt.convert(spark, found, layout).values()) == {0} and len(tables_of(spark, layout)["scores"]) == 14
 
 
+def test_many_files_are_adopted_in_one_plan(spark, tmp_path):
+    """Two hundred stations' readings and pairs: a plan whose size doesn't follow the number of files."""
+    src = tmp_path / "many files"  # a blank in a path is no harm
+    (src / "runs_coinc").mkdir(parents=True)
+    for k in range(200):
+        head = "event_id,snr,time,location\n" if k % 2 else "\ufefflocation, Event_ID ,time,snr,extra\n"
+        line = f'{k},1.5,2024-05-01 00:00:05,"a, ""b"""\n' if k % 2 else f'"a, ""b""",{k},2024-05-01 00:00:05,1.5,x\n'
+        (src / f"s{k}_range_full.csv").write_text(head + line + "\n")
+        (src / f"s{k}_baseline.json").write_text(json.dumps({"Z": {"mu": float(k), "sigma": float("nan"), "n_samples": 10}}))
+    for a, b in (("aaa", "bbb"), ("bbb", "aaa"), ("ccc", "aaa")):
+        (src / f"runs_coinc/{a}_{b}_6s_coincidence.csv").write_text(f"budget_per_day,recall_both\n10.0,0.5\n{len(a)},\n")
+    (src / "empty_range_full.csv").write_text("")
+    layout = store.Layout(str(tmp_path / "out"))
+    found = adopt.find(spark, str(src))
+    assert adopt.convert(spark, found, layout) == {"baseline": 200, "snr": 200, "pairs": 4}
+    rows = spark.read.parquet(layout.snr_parts).collect()
+    assert {(r.station, r.event_id, r.snr, r.location, r.mag) for r in rows} == {(f"S{k}", k, 1.5, 'a, "b"', None) for k in range(200)}
+    assert {(r.station, r.mu, r.n_samples, r.freqmin) for r in spark.read.parquet(layout.baseline).collect()} == {(f"S{k}", float(k), 10, None) for k in range(200)}
+    pairs = {(r.pair, r.station_a, r.budget_per_day, r.recall_both) for r in spark.read.parquet(layout.pairs).collect()}
+    assert pairs == {(p, a, b, r) for p, a in (("AAA-BBB", "AAA"), ("AAA-CCC", "CCC")) for b, r in ((10.0, 0.5), (3.0, None))}
+    assert set(adopt.convert(spark, found, layout).values()) == {0}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("binaryFile") <= 2, plan
+
+
 def test_command_line(capsys, tmp_path):
     assert cli.main([]) == 0 and "inventory" in capsys.readouterr().out
     assert cli.main(["cov"]) == 2 and cli.main(["co"]) == 2

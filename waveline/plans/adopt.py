@@ -1,18 +1,18 @@
 """Earlier, file-based products as rows of the engine's tables, never over what is there.
 
-Each kind of file is a pattern of its path, a reader, and the table it belongs to. What is found
-is listed first (``find``), then converted kind by kind (``convert``): files are left where they
-are, and rows of a key that the table already has are not written again.
+Files are listed by Spark on any store and known by their paths (``find``). Each kind is then one
+scan of its files, whatever their number, joined to what their paths say (``convert``): files are
+left where they are, and rows of a key that the table already has are not written again. Of two
+files of one key the first counts, in order of folders and paths; readings are kept of all.
 """
 
 from __future__ import annotations
 
-import os
-import re
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waveline.schemas import BASELINE, COINCIDENCE, CONDITIONING
@@ -23,54 +23,74 @@ from waveline.sources.store import Layout
 SPECIAL: dict[str, tuple[str, str]] = {"dense": ("MANT", "dense.")}
 #: The chunk that a station's one table of readings counts as.
 WHOLE = "adopted"
-
-
-@dataclass(frozen=True)
-class Found:
-    kind: str
-    path: str
-    key: dict[str, str] = field(hash=False)
+KEYS = ("station", "arm", "chunk", "length", "tag", "station_a", "station_b")
 
 
 @dataclass(frozen=True)
 class Kind:
-    """Files of one kind: a pattern over paths below a root, and how they become rows of a table."""
-
-    pattern: re.Pattern
-    key: Callable[[re.Match], dict[str, str]]
-    write: Callable[[SparkSession, list[Found], Layout], int]
-    anywhere: bool = False  # also loose in further folders
-
-
-def _files(root: str) -> Iterator[str]:
-    for folder, below, names in os.walk(root):
-        below.sort()
-        yield from (os.path.relpath(os.path.join(folder, n), root).replace(os.sep, "/") for n in sorted(names))
-
-
-def find(source: str, also: tuple[str, ...] = (), special: dict[str, tuple[str, str]] | None = None) -> list[Found]:
-    """What there is to adopt, in order of kind and path; ``special`` explains odd score folders."""
-    special = SPECIAL if special is None else special
-    out = []
+    """Files of one kind: a pattern over paths below a root, what its groups are, and how they become rows of a table."""
+
+    pattern: str
+    groups: tuple[str, ...]
+    names: str  # of its files, so that no others are opened
+    write: Callable[[DataFrame, DataFrame, Layout], int]
+
+
+def find(spark: SparkSession, source: str, also: tuple[str, ...] = (), special: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """What there is to adopt, ``(kind, root, at, path)`` and its keys; ``special`` explains odd score
+    folders. Folders of ``also`` are looked at for loose files only, and may be missing.
+
+    Only the listing is read, no contents.
+    """
+    found = None
+    for at, root in enumerate((source, *also)):
+        if store.exists(spark, root):
+            base = _qualified(spark, root)
+            rows = _contents(spark, root, "*").select(F.lit(base).alias("root"), F.lit(at).alias("at"), "path", F.substring("path", F.lit(len(base) + 2), F.length("path")).alias("_rel"))
+            rows = rows if at == 0 else rows.where(~F.contains("_rel", F.lit("/")))
+            found = rows if found is None else found.unionByName(rows)
+    if found is None:
+        return spark.createDataFrame([], "kind string, root string, at int, path string, " + ", ".join(f"{k} string" for k in KEYS))
+    kind = F.coalesce(*[F.when(F.rlike("_rel", F.lit(f"^{k.pattern}$")), name) for name, k in KINDS.items()])
+    found = found.withColumn("kind", kind).where("kind is not null")
+    part = lambda key: [F.when(F.col("kind") == n, F.regexp_extract("_rel", f"^{k.pattern}$", k.groups.index(key) + 1)) for n, k in KINDS.items() if key in k.groups]
+    keys = {k: F.upper(F.coalesce(*part(k))) if k.startswith("station") else F.coalesce(*part(k)) for k in KEYS}
+    found = found.select("kind", "root", "at", "path", *[c.alias(k) for k, c in keys.items()])
+    for name, (station, prefix) in (SPECIAL if special is None else special).items():
+        meant = (F.col("kind") == "scores") & (F.lower("station") == name)
+        found = found.withColumns({"station": F.when(meant, station).otherwise(F.col("station")), "arm": F.when(meant, F.concat(F.lit(prefix), "arm")).otherwise(F.col("arm"))})
+    return found
+
+
+def convert(spark: SparkSession, found: DataFrame, layout: Layout) -> dict[str, int]:
+    """Rows written of each kind that was found; what the tables hold already is left as it is."""
+    found, out = store.kept(found), {}
+    there = {r.kind: sorted(r.roots) for r in found.groupBy("kind").agg(F.collect_set("root").alias("roots")).collect()}  # as many as folders were named
     for name, kind in KINDS.items():
-        for root in (source, *also) if kind.anywhere else (source,):
-            for path in _files(root):
-                if m := kind.pattern.fullmatch(path):
-                    key = kind.key(m)
-                    if name == "scores":
-                        station, prefix = special.get(key["station"].lower(), (key["station"], ""))
-                        key |= {"station": station, "arm": prefix + key["arm"]}
-                    out.append(Found(name, os.path.join(root, path), key))
+        if name in there:
+            own = found.where(F.col("kind") == name)
+            content = None
+            for root in there[name]:
+                rows = _contents(spark, root, kind.names).select("path", "content")
+                content = rows if content is None else content.unionByName(rows)
+            out[name] = kind.write(own, content, layout)
     return out
 
 
-def convert(spark: SparkSession, found: list[Found], layout: Layout) -> dict[str, int]:
-    """Rows written of each kind; what the tables hold already is left as it is."""
-    return {name: kind.write(spark, own, layout) for name, kind in KINDS.items() if (own := [f for f in found if f.kind == name])}
+def _qualified(spark: SparkSession, root: str) -> str:
+    """A folder as Spark's listing names it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+
 
+def _contents(spark: SparkSession, root: str, names: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(root)
 
-def _new(rows: DataFrame, had: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.join(had.select(*keys).distinct(), keys, "left_anti")
+
+def _first(own: DataFrame, keys: list[str], had: DataFrame) -> DataFrame:
+    """One file of each key, ``(path, keys)``, of keys that the table doesn't have."""
+    picked = own.groupBy(*keys).agg(F.min_by("path", F.struct("at", "path")).alias("path"))
+    return picked.join(had.select(*keys).distinct(), keys, "left_anti")
 
 
 def _put(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -80,101 +100,105 @@ def _put(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
     return n
 
 
-def _baselines(spark: SparkSession, found: list[Found], layout: Layout) -> int:
+#: Text fields a line of a table may have.
+FIELDS = 64
+
+
+def _table(content: DataFrame) -> tuple[DataFrame, Callable[[str], Column]]:
+    """The lines of CSV files, ``(path, ...)``, and how a field is had of them by its file's own header.
+
+    Headers may differ in order, case, blanks and byte-order marks; a field that a file lacks is null.
+    """
+    cut = lambda line: F.from_csv(line, ", ".join(f"c{k} string" for k in range(FIELDS)), {"escape": '"'})
+    fields = lambda row: F.array(*[F.col(f"{row}.c{k}") for k in range(FIELDS)])
+    lines = content.select("path", F.split(F.col("content").cast("string"), "\r?\n").alias("_lines"))
+    lines = lines.select("path", cut(F.get("_lines", F.lit(0))).alias("_h"), "_lines").select("path", F.transform(fields("_h"), lambda h: F.lower(F.trim(F.replace(h, F.lit("\ufeff"), F.lit(""))))).alias("_names"), "_lines")
+    lines = lines.select("path", "_names", F.explode(F.slice("_lines", F.lit(2), F.greatest(F.size("_lines"), F.lit(1)))).alias("_line")).where(F.trim("_line") != "")
+    rows = lines.select("path", "_names", cut("_line").alias("_v")).select("path", "_names", fields("_v").alias("_values"))
+    return rows, lambda name: F.try_element_at("_values", F.nullif(F.array_position("_names", name), F.lit(0)).cast("int"))
+
+
+def _baselines(own: DataFrame, content: DataFrame, layout: Layout) -> int:
+    spark = own.sparkSession
+    made_by = ("fs", "freqmin", "freqmax", "piece_seconds", "trim")
+    numbers = ("mu", "sigma", "sigma_trimmed", "sigma_median", "n_samples", "n_pieces")
+    parsed = F.from_json(F.col("content").cast("string"), f"map<string, struct<{', '.join(f'{c}: double' for c in (*numbers, *made_by))}>>")
+    files = _first(own, ["station"], store.read_table(spark, layout.baseline, "station string"))
+    roles = content.join(files, "path").select("station", parsed.alias("_all")).select("station", F.try_element_at("_all", F.lit("_conditioning")).alias("_by"), F.explode("_all").alias("role", "_of")).where("role <> '_conditioning'")
     whole = spark.createDataFrame([], f"{BASELINE}, {CONDITIONING}")
-    out = whole
-    for f in found:
-        rows, made_by = tables.read_baseline(spark, f.path)
-        made_by = made_by or {}
-        names = {"fs": "fs", "freqmin": "freqmin", "freqmax": "freqmax", "piece_seconds": "piece_seconds", "trim": "trim"}
-        rows = rows.withColumns({c: F.lit(None if made_by.get(n) is None else float(made_by[n])).cast("double") for c, n in names.items()})
-        rows = rows.withColumns({"station": F.lit(f.key["station"]), "bands": F.lit(None).cast("array<string>"), "chunks": F.lit(None).cast("map<string,string>")})
-        out = out.unionByName(rows.select(*whole.columns))
-    had = store.read_table(spark, layout.baseline, "station string")
-    return _put(_new(out, had, ["station"]), lambda df: store.write_baseline(df, layout))
-
-
-def _readings(spark: SparkSession, found: list[Found], partial: bool) -> DataFrame:
-    number = lambda c: F.expr(f"nullif(try_cast({c} as double), double('NaN'))").alias(c)
-    out = None
-    for f in found:
-        raw = tables.read_csv(spark, f.path)
-        rows = raw.select(F.expr("try_cast(event_id as bigint)").alias("event_id"), number("snr"), F.expr("try_cast(time as timestamp)").alias("time"), *[number(c) for c in ("mag", "dist_km", "depth")], "location", F.lit(f.key["station"]).alias("station"), F.lit(WHOLE).alias("chunk"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    made = {c: F.col(f"_of.{c}") for c in numbers} | {c: F.col(f"_by.{c}") for c in made_by} | {"bands": F.lit(None), "chunks": F.lit(None)}
+    rows = roles.withColumns(made).select(*[F.col(f.name).cast(f.dataType) for f in whole.schema])
+    return _put(rows, lambda df: store.write_baseline(df, layout))
 
 
-def _snr(spark: SparkSession, found: list[Found], layout: Layout) -> int:
-    had = store.read_table(spark, layout.snr_parts, "station string")
-    return _put(_new(_readings(spark, found, False), had, ["station"]), lambda df: store.write_snr_parts(df, layout))
+def _readings(own: DataFrame, content: DataFrame, had: DataFrame) -> DataFrame:
+    lines, field = _table(content)
+    number = lambda c: F.nullif(field(c).try_cast("double"), F.lit(float("nan"))).alias(c)
+    files = own.select("path", "station").distinct().join(had.select("station").distinct(), "station", "left_anti")
+    return lines.join(files, "path").select(field("event_id").try_cast("bigint").alias("event_id"), number("snr"), field("time").try_cast("timestamp").alias("time"), *[number(c) for c in ("mag", "dist_km", "depth")], field("location").alias("location"), "station", F.lit(WHOLE).alias("chunk"))
 
 
-def _snr_partial(spark: SparkSession, found: list[Found], layout: Layout) -> int:
+def _snr(own: DataFrame, content: DataFrame, layout: Layout) -> int:
+    had = store.read_table(own.sparkSession, layout.snr_parts, "station string")
+    return _put(_readings(own, content, had), lambda df: store.write_snr_parts(df, layout))
+
+
+def _snr_partial(own: DataFrame, content: DataFrame, layout: Layout) -> int:
     """Superseded readings are kept apart, for comparison."""
     path = layout.dataset("snr_partial")
-    had = store.read_table(spark, path, "station string")
-    return _put(_new(_readings(spark, found, True), had, ["station"]), lambda df: df.write.mode("append").parquet(path))
-
-
-def _scores(spark: SparkSession, found: list[Found], layout: Layout) -> int:
-    keys = spark.createDataFrame([(os.path.abspath(f.path), f.key["station"], f.key["arm"], f.key["chunk"]) for f in found], "path string, station string, arm string, chunk string")
-    rows = tables.read_score_files(spark, [f.path for f in found]).withColumn("path", F.regexp_replace("path", "^file:/*", "/"))
-    had = store.read_table(spark, layout.scores, "station string, arm string, chunk string")
-    fresh = store.kept(_new(keys, had, ["station", "arm", "chunk"]))
-    written = _put(rows.join(F.broadcast(fresh), "path").drop("path"), lambda df: store.write_scores(df, layout))
-    count = store.read_table(spark, layout.scores, "station string, arm string, chunk string").groupBy("station", "arm", "chunk").agg(F.count("*").alias("outputs"))
-    done = fresh.join(count, ["station", "arm", "chunk"], "left").fillna(0, ["outputs"])
+    had = store.read_table(own.sparkSession, path, "station string")
+    return _put(_readings(own, content, had), lambda df: df.write.mode("append").parquet(path))
+
+
+def _scores(own: DataFrame, content: DataFrame, layout: Layout) -> int:
+    spark, keys = own.sparkSession, ["station", "arm", "chunk"]
+    of = "station string, arm string, chunk string"
+    fresh = store.kept(_first(own, keys, store.read_table(spark, layout.scores, of)))
+    rows = tables.decode_scores(content.join(fresh.select("path"), "path", "left_semi"))
+    written = _put(rows.join(fresh, "path").drop("path"), lambda df: store.write_scores(df, layout))
+    count = store.read_table(spark, layout.scores, of).groupBy(*keys).agg(F.count("*").alias("outputs"))
+    done = fresh.join(count, keys, "left").fillna(0, ["outputs"])
     store.mark_completed(done.withColumn("product", F.concat(F.lit("scores:"), F.col("arm"))), layout)
     return written
 
 
-def _windows(spark: SparkSession, found: list[Found], layout: Layout) -> int:
-    keys = spark.createDataFrame([(os.path.abspath(f.path), f.key["station"], float(f.key["length"]), f.key["tag"]) for f in found], "path string, station string, length_s double, tag string")
-    had = store.read_table(spark, layout.windows, "station string, length_s double, tag string")
-    fresh = store.kept(_new(keys, had, ["station", "length_s", "tag"]))
-    schema = "path string, t0 double, samples array<array<int>>"
+def _windows(own: DataFrame, content: DataFrame, layout: Layout) -> int:
+    own = own.withColumn("length_s", F.col("length").cast("double"))
+    had = store.read_table(own.sparkSession, layout.windows, "station string, length_s double, tag string")
+    fresh = store.kept(_first(own, ["station", "length_s", "tag"], had))
 
     def work(batches):
-        import pyarrow as pa
-
         for batch in batches:
             rows = []
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                traces = mseed.read_traces(content)
+            for path, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                traces = mseed.read_traces(packed)
                 rows.append((path, traces[0].t0, [t.data.astype("int32").tolist() for t in traces]))
             types = (pa.string(), pa.float64(), pa.list_(pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["path", "t0", "samples"])
 
-    content = spark.read.format("binaryFile").load([f.path for f in found]).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
-    rows = content.join(F.broadcast(fresh.select("path")), "path").mapInArrow(work, schema).join(F.broadcast(fresh), "path")
+    rows = content.join(fresh.select("path"), "path", "left_semi").mapInArrow(work, "path string, t0 double, samples array<array<int>>").join(fresh, "path")
     rows = rows.select("station", F.lit(WHOLE).alias("chunk"), F.regexp_extract("tag", r"event_(\d+)_raw", 1).cast("bigint").alias("event_id"), "length_s", F.when(F.col("tag").startswith("noise_"), "noise").otherwise("eq").alias("kind"), "tag", "t0", "samples")
     return _put(rows, lambda df: store.write_windows(df, layout))
 
 
-def _pairs(spark: SparkSession, found: list[Found], layout: Layout) -> int:
-    fields = [tuple(c.strip().split(" ")) for c in COINCIDENCE.split(",")]
-    total = 0
-    for f in found:
-        raw = tables.read_csv(spark, f.path)
-        have = {c.lower(): c for c in raw.columns}
-        rows = raw.select(*[F.expr(f"try_cast(`{have[c]}` as {kind})").alias(c) if c in have else F.lit(f.key.get(c)).cast(kind).alias(c) for c, kind in fields])
-        a, b = sorted((f.key["station_a"], f.key["station_b"]))
-        had = store.read_table(spark, layout.pairs, "pair string, arm string").where((F.col("pair") == f"{a}-{b}") & (F.col("arm") == f.key["arm"]))
-        if not had.head(1):
-            total += _put(rows, lambda df, arm=f.key["arm"]: store.write_pairs(df, layout, arm))
-    return total
-
-
-def _of_station(m: re.Match) -> dict[str, str]:
-    return {k: v.upper() if k == "station" else v for k, v in m.groupdict().items()}
+def _pairs(own: DataFrame, content: DataFrame, layout: Layout) -> int:
+    """Tables of two stations, whichever of them is named first; what a table lacks is had of its file's name."""
+    own = own.withColumn("pair", store.pair_key())
+    files = _first(own, ["pair", "arm"], store.read_table(own.sparkSession, layout.pairs, "pair string, arm string"))
+    files = own.join(files.select("path"), "path", "left_semi").select("path", "arm", *[F.col(c).alias(f"_{c}") for c in ("station_a", "station_b")]).distinct()
+    lines, field = _table(content)
+    named = {"station_a": F.col("_station_a"), "station_b": F.col("_station_b")}
+    fields = [c.strip().split(" ") for c in COINCIDENCE.split(",")]
+    rows = lines.join(files, "path").select(*[F.coalesce(field(c), named.get(c, F.lit(None))).try_cast(kind).alias(c) for c, kind in fields], "arm")
+    return _put(rows, lambda df: store.write_pairs(df, layout))
 
 
 #: How the earlier tools named their files.
 KINDS = {
-    "baseline": Kind(re.compile(r"(?P<station>[^/_]+)_(?:[^/]*_)?baseline\.json"), _of_station, _baselines, anywhere=True),
-    "snr": Kind(re.compile(r"(?P<station>[^/_]+)_(?:[^/]*_)?range_full\.csv"), _of_station, _snr, anywhere=True),
-    "snr_partial": Kind(re.compile(r"(?P<station>[^/_]+)_(?:[^/]*_)?range\.csv"), _of_station, _snr_partial, anywhere=True),
-    "scores": Kind(re.compile(r"scores_(?P<station>[^/]+)/(?P<arm>[^/]+)/(?P<chunk>[^/]+)\.npz"), _of_station, _scores),
-    "windows": Kind(re.compile(r"raw/continuous_windows/(?P<length>[\d.]+)s/(?P<station>[^/]+)/(?:.*/)?(?P<tag>(?:noise_)?event_\d+_raw)\.mseed"), _of_station, _windows),
-    "pairs": Kind(re.compile(r"runs_coinc/(?P<station_a>[a-z0-9]+)_(?P<station_b>[a-z0-9]+)_(?P<arm>[a-z0-9]+)_coincidence\.csv"), lambda m: {k: v if k == "arm" else v.upper() for k, v in m.groupdict().items()}, _pairs),
+    "baseline": Kind(r"([^/_]+)_(?:[^/]*_)?baseline\.json", ("station",), "*baseline.json", _baselines),
+    "snr": Kind(r"([^/_]+)_(?:[^/]*_)?range_full\.csv", ("station",), "*range_full.csv", _snr),
+    "snr_partial": Kind(r"([^/_]+)_(?:[^/]*_)?range\.csv", ("station",), "*range.csv", _snr_partial),
+    "scores": Kind(r"scores_([^/]+)/([^/]+)/([^/]+)\.npz", ("station", "arm", "chunk"), "*.npz", _scores),
+    "windows": Kind(r"raw/continuous_windows/([\d.]+)s/([^/]+)/(?:.*/)?((?:noise_)?event_\d+_raw)\.mseed", ("length", "station", "tag"), "*event_*_raw.mseed", _windows),
+    "pairs": Kind(r"runs_coinc/([a-z0-9]+)_([a-z0-9]+)_([a-z0-9]+)_coincidence\.csv", ("station_a", "station_b", "arm"), "*_coincidence.csv", _pairs),
 }

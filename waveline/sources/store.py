@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waveline.durable import checkpoint
@@ -107,10 +107,15 @@ def write_baseline(df: DataFrame, layout: Layout) -> None:
     _overwrite(df, layout.baseline, ["station"])
 
 
-def write_pairs(df: DataFrame, layout: Layout, arm: str) -> None:
-    """Pair tables; the key doesn't depend on the order of the two, the rows still say it."""
-    keyed = df.withColumns({"pair": F.concat(F.least("station_a", "station_b"), F.lit("-"), F.greatest("station_a", "station_b")), "arm": F.lit(arm)})
-    _overwrite(keyed, layout.pairs, ["pair", "arm"])
+def pair_key() -> Column:
+    """A pair's key, which doesn't depend on the order of its two stations."""
+    return F.concat(F.least("station_a", "station_b"), F.lit("-"), F.greatest("station_a", "station_b"))
+
+
+def write_pairs(df: DataFrame, layout: Layout, arm: str | None = None) -> None:
+    """Pair tables by pair and arm, the column if none is named; the rows still say the stations' order."""
+    keyed = df.withColumn("pair", pair_key())
+    _overwrite(keyed if arm is None else keyed.withColumn("arm", F.lit(arm)), layout.pairs, ["pair", "arm"])
 
 
 def mark_completed(done: DataFrame, layout: Layout) -> None:

@@ -117,8 +117,8 @@ def read_baseline(spark: SparkSession, path: str) -> tuple[DataFrame, dict | Non
     return spark.createDataFrame(rows, schema), conditioning
 
 
-def read_score_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``(path, t, p)`` of score series in ``.npz`` files (arrays ``t`` and ``p``), read by Spark."""
+def decode_scores(files: DataFrame) -> DataFrame:
+    """``(path, t, p)`` of score series in ``(path, content)`` rows of ``.npz`` files (arrays ``t`` and ``p``)."""
 
     def work(batches):
         for batch in batches:
@@ -127,9 +127,14 @@ def read_score_files(spark: SparkSession, paths: list[str]) -> DataFrame:
                 n = len(found["t"])
                 yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array(found["t"].astype(np.float64)), pa.array(found["p"].astype(np.float32))], ["path", "t", "p"])
 
+    return files.select("path", "content").mapInArrow(work, "path string, t double, p float")
+
+
+def read_score_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(path, t, p)`` of score series in files, read by Spark."""
     if not paths:
         return spark.createDataFrame([], "path string, t double, p float")
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(work, "path string, t double, p float")
+    return decode_scores(spark.read.format("binaryFile").load(paths))
 
 
 __all__ = ["CATALOG", "load_catalog", "read_baseline", "read_events", "read_ledgers", "read_scores", "read_snr", "read_stations", "spans_in_state", "station_coords"]
