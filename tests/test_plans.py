@@ -8,7 +8,7 @@ from test_sources import make_archive
 from waveline import cli
 from waveline.functions import names
 from waveline.functions.names import Arm
-from waveline.operators import arrivals, baseline, blocks, coincidence, snr, windows
+from waveline.operators import alarms, arrivals, baseline, blocks, coincidence, snr, windows
 from waveline.plans import adopt, inventory, run
 from waveline.sources import archive, mseed, store, tables
 
@@ -391,6 +391,39 @@ def test_many_files_are_adopted_in_one_plan(spark, tmp_path):
     assert plan.count("binaryFile") <= 2, plan
 
 
+def test_coincidence_command(spark, capsys, tmp_path):
+    """From files to a table: what is measured equals the operator on the same scores, and what isn't is said."""
+    archived, layout = tmp_path / "a", store.Layout(str(tmp_path / "out"))
+    for s, n in (("AAA", 1), ("BBB", 1), ("CCC", 1), ("DDD", 2), ("EEE", 1)):
+        (archived / s).mkdir(parents=True)
+        for k in range(n):
+            (archived / s / f"{s}_2024-05-0{k + 1}.zip").write_bytes(b"PK")
+    (tmp_path / "s.csv").write_text("Code,Latitude,Longitude\n" + "".join(f"{s},37.{k},30\n" for k, s in enumerate(("AAA", "BBB", "CCC", "DDD", "EEE"))))
+    (tmp_path / "c.csv").write_text("EventID,Date,Latitude,Longitude,Depth,Magnitude,Location\n7,01/05/2024 06:00:00,37.0,30.1,10,3.5,x\n")
+    base = F.lit(1714521600.0) + F.col("id") * 6
+    scores = spark.range(3 * 14400).select(base.alias("t"), (F.pmod(F.xxhash64("id"), F.lit(10007)) / 10007.0).cast("float").alias("p"))
+    some = scores.limit(100)
+    rows = [x.select(F.lit(s).alias("station"), F.lit("6s").alias("arm"), F.lit(f"{s}_2024-05-01").alias("chunk"), "t", "p") for s, x in (("AAA", scores), ("BBB", scores), ("DDD", scores), ("EEE", some))]
+    for r in rows:
+        store.write_scores(r, layout)
+    asked = [x for other in ("AAA", "CCC", "DDD", "EEE") for x in ("--pair", "BBB", other)]
+    call = ["coincidence", "--archive", str(archived), "--stations", str(tmp_path / "s.csv"), "--catalog", str(tmp_path / "c.csv"), "--out", layout.root, *asked]
+    assert cli.main(call) == 0
+    said = capsys.readouterr().out
+    assert "CCC has no 6s scores" in said and "DDD is scored in 1 of 2 chunks" in said and "too short" in said and "1 of 4 pairs measured, 1 wait" in said
+    got = spark.read.parquet(layout.pairs)
+    assert {(r.pair, r.arm) for r in got.select("pair", "arm").distinct().collect()} == {("AAA-BBB", "6s")}
+    both = spark.read.parquet(layout.scores).where("station in ('AAA', 'BBB')").select("station", "chunk", "t", "p")
+    places, events = tables.read_stations(spark, str(tmp_path / "s.csv")), tables.read_events(spark, str(tmp_path / "c.csv"))
+    pairs = inventory.separations(places).where("station_a = 'AAA' and station_b = 'BBB'").selectExpr("'BBB' as station_a", "'AAA' as station_b", "separation_km")
+    known = arrivals.predicted_arrivals(events, places, arrivals.catalogue_table(events))
+    want = coincidence.measure(both, pairs, alarms.median_step(both, ["station"]), known, None, 6.0)
+    plain = lambda df: sorted(str([getattr(r, c) for c in want.columns]) for r in df.collect())
+    assert plain(got) == plain(want) and got.count() > 0
+    assert cli.main(call) == 0 and "measured before" in capsys.readouterr().out
+    assert cli.main([*call[:9], "--pair", "AAA", "ZZZ"]) == 1 and "no pair" in capsys.readouterr().err
+
+
 def test_command_line(capsys, tmp_path):
     assert cli.main([]) == 0 and "inventory" in capsys.readouterr().out
     assert cli.main(["cov"]) == 2 and cli.main(["co"]) == 2

@@ -161,22 +161,34 @@ def snr_table(spark: SparkSession, layout: store.Layout) -> DataFrame:
     return snr.roll_up(had, ["station"], ["chunk", "time"])
 
 
-def measure_pairs(spark: SparkSession, layout: store.Layout, chunks: DataFrame, pairs: DataFrame, stations: DataFrame, events: DataFrame, travel: DataFrame, arm: Arm, force: bool = False, allow_partial: bool = False, **options) -> DataFrame:
-    """Coincidence tables of the pairs whose stations are scored, written by pair and arm.
+def pair_states(spark: SparkSession, layout: store.Layout, chunks: DataFrame, pairs: DataFrame, arm: Arm, force: bool = False, allow_partial: bool = False) -> DataFrame:
+    """``pairs`` with ``left_out``: why a pair isn't measured, null where it is.
 
-    Pairs already measured, and those with a station only part of whose chunks is scored, are
-    left out, unless ``force`` and ``allow_partial`` say otherwise.
+    Left out are pairs already measured (not with ``force``), those with a station that has no
+    scores, and those with one only part of whose chunks is scored (not with ``allow_partial``).
     """
-    scores = spark.read.parquet(layout.scores).where(F.col("arm") == arm.name).select("station", "chunk", "t", "p")
-    state = chunks.groupBy("station").agg(F.count_distinct("chunk").alias("on_disk")).join(scores.groupBy("station").agg(F.count_distinct("chunk").alias("scored")), "station", "left").fillna(0)
-    usable = state.where(F.col("scored") > 0 if allow_partial else (F.col("scored") > 0) & (F.col("scored") >= F.col("on_disk"))).select("station")
+    scores = store.read_table(spark, layout.scores, "station string, arm string, chunk string").where(F.col("arm") == arm.name)
+    held = chunks.groupBy("station").agg(F.count_distinct("chunk").alias("on_disk"))
+    held = held.join(scores.groupBy("station").agg(F.count_distinct("chunk").alias("scored")), "station", "left")
+    part = F.concat("station", F.lit(" is scored in "), "scored", F.lit(" of "), "on_disk", F.lit(" chunks"))
+    held = checkpoint(held.where("scored > 0").select("station", F.when(F.lit(not allow_partial) & (F.col("scored") < F.col("on_disk")), part).alias("_why")))
+    out = pairs.select("station_a", "station_b", "separation_km").withColumn("pair", store.pair_key())
     for s in "ab":
-        pairs = pairs.join(usable.withColumnRenamed("station", f"station_{s}"), f"station_{s}")
-    if not force and store.exists(spark, layout.pairs):
-        key = F.concat(F.least("station_a", "station_b"), F.lit("-"), F.greatest("station_a", "station_b"))
-        had = spark.read.parquet(layout.pairs).where(F.col("arm") == arm.name).select("pair").distinct()
-        pairs = pairs.withColumn("pair", key).join(had, "pair", "left_anti").drop("pair")
-    pairs = checkpoint(pairs.select("station_a", "station_b", "separation_km"))
+        out = out.join(held.select(F.col("station").alias(f"station_{s}"), F.lit(True).alias(f"_has_{s}"), F.col("_why").alias(f"_why_{s}")), f"station_{s}", "left")
+    why = [F.when(F.col(f"_has_{s}").isNull(), F.concat(f"station_{s}", F.lit(f" has no {arm.name} scores"))).otherwise(F.col(f"_why_{s}")) for s in "ab"]
+    if not force:
+        had = store.read_table(spark, layout.pairs, "pair string, arm string").where(F.col("arm") == arm.name).select("pair", F.lit("measured before").alias("_had")).distinct()
+        out, why = out.join(had, "pair", "left"), [F.col("_had"), *why]
+    return out.select("station_a", "station_b", "separation_km", F.coalesce(*why).alias("left_out"))
+
+
+def measure_pairs(spark: SparkSession, layout: store.Layout, chunks: DataFrame, pairs: DataFrame, stations: DataFrame, events: DataFrame, travel: DataFrame, arm: Arm, force: bool = False, allow_partial: bool = False, **options) -> DataFrame:
+    """Coincidence tables of the pairs that aren't left out (``pair_states``, asked for here unless
+    ``pairs`` say so already), written by pair and arm."""
+    if "left_out" not in pairs.columns:
+        pairs = pair_states(spark, layout, chunks, pairs, arm, force, allow_partial)
+    pairs = checkpoint(pairs.where("left_out is null").select("station_a", "station_b", "separation_km"))
+    scores = store.read_table(spark, layout.scores, "station string, arm string, chunk string, t double, p float").where(F.col("arm") == arm.name).select("station", "chunk", "t", "p")
     readings = snr.largest(store.read_table(spark, layout.snr_parts, "event_id bigint, snr double, station string"), ["station"])
     known = arrivals.predicted_arrivals(events, stations, travel)
     out = checkpoint(coincidence.measure(scores, pairs, median_step(scores, ["station"]), known, readings, arm.window_seconds, **options))
