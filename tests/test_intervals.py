@@ -177,3 +177,12 @@ def test_joint_days_have_no_constant_key(spark):
     assert {(r.station_a, r.station_b): r.joint_days for r in out.collect()} == want
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "0 AS _k" not in plan and "Cartesian" not in plan
+
+
+def test_median_step_is_of_all_windows(spark):
+    """More windows than any first ones: the later, wider steps count, across days and inside them."""
+    wide = F.when(F.col("id") < 100_001, F.col("id") * 6.0).otherwise(600_000.0 + (F.col("id") - 100_000) * 8.0)
+    rows = spark.range(250_000).select(F.lit("A").alias("station"), wide.alias("t"))
+    rows = rows.unionByName(spark.createDataFrame([("B", 5.0), ("C", 1.0), ("C", 1.0), ("D", 0.0), ("D", 3 * 86400.0), ("D", 3 * 86400.0 + 1)], "station string, t double"))
+    assert {r.station: r.step for r in alarms.median_step(rows, ["station"]).collect()} == {"A": 8.0, "C": 0.0, "D": (3 * 86400 + 1) / 2}
+    assert {r.station: r.step for r in alarms.median_step(rows, ["station"], first=100_000).collect()}["A"] == 6.0

@@ -55,6 +55,18 @@ def gap_islands(points: DataFrame, keys: list[str], t: str, gap: str | float, ag
     return _islands(inner, [*keys, *carried], "first", "last", limit, merge).drop(*carried)
 
 
+def predecessors(points: DataFrame, keys: list[str], t: str = "t", bucket: float = DAY) -> DataFrame:
+    """``(keys, t, before)``: every point with the one before it of its key, null for a key's first.
+
+    Points are ordered inside a bucket of time; a bucket's first one follows the last of the bucket before.
+    """
+    rows = points.where(F.col(t).isNotNull()).select(*keys, t, _bucket(t, bucket).alias("_b"))
+    inner = rows.withColumn("before", F.lag(t).over(Window.partitionBy(*keys, "_b").orderBy(t))).where("before is not null")
+    ends = rows.groupBy(*keys, "_b").agg(F.min(t).alias(t), F.max(t).alias("_last"))
+    firsts = ends.withColumn("before", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_b")))
+    return inner.select(*keys, t, "before").unionByName(firsts.select(*keys, t, "before"))
+
+
 def coverage_spans(scores: DataFrame, keys: list[str], step: str | float, t: str = "t", slack: float = 2.5, bucket: float = DAY) -> DataFrame:
     """``(keys, lo, hi)``: what was scored, broken where windows are over ``slack`` steps apart."""
     s = F.col(step) if isinstance(step, str) else F.lit(float(step))
