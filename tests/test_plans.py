@@ -453,3 +453,14 @@ def test_inventory_command(spark, capsys, tmp_path):
     assert cli.main(["inventory", "--archive", str(root), "--stations", str(tmp_path / "s.csv"), "--ledger", str(tmp_path / "l.jsonl")]) == 0
     out = capsys.readouterr().out
     assert "duplicate delivery" in out and "|152" in out.replace(" ", "")
+
+
+def test_coverage_keeps_steps_as_they_are(spark):
+    """A gap of just under two and a half steps doesn't break a coverage, whatever the step's seventh digit."""
+    step = 6.0000004
+    rows = [(s, t) for s in "AB" for t in (0.0, 6.0, 12.0, 27.0000005, 86400.0, 86406.0)]
+    df = spark.createDataFrame(rows, "station string, t double")
+    pairs = spark.createDataFrame([("A", "B")], "station_a string, station_b string")
+    steps = spark.createDataFrame([("A", step), ("B", 6.0)], "station string, step double")
+    got = sorted((r.lo, r.hi) for r in coincidence.joint_spans(df, pairs, steps).collect())
+    assert got == [(0.0, 27.0000005 + step), (86400.0, 86406.0 + step)]

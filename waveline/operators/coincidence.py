@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from waveline.durable import checkpoint, measured_broadcast
 from waveline.operators.alarms import DAY, declarations, independent_per_day, tail_thresholds
-from waveline.operators.intervals import coalesce_intervals, coverage_spans, intersect, points_in, within
+from waveline.operators.intervals import coalesce_intervals, intersect, points_in, predecessors, within
 
 BUDGETS = (100.0, 30.0, 10.0, 3.0, 1.0, 0.1)
 VP, SNR_MIN, SIGNAL_POST, GUARD_PRE, GUARD_POST, CLUSTER, LEAST_DAYS = 6.0, 3.0, 20.0, 10.0, 60.0, 60.0, 1.0
@@ -31,13 +31,19 @@ LEVELS, SPARE, DEEPER = 10_000, 2.0, 4.0
 def joint_spans(scores: DataFrame, pairs: DataFrame, steps: DataFrame, slack: float = 2.5) -> DataFrame:
     """``(station_a, station_b, lo, hi)``: recorded at both. The first station's step rules both coverages.
 
-    Steps are whole microseconds: medians that differ in the last digit only would each need a
-    coverage of their own.
+    A station needs a coverage for each step that a partner rules it with, however little they
+    differ. Its windows are ordered once: what its least step breaks has the breaks of all its steps.
     """
-    asked = pairs.join(steps.select(F.col("station").alias("station_a"), F.round("step", 6).alias("step")), "station_a")
+    asked = pairs.join(steps.select(F.col("station").alias("station_a"), "step"), "station_a")
     sides = {s: asked.select(*_PAIR, "step", F.col(f"station_{s}").alias("station")) for s in "ab"}
-    needed = sides["a"].select("station", "step").unionByName(sides["b"].select("station", "step")).distinct()
-    cover = coverage_spans(scores.join(needed, "station"), ["station", "step"], "step", slack=slack)
+    needed = checkpoint(sides["a"].select("station", "step").unionByName(sides["b"].select("station", "step")).distinct())
+    least = needed.groupBy("station").agg(F.min("step").alias("_least"))
+    gap = F.col("t") - F.col("before")
+    breaks = predecessors(scores, ["station"]).join(F.broadcast(least), "station").where(F.col("before").isNull() | (gap > F.col("_least") * slack)).drop("_least")
+    last = scores.groupBy("station").agg(F.max("t").alias("_last"))
+    own = checkpoint(breaks).join(needed, "station").where(F.col("before").isNull() | (gap > F.col("step") * slack)).join(last, "station")
+    end = F.coalesce(F.lead("before").over(Window.partitionBy("station", "step").orderBy("t")), F.col("_last"))
+    cover = checkpoint(own.select("station", "step", F.col("t").alias("lo"), (end + F.col("step")).alias("hi")))
     a, b = (sides[s].join(cover, ["station", "step"]).select(*_PAIR, "lo", "hi") for s in "ab")
     return intersect(a, b, _PAIR)
 
