@@ -180,3 +180,18 @@ def test_filter_over_blocks_is_the_filter_of_the_whole(spark, monkeypatch, size)
     assert all(np.abs(np.concatenate(parts) - want[k]).max() < 1e-9 for k, parts in got.items())
     some = spark.createDataFrame([("s", 0, 0), ("s", 2, 0)], "station string, seg_id int, block int")
     assert sorted((r.seg_id, r.block) for r in blocks.filtered(segs, ["station"], FS, 2.0, 20.0, some).collect()) == [(0, 0), (2, 0)]
+
+
+def test_headers_meet_requests_in_few_buckets(spark):
+    """Headers aren't copied by hours, and samples that follow from headers are made of asked blocks only."""
+    heads = spark.createDataFrame([("S", k, k * 864000.0, 288, 0) for k in range(50)], "station string, seg_id int, t0 double, n long, block int")
+    asked = spark.createDataFrame([(k, "S", k * 864000.0 + d) for k in range(50) for d in (-400.0, -200.0, 0.0, 170_400.0, 171_200.0)], "i long, station string, start double")
+    held = segments.holding(asked, heads, ["station"], 1 / 600, "start", {"_x": 4})
+    want = {(k, k * 864000.0 + d, k, at) for k in range(50) for d, at in ((-200.0, 0), (0.0, 0), (170_400.0, 284))}
+    assert {(r.i, r.start, r["_x"].seg_id, r["_x"].at) for r in held.collect()} == want
+    requests = held.select("i", "station", "_x.seg_id", "_x.at", F.lit(4).alias("want"))
+    data = F.unhex(F.repeat(F.lpad(F.hex("seg_id"), 16, "0"), 288))
+    got = blocks.fetch(requests, heads, ["station"], "at", "want", data).collect()
+    assert len(got) == 150 and all(bytes(r.samples) == r.seg_id.to_bytes(8, "big") * 4 for r in got)
+    right = held._jdf.queryExecution().optimizedPlan().toString()
+    assert "3600.0" not in right

@@ -159,20 +159,27 @@ def span_of(segments: DataFrame, keys: list[str], fs: float) -> DataFrame:
     return segments.groupBy(*keys).agg(F.min("t0").alias("first"), F.max_by(F.col("t0") + F.col("n") / F.lit(fs), "t0").alias("last"))
 
 
-def holding(requests: DataFrame, heads: DataFrame, keys: list[str], fs: float, start: str, wants: dict[str, int], bucket: float = 3600.0) -> DataFrame:
+def holding(requests: DataFrame, heads: DataFrame, keys: list[str], fs: float, start: str, wants: dict[str, int], roles: dict[str, str] | None = None, bucket: float | None = None) -> DataFrame:
     """``requests`` with, for each of ``wants``, ``(seg_id, at)``: the first segment that wholly holds so many samples from ``start``.
 
-    Requests meet the segments' headers by hours, all lengths at once; where none holds a length
-    whole its column is null, and a request that no segment holds has no row.
+    With ``roles`` each want is asked of one component's segments only. Requests meet the segments'
+    headers by buckets of time, all lengths and roles at once; where none holds a length whole its
+    column is null, and a request that no segment holds has no row. A bucket, if not given, is twice as long as
+    the segments are on average, so that a header is copied one and a half times on average, however long they are.
     """
-    ids = [*requests.columns]
+    ids, carried = [*requests.columns], ["role"] if roles else []
+    right = heads.where(F.col("n") >= min(wants.values())).select(*keys, *[F.col(c).alias(f"_{c}") for c in carried], "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"))
+    if bucket is None:
+        bucket = 2 * max(right.agg(F.avg("_len")).head()[0] or 0.0, 1.0) / fs
     left = requests.withColumn("_b", F.floor(F.col(start) / bucket))
-    right = heads.select(*keys, "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"))
-    right = right.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_t0") / bucket) - 1, F.floor((F.col("_t0") + F.col("_len") / fs) / bucket))))
+    begin = F.floor((F.col("_t0") - 1 / fs) / bucket)  # a start may lie up to half a sample ahead
+    right = right.withColumn("_b", F.explode(F.sequence(begin, F.floor((F.col("_t0") + F.col("_len") / fs) / bucket))))
     at = F.rint((F.col(start) - F.col("_t0")) * fs).cast("long")
     met = left.join(right, [*keys, "_b"]).withColumn("_at", at).where((F.col("_at") >= 0) & (F.col("_at") + F.lit(min(wants.values())) <= F.col("_len")))
-    first = {c: F.min(F.when(F.col("_at") + F.lit(n) <= F.col("_len"), F.struct("seg_id", F.col("_at").alias("at")))).alias(c) for c, n in wants.items()}
-    return met.groupBy(*ids).agg(*first.values())
+    holds = {c: (F.col("_at") + F.lit(n) <= F.col("_len")) & (F.col("_role") == roles[c] if roles else F.lit(True)) for c, n in wants.items()}
+    first = [F.min(F.when(ok, F.struct("seg_id", F.col("_at").alias("at")))).alias(c) for c, ok in holds.items()]
+    # A request has one bucket: grouped by it too, rows stay where they met.
+    return met.groupBy(*ids, "_b").agg(*first).drop("_b")
 
 
 def containing(requests: DataFrame, segments: DataFrame, keys: list[str], fs: float, start: str, want: int) -> DataFrame:

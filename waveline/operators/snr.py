@@ -18,22 +18,22 @@ def ratio_of(signal: Column, noise: Column) -> Column:
     return F.when(noise > 0, signal / noise)
 
 
-def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float, band: tuple[float, float] | None = BAND, noise: tuple[float, float] = NOISE, signal: tuple[float, float] = SIGNAL) -> DataFrame:
+def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float, band: tuple[float, float] | None = BAND, noise: tuple[float, float] = NOISE, signal: tuple[float, float] = SIGNAL, derived: Column | None = None) -> DataFrame:
     """``events`` with ``snr`` and ``dropped``: what straddles a gap, or is silent, has no ratio.
 
     Segments are the vertical component's, in blocks; events carry ``keys``, ``event_id`` and ``p_epoch``
-    (those without a travel time aren't asked for and aren't counted as dropped).
+    (those without a travel time aren't asked for and aren't counted as dropped). ``derived`` as in ``blocks.fetch``, without a band only.
     """
     asked, heads = events.select(*keys, "event_id", "p_epoch").distinct(), blocks.heads(segments)
-    wants = []
-    for name, (lo, hi) in (("noise", noise), ("signal", signal)):
-        want = int(round((hi - lo) * fs))
-        held = holding(asked.withColumn("_start", F.col("p_epoch") + lo), heads, keys, fs, "_start", {"_x": want})
-        wants.append(held.select(*keys, "event_id", F.lit(name).alias("_part"), "_x.seg_id", "_x.at", F.lit(want).alias("want")))
-    requests = checkpoint(wants[0].unionByName(wants[1]))
+    spans = {"noise": noise, "signal": signal}
+    wants = {p: int(round((hi - lo) * fs)) for p, (lo, hi) in spans.items()}
+    starts = F.explode(F.array(*[F.struct(F.lit(p).alias("_part"), (F.col("p_epoch") + lo).alias("_start")) for p, (lo, _) in spans.items()]))
+    held = holding(asked.select(*keys, "event_id", starts.alias("x")).select(*keys, "event_id", "x.*"), heads, keys, fs, "_start", wants)
+    own = [F.when(F.col("_part") == p, F.struct(f"{p}.*", F.lit(want).alias("want"))) for p, want in wants.items()]
+    requests = checkpoint(held.select(*keys, "event_id", "_part", F.coalesce(*own).alias("x")).where("x is not null and x.seg_id is not null").select(*keys, "event_id", "_part", "x.*"))
     if band:  # whole segments' filters, of the blocks that are asked for
         segments = stored(blocks.filtered(segments, keys, fs, *band, needed=blocks.needed_blocks(requests, keys, "at", "want")), "conditioned")
-    got = blocks.values(blocks.fetch(requests, segments, keys, "at", "want")).select(*keys, "event_id", "_part", rms("samples").alias("_rms"))
+    got = blocks.values(blocks.fetch(requests, segments, keys, "at", "want", derived)).select(*keys, "event_id", "_part", rms("samples").alias("_rms"))
     by = got.groupBy(*keys, "event_id").agg(*[F.max(F.when(F.col("_part") == p, F.col("_rms"))).alias(p) for p in ("noise", "signal")])
     both = events.join(by, [*keys, "event_id"], "left")
     return both.withColumn("snr", ratio_of(F.col("signal"), F.col("noise"))).withColumn("dropped", F.col("snr").isNull()).drop("noise", "signal")

@@ -7,11 +7,12 @@ rows of its table.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waveline.durable import stored
-from waveline.operators import blocks
 from waveline.operators.segments import pack_traces
 
 
@@ -60,18 +61,26 @@ def traces(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("station"), F.get(codes, F.col("l_linenumber") % 3).alias("channel"), epoch("l_shipdate").alias("t0"), F.floor(F.col("l_quantity") / 25 * 86400).cast("long").alias("n"))
 
 
-def samples(base: Column, n: Column) -> Column:
-    """A segment's samples by a rule of its start."""
-    return F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: ((base + i * 7) % 1000).cast("double"))
+def samples(base: pd.Series, n: pd.Series) -> pd.Series:
+    """A segment's samples, packed, by a rule of its start."""
+    return pd.Series([((b + 7 * np.arange(m)) % 1000).astype(np.float64).tobytes() for b, m in zip(base.tolist(), n.tolist(), strict=True)], dtype=object)
 
 
 def segments(spark: SparkSession, d: str) -> DataFrame:
-    """Every line item as a gap-free segment of one sample in ten minutes, three roles of a station."""
+    """Every line item as a gap-free segment of one sample in ten minutes, three roles of a station.
+
+    A segment is short enough for one block. Headers are stored; samples are made of them by
+    ``segment_samples`` where they are read: stored, they are a hundred times the table.
+    """
     roles = F.array(*map(F.lit, ["Z", "N", "E"]))
     t0, n = F.floor(epoch("l_shipdate") / 600) * 600.0, F.floor(F.col("l_quantity") / 25 * 144).cast("long") + 1
     rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("station"), F.get(roles, F.col("l_linenumber") % 3).alias("role"), t0.alias("t0"), n.alias("n"))
-    rows = rows.withColumn("seg_id", F.row_number().over(Window.partitionBy("station", "role").orderBy("t0", "n")))
-    return stored(blocks.pack(rows.withColumn("data", samples((F.col("t0") / 600).cast("long") + F.col("n"), F.col("n")))), "segments")
+    return stored(rows.withColumn("seg_id", F.row_number().over(Window.partitionBy("station", "role").orderBy("t0", "n"))).withColumn("block", F.lit(0)), "segments")
+
+
+def segment_samples() -> Column:
+    """The samples of a segment of ``segments``, as a column."""
+    return F.pandas_udf(samples, "binary")((F.col("t0") / 600).cast("long") + F.col("n"), F.col("n"))
 
 
 def arrivals_at(spark: SparkSession, d: str) -> DataFrame:

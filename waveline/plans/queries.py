@@ -514,7 +514,7 @@ def cut_all_or_nothing(spark, d):
     """Every order's windows, with their samples, where all components hold them whole at both lengths."""
     from waveline.operators import windows
 
-    out = windows.cut(V.arrivals_at(spark, d), V.segments(spark, d), ["station"], 1 / 600, lengths=(3600.0, 7200.0), pre=1200.0, noise_offset=9000.0)
+    out = windows.cut(V.arrivals_at(spark, d), V.segments(spark, d), ["station"], 1 / 600, lengths=(3600.0, 7200.0), pre=1200.0, noise_offset=9000.0, derived=V.segment_samples())
     total = F.aggregate(F.flatten("samples"), F.lit(0).cast("long"), lambda a, v: a + v)
     return out.select("station", "event_id", "length_s", "tag", "t0", F.get(F.get("samples", F.lit(0)), F.lit(0)).alias("first_z"), total.alias("total"))
 
@@ -525,7 +525,7 @@ SELECT e.station, e.event_id, round(s.v / nullif(n.v, 0), 6) AS snr, s.v / nulli
 def snr_measure(spark, d):
     """Every order's signal over noise from samples; null where either straddles a gap."""
     vertical = V.segments(spark, d).where("role = 'Z'")
-    out = snr.measure(vertical, V.arrivals_at(spark, d), ["station"], 1 / 600, None, (-36000.0, -6000.0), (-600.0, 7200.0))
+    out = snr.measure(vertical, V.arrivals_at(spark, d), ["station"], 1 / 600, None, (-36000.0, -6000.0), (-600.0, 7200.0), V.segment_samples())
     return r6(out.select("station", "event_id", "snr", "dropped"), "snr")
 
 
