@@ -182,6 +182,17 @@ def test_filter_over_blocks_is_the_filter_of_the_whole(spark, monkeypatch, size)
     assert sorted((r.seg_id, r.block) for r in blocks.filtered(segs, ["station"], FS, 2.0, 20.0, some).collect()) == [(0, 0), (2, 0)]
 
 
+def sorts_of(df):
+    return str(df._jdf.queryExecution().executedPlan().toString()).count("Sort [")
+
+
+def test_trace_runs_order_traces_once(spark):
+    rows = spark.createDataFrame([("S", t, n) for t, n in ((0.0, 10), (0.0, 4), (5.0, 5), (8.0, 10), (30.0, 5), (31.0, 3), (40.0, 1))], "station string, t0 double, n long")
+    out = segments.trace_runs(rows, ["station"], 1.0)
+    assert sorts_of(out) == 1
+    assert sorted((r.t0, r.n, r.run, r.contained) for r in out.collect()) == [(0.0, 4, 0, True), (0.0, 10, 0, False), (5.0, 5, 0, True), (8.0, 10, 0, False), (30.0, 5, 1, False), (31.0, 3, 1, True), (40.0, 1, 2, False)]
+
+
 def test_headers_meet_requests_in_few_buckets(spark):
     """Headers aren't copied by hours, and samples that follow from headers are made of asked blocks only."""
     heads = spark.createDataFrame([("S", k, k * 864000.0, 288, 0) for k in range(50)], "station string, seg_id int, t0 double, n long, block int")

@@ -40,3 +40,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def measured_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, which is narrow and cheap or stored, hinted for a broadcast if its rows are counted to be few."""
     return F.broadcast(df) if df.count() <= limit else df
+
+
+def spread(df: DataFrame, *by: str, rows: int = 250_000) -> DataFrame:
+    """``df``, which is cheap to count, dealt by columns to tasks of so many rows on average, if these are more than the cores.
+
+    Adaptive execution joins partitions up to a number of compressed bytes, and narrow rows that
+    compress well are then millions to a task.
+    """
+    n = -(-df.count() // rows)
+    if n <= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(n, *by)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waveline.durable import checkpoint, measured_broadcast
+from waveline.durable import checkpoint, measured_broadcast, spread
 from waveline.functions.names import BANDS, ROLES, band_of, role_letter
 from waveline.operators import blocks
 from waveline.operators.signal import resample
@@ -48,16 +48,16 @@ def trace_runs(traces: DataFrame, keys: list[str], fs: float, t0: str = "t0", n:
     dt = 1.0 / fs
     end = F.col(t0) + F.col(n) * dt
     by = [F.col(t0), F.col(n).desc() if seq is None else F.col(seq)]
+    # One order serves all: runs are numbered along it, so what came before in a trace's own run is the greatest of (run, last).
     order = Window.partitionBy(*keys).orderBy(*by)
-    ahead = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    before, so_far = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    ahead = F.max(end).over(before)
     cut = F.when(ahead.isNull() | (F.col(t0) > ahead + 0.5 * dt), 1).otherwise(0)
-    rows = traces.withColumn("_cut", cut).withColumn("run", F.sum("_cut").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int") - 1)
-    in_run = Window.partitionBy(*keys, "run").orderBy(*by)
-    first = F.min(t0).over(Window.partitionBy(*keys, "run"))
-    last = F.rint((F.col(t0) - first) / dt).cast("long") + F.col(n)
-    rows = rows.withColumn("_last", last)
-    covered = F.max("_last").over(in_run.rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("contained", F.coalesce(F.col("_last") <= covered, F.lit(False))).drop("_cut", "_last")
+    rows = spread(traces, *keys).withColumn("_cut", cut).withColumns({"run": F.sum("_cut").over(so_far).cast("int") - 1, "_first": F.max(F.when(F.col("_cut") == 1, F.col(t0))).over(so_far)})
+    rows = rows.withColumn("_last", F.rint((F.col(t0) - F.col("_first")) / dt).cast("long") + F.col(n))
+    rows = rows.withColumn("_ahead", F.max(F.struct("run", "_last")).over(before))
+    covered = (F.col("_ahead.run") == F.col("run")) & (F.col("_last") <= F.col("_ahead._last"))
+    return rows.withColumn("contained", F.coalesce(covered, F.lit(False))).drop("_cut", "_first", "_last", "_ahead")
 
 
 def pack_traces(traces: DataFrame) -> DataFrame:
