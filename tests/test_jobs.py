@@ -124,3 +124,13 @@ def test_jobs_import_nothing_of_the_corpus_operators():
 
     code = "import sys, jobs.alarms, jobs.levels, jobs.queries; print([m for m in sys.modules if m.startswith('waveline.llm') or m == 'corpus_pipeline'])"
     assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.strip() == "[]"
+
+
+def test_levels_takes_texts_apart_once(spark, small, tmp_path, monkeypatch):
+    """What is read of a run's texts comes from stored pieces: no later plan scans them."""
+    from jobs import levels
+
+    stored, real = [], levels.checkpoint
+    monkeypatch.setattr(levels, "checkpoint", lambda df: stored.append(df.columns) or real(df))
+    levels.run(spark, f"{small}/documents.parquet", str(tmp_path), levels.Settings())
+    assert stored == [["doc_id", "source", "lang", "s", "ss", "n"]]
