@@ -464,3 +464,11 @@ def test_coverage_keeps_steps_as_they_are(spark):
     steps = spark.createDataFrame([("A", step), ("B", 6.0)], "station string, step double")
     got = sorted((r.lo, r.hi) for r in coincidence.joint_spans(df, pairs, steps).collect())
     assert got == [(0.0, 27.0000005 + step), (86400.0, 86406.0 + step)]
+
+
+def test_rolled_up_parts_are_dealt_by_their_number(spark):
+    from waveline.durable import spread
+
+    rows = spark.range(4000).selectExpr("id % 1000 as event_id")
+    assert spread(rows, "event_id", rows=100).rdd.getNumPartitions() == 40
+    assert spread(rows, "event_id", rows=4000) is rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waveline.durable import checkpoint, stored
+from waveline.durable import checkpoint, spread, stored
 from waveline.functions.arrays import rms
 from waveline.operators import blocks
 from waveline.operators.segments import holding
@@ -55,7 +55,8 @@ def with_readings(events: DataFrame, readings: DataFrame, keys: list[str] = (),
 def roll_up(parts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """All parts as one table: of an event measured twice the first in ``order``, sorted by time."""
     w = Window.partitionBy(*keys, "event_id").orderBy(*order)
-    return parts.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k").orderBy(*keys, "time")
+    one = spread(parts, *keys, "event_id").withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
+    return one.orderBy(*keys, "time")
 
 
 def summary(snr: DataFrame, keys: list[str]) -> DataFrame:
