@@ -76,7 +76,8 @@ def write_snr_parts(df: DataFrame, layout: Layout) -> None:
 
 
 def write_windows(df: DataFrame, layout: Layout) -> None:
-    _overwrite(df, layout.windows, ["station", "length_s", "chunk"])
+    by = ["station", "length_s", "chunk"]
+    _overwrite(df.hint("rebalance", *by), layout.windows, by)  # else each task has a file in each partition
 
 
 def export_windows(df: DataFrame, root: str, fs: float, comps: tuple[str, str, str] = ("HHZ", "HHN", "HHE")) -> DataFrame:
