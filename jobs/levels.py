@@ -84,7 +84,7 @@ def _replace(rows: DataFrame, path: str) -> None:
 def run(spark: SparkSession, source: str, target: str, settings: Settings) -> DataFrame:
     """Both tables for the documents in ``source``; returns the documents' as it stands in ``target``."""
     documents = spark.read.parquet(source).select("doc_id", "text", "lang", "source")
-    found = checkpoint(pieces(documents))  # a few numbers a document, read four times: texts are taken apart once
+    found = checkpoint(pieces(documents))  # a few numbers a document, read several times: texts are taken apart once
     _replace(noise_statistics(found.where("n > 0"), ["source", "lang"]), f"{target}/baseline")
     baseline = spark.read.schema(BASELINE).parquet(f"{target}/baseline")
     _replace(readings(found, baseline, settings), f"{target}/documents")

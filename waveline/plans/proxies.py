@@ -70,7 +70,7 @@ def segments(spark: SparkSession, d: str) -> DataFrame:
     """Every line item as a gap-free segment of one sample in ten minutes, three roles of a station.
 
     A segment is short enough for one block. Headers are stored; samples are made of them by
-    ``segment_samples`` where they are read: stored, they are a hundred times the table.
+    ``segment_samples`` where they are read: stored, they would far outweigh the table.
     """
     roles = F.array(*map(F.lit, ["Z", "N", "E"]))
     t0, n = F.floor(epoch("l_shipdate") / 600) * 600.0, F.floor(F.col("l_quantity") / 25 * 144).cast("long") + 1
