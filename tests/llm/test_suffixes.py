@@ -135,3 +135,16 @@ def test_groups_have_all_occurrences(make_docs):
     whole = {text: docs for (_, text), docs in groups.items()}
     assert whole and all(len(text) >= 50 and text in shared.encode() for text in whole)
     assert any(docs == {0, 1, 2, 3} for docs in whole.values())
+
+
+def test_texts_stay_in_their_blocks(spark, make_docs):
+    """Texts are stored once and joined in buckets of the block: no exchange moves them, and what waits has none."""
+    rows = [(i, f"{i} " + prose(7, 60) + f" {i} " + prose(300 + i, 60), "en", "a") for i in range(40)]
+    repeats = suffixes.Repeats(make_docs(rows).repartition(3), "doc_id", "text", 50, 20)
+    assert "text" not in repeats.found.columns and repeats.found.where("open is not null").count() == repeats.blocks.count()
+    out = suffixes.dedup(make_docs(rows).repartition(3))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    cogroup = plan[plan.index("FlatMapCoGroupsInArrow") :]
+    assert "Bucketed: true" in plan and "Exchange" not in cogroup[: cogroup.index("FileScan")]
+    assert found(out) == brute(rows, 50)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("suffixes")]

@@ -16,7 +16,8 @@ are sorted only where two can share ``size`` bytes:
 4. anchors with more stretches than a task should sort are decided by hashes of their windows
    instead, which settles the same question, whatever their number.
 
-What is said of a block comes back to it by a join on the block; nothing passes the driver.
+What is said of a block comes back to it by a join on the block; nothing passes the driver. Blocks
+are stored in buckets of that key, so the joins move what is said, not the texts.
 Blocks, buckets and shards are bounded by bytes; a hot anchor has at most ``VARIANTS`` entries of
 a block in one bucket.
 """
@@ -33,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waveline.llm.common import small_batches, stored
+from waveline.llm.common import small_batches, stored, stored_by
 
 SIZE, RUN = 50, 20
 #: Stretches of one anchor that a block gives to the anchor's bucket, and that a shard sorts.
@@ -130,15 +131,19 @@ class Hashed:
         return _mix(least[first]), self.strings(first, count + size - 1) ^ count.astype(np.uint64), first, count
 
 
+def _texts(row: dict) -> list[np.ndarray]:
+    ends = np.cumsum(np.frombuffer(row["lengths"], np.int64))
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["texts"]), np.uint8) if row["texts"] else np.empty(0, np.uint8)
+    return np.split(data, ends[:-1]) if len(ends) else []
+
+
 class Block:
     """The texts of one batch and their stretches; entries are the different (anchor, stretch) pairs, sorted."""
 
     def __init__(self, row: dict, size: int, run: int):
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.known = np.frombuffer(row["known"], np.bool_)
-        ends = np.cumsum(np.frombuffer(row["lengths"], np.int64))
-        data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["texts"]), np.uint8) if row["texts"] else np.empty(0, np.uint8)
-        self.texts = np.split(data, ends[:-1]) if len(ends) else []
+        self.texts = _texts(row)
         parts = [(i, *Hashed(t).stretches(size, run)) for i, t in enumerate(self.texts) if self.known[i] and len(t) >= size]
         m, h, s, c = (np.concatenate([p[k] for p in parts] or [_NONE]) for k in (1, 2, 3, 4))
         self.anchor, self.hash, self.s, self.c = m.astype(np.uint64), h.astype(np.uint64), s.astype(np.int64), c.astype(np.int64)
@@ -191,7 +196,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_pylist([row], _BLOCK)
 
     rows = small_batches(docs).select(F.col(id_col).cast("bigint"), F.col(text_col))
-    return stored(rows.mapInArrow(work, "block bigint, bytes bigint, ids binary, known binary, lengths binary, texts binary"), "suffixes-blocks")
+    return stored_by(rows.mapInArrow(work, "block bigint, bytes bigint, ids binary, known binary, lengths binary, texts binary"), "suffixes-blocks", "block")
 
 
 _BLOCK = pa.schema([("block", pa.int64()), ("bytes", pa.int64()), ("ids", pa.binary()), ("known", pa.binary()), ("lengths", pa.binary()), ("texts", pa.binary())])
@@ -265,10 +270,10 @@ def _entries(blocks: DataFrame, buckets: int, size: int, run: int) -> DataFrame:
     return blocks.mapInArrow(work, _DEALT_TYPE)
 
 
-_FOUND_TYPE = "kind int, bucket int, block bigint, base bigint, n int, data binary, doc_id bigint, known boolean, n_bytes bigint, n_removed bigint, kept_sha256 string, spans array<struct<begin: bigint, end: bigint>>, text binary, open binary"
+_FOUND_TYPE = "kind int, bucket int, block bigint, base bigint, n int, data binary, doc_id bigint, known boolean, n_bytes bigint, n_removed bigint, kept_sha256 string, spans array<struct<begin: bigint, end: bigint>>, open binary, cover binary"
 _FOUND = pa.schema([
     ("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("base", pa.int64()), ("n", pa.int32()), ("data", pa.binary()), ("doc_id", pa.int64()), ("known", pa.bool_()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
-    ("kept_sha256", pa.string()), ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))), ("text", pa.binary()), ("open", pa.binary()),
+    ("kept_sha256", pa.string()), ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))), ("open", pa.binary()), ("cover", pa.binary()),
 ])
 _DONE, _PENDING, _ITEMS, _WINDOWS = 0, 1, 2, 3
 
@@ -330,17 +335,18 @@ def _sort_out(size: int, run: int, buckets: int):
             of, open_of = block.row[covered], block.row[waits]
             waiting = np.bincount(open_of, minlength=len(block.texts)) > 0
             order, open_order = np.argsort(of, kind="stable"), np.argsort(open_of, kind="stable")
-            cuts, open_cuts = (np.searchsorted(x, np.arange(len(block.texts) + 1)) for x in (of[order], open_of[open_order]))
-            opens = np.stack([block.s[waits], block.c[waits], np.where(hashed[waits], -1, block.entry[waits])])
+            cuts = np.searchsorted(of[order], np.arange(len(block.texts) + 1))
+            opens = np.stack([open_of, block.s[waits], block.c[waits], np.where(hashed[waits], -1, block.entry[waits])])[:, open_order]
+            covers = [(_NONE, _NONE, _NONE)]
             for i, text in enumerate(block.texts):
                 mine = order[cuts[i] : cuts[i + 1]]
                 lo, hi = _merged(begin[mine], end[mine])
-                doc = {"block": row["block"], "doc_id": int(block.ids[i]), "known": bool(block.known[i])}
                 if waiting[i]:
-                    spans = [{"begin": a, "end": z} for a, z in zip(lo.tolist(), hi.tolist(), strict=True)]
-                    out.append({"kind": _PENDING, "text": text.tobytes(), "open": _pack(opens[:, open_order[open_cuts[i] : open_cuts[i + 1]]]), "spans": spans} | doc)
+                    covers.append((np.full(len(lo), i), lo, hi))
                 else:
-                    out.append({"kind": _DONE} | doc | _cut(text, lo, hi))
+                    out.append({"kind": _DONE, "block": row["block"], "doc_id": int(block.ids[i]), "known": bool(block.known[i])} | _cut(text, lo, hi))
+            if waiting.any():  # their texts stay in the block
+                out.append({"kind": _PENDING, "block": row["block"], "open": _pack(*opens), "cover": _pack(*map(np.concatenate, zip(*covers, strict=True)))})
         return pa.Table.from_pylist(out, _FOUND)
 
     return work
@@ -520,36 +526,42 @@ def _shard(size: int, width: int):
 
 
 def _finish(size: int):
-    """Documents that waited, with what the shards and the windows' buckets say of their block."""
+    """A block's documents that waited, with what the shards and the windows' buckets say of it."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        spans = [_unpack(x, "i8", "i8", "i8") for x in right["spans"].to_pylist() if x is not None]
+        said = {c: [x for x in right[c].to_pylist() if x is not None] for c in ("open", "cover", "spans", "windows")}
+        if not said["open"]:
+            return _RESULT.empty_table()
+        spans = [_unpack(x, "i8", "i8", "i8") for x in said["spans"]]
         item, start, length = (np.concatenate([x[k] for x in spans] or [_NONE]) for k in range(3))
         order = np.argsort(item, kind="stable")
         item, start, length = item[order], start[order], length[order]
-        told = [_unpack(x, "u8", "i8") for x in right["windows"].to_pylist() if x is not None]
+        told = [_unpack(x, "u8", "i8") for x in said["windows"]]
         value, least = (np.concatenate([x[k] for x in told] or [_NONE.astype(np.uint64 if k == 0 else np.int64)]) for k in range(2))
         order = np.argsort(value)
         value, least = value[order], least[order]
+        row = left.to_pylist()[0]
+        ids, texts = np.frombuffer(row["ids"], np.int64), _texts(row)
+        doc, s, c, of = _unpack(said["open"][0], "i8", "i8", "i8", "i8")
+        c_doc, c_lo, c_hi = _unpack(said["cover"][0], "i8", "i8", "i8")
         out = []
-        for row in left.to_pylist():
-            text = np.frombuffer(row["text"], np.uint8)
-            begin, end = [np.array([x["begin"] for x in row["spans"]], np.int64)], [np.array([x["end"] for x in row["spans"]], np.int64)]
-            s, c, of = _unpack(row["open"], "i8", "i8", "i8")
-            lo, hi = np.searchsorted(item, of, "left"), np.searchsorted(item, of, "right")
-            for k in np.flatnonzero((of >= 0) & (hi > lo)).tolist():
-                begin.append(s[k] + start[lo[k] : hi[k]])
+        for i in np.unique(doc).tolist():
+            text = texts[i]
+            mine, known = slice(*np.searchsorted(doc, [i, i + 1])), slice(*np.searchsorted(c_doc, [i, i + 1]))
+            begin, end = [c_lo[known]], [c_hi[known]]
+            lo, hi = np.searchsorted(item, of[mine], "left"), np.searchsorted(item, of[mine], "right")
+            for k in np.flatnonzero((of[mine] >= 0) & (hi > lo)).tolist():
+                begin.append(s[mine][k] + start[lo[k] : hi[k]])
                 end.append(begin[-1] + length[lo[k] : hi[k]])
-            if (of < 0).any() and len(value):
+            if (of[mine] < 0).any() and len(value):
                 runs = Hashed(text).runs(size)
-                for k in np.flatnonzero(of < 0).tolist():
-                    mine = runs[s[k] : s[k] + c[k]]
-                    at = np.minimum(np.searchsorted(value, mine), len(value) - 1)
-                    late = np.flatnonzero((value[at] == mine) & (least[at] < row["doc_id"]))
-                    begin.append(s[k] + late)
+                for k in np.flatnonzero(of[mine] < 0).tolist():
+                    hashes = runs[s[mine][k] : s[mine][k] + c[mine][k]]
+                    at = np.minimum(np.searchsorted(value, hashes), len(value) - 1)
+                    late = np.flatnonzero((value[at] == hashes) & (least[at] < ids[i]))
+                    begin.append(s[mine][k] + late)
                     end.append(begin[-1] + size)
-            lo, hi = _merged(np.concatenate(begin), np.concatenate(end))
-            out.append({"doc_id": row["doc_id"]} | _cut(text, lo, hi))
+            out.append({"doc_id": int(ids[i])} | _cut(text, *_merged(np.concatenate(begin), np.concatenate(end))))
         return pa.Table.from_pylist(out, _RESULT)
 
     return work
@@ -564,7 +576,7 @@ class Repeats:
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, run: int):
         self.size, self.width = size, 2 * size - run
-        blocks = _blocks(docs, id_col, text_col)
+        self.blocks = blocks = _blocks(docs, id_col, text_col)
         total = blocks.agg(F.sum("bytes")).head()[0] or 0
         self.buckets = max(8, -(-2 * total // ((size - run + 2) * BUCKET_ENTRIES)))
         replies = _entries(blocks, self.buckets, size, run).groupBy("bucket").applyInArrow(_judge(self.buckets), "block bigint, bucket int, reply binary")
@@ -589,8 +601,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     told = repeats.items.groupBy("bucket").applyInArrow(sorted_, reply)
     windows = found.where(F.col("kind") == _WINDOWS).select("bucket", "block", "base", "n", "data")
     told = told.unionByName(windows.groupBy("bucket").applyInArrow(_judge_windows, reply))
-    pending = found.where(F.col("kind") == _PENDING).select("block", "doc_id", "text", "spans", "open")
-    late = pending.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_finish(size), _RESULT_TYPE)
+    pending = found.where(F.col("kind") == _PENDING).select("block", "open", "cover")
+    told = told.unionByName(pending, allowMissingColumns=True)
+    late = repeats.blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_finish(size), _RESULT_TYPE)
     done = found.where(F.col("kind") == _DONE).select(F.when(F.col("known"), F.col("doc_id")).alias("doc_id"), "n_bytes", "n_removed", "kept_sha256", "spans")
     return done.unionByName(late).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "spans")
 
