@@ -1,4 +1,5 @@
 import json
+import random
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from test_sources import make_archive
 from waveline import cli
 from waveline.functions import names
 from waveline.functions.names import Arm
-from waveline.operators import alarms, arrivals, baseline, blocks, coincidence, snr, windows
+from waveline.operators import alarms, arrivals, baseline, blocks, coincidence, intervals, snr, windows
 from waveline.plans import adopt, inventory, run
 from waveline.sources import archive, mseed, store, tables
 
@@ -472,3 +473,29 @@ def test_rolled_up_parts_are_dealt_by_their_number(spark):
     rows = spark.range(4000).selectExpr("id % 1000 as event_id")
     assert spread(rows, "event_id", rows=100).rdd.getNumPartitions() == 40
     assert spread(rows, "event_id", rows=4000) is rows
+
+
+def test_the_highest_scores_near_events_without_meeting_all_of_them(spark):
+    """Dense scores and events: each score is a row of its bucket once, whatever the number of events near it."""
+    rng = random.Random(3)
+    pair = ["A", "B"]
+    rows = [(*pair, side, float(rng.randrange(4000)), rng.random()) for side in "ab" for _ in range(1500)]
+    asked = [(*pair, side, k, float(rng.randrange(-400, 4400)) + rng.choice([0.0, 0.5])) for side in "ab" for k in range(300)]
+    scores = spark.createDataFrame(rows, "station_a string, station_b string, side string, t double, p double")
+    events = spark.createDataFrame(asked, "station_a string, station_b string, side string, event_id int, p_epoch double")
+    for before, after in ((300.0, 600.0), (6.0, 20.0), (0.0, 1.0)):
+        out = coincidence.highest_near(scores, events, before, after)
+        assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {(r.side, r.event_id): r.best for r in out.collect()}
+        want = {(side, k): max((p for *_, s, t, p in rows if s == side and e - before <= t <= e + after), default=None) for *_, side, k, e in asked}
+        assert got == want
+
+
+def test_buckets_follow_the_length_of_dense_intervals(spark):
+    rows = [(float(k), k + 0.5) for k in range(86_400)]
+    dense = spark.createDataFrame(rows, "lo double, hi double")
+    assert intervals.fitted_bucket(dense) == pytest.approx(1.0)
+    assert intervals.fitted_bucket(dense.limit(0)) == intervals.DAY == intervals.fitted_bucket(spark.createDataFrame([(0.0, 1e7)], "lo double, hi double"))
+    key = dense.withColumn("k", F.lit(1))
+    met = intervals.intersect(key, key.withColumns({"lo": F.col("lo") + 0.25, "hi": F.col("hi") + 0.25}), ["k"], intervals.fitted_bucket(dense))
+    assert met.agg(F.count("*"), F.min(F.col("hi") - F.col("lo")), F.max(F.col("hi") - F.col("lo"))).head()[:] == (86_400, 0.25, 0.25)

@@ -23,6 +23,14 @@ def _buckets(lo: Column, hi: Column, width: float) -> Column:
     return F.explode(F.sequence(_bucket(lo, width), _bucket(hi, width)))
 
 
+def fitted_bucket(*intervals: DataFrame, lo: str = "lo", hi: str = "hi", most: float = DAY) -> float:
+    """Twice the intervals' average length, at most ``most``: in buckets of it an interval lies one and
+    a half times on average, and few lie in one however many there are. Intervals should be stored."""
+    parts = [x.agg(F.sum(F.col(hi) - F.col(lo)), F.count("*")).head() for x in intervals]
+    total, n = sum(x[0] or 0.0 for x in parts), sum(x[1] for x in parts)
+    return min(most, max(2 * total / n, 1e-3)) if n else most
+
+
 def _islands(rows: DataFrame, keys: list[str], lo: str, hi: str, gap: Column, aggs: list[Column]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(lo, hi)
     ahead = F.max(hi).over(w.rowsBetween(Window.unboundedPreceding, -1))
