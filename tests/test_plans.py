@@ -499,3 +499,60 @@ def test_buckets_follow_the_length_of_dense_intervals(spark):
     key = dense.withColumn("k", F.lit(1))
     met = intervals.intersect(key, key.withColumns({"lo": F.col("lo") + 0.25, "hi": F.col("hi") + 0.25}), ["k"], intervals.fitted_bucket(dense))
     assert met.agg(F.count("*"), F.min(F.col("hi") - F.col("lo")), F.max(F.col("hi") - F.col("lo"))).head()[:] == (86_400, 0.25, 0.25)
+
+
+def _noise_and_signal(spark, events):
+    """Segments of a sample a second in short blocks, in part overlapping, and what signal over noise is of them."""
+    rng, rows = np.random.default_rng(3), []
+    for s in "AB":
+        at = 0
+        for k in range(40):
+            n = int(rng.integers(5, 400))
+            rows.append((s, k, float(at), n, rng.integers(0, 1000, n).astype(float).tolist()))
+            at += int(rng.integers(1, 2 * n))
+    segs = spark.createDataFrame(rows, "station string, seg_id int, t0 double, n long, data array<double>")
+
+    def part(s, start, want):
+        for station, _, t0, n, data in rows:
+            at = round(start - t0)
+            if station == s and at >= 0 and at + want <= n:
+                return float(np.sqrt(np.mean(np.square(data[at : at + want]))))
+        return None
+
+    want = {}
+    for s, i, p in events:
+        for name, lo, n in (("noise", -60.0, 50), ("signal", -1.0, 13)):
+            v = p is not None and part(s, p + lo, n)
+            have = want.setdefault((s, i), {})
+            have[name] = max(have.get(name) or 0.0, v or 0.0)
+    return segs, {k: v["signal"] / v["noise"] if v["noise"] and v["signal"] else None for k, v in want.items()}
+
+
+@pytest.mark.parametrize("size", [16, 64, 1 << 17])
+def test_snr_is_that_of_every_range(spark, monkeypatch, size):
+    """Parts in one bucket or in two, over blocks, of events with several times or none; stored samples and derived ones."""
+    monkeypatch.setattr(blocks, "BLOCK", size)
+    rng = np.random.default_rng(4)
+    events = [(s, int(i), float(rng.integers(0, 16_000) / 2)) for s in "ABC" for i in range(400)] + [("A", 1, 700.0), ("A", 1, 900.0), ("B", 7, None)]
+    segs, want = _noise_and_signal(spark, events)
+    asked = spark.createDataFrame(events, "station string, event_id long, p_epoch double")
+    packed = blocks.pack(segs)
+    numbers = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / size).cast("int"))).alias("block")
+    heads = segs.select("station", "seg_id", "t0", "n", numbers, F.col("data").alias("made_of"))
+    of_block = F.pandas_udf(lambda x, k: x.combine(k, lambda v, b: np.asarray(v, np.float64)[b * size : (b + 1) * size].tobytes()), "binary")("made_of", "block")
+    assert 100 < sum(v is not None for v in want.values()) < len(want) - 100
+    for got in (snr.measure(packed, asked, ["station"], 1.0, None), snr.measure(heads, asked, ["station"], 1.0, None, derived=of_block)):
+        rows = got.collect()
+        assert len(rows) == len(events) and all(r.dropped == (r.snr is None) for r in rows)
+        for r in rows:
+            v = want[r.station, r.event_id]
+            assert r.snr == (v if v is None else pytest.approx(v, rel=1e-12)), r
+
+
+def test_snr_reads_samples_of_events_with_both_parts_only(spark):
+    """An event whose noise no segment holds is dropped on headers: no samples of its signal are made."""
+    heads = spark.createDataFrame([("S", 0, 0.0, 200, 0), ("S", 1, 1000.0, 20, 0)], "station string, seg_id int, t0 double, n long, block int")
+    events = spark.createDataFrame([("S", 1, 100.0), ("S", 2, 1001.0)], "station string, event_id long, p_epoch double")
+    made = F.when(F.col("n") == 20, F.raise_error(F.lit("samples that aren't asked for")).cast("binary")).otherwise(F.unhex(F.repeat(F.lit("000000000000F03F"), 200)))
+    got = snr.measure(heads, events, ["station"], 1.0, None, derived=made)
+    assert {r.event_id: (r.snr, r.dropped) for r in got.collect()} == {1: (1.0, False), 2: (None, True)}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -159,25 +162,33 @@ def span_of(segments: DataFrame, keys: list[str], fs: float) -> DataFrame:
     return segments.groupBy(*keys).agg(F.min("t0").alias("first"), F.max_by(F.col("t0") + F.col("n") / F.lit(fs), "t0").alias("last"))
 
 
-def holding(requests: DataFrame, heads: DataFrame, keys: list[str], fs: float, start: str, wants: dict[str, int], roles: dict[str, str] | None = None, bucket: float | None = None) -> DataFrame:
+def holding(requests: DataFrame, heads: DataFrame, keys: list[str], fs: float, start: str, wants: dict[str, int], roles: dict[str, str] | None = None, bucket: float | None = None, after: dict[str, float] | None = None, carry: list[str] = (), deal: list[str] = ()) -> DataFrame:
     """``requests`` with, for each of ``wants``, ``(seg_id, at)``: the first segment that wholly holds so many samples from ``start``.
 
-    With ``roles`` each want is asked of one component's segments only. Requests meet the segments'
+    With ``roles`` each want is asked of one component's segments only, with ``after`` it begins so many
+    seconds after ``start``; ``carry`` names further columns of the headers, ``deal`` the request's columns
+    that the result is dealt to tasks by, if these are asked together afterwards. Requests meet the segments'
     headers by buckets of time, all lengths and roles at once; where none holds a length whole its
     column is null, and a request that no segment holds has no row. A bucket, if not given, is twice as long as
     the segments are on average, so that a header is copied one and a half times on average, however long they are.
     """
     ids, carried = [*requests.columns], ["role"] if roles else []
-    right = heads.where(F.col("n") >= min(wants.values())).select(*keys, *[F.col(c).alias(f"_{c}") for c in carried], "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"))
+    right = heads.where(F.col("n") >= min(wants.values())).select(*keys, *[F.col(c).alias(f"_{c}") for c in carried], "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"), *[F.col(c).alias(f"_h_{c}") for c in carry])
     if bucket is None:
         bucket = 2 * max(right.agg(F.avg("_len")).head()[0] or 0.0, 1.0) / fs
-    left = requests.withColumn("_b", F.floor(F.col(start) / bucket))
+    offsets = {c: (after or {}).get(c, 0.0) for c in wants}
+    least = {x: min(n for c, n in wants.items() if offsets[c] == x) for x in sorted(set(offsets.values()))}
+    begins = [F.floor((F.col(start) + x) / bucket) for x in least]
+    left = requests.withColumn("_b", begins[0] if len(begins) == 1 else F.explode(F.array_distinct(F.array(*begins))))
     begin = F.floor((F.col("_t0") - 1 / fs) / bucket)  # a start may lie up to half a sample ahead
     right = right.withColumn("_b", F.explode(F.sequence(begin, F.floor((F.col("_t0") + F.col("_len") / fs) / bucket))))
-    at = F.rint((F.col(start) - F.col("_t0")) * fs).cast("long")
-    met = left.join(right, [*keys, "_b"]).withColumn("_at", at).where((F.col("_at") >= 0) & (F.col("_at") + F.lit(min(wants.values())) <= F.col("_len")))
-    holds = {c: (F.col("_at") + F.lit(n) <= F.col("_len")) & (F.col("_role") == roles[c] if roles else F.lit(True)) for c, n in wants.items()}
-    first = [F.min(F.when(ok, F.struct("seg_id", F.col("_at").alias("at")))).alias(c) for c, ok in holds.items()]
+    at = {x: F.rint((F.col(start) + x - F.col("_t0")) * fs).cast("long") for x in least}
+    fits = lambda x, n: (at[x] >= 0) & (at[x] + F.lit(n) <= F.col("_len"))
+    met = left.join(right, [*keys, "_b"]).where(reduce(operator.or_, [fits(x, n) for x, n in least.items()]))
+    holds = {c: fits(offsets[c], n) & (F.col("_role") == roles[c] if roles else F.lit(True)) for c, n in wants.items()}
+    first = [F.min(F.when(ok, F.struct("seg_id", at[offsets[c]].alias("at"), *[F.col(f"_h_{h}").alias(h) for h in carry]))).alias(c) for c, ok in holds.items()]
+    if deal or len(begins) > 1:
+        return (met.repartition(*deal) if deal else met).groupBy(*ids).agg(*first)
     # A request has one bucket: grouped by it too, rows stay where they met.
     return met.groupBy(*ids, "_b").agg(*first).drop("_b")
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waveline.durable import checkpoint, spread, stored
-from waveline.functions.arrays import rms
 from waveline.operators import blocks
 from waveline.operators.segments import holding
 
@@ -22,20 +21,29 @@ def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float,
     """``events`` with ``snr`` and ``dropped``: what straddles a gap, or is silent, has no ratio.
 
     Segments are the vertical component's, in blocks; events carry ``keys``, ``event_id`` and ``p_epoch``
-    (those without a travel time aren't asked for and aren't counted as dropped). ``derived`` as in ``blocks.fetch``, without a band only.
+    (those without a travel time aren't asked for and aren't counted as dropped). Which events have both
+    parts is decided on headers, and samples are fetched of these. ``derived`` as in ``blocks.fetch``,
+    without a band only: headers then go with the requests, and ``segments`` are headers with a block's number.
     """
-    asked, heads = events.select(*keys, "event_id", "p_epoch").distinct(), blocks.heads(segments)
     spans = {"noise": noise, "signal": signal}
     wants = {p: int(round((hi - lo) * fs)) for p, (lo, hi) in spans.items()}
-    starts = F.explode(F.array(*[F.struct(F.lit(p).alias("_part"), (F.col("p_epoch") + lo).alias("_start")) for p, (lo, _) in spans.items()]))
-    held = holding(asked.select(*keys, "event_id", starts.alias("x")).select(*keys, "event_id", "x.*"), heads, keys, fs, "_start", wants)
-    own = [F.when(F.col("_part") == p, F.struct(f"{p}.*", F.lit(want).alias("want"))) for p, want in wants.items()]
-    requests = checkpoint(held.select(*keys, "event_id", "_part", F.coalesce(*own).alias("x")).where("x is not null and x.seg_id is not null").select(*keys, "event_id", "_part", "x.*"))
+    carry = blocks.header_columns(segments, keys) if derived is not None else []
+    asked, ids = events.select(*keys, "event_id", "p_epoch"), [*keys, "event_id", "p_epoch", "_part", "want"]
+    held = holding(asked, blocks.heads(segments), keys, fs, "p_epoch", wants, after={p: lo for p, (lo, _) in spans.items()}, carry=carry, deal=[*keys, "event_id"])
+    # Of an event with several times each part may be held at another one.
+    has = [F.max(F.col(p).isNotNull()).over(Window.partitionBy(*keys, "event_id")) for p in wants]
+    held = held.withColumn("_both", has[0] & has[1]).where("_both")
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("_part"), F.lit(want).alias("want"), F.col(p).alias("_x")) for p, want in wants.items()]))
+    requests = held.select(*keys, "event_id", "p_epoch", each.alias("_e")).where("_e._x is not null").select(*keys, "event_id", "p_epoch", "_e._part", "_e.want", "_e._x.*")
+    if derived is None:
+        requests = checkpoint(requests)
     if band:  # whole segments' filters, of the blocks that are asked for
         segments = stored(blocks.filtered(segments, keys, fs, *band, needed=blocks.needed_blocks(requests, keys, "at", "want")), "conditioned")
-    got = blocks.values(blocks.fetch(requests, segments, keys, "at", "want", derived)).select(*keys, "event_id", "_part", rms("samples").alias("_rms"))
-    by = got.groupBy(*keys, "event_id").agg(*[F.max(F.when(F.col("_part") == p, F.col("_rms"))).alias(p) for p in ("noise", "signal")])
-    both = events.join(by, [*keys, "event_id"], "left")
+    got = blocks.squares(blocks.parts(requests, segments if derived is None else None, keys, "at", "want", derived).select(*ids, "part"))
+    read = got.groupBy(*ids).agg(F.sum("part").alias("_power")).withColumn("_rms", F.sqrt(F.col("_power") / F.col("want")))
+    by = read.groupBy(*keys, "event_id").agg(*[F.max(F.when(F.col("_part") == p, F.col("_rms"))).alias(p) for p in ("noise", "signal")])
+    # Its rows are at most the events' and narrower: a task's are hashed, and the events needn't be sorted.
+    both = events.join(by.hint("shuffle_hash"), [*keys, "event_id"], "left")
     return both.withColumn("snr", ratio_of(F.col("signal"), F.col("noise"))).withColumn("dropped", F.col("snr").isNull()).drop("noise", "signal")
 
 

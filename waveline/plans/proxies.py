@@ -63,19 +63,27 @@ def traces(spark: SparkSession, d: str) -> DataFrame:
 
 def samples(base: pd.Series, n: pd.Series) -> pd.Series:
     """A segment's samples, packed, by a rule of its start."""
-    return pd.Series([((b + 7 * np.arange(m)) % 1000).astype(np.float64).tobytes() for b, m in zip(base.tolist(), n.tolist(), strict=True)], dtype=object)
+    ends = np.cumsum(n.to_numpy())
+    first = base.to_numpy() - 7 * (ends - n.to_numpy())
+    data = ((np.repeat(first, n.to_numpy()) + 7 * np.arange(ends[-1] if len(ends) else 0)) % 1000).astype(np.float64).tobytes()
+    return pd.Series([data[8 * (e - m) : 8 * e] for e, m in zip(ends.tolist(), n.tolist(), strict=True)], dtype=object)
 
 
-def segments(spark: SparkSession, d: str) -> DataFrame:
+def headers(spark: SparkSession, d: str) -> DataFrame:
     """Every line item as a gap-free segment of one sample in ten minutes, three roles of a station.
 
-    A segment is short enough for one block. Headers are stored; samples are made of them by
-    ``segment_samples`` where they are read: stored, they would far outweigh the table.
+    A segment is short enough for one block. Samples are made of the headers by ``segment_samples``
+    where they are read: stored, they would far outweigh the table.
     """
     roles = F.array(*map(F.lit, ["Z", "N", "E"]))
     t0, n = F.floor(epoch("l_shipdate") / 600) * 600.0, F.floor(F.col("l_quantity") / 25 * 144).cast("long") + 1
     rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("station"), F.get(roles, F.col("l_linenumber") % 3).alias("role"), t0.alias("t0"), n.alias("n"))
-    return stored(rows.withColumn("seg_id", F.row_number().over(Window.partitionBy("station", "role").orderBy("t0", "n"))).withColumn("block", F.lit(0)), "segments")
+    return rows.withColumn("seg_id", F.row_number().over(Window.partitionBy("station", "role").orderBy("t0", "n"))).withColumn("block", F.lit(0))
+
+
+def segments(spark: SparkSession, d: str) -> DataFrame:
+    """``headers``, stored for what reads them several times."""
+    return stored(headers(spark, d), "segments")
 
 
 def segment_samples() -> Column:

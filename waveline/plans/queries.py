@@ -524,7 +524,7 @@ def cut_all_or_nothing(spark, d):
 SELECT e.station, e.event_id, round(s.v / nullif(n.v, 0), 6) AS snr, s.v / nullif(n.v, 0) IS NULL AS dropped FROM v_arrivals_at e LEFT JOIN parts s ON s.station = e.station AND s.event_id = e.event_id AND s.kind = 'signal' LEFT JOIN parts n ON n.station = e.station AND n.event_id = e.event_id AND n.kind = 'noise'""")
 def snr_measure(spark, d):
     """Every order's signal over noise from samples; null where either straddles a gap."""
-    vertical = V.segments(spark, d).where("role = 'Z'")
+    vertical = V.headers(spark, d).where("role = 'Z'").drop("role")
     out = snr.measure(vertical, V.arrivals_at(spark, d), ["station"], 1 / 600, None, (-36000.0, -6000.0), (-600.0, 7200.0), V.segment_samples())
     return r6(out.select("station", "event_id", "snr", "dropped"), "snr")
 
