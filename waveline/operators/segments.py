@@ -173,7 +173,7 @@ def holding(requests: DataFrame, heads: DataFrame, keys: list[str], fs: float, s
     the segments are on average, so that a header is copied one and a half times on average, however long they are.
     """
     ids, carried = [*requests.columns], ["role"] if roles else []
-    right = heads.where(F.col("n") >= min(wants.values())).select(*keys, *[F.col(c).alias(f"_{c}") for c in carried], "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"), *[F.col(c).alias(f"_h_{c}") for c in carry])
+    right = heads.where(F.col("n") >= min(wants.values())).select(*keys, *[F.col(c).alias(f"_{c}") for c in carried], "seg_id", F.col("t0").alias("_t0"), F.col("n").alias("_len"), *[F.col(c).alias(f"_h_{c}") for c in carry if c not in ("t0", "n")])
     if bucket is None:
         bucket = 2 * max(right.agg(F.avg("_len")).head()[0] or 0.0, 1.0) / fs
     offsets = {c: (after or {}).get(c, 0.0) for c in wants}
@@ -186,7 +186,7 @@ def holding(requests: DataFrame, heads: DataFrame, keys: list[str], fs: float, s
     fits = lambda x, n: (at[x] >= 0) & (at[x] + F.lit(n) <= F.col("_len"))
     met = left.join(right, [*keys, "_b"]).where(reduce(operator.or_, [fits(x, n) for x, n in least.items()]))
     holds = {c: fits(offsets[c], n) & (F.col("_role") == roles[c] if roles else F.lit(True)) for c, n in wants.items()}
-    first = [F.min(F.when(ok, F.struct("seg_id", at[offsets[c]].alias("at"), *[F.col(f"_h_{h}").alias(h) for h in carry]))).alias(c) for c, ok in holds.items()]
+    first = [F.min(F.when(ok, F.struct("seg_id", at[offsets[c]].alias("at"), *[F.col({"t0": "_t0", "n": "_len"}.get(h, f"_h_{h}")).alias(h) for h in carry]))).alias(c) for c, ok in holds.items()]
     if deal or len(begins) > 1:
         return (met.repartition(*deal) if deal else met).groupBy(*ids).agg(*first)
     # A request has one bucket: grouped by it too, rows stay where they met.

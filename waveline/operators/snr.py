@@ -39,8 +39,8 @@ def measure(segments: DataFrame, events: DataFrame, keys: list[str], fs: float,
         requests = checkpoint(requests)
     if band:  # whole segments' filters, of the blocks that are asked for
         segments = stored(blocks.filtered(segments, keys, fs, *band, needed=blocks.needed_blocks(requests, keys, "at", "want")), "conditioned")
-    got = blocks.squares(blocks.parts(requests, segments if derived is None else None, keys, "at", "want", derived).select(*ids, "part"))
-    read = got.groupBy(*ids).agg(F.sum("part").alias("_power")).withColumn("_rms", F.sqrt(F.col("_power") / F.col("want")))
+    got = blocks.squares(requests, segments, keys, "at", "want", derived)
+    read = got.groupBy(*ids).agg(F.sum("squares").alias("_power")).withColumn("_rms", F.sqrt(F.col("_power") / F.col("want")))
     by = read.groupBy(*keys, "event_id").agg(*[F.max(F.when(F.col("_part") == p, F.col("_rms"))).alias(p) for p in ("noise", "signal")])
     # Its rows are at most the events' and narrower: a task's are hashed, and the events needn't be sorted.
     both = events.join(by.hint("shuffle_hash"), [*keys, "event_id"], "left")
