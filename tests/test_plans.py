@@ -322,6 +322,38 @@ def test_separations_have_no_nested_loop(spark):
     assert {(r.station_a, r.station_b): r.separation_km for r in near.collect()} == {k: v for k, v in whole.items() if v <= 80.0}
 
 
+def test_windows_are_in_as_many_folders_as_lengths_and_chunks(spark, tmp_path):
+    """Stations don't make folders or files; a station's windows are replaced, and what others have in the same folder stays."""
+    def made(stations, mark, lengths=(6.0, 10.0), chunk="c"):
+        rows = [(s, chunk, k, x, "eq", f"event_{k}_raw", 0.0, [[mark]] * 3) for s in stations for x in lengths for k in (1, 2)]
+        return spark.createDataFrame(rows, "station string, chunk string, event_id long, length_s double, kind string, tag string, t0 double, samples array<array<int>>")
+
+    def there(layout):
+        found = spark.read.parquet(layout.windows).collect()
+        marks = {(r.station, r.length_s, r.chunk): r.samples[0][0] for r in found}
+        assert len(found) == 2 * len(marks)
+        return marks
+
+    layout, many = store.Layout(str(tmp_path / "out")), [f"S{k}" for k in range(50)]
+    store.write_windows(made(many, 1), layout)
+    folders = sorted(str(p.relative_to(layout.windows)) for p in tmp_path.glob("out/windows/*/*") if p.is_dir())
+    assert folders == ["length_s=10.0/chunk=c", "length_s=6.0/chunk=c"]
+    assert len(list(tmp_path.glob("out/windows/**/*.parquet"))) <= 8
+    want = {(s, x, "c"): 1 for s in many for x in (6.0, 10.0)}
+    store.write_windows(made(["S1", "T"], 2, (6.0,)), layout)  # one is there, one is new
+    store.write_windows(made(["T"], 3, (6.0,), "d"), layout)
+    want |= {("S1", 6.0, "c"): 2, ("T", 6.0, "c"): 2, ("T", 6.0, "d"): 3}
+    assert there(layout) == want
+    before = {p.name for p in tmp_path.glob("out/windows/**/*.parquet")}
+    store.write_windows(made(["U"], 4), layout)  # nothing is replaced: files are only added
+    assert there(layout) == want | {("U", 6.0, "c"): 4, ("U", 10.0, "c"): 4}
+    assert before < {p.name for p in tmp_path.glob("out/windows/**/*.parquet")}
+    old = store.Layout(str(tmp_path / "old"))
+    made(["S1"], 1).write.partitionBy("station", "length_s", "chunk").parquet(old.windows)
+    with pytest.raises(ValueError, match="partitioned by station"):
+        store.write_windows(made(["S1"], 2), old)
+
+
 def test_exported_windows_are_files_that_read_back(spark, tmp_path):
     segs = segments_of(spark)
     events = spark.createDataFrame([("S", "c", 7, 301.0, 301.0, 2.9)], "station string, chunk string, event_id long, p_epoch double, cut_epoch double, mag double")

@@ -212,7 +212,7 @@ def resampled(spark, d):
 
 @query("SELECT station, event_id, length_s, tag, first_z, total FROM (" + Q.SQL["cut_all_or_nothing"] + ")")
 def stored_windows(spark, d):
-    """Cut windows written by station, length and chunk, and read back with their samples."""
+    """Cut windows written by length and chunk, and read back with their samples."""
     layout = store.Layout(_folder(spark, "out"))
     cut = windows.cut(V.arrivals_at(spark, d), V.segments(spark, d), ["station"], 1 / 600, lengths=(3600.0, 7200.0), pre=1200.0, noise_offset=9000.0, derived=V.segment_samples())
     store.write_windows(cut.withColumn("chunk", F.lit("c")), layout)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,9 +58,14 @@ class Layout:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table is there, on any file system."""
+    return next(_names(spark, path), None) is not None
+
+
+def _names(spark: SparkSession, path: str) -> Iterator[str]:
+    """The names in a folder, on any file system; none if it isn't there."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p) and fs.listStatus(p) is not None and len(fs.listStatus(p)) > 0
+    return (f.getPath().getName() for f in (fs.listStatus(p) or ())) if fs.exists(p) else iter(())
 
 
 def _overwrite(df: DataFrame, path: str, by: list[str]) -> None:
@@ -76,8 +82,26 @@ def write_snr_parts(df: DataFrame, layout: Layout) -> None:
 
 
 def write_windows(df: DataFrame, layout: Layout) -> None:
-    by = ["station", "length_s", "chunk"]
-    _overwrite(df.hint("rebalance", *by), layout.windows, by)  # else each task has a file in each partition
+    """A station's windows of a length and chunk replace what it had of them; ``df`` is read several times if the table is there.
+
+    Partitions are of a length and a chunk: with a level of stations too, folders and files follow the stations,
+    however few windows each has. Chunks of one name share a partition, so if anything in it is replaced,
+    what other stations have there is written again with it; else rows are added and nothing is taken away.
+    """
+    spark, of, by = df.sparkSession, ["station", "length_s", "chunk"], ["length_s", "chunk"]
+    rows, mode = df.withColumns({"station": F.col("station").cast("string"), "chunk": F.col("chunk").cast("string")}), "append"
+    if exists(spark, layout.windows):
+        if any(name.startswith("station=") for name in _names(spark, layout.windows)):
+            raise ValueError(f"{layout.windows} is partitioned by station, as it was before: write it anew elsewhere")
+        had = spark.read.schema(rows.schema).parquet(layout.windows)
+        keys = kept(rows.select(*of).distinct())
+        parts = keys.select(*by).distinct().collect()  # as many as the partitions that the write itself tells the driver of
+        near = had.where(F.col("length_s").isin({r.length_s for r in parts}) & F.col("chunk").isin({r.chunk for r in parts}))
+        if near.join(keys, of, "left_semi").head(1):
+            others = near.join(keys.select(*by).distinct(), by, "left_semi").join(keys, of, "left_anti")
+            rows, mode = rows.unionByName(kept(others)), "overwrite"
+    # Without the hint each task has a file in each partition.
+    rows.hint("rebalance", *by).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(layout.windows)
 
 
 def export_windows(df: DataFrame, root: str, fs: float, comps: tuple[str, str, str] = ("HHZ", "HHN", "HHE")) -> DataFrame:
