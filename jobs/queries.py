@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from jobs import alarms, levels
 from waveline.durable import checkpoint_dir
+from waveline.functions.numbers import rounded
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -20,7 +21,7 @@ def job1_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, settings = _folder(spark, "alarms"), alarms.Settings.load(alarms.CONFIG)
     for _ in range(2):  # a file stream takes folders and patterns; the table may be one file
         out = alarms.run(spark, f"{sf_dir}/events.parquet*", f"{base}/out", f"{base}/checkpoint", settings)
-    return out.select("station", F.date_format("day", "yyyy-MM-dd").alias("day"), F.round("t", 6).alias("t"), F.round("p", 6).alias("p"))
+    return out.select("station", F.date_format("day", "yyyy-MM-dd").alias("day"), rounded("t", 6).alias("t"), rounded("p", 6).alias("p"))
 
 
 def job2_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +29,7 @@ def job2_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, settings = _folder(spark, "levels"), levels.Settings.load(levels.CONFIG)
     for _ in range(2):
         out = levels.run(spark, f"{sf_dir}/documents.parquet", base, settings)
-    return out.select("doc_id", "source", "lang", "n_words", *[F.round(c, 6).alias(c) for c in ("mean", "deviation", "off", "ratio")], "verdict")
+    return out.select("doc_id", "source", "lang", "n_words", *[rounded(c, 6).alias(c) for c in ("mean", "deviation", "off", "ratio")], "verdict")
 
 
 def _alarms_sql(s: alarms.Settings, lateness_ms: int) -> str:

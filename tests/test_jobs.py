@@ -113,6 +113,21 @@ def test_levels_replace_only_their_sources(spark, tmp_path):
     assert spark.read.schema(levels.BASELINE).parquet(f"{out}/baseline").count() == 2
 
 
+def test_levels_round_as_their_sql(spark, tmp_path):
+    """Documents of 640 words have means halfway between two roundings, that of 5243 letters among them."""
+    import duckdb
+
+    from jobs import queries
+
+    docs = [(k, " ".join("a" * (8 + (i < k)) for i in range(640)), "en", "web", None) for k in range(1, 640, 2)]
+    spark.createDataFrame(docs, DOCS).drop("verdict").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.job2_levels(spark, str(tmp_path))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = db.sql(queries.SQL["job2_levels"])
+    assert got.columns == found.columns and sorted(map(tuple, got.collect())) == sorted(found.fetchall())
+
+
 def test_levels_of_no_documents(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "in"))
     assert levels.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), levels.Settings()).count() == 0

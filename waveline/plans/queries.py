@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from waveline.functions import arrays, names
 from waveline.functions.geo import haversine_km
+from waveline.functions.numbers import rounded
 from waveline.operators import alarms, arrivals, baseline, blocks, coincidence, intervals, segments, snr
 from waveline.plans import inventory
 from waveline.plans import proxies as V
@@ -33,7 +34,7 @@ def query(sql: str | None = None):
 
 
 def r6(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in cols})
+    return df.withColumns({c: rounded(c, 6) for c in cols})
 
 
 def island_sql(source: str, keys: str, lo: str, hi: str, gap: str, out: str) -> str:
@@ -127,7 +128,7 @@ def usable_total(spark, d):
 
 @query(with_views("v_catalog") + "SELECT c.event_id, round(" + _km("s", "c") + ", 6) AS dist FROM v_catalog c, (SELECT CAST(38.4 AS DOUBLE) AS lat, CAST(27.1 AS DOUBLE) AS lon) s")
 def haversine(spark, d):
-    return V.catalog(spark, d).select("event_id", F.round(haversine_km(38.4, 27.1, "lat", "lon"), 6).alias("dist"))
+    return V.catalog(spark, d).select("event_id", rounded(haversine_km(38.4, 27.1, "lat", "lon"), 6).alias("dist"))
 
 
 @query(with_views("v_catalog") + "SELECT * FROM (SELECT c.event_id, round(" + _km("s", "c") + ", 6) AS dist, round(mag, 6) AS mag FROM v_catalog c, (SELECT CAST(38.4 AS DOUBLE) AS lat, CAST(30.1 AS DOUBLE) AS lon) s) WHERE dist <= 200 AND mag >= 2")
@@ -169,14 +170,14 @@ def arm_parse(spark, d):
 
 @query(with_views("v_windows") + "SELECT window_id, round(list_sum(list_transform(x, lambda v: asinh(v * 1000))), 6) AS total FROM v_windows")
 def asinh_transform(spark, d):
-    return V.windows(spark, d).select("window_id", F.round(arrays.total(F.transform("x", lambda v: arrays.asinh(v * 1000))), 6).alias("total"))
+    return V.windows(spark, d).select("window_id", rounded(arrays.total(F.transform("x", lambda v: arrays.asinh(v * 1000))), 6).alias("total"))
 
 
 @query(with_views("v_windows") + "SELECT window_id, CAST(i AS INT) AS i, round(v * CASE WHEN i < 3 THEN 0.5 - 0.5 * cos(2 * pi() * i / 5) WHEN i > 60 THEN 0.5 - 0.5 * cos(2 * pi() * (63 - i) / 5) ELSE 1 END, 9) + 0.0 AS y FROM (SELECT window_id, unnest(x) AS v, unnest(range(64)) AS i FROM v_windows)")
 def taper_vector(spark, d):
     """Every vector with its ends tapered."""
     rows = V.windows(spark, d).select("window_id", F.posexplode(arrays.taper("x", 64)).alias("i", "y"))
-    return rows.withColumn("y", F.round("y", 9) + 0.0)
+    return rows.withColumn("y", rounded("y", 9) + 0.0)
 
 
 @query(with_views("v_windows") + """, e AS (SELECT window_id, unnest(x) AS v, unnest(range(64)) AS i FROM v_windows),
@@ -184,19 +185,19 @@ fit AS (SELECT window_id, regr_slope(v, i) AS m, regr_intercept(v, i) AS c FROM
 SELECT window_id, CAST(i AS INT) AS i, round(v - m * i - c, 6) + 0.0 AS y FROM e JOIN fit USING (window_id)""")
 def detrend_linear(spark, d):
     rows = V.windows(spark, d).select("window_id", F.posexplode(arrays.detrend_linear("x")).alias("i", "y"))
-    return rows.withColumn("y", F.round("y", 6) + 0.0)
+    return rows.withColumn("y", rounded("y", 6) + 0.0)
 
 
 @query(with_views("v_windows") + "SELECT window_id, CAST(unnest(range(64)) AS INT) AS i, round(unnest(list_transform(x, lambda v: (v - list_avg(x)) / greatest(list_stddev_pop(x), 1e-12))), 6) + 0.0 AS y FROM v_windows")
 def standardize_perwindow(spark, d):
     rows = V.windows(spark, d).select("window_id", F.posexplode(arrays.standardize_perwindow("x")).alias("i", "y"))
-    return rows.withColumn("y", F.round("y", 6) + 0.0)
+    return rows.withColumn("y", rounded("y", 6) + 0.0)
 
 
 @query("SELECT s_suppkey, round(greatest(coalesce(CASE WHEN s_suppkey % 3 <> 0 THEN s_acctbal / 100 END, s_acctbal), 1e-12), 9) AS sigma FROM supplier")
 def sigma_for(spark, d):
     trimmed = F.when(F.col("s_suppkey") % 3 != 0, F.col("s_acctbal") / 100)
-    return V.table(spark, d, "supplier").select("s_suppkey", F.round(arrays.sigma_for("s_acctbal", trimmed), 9).alias("sigma"))
+    return V.table(spark, d, "supplier").select("s_suppkey", rounded(arrays.sigma_for("s_acctbal", trimmed), 9).alias("sigma"))
 
 
 # --- segments ----------------------------------------------------------------------------------
@@ -352,13 +353,13 @@ def predicted_arrivals(spark, d):
 @query(with_views("v_catalog", "v_stations") + f", {_ARRIVALS}, cells AS (SELECT DISTINCT round_even(dist / 5, 0), round_even(greatest(coalesce(depth, 10), 0) / 5, 0) FROM arr) SELECT (SELECT count(*) FROM arr) AS calls, count(*) AS distinct_cells, (SELECT count(*) FROM arr) - count(*) AS hits, round(1 - count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM arr), 9) AS hit_rate FROM cells")
 def travel_grid_statistics(spark, d):
     near = arrivals.near_stations(V.catalog(spark, d), V.stations(spark, d))
-    return arrivals.grid_statistics(near).withColumn("hit_rate", F.round("hit_rate", 9))
+    return arrivals.grid_statistics(near).withColumn("hit_rate", rounded("hit_rate", 9))
 
 
 @query(with_views("v_scores", "v_catalog", "v_stations") + f", {_ARRIVALS} SELECT s.station, count(*) AS windows, round(avg(p), 6) AS mean_p FROM v_scores s WHERE NOT EXISTS (SELECT 1 FROM arrivals a WHERE a.station = s.station AND s.t BETWEEN a.p_epoch - 310 AND a.p_epoch + 600) GROUP BY s.station")
 def background_guard(spark, d):
     quiet = intervals.unexplained(V.scores(spark, d), _arrivals(spark, d), ["station"], 300.0, 10.0, 600.0)
-    return quiet.groupBy("station").agg(F.count("*").alias("windows"), F.round(F.avg("p"), 6).alias("mean_p"))
+    return quiet.groupBy("station").agg(F.count("*").alias("windows"), rounded(F.avg("p"), 6).alias("mean_p"))
 
 
 @query(with_views("v_scores") + """, n AS (SELECT station, count(*) AS n FROM v_scores GROUP BY station), q AS (SELECT station, n, budget, 1 - budget * 30 / n AS q FROM n, (VALUES (100.0), (30.0), (10.0), (3.0), (1.0), (0.1)) AS b(budget) WHERE budget * 30 < n),
@@ -434,7 +435,7 @@ def arrival_differences(spark, d):
     sides = [pairs.select("station_a", "station_b", F.lit(s).alias("side"), F.col(f"station_{s}").alias("station")) for s in "ab"]
     seen = _arrivals(spark, d).select("station", "event_id", "p_epoch").join(sides[0].unionByName(sides[1]), "station")
     out = coincidence.arrival_differences(coincidence.good_events(seen, _readings(spark, d)))
-    return out.withColumns({c: F.round(c, 4) for c in ("least", "greatest", "median")})
+    return out.withColumns({c: rounded(c, 4) for c in ("least", "greatest", "median")})
 
 
 # --- signal to noise, baseline, cutting --------------------------------------------------------
@@ -458,7 +459,7 @@ def snr_summary(spark, d):
 @query(with_views("v_windows") + "SELECT window_id, round(sqrt(list_avg(list_transform(x[41:64], lambda v: v * v))) / sqrt(list_avg(list_transform(x[1:40], lambda v: v * v))), 6) AS snr FROM v_windows")
 def snr_rms_ratio(spark, d):
     ratio = snr.ratio_of(arrays.rms(F.slice("x", 41, 24)), arrays.rms(F.slice("x", 1, 40)))
-    return V.windows(spark, d).select("window_id", F.round(ratio, 6).alias("snr"))
+    return V.windows(spark, d).select("window_id", rounded(ratio, 6).alias("snr"))
 
 
 def _pieces(spark, d) -> DataFrame:
@@ -483,7 +484,7 @@ def baseline_trimmed(spark, d):
 def standardize_station(spark, d):
     units = baseline.noise_statistics(_pieces(spark, d)).select("station", "mu", arrays.sigma_for("sigma").alias("sigma"))
     rows = V.windows(spark, d).join(units, "station").withColumn("z", arrays.standardize_by("x", F.col("mu"), F.col("sigma")))
-    return rows.select("window_id", (F.round(arrays.mean("z"), 6) + 0.0).alias("mean_z"), F.round(F.array_max("z"), 6).alias("max_z"))
+    return rows.select("window_id", (rounded(arrays.mean("z"), 6) + 0.0).alias("mean_z"), rounded(F.array_max("z"), 6).alias("max_z"))
 
 
 @query(with_views("v_chunks") + ", n AS (SELECT *, row_number() OVER (PARTITION BY station ORDER BY chunk) - 1 AS i, count(*) OVER (PARTITION BY station) AS n FROM v_chunks) SELECT station, chunk FROM n WHERE list_contains(list_transform(range(CAST(least(n, 6) AS BIGINT)), lambda j: round_even(j * (n - 1) / CAST(greatest(least(n, 6) - 1, 1) AS DOUBLE), 0)), CAST(i AS DOUBLE))")
@@ -599,7 +600,7 @@ def painted_samples(spark, d):
     offset = F.col("block").cast("long") * blocks.BLOCK
     weighted = arrays.total(F.transform("data", lambda v, i: v * ((i + offset) % 17)))
     each = segs.select("station", "channel", "t0", "n", arrays.total("data").alias("total"), weighted.alias("weighted"))
-    return r6(each.groupBy("station", "channel", "t0", "n").agg(F.sum("total").alias("total"), F.round(F.sum("weighted"), 5).alias("weighted")), "total")
+    return r6(each.groupBy("station", "channel", "t0", "n").agg(F.sum("total").alias("total"), rounded(F.sum("weighted"), 5).alias("weighted")), "total")
 
 
 #: The band-pass of 0.2 to 1.5 Hz at 4 Hz (order 4), numerator and denominator, and
@@ -652,7 +653,7 @@ def conditioned_windows(spark, d):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(clean), pa.list_(pa.float64()))], ["window_id", "y"])
 
     rows = V.windows(spark, d).select("window_id", "x").mapInArrow(work, "window_id bigint, y array<double>")
-    return rows.select("window_id", F.posexplode("y").alias("i", "y")).withColumn("y", F.round("y", 6) + 0.0)
+    return rows.select("window_id", F.posexplode("y").alias("i", "y")).withColumn("y", rounded("y", 6) + 0.0)
 
 
 @query(_CONDITIONED + """, pieces AS (SELECT station, sum(y) AS s, sum(y * y) AS ss, count(*) AS n FROM clean JOIN v_windows USING (window_id) GROUP BY station, window_id),
@@ -681,7 +682,7 @@ def score_windows(spark, d):
     rows = V.windows(spark, d).select("station", F.concat(F.lit("v"), F.col("window_id")).alias("chunk"), F.explode(F.array(*map(F.lit, "ZNE"))).alias("role"), F.lit(0).alias("seg_id"), F.lit(0.0).alias("t0"), F.lit(64).cast("long").alias("n"), F.col("x").alias("data"))
     arm = names.Arm("16s", 16.0, "", "", 16.0, 4.0)
     out = score.score(blocks.pack(rows), arm, _mean_absolute, "constant", low=0.2, high=1.5, constant=0.5)
-    return out.withColumn("p", F.round(F.col("p").cast("double"), 3))
+    return out.withColumn("p", rounded(F.col("p").cast("double"), 3))
 
 
 #: A small network of the engine's kind for a check by SQL: untrained weights, fixed by their seeds.
@@ -802,7 +803,7 @@ def _detected(spark, d, branch: str) -> DataFrame:
     rows = V.windows(spark, d).select("station", F.concat(F.lit("v"), F.col("window_id")).alias("chunk"), "x", sides)
     rows = rows.select("station", "chunk", "y.role", F.lit(0).alias("seg_id"), F.lit(0.0).alias("t0"), F.lit(64).cast("long").alias("n"), F.transform("x", lambda v: v * F.col("y.f")).alias("data"))
     out = score.score(blocks.pack(rows), names.Arm("16s", 16.0, "", branch, 16.0, 4.0), detector.ensemble(_networks(branch), branch), "perwindow", low=0.2, high=1.5)
-    return out.select("station", "chunk", F.round(F.col("p").cast("double"), 3).alias("p"))
+    return out.select("station", "chunk", rounded(F.col("p").cast("double"), 3).alias("p"))
 
 
 @query(_detector_sql("cnn"))

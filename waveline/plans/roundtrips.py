@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from waveline.durable import checkpoint_dir
 from waveline.functions import arrays, names
+from waveline.functions.numbers import rounded
 from waveline.operators import arrivals, baseline, blocks, score, segments, signal, snr, windows
 from waveline.plans import proxies as V
 from waveline.plans import queries as Q
@@ -80,7 +81,7 @@ def score_series(spark, d):
     layout = store.Layout(_folder(spark, "out"))
     rows = V.scores(spark, d).withColumns({"arm": F.lit("6s"), "chunk": F.concat(F.lit("c"), F.floor(F.col("t") / 864000)), "p": F.col("p").cast("float")})
     store.write_scores(rows, layout)
-    return tables.read_scores(spark, layout.scores, "click", "6s").withColumn("p", F.round(F.col("p").cast("double"), 5))
+    return tables.read_scores(spark, layout.scores, "click", "6s").withColumn("p", rounded(F.col("p").cast("double"), 5))
 
 
 @query(with_views("v_snr") + "SELECT event_id, round(max(snr), 6) AS snr FROM v_snr GROUP BY event_id")
@@ -159,7 +160,7 @@ def score_by_baseline(spark, d):
     rows = V.windows(spark, d).select("station", F.concat(F.lit("v"), F.col("window_id")).alias("chunk"), F.explode(F.array(*map(F.lit, "ZNE"))).alias("role"), F.lit(0).alias("seg_id"), F.lit(0.0).alias("t0"), F.lit(64).cast("long").alias("n"), F.col("x").alias("data"))
     arm = names.Arm("16s", 16.0, "", "", 16.0, 4.0)
     out = score.score(blocks.pack(rows), arm, _quarter, "pooled", _units(spark, d), low=0.2, high=1.5)
-    return out.select("station", "chunk", F.round(F.col("p").cast("double"), 3).alias("p"))
+    return out.select("station", "chunk", rounded(F.col("p").cast("double"), 3).alias("p"))
 
 
 def _quarter(block):
@@ -207,7 +208,7 @@ def resampled(spark, d):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float64()))], ["window_id", "y"])
 
     rows = V.windows(spark, d).select("window_id", "x").mapInArrow(work, "window_id bigint, y array<double>")
-    return rows.select("window_id", F.posexplode("y").alias("i", "y")).withColumn("y", F.round("y", 6) + 0.0)
+    return rows.select("window_id", F.posexplode("y").alias("i", "y")).withColumn("y", rounded("y", 6) + 0.0)
 
 
 @query("SELECT station, event_id, length_s, tag, first_z, total FROM (" + Q.SQL["cut_all_or_nothing"] + ")")
@@ -226,4 +227,4 @@ def conditioned_segments(spark, d):
     """Every vector as a vertical segment, as signal to noise is measured on: mean off, band-passed."""
     rows = V.windows(spark, d).select(F.col("window_id").alias("seg_id"), F.lit(0.0).alias("t0"), F.size("x").cast("long").alias("n"), F.col("x").alias("data"))
     out = blocks.values(blocks.filtered(blocks.pack(rows), [], 4.0, 0.2, 1.5), "data")
-    return out.select(F.col("seg_id").alias("window_id"), F.posexplode("data").alias("i", "y")).withColumn("y", F.round("y", 6) + 0.0)
+    return out.select(F.col("seg_id").alias("window_id"), F.posexplode("data").alias("i", "y")).withColumn("y", rounded("y", 6) + 0.0)
