@@ -68,7 +68,7 @@ def readings(found: DataFrame, baseline: DataFrame, settings: Settings) -> DataF
     # One row a source and language, and adaptive joins split sources of many documents.
     rows = found.join(baseline.select(*keys, "mu", "sigma_trimmed"), keys, "left")
     mean = F.try_divide("s", "n")
-    deviation = F.sqrt(F.greatest(F.try_divide("ss", "n") - mean * mean, F.lit(0.0)))
+    deviation = F.when(F.col("n") > 0, F.sqrt(F.greatest(F.try_divide("ss", "n") - mean * mean, F.lit(0.0))))  # ``greatest`` passes over nulls
     unit = F.when(F.col("sigma_trimmed") > 0, F.col("sigma_trimmed"))
     rows = rows.withColumns({"mean": mean, "deviation": deviation})
     rows = rows.withColumns({"off": F.try_divide(F.col("mean") - F.col("mu"), F.try_divide(unit, F.sqrt("n"))), "ratio": F.try_divide("deviation", unit)})

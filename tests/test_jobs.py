@@ -113,13 +113,14 @@ def test_levels_replace_only_their_sources(spark, tmp_path):
     assert spark.read.schema(levels.BASELINE).parquet(f"{out}/baseline").count() == 2
 
 
-def test_levels_round_as_their_sql(spark, tmp_path):
-    """Documents of 640 words have means halfway between two roundings, that of 5243 letters among them."""
+def test_levels_equal_their_sql(spark, tmp_path):
+    """Documents of 640 words have means halfway between two roundings, that of 5243 letters among them; silent ones have no deviation."""
     import duckdb
 
     from jobs import queries
 
     docs = [(k, " ".join("a" * (8 + (i < k)) for i in range(640)), "en", "web", None) for k in range(1, 640, 2)]
+    docs += [(1000, None, "en", "web", None), (1001, " \t", "en", None, None)]
     spark.createDataFrame(docs, DOCS).drop("verdict").write.parquet(str(tmp_path / "documents.parquet"))
     got = queries.job2_levels(spark, str(tmp_path))
     db = duckdb.connect()
