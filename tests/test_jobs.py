@@ -114,12 +114,17 @@ def test_levels_replace_only_their_sources(spark, tmp_path):
 
 
 def test_levels_equal_their_sql(spark, tmp_path):
-    """Documents of 640 words have means halfway between two roundings, that of 5243 letters among them; silent ones have no deviation."""
+    """Documents of 640 words have means halfway between two roundings, that of 5243 letters among them; silent ones have no deviation.
+
+    Of the others the last two of each source deviate alike but for the last digit, and the quantile that trims lies between.
+    """
     import duckdb
 
     from jobs import queries
 
     docs = [(k, " ".join("a" * (8 + (i < k)) for i in range(640)), "en", "web", None) for k in range(1, 640, 2)]
+    words = [(4, 5, 5)] * 7 + [(1, 6, 7), (1, 2, 7)]
+    docs += [(2000 + 20 * k + i, " ".join("a" * n for n in w), "en", f"s{k}", None) for k in range(7) for i, w in enumerate(words[k:])]
     docs += [(1000, None, "en", "web", None), (1001, " \t", "en", None, None)]
     spark.createDataFrame(docs, DOCS).drop("verdict").write.parquet(str(tmp_path / "documents.parquet"))
     got = queries.job2_levels(spark, str(tmp_path))
